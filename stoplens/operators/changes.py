@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import work_dir
+
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
+MAX_SLICES = 20_000
 
 
 def changes(
@@ -22,103 +25,92 @@ def changes(
     """``NEW`` for the first row of a key, ``UPDATE`` where its value differs
     from the row before; rows that repeat the value give nothing.
 
-    NULL keys form one key and a NULL value equals a NULL value. ``order``
-    must rank the rows of a key; its first column is a number or a time.
+    NULL keys form one key and a NULL value equals a NULL value. ``order`` must
+    tell the rows of a key apart.
 
-    A key with ``hot_rows`` rows or more is not put in order by one task. Its
-    rows are cut into consecutive slices of the order, each handled on its
-    own, and each slice is given one extra leading row holding the last value
-    before it. Counting the keys costs a grouped count, skipped when the whole
-    input is smaller than one hot key.
+    A key of ``hot_rows`` rows or more is too much for one task to sort. The
+    rows of such keys are range-partitioned on key and order, so that each
+    partition is a run of consecutive rows, and every run is compared on its
+    own after the last row before it has been put in front. The runs are kept
+    in a table, since both steps must see the same cuts.
     """
     rows = df.select(*dict.fromkeys([key, value, *order, *carry]))
-    hot = _hot_keys(rows, key, order[0], hot_rows)
+    hot, hot_total = _hot_keys(rows, key, hot_rows)
     if hot is None:
-        sliced = rows.withColumn("_slice", F.lit(0).cast("long"))
-        return _compare(sliced.withColumn("_lead", F.lit(False)), key, value, order, carry)
-
-    position = F.col(order[0]).cast("double")
-    sliced = (
-        rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn(
-            "_slice",
-            F.when(F.col("_span").isNull(), F.lit(0))
-            .when(position.isNull(), F.lit(-1))
-            .otherwise(F.floor((position - F.col("_low")) / F.col("_span")))
-            .cast("long"),
-        )
-        .withColumn("_is_hot", F.col("_span").isNotNull())
-        .select(*rows.columns, "_slice", "_is_hot")
-    )
-    # Last row of every slice of a hot key, handed on to its next slice.
-    by_slice = Window.partitionBy(key).orderBy("_slice")
-    rest = [c for c in rows.columns if c != key]
-    leads = (
-        sliced.where("_is_hot")
-        .groupBy(key, "_slice")
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
-        .withColumn("_last", F.lag("_last").over(by_slice))
-        .where("_last is not null")
-        .select(key, "_last.*", "_slice", F.lit(True).alias("_lead"))
-    )
-    body = sliced.drop("_is_hot").withColumn("_lead", F.lit(False))
-    return _compare(body.unionByName(leads), key, value, order, carry)
+        return _compare(rows.withColumn("_slice", F.lit(0)), key, value, order, carry)
+
+    hot = F.broadcast(hot)
+    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
+    cold = rows.join(hot, is_hot, "left_anti").withColumn("_slice", F.lit(0))
+    slices = max(2, min(MAX_SLICES, -(-hot_total // hot_rows)))
+    runs = _runs(rows.join(hot, is_hot, "left_semi"), [key, *order], slices)
+    every = cold.unionByName(runs).withColumn("_lead", F.lit(False))
+    return _compare(every.unionByName(_leads(runs, key, order)), key, value, order, carry)
 
 
-def _hot_keys(df: DataFrame, key: str, order: str, hot_rows: int) -> DataFrame | None:
-    """Hot keys with the start and width of their slices, or None.
+def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> tuple[DataFrame | None, int]:
+    """The hot keys, or None, and how many rows they have together.
 
-    A hot key holds at least 1/MAX_HOT_KEYS of all rows, so there are at most
-    MAX_HOT_KEYS of them whatever the size of the input. That bounds what is
-    collected here and broadcast by the caller.
+    A hot key also holds at least 1/MAX_HOT_KEYS of all rows. So there are at
+    most MAX_HOT_KEYS of them, whatever the size of the input, which bounds
+    what is collected here and broadcast by the caller.
     """
     total = df.count()
     if total < hot_rows:
-        return None
+        return None, 0
     limit = max(hot_rows, -(-total // MAX_HOT_KEYS))
-    position = F.col(order).cast("double")
     found = (
         df.groupBy(F.col(key).alias("_hot_key"))
-        .agg(
-            F.count("*").alias("_rows"),
-            F.min(position).alias("_low"),
-            F.max(position).alias("_high"),
-        )
+        .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") >= limit)
         .collect()
     )
-    spans = []
-    for row in found:
-        if row["_low"] is None or row["_low"] == row["_high"]:
-            continue
-        # Four times finer than needed when rows are evenly spread.
-        slices = max(2, -(-4 * row["_rows"] // limit))
-        spans.append((row["_hot_key"], row["_low"], (row["_high"] - row["_low"]) / slices))
-    if not spans:
-        return None
+    if not found:
+        return None, 0
     kind = df.schema[key].dataType.simpleString()
-    return df.sparkSession.createDataFrame(
-        spans, f"_hot_key {kind}, _low double, _span double"
+    keys = df.sparkSession.createDataFrame([(row["_hot_key"],) for row in found], f"_hot_key {kind}")
+    return keys, sum(row["_rows"] for row in found)
+
+
+def _runs(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
+    """The rows with ``_slice``, the number of the range partition they fell in."""
+    path = work_dir(df.sparkSession, "runs")
+    ranged = df.repartitionByRange(slices, *order)
+    ranged.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _leads(runs: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """For every run of a key but its first, the last row before the run."""
+    rest = [c for c in runs.columns if c not in (key, "_slice")]
+    return (
+        runs.groupBy(key, "_slice")
+        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
+        .withColumn("_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")))
+        .where("_last is not null")
+        .select(key, "_slice", "_last.*", F.lit(True).alias("_lead"))
     )
 
 
 def _compare(
     df: DataFrame, key: str, value: str, order: Sequence[str], carry: Sequence[str]
 ) -> DataFrame:
-    # A lead is a copy of an earlier row, so it sorts in front of its slice.
+    """Rows unlike the one before them in their slice; leads only go before."""
     seen = Window.partitionBy(key, "_slice").orderBy(*order)
-    old, earlier = F.lag(value).over(seen), F.lag(F.lit(True)).over(seen)
-    kind = F.when(F.col("_first"), F.lit("NEW")).otherwise(F.lit("UPDATE"))
-    return (
-        df.withColumn("_old", old)
-        .withColumn("_first", earlier.isNull())
-        .where(~F.col("_lead"))
-        .where(F.col("_first") | ~F.col("_old").eqNullSafe(F.col(value)))
-        .select(
-            kind.alias("event"),
-            key,
-            *dict.fromkeys([*order, *carry]),
-            F.col("_old").alias("old_value"),
-            F.col(value).alias("new_value"),
-        )
+    compared = df.withColumns(
+        {
+            "_old": F.lag(value).over(seen),
+            "_first": F.lag(F.lit(True)).over(seen).isNull(),
+        }
+    )
+    if "_lead" in df.columns:
+        compared = compared.where(~F.col("_lead"))
+    return compared.where(
+        F.col("_first") | ~F.col("_old").eqNullSafe(F.col(value))
+    ).select(
+        F.when(F.col("_first"), F.lit("NEW")).otherwise(F.lit("UPDATE")).alias("event"),
+        key,
+        *dict.fromkeys([*order, *carry]),
+        F.col("_old").alias("old_value"),
+        F.col(value).alias("new_value"),
     )

@@ -56,6 +56,6 @@ def match_routes(
         df = df.withColumn("_salt", salted)
         routes = routes.withColumn(
             "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        )
+        ).hint("merge")
         match = match & (F.col("_salt") == F.col("_copy"))
     return df.join(routes, match, "left").select(*rows, *ROUTE_COLUMNS.values())

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-NEW, UPDATE = "NEW", "UPDATE"
+from ..functions import passage_json
+
+LANES = 64
 
 
 def changes_stream(
@@ -18,65 +22,148 @@ def changes_stream(
     value: str = "delaipassage",
     order: str = "gid",
     carry: Sequence[str] = ("ligne", "direction", "heurepassage"),
+    slice_width: float = 60,
     forget_after_ms: int | None = None,
 ) -> DataFrame:
     """Streaming form of ``operators.changes``, with the same output columns.
 
-    State is one value per key. Within a micro-batch a key's rows are put in
-    order first; across micro-batches the source's order counts. The rows of a
-    key held at a time are limited by the size of a micro-batch, which the
-    source bounds. ``forget_after_ms`` drops the state of keys not seen for
-    that long (off by default).
+    Within a micro-batch a key's rows are taken by ``order``, a number or a
+    time without NULLs; across micro-batches the source's order counts.
+
+    Two steps keep a busy key off a single task. The rows of a micro-batch are
+    first spread by key and slice of the order (``slice_width`` numbers or
+    seconds) and compared with the row before in their slice. Only the first
+    row and the last value of each slice then meet the state, one value per
+    key. Changes found inside a slice pass by it on separate lanes.
+    ``forget_after_ms`` drops the state of keys not seen for that long (off by
+    default).
     """
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    columns = list(dict.fromkeys([order, *carry]))
-    output = T.StructType(
-        [T.StructField("event", T.StringType()), T.StructField(key, fields[key])]
-        + [T.StructField(name, fields[name]) for name in columns]
-        + [T.StructField("old_value", fields[value]), T.StructField("new_value", fields[value])]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    carried = T.StructType([T.StructField(name, kinds[name]) for name in carry if name != order])
+    compared = T.StructType(
+        [
+            T.StructField(key, kinds[key]),
+            T.StructField("_lane", T.IntegerType()),
+            T.StructField(order, kinds[order]),
+            T.StructField("_carried", T.StringType()),
+            T.StructField("old_value", kinds[value]),
+            T.StructField("new_value", kinds[value]),
+            T.StructField("_last", kinds[value]),
+        ]
     )
-    state_type = T.StructType([T.StructField("last", fields[value])])
+    output = T.StructType([T.StructField("event", T.StringType()), *compared.fields[:1], *compared.fields[2:6]])
+    state_type = T.StructType([T.StructField("last", kinds[value])])
     timeout = (
         GroupStateTimeout.ProcessingTimeTimeout if forget_after_ms else GroupStateTimeout.NoTimeout
     )
 
+    # Rows cross to Python at a cost per column and group; the columns that are
+    # only passed through travel as one text.
+    text = passage_json(*carried.names) if carried.names else F.lit("{}")
+    position = F.floor(F.col(order).cast("double") / F.lit(slice_width))
+    slim = df.select(
+        *dict.fromkeys([key, value, order]), text.alias("_carried"), position.alias("_slice")
+    )
+    found = (
+        slim.repartition(key, "_slice")
+        .mapInPandas(_slice_changes(key, value, order), compared)
+        .groupBy(key, "_lane")
+        .applyInPandasWithState(
+            _key_changes(key, order, forget_after_ms), output, state_type, "append", timeout
+        )
+    )
+    return found.withColumn("_carried", F.from_json("_carried", carried)).select(
+        "event", key, order, *[f"_carried.{name}" for name in carried.names], "old_value", "new_value"
+    )
+
+
+def _slice_changes(key: str, value: str, order: str) -> Callable:
+    """Rows unlike the one before in their (key, slice), and each slice's ends.
+
+    A slice's first row is on lane 0 and carries the slice's last value.
+    """
+
+    def compare(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [chunk for chunk in chunks if len(chunk)]
+        if not parts:
+            return
+        rows = pd.concat(parts, ignore_index=True)
+        keys = pd.factorize(rows[key], use_na_sentinel=False)[0]
+        ranks = np.lexsort((rows[order].to_numpy(), rows["_slice"].to_numpy(), keys))
+        rows, keys = rows.iloc[ranks], keys[ranks]
+        slices, values = rows["_slice"].to_numpy(), pd.factorize(rows[value])[0]
+        first = np.ones(len(rows), dtype=bool)
+        first[1:] = (keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1])
+        # factorize gives NULLs one code of their own, so codes compare null-safe.
+        changed = np.ones(len(rows), dtype=bool)
+        changed[1:] = values[1:] != values[:-1]
+        texts = rows[value].to_numpy(dtype=object, na_value=None)
+        previous = np.append([None], texts[:-1])
+        starts = np.flatnonzero(first)
+        last = np.full(len(rows), None, dtype=object)
+        last[starts] = texts[np.append(starts[1:], len(rows)) - 1]
+        kept = first | changed
+        yield pd.DataFrame(
+            {
+                key: rows[key].to_numpy(),
+                "_lane": np.where(first, 0, 1 + slices % LANES).astype("int32"),
+                order: rows[order].to_numpy(),
+                "_carried": rows["_carried"].to_numpy(),
+                "old_value": np.where(first, None, previous),
+                "new_value": texts,
+                "_last": last,
+            }
+        )[kept]
+
+    return compare
+
+
+def _key_changes(key: str, order: str, forget_after_ms: int | None) -> Callable:
+    """Slice starts of one key against its state; rows of other lanes as they are."""
+    passed = [key, order, "_carried"]
+
     def detect(
         group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(chunks), ignore_index=True).sort_values(order, kind="stable")
-        # pandas marks NULL in several ways; None is the one that equals itself.
-        values = [None if pd.isna(v) else v for v in rows[value]]
+        if group[1]:
+            for rows in chunks:
+                yield pd.DataFrame(
+                    {
+                        "event": "UPDATE",
+                        **{name: rows[name] for name in passed},
+                        "old_value": rows["old_value"],
+                        "new_value": rows["new_value"],
+                    }
+                )
+            return
+        parts = list(chunks)
+        rows = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+        ranks = np.argsort(rows[order].to_numpy(), kind="stable")
+        firsts = rows["new_value"].to_numpy(dtype=object, na_value=None)
+        lasts = rows["_last"].to_numpy(dtype=object, na_value=None)
         known = state.exists
         last = state.get[0] if known else None
         seen, picked, old = known, [], []
-        for at, current in enumerate(values):
-            if not seen or current != last:
+        for at in ranks:
+            if not seen or firsts[at] != last:
                 picked.append(at)
                 old.append(last)
-            seen, last = True, current
-        if picked:
+            seen, last = True, lasts[at]
+        if not known or state.get[0] != last:
             state.update((last,))
         if forget_after_ms:
             state.setTimeoutDuration(forget_after_ms)
         if picked:
-            kinds = [UPDATE if known else NEW] + [UPDATE] * (len(picked) - 1)
-            found = rows.iloc[picked]
             yield pd.DataFrame(
                 {
-                    "event": kinds,
-                    key: found[key].tolist(),
-                    **{name: found[name].tolist() for name in columns},
+                    "event": ["UPDATE" if known else "NEW"] + ["UPDATE"] * (len(picked) - 1),
+                    **{name: rows[name].to_numpy()[picked] for name in passed},
                     "old_value": old,
-                    "new_value": [values[at] for at in picked],
-                },
-                columns=output.names,
+                    "new_value": firsts[picked],
+                }
             )
 
-    return (
-        df.select(*dict.fromkeys([key, value, *columns]))
-        .groupBy(key)
-        .applyInPandasWithState(detect, output, state_type, "append", timeout)
-    )
+    return detect

@@ -362,14 +362,14 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_events_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids merged into a few hot ones (among them NULL), handled slice by slice."""
     rows = passages(spark, sf_dir).withColumn("id", F.col("ligne"))
-    return changes(rows, hot_rows=200)
+    return changes(rows, hot_rows=1000)
 
 
 @query("change_events_stream")
 def change_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "changes")
     messages = as_messages(stream_passages(spark, sf_dir))
-    run_to_end(changes_job(messages, f"{out}/events", f"{out}/checkpoint", order="gid"))
+    run_to_end(changes_job(messages, f"{out}/events", f"{out}/checkpoint", order="gid", slice_width=10_000))
     return spark.read.parquet(f"{out}/events")
 
 
