@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Keyed state grows with the passages seen, beyond the heap; RocksDB keeps it on disk.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings every job relies on. Times in the feed carry no zone, so the session
 # zone decides what they mean; it is fixed here instead of left to the host.
 BASE_CONF = {
@@ -16,9 +20,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Keyed state of the change detector outgrows the heap; keep it on disk.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
     "spark.ui.enabled": "false",
 }
 

@@ -10,7 +10,6 @@ def stream_files(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    pattern: str | None = None,
     files_per_batch: int | None = None,
     bytes_per_batch: int = 64 * 1024**3,
 ) -> DataFrame:
@@ -21,8 +20,6 @@ def stream_files(
     operator sees of one key at a time.
     """
     reader = spark.readStream.schema(schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     else:

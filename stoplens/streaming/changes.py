@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import passage_json
 
-LANES = 64
-
+# Send the code below to the workers itself, not its import path, so that the
+# package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def changes_stream(
     df: DataFrame,
@@ -30,140 +33,154 @@ def changes_stream(
     Within a micro-batch a key's rows are taken by ``order``, a number or a
     time without NULLs; across micro-batches the source's order counts.
 
-    Two steps keep a busy key off a single task. The rows of a micro-batch are
-    first spread by key and slice of the order (``slice_width`` numbers or
-    seconds) and compared with the row before in their slice. Only the first
-    row and the last value of each slice then meet the state, one value per
-    key. Changes found inside a slice pass by it on separate lanes.
-    ``forget_after_ms`` drops the state of keys not seen for that long (off by
-    default).
+    A busy key is kept off a single task in two steps. The rows of a
+    micro-batch are spread by key and slice of the order (``slice_width``
+    numbers or seconds) and compared with the row before in their slice. Only
+    the first row and the last value of each slice then meet the state, one
+    value per key. A slice should hold about as many rows as suit one task.
+    ``forget_after_ms`` drops the state of keys not changed for that long (off
+    by default).
+
+    The state needs the RocksDB store, which ``run_to_end`` and ``start`` set.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     carried = T.StructType([T.StructField(name, kinds[name]) for name in carry if name != order])
-    compared = T.StructType(
+    event = T.StructType(
         [
+            T.StructField("event", T.StringType()),
             T.StructField(key, kinds[key]),
-            T.StructField("_lane", T.IntegerType()),
             T.StructField(order, kinds[order]),
             T.StructField("_carried", T.StringType()),
             T.StructField("old_value", kinds[value]),
             T.StructField("new_value", kinds[value]),
-            T.StructField("_last", kinds[value]),
         ]
     )
-    output = T.StructType([T.StructField("event", T.StringType()), *compared.fields[:1], *compared.fields[2:6]])
-    state_type = T.StructType([T.StructField("last", kinds[value])])
-    timeout = (
-        GroupStateTimeout.ProcessingTimeTimeout if forget_after_ms else GroupStateTimeout.NoTimeout
-    )
+    slice_start = T.StructType([*event.fields[1:4], *event.fields[5:], T.StructField("_last", kinds[value])])
 
-    # Rows cross to Python at a cost per column and group; the columns that are
-    # only passed through travel as one text.
+    # Columns that are only passed through cross to Python as one text.
     text = passage_json(*carried.names) if carried.names else F.lit("{}")
     position = F.floor(F.col(order).cast("double") / F.lit(slice_width))
-    slim = df.select(
+    sliced = df.select(
         *dict.fromkeys([key, value, order]), text.alias("_carried"), position.alias("_slice")
-    )
-    found = (
-        slim.repartition(key, "_slice")
-        .mapInPandas(_slice_changes(key, value, order), compared)
-        .groupBy(key, "_lane")
-        .applyInPandasWithState(
-            _key_changes(key, order, forget_after_ms), output, state_type, "append", timeout
+    ).repartition(key, "_slice")
+
+    inside = sliced.mapInPandas(_inside_slices(key, value, order), event)
+    between = (
+        sliced.mapInPandas(_slice_starts(key, value, order), slice_start)
+        .groupBy(key)
+        .transformWithState(
+            _LastValue(key, order, kinds[value], forget_after_ms),
+            event,
+            "append",
+            "processingTime" if forget_after_ms else "none",
         )
     )
-    return found.withColumn("_carried", F.from_json("_carried", carried)).select(
-        "event", key, order, *[f"_carried.{name}" for name in carried.names], "old_value", "new_value"
+    return (
+        inside.unionByName(between)
+        .withColumn("_carried", F.from_json("_carried", carried))
+        .select(
+            "event",
+            key,
+            order,
+            *[f"_carried.{name}" for name in carried.names],
+            "old_value",
+            "new_value",
+        )
     )
 
 
-def _slice_changes(key: str, value: str, order: str) -> Callable:
-    """Rows unlike the one before in their (key, slice), and each slice's ends.
+def _in_order(
+    chunks: Iterator[pd.DataFrame], key: str, order: str
+) -> tuple[pd.DataFrame, np.ndarray] | None:
+    """The rows of a partition by (key, slice, order), and where a slice starts."""
+    parts = [chunk for chunk in chunks if len(chunk)]
+    if not parts:
+        return None
+    rows = pd.concat(parts, ignore_index=True)
+    keys = pd.factorize(rows[key], use_na_sentinel=False)[0]
+    ranks = np.lexsort((rows[order].to_numpy(), rows["_slice"].to_numpy(), keys))
+    rows, keys, slices = rows.iloc[ranks], keys[ranks], rows["_slice"].to_numpy()[ranks]
+    first = np.ones(len(rows), dtype=bool)
+    first[1:] = (keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1])
+    return rows, first
 
-    A slice's first row is on lane 0 and carries the slice's last value.
-    """
+
+def _inside_slices(key: str, value: str, order: str) -> Callable:
+    """Rows unlike the one before them in the same slice."""
 
     def compare(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [chunk for chunk in chunks if len(chunk)]
-        if not parts:
+        found = _in_order(chunks, key, order)
+        if found is None:
             return
-        rows = pd.concat(parts, ignore_index=True)
-        keys = pd.factorize(rows[key], use_na_sentinel=False)[0]
-        ranks = np.lexsort((rows[order].to_numpy(), rows["_slice"].to_numpy(), keys))
-        rows, keys = rows.iloc[ranks], keys[ranks]
-        slices, values = rows["_slice"].to_numpy(), pd.factorize(rows[value])[0]
-        first = np.ones(len(rows), dtype=bool)
-        first[1:] = (keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1])
-        # factorize gives NULLs one code of their own, so codes compare null-safe.
-        changed = np.ones(len(rows), dtype=bool)
-        changed[1:] = values[1:] != values[:-1]
-        texts = rows[value].to_numpy(dtype=object, na_value=None)
-        previous = np.append([None], texts[:-1])
-        starts = np.flatnonzero(first)
-        last = np.full(len(rows), None, dtype=object)
-        last[starts] = texts[np.append(starts[1:], len(rows)) - 1]
-        kept = first | changed
+        rows, first = found
+        # All NULLs get the same code, so codes compare null-safe.
+        codes = pd.factorize(rows[value])[0]
+        at = np.flatnonzero(~first & (codes != np.roll(codes, 1)))
+        picked = rows.iloc[at]
         yield pd.DataFrame(
             {
-                key: rows[key].to_numpy(),
-                "_lane": np.where(first, 0, 1 + slices % LANES).astype("int32"),
-                order: rows[order].to_numpy(),
-                "_carried": rows["_carried"].to_numpy(),
-                "old_value": np.where(first, None, previous),
-                "new_value": texts,
-                "_last": last,
+                "event": "UPDATE",
+                key: picked[key],
+                order: picked[order],
+                "_carried": picked["_carried"],
+                "old_value": rows[value].to_numpy()[at - 1],
+                "new_value": picked[value],
             }
-        )[kept]
+        )
 
     return compare
 
 
-def _key_changes(key: str, order: str, forget_after_ms: int | None) -> Callable:
-    """Slice starts of one key against its state; rows of other lanes as they are."""
-    passed = [key, order, "_carried"]
+def _slice_starts(key: str, value: str, order: str) -> Callable:
+    """The first row of each slice, with the last value of the slice."""
 
-    def detect(
-        group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
+    def reduce(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = _in_order(chunks, key, order)
+        if found is None:
             return
-        if group[1]:
-            for rows in chunks:
-                yield pd.DataFrame(
-                    {
-                        "event": "UPDATE",
-                        **{name: rows[name] for name in passed},
-                        "old_value": rows["old_value"],
-                        "new_value": rows["new_value"],
-                    }
+        rows, first = found
+        starts = np.flatnonzero(first)
+        ends = np.append(starts[1:], len(rows)) - 1
+        picked = rows.iloc[starts]
+        yield pd.DataFrame(
+            {
+                key: picked[key],
+                order: picked[order],
+                "_carried": picked["_carried"],
+                "new_value": picked[value],
+                "_last": rows[value].to_numpy()[ends],
+            }
+        )
+
+    return reduce
+
+
+class _LastValue(StatefulProcessor):
+    """Keeps the last value of a key and reports slices that start with another."""
+
+    def __init__(self, key: str, order: str, kind: T.DataType, forget_after_ms: int | None):
+        self.key, self.order, self.kind = key, order, kind
+        self.forget_after_ms = forget_after_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        schema = T.StructType([T.StructField("value", self.kind)])
+        self.last = handle.getValueState("last", schema, self.forget_after_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
+        state = self.last.get()
+        seen, last = state is not None, state[0] if state is not None else None
+        before = (seen, last)
+        for row in sorted(rows, key=lambda row: row[self.order]):
+            if not seen or row["new_value"] != last:
+                yield Row(
+                    event="UPDATE" if seen else "NEW",
+                    **{name: row[name] for name in (self.key, self.order, "_carried")},
+                    old_value=last,
+                    new_value=row["new_value"],
                 )
-            return
-        parts = list(chunks)
-        rows = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-        ranks = np.argsort(rows[order].to_numpy(), kind="stable")
-        firsts = rows["new_value"].to_numpy(dtype=object, na_value=None)
-        lasts = rows["_last"].to_numpy(dtype=object, na_value=None)
-        known = state.exists
-        last = state.get[0] if known else None
-        seen, picked, old = known, [], []
-        for at in ranks:
-            if not seen or firsts[at] != last:
-                picked.append(at)
-                old.append(last)
-            seen, last = True, lasts[at]
-        if not known or state.get[0] != last:
-            state.update((last,))
-        if forget_after_ms:
-            state.setTimeoutDuration(forget_after_ms)
-        if picked:
-            yield pd.DataFrame(
-                {
-                    "event": ["UPDATE" if known else "NEW"] + ["UPDATE"] * (len(picked) - 1),
-                    **{name: rows[name].to_numpy()[picked] for name in passed},
-                    "old_value": old,
-                    "new_value": firsts[picked],
-                }
-            )
-
-    return detect
+            seen, last = True, row["_last"]
+        if before != (seen, last):
+            self.last.update((last,))
+
+    def close(self) -> None:
+        pass

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..schemas import ServingTable
+from ..session import ROCKSDB, STATE_STORE
 from ..sinks.serving import write_serving
 
 
@@ -61,11 +65,26 @@ def upsert_table(
     )
 
 
+@contextmanager
+def _state_on_disk() -> Iterator[None]:
+    """RocksDB as the state store of streams started within."""
+    conf = SparkSession.active().conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        conf.set(STATE_STORE, before)
+
+
 def start(writer: DataStreamWriter, every: str = "1 minute") -> StreamingQuery:
     """Run until stopped, one micro-batch per interval."""
-    return writer.trigger(processingTime=every).start()
+    with _state_on_disk():
+        return writer.trigger(processingTime=every).start()
 
 
 def run_to_end(writer: DataStreamWriter) -> None:
     """Process what is there now, then stop; the next run goes on from there."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+    with _state_on_disk():
+        query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()

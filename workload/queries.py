@@ -156,7 +156,8 @@ def arrival_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_passages(stream_files(spark, sf_dir, EVENTS_SCHEMA, "events.parquet"))
+    # As a pattern the path may be one file or a folder of files.
+    return as_passages(stream_files(spark, f"{sf_dir}/events.parquet*", EVENTS_SCHEMA))
 
 
 ARCHIVED = [*PASSAGE, "year", "month", "day", "hour"]
@@ -369,7 +370,7 @@ def change_events_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "changes")
     messages = as_messages(stream_passages(spark, sf_dir))
-    run_to_end(changes_job(messages, f"{out}/events", f"{out}/checkpoint", order="gid", slice_width=10_000))
+    run_to_end(changes_job(messages, f"{out}/events", f"{out}/checkpoint", order="gid", slice_width=1_000_000))
     return spark.read.parquet(f"{out}/events")
 
 
