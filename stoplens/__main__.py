@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import jobs
 from .session import build_session
-from .sinks import write_kafka
+from .sinks import stream_to_kafka, write_kafka
 from .sources import read_routes, stream_kafka
 from .streaming import run_to_end, start
 
@@ -41,6 +41,9 @@ def _parser() -> argparse.ArgumentParser:
     publish.add_argument("--one-per-line", action="store_true")
     publish.add_argument("--servers", required=True)
     publish.add_argument("--topic", required=True)
+    publish.add_argument("--follow", action="store_true", help="go on with new documents")
+    publish.add_argument("--checkpoint", help="needed to follow")
+    publish.add_argument("--every", default="1 minute")
 
     archive = command("archive", "messages to the partitioned archive")
     stream_arguments(archive, "earliest")
@@ -89,8 +92,12 @@ def main(argv: list[str] | None = None) -> None:
         f"stoplens-{args.job}", args.master, args.shuffle_partitions, args.time_zone
     )
     if args.job == "publish":
-        frame = jobs.publish_job(spark, args.snapshots, args.one_per_line)
-        write_kafka(frame, args.servers, args.topic)
+        frame = jobs.publish_job(spark, args.snapshots, args.one_per_line, args.follow)
+        if args.follow:
+            writer = stream_to_kafka(frame, args.servers, args.topic, args.checkpoint)
+            start(writer, args.every).awaitTermination()
+        else:
+            write_kafka(frame, args.servers, args.topic)
     elif args.job == "archive":
         messages = _messages(spark, args)
         writer = jobs.archive_job(

@@ -18,6 +18,8 @@ LABEL_MINUTES = {"Proche": 0.5, "A l'arret": 0.0}
 FIRST_NUMBER = r"(\d+)"
 MINUTES_FORM = r"^\d+\s*min$"
 HOURS_FORM = r"^\d+h\d+$"
+HOURS_PART = r"^(\d+)h"
+REST_PART = r"h(\d+)$"
 
 
 def _number(text: Column, pattern: str) -> Column:
@@ -33,7 +35,7 @@ def first_int_minutes(text: Column | str) -> Column:
 def delay_minutes(text: Column | str) -> Column:
     """Minutes (double) of ``N min``, ``HhMM`` and the labels; NULL otherwise."""
     text = F.col(text) if isinstance(text, str) else text
-    hours, rest = _number(text, r"^(\d+)h"), _number(text, r"h(\d+)$")
+    hours, rest = _number(text, HOURS_PART), _number(text, REST_PART)
     minutes = F.when(text.rlike(MINUTES_FORM), _number(text, FIRST_NUMBER).cast("double"))
     minutes = minutes.when(text.rlike(HOURS_FORM), (hours * 60 + rest).cast("double"))
     for label, value in LABEL_MINUTES.items():

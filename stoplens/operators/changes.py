@@ -45,7 +45,8 @@ def changes(
     slices = max(2, min(MAX_SLICES, -(-hot_total // hot_rows)))
     runs = _runs(rows.join(hot, is_hot, "left_semi"), [key, *order], slices)
     every = cold.unionByName(runs).withColumn("_lead", F.lit(False))
-    return _compare(every.unionByName(_leads(runs, key, order)), key, value, order, carry)
+    every = every.unionByName(_leads(runs, key, value, order), allowMissingColumns=True)
+    return _compare(every, key, value, order, carry)
 
 
 def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> tuple[DataFrame | None, int]:
@@ -80,12 +81,12 @@ def _runs(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _leads(runs: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """For every run of a key but its first, the last row before the run."""
-    rest = [c for c in runs.columns if c not in (key, "_slice")]
+def _leads(runs: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
+    """For every run of a key but its first, order and value of the row before it."""
+    last = F.max_by(F.struct(*dict.fromkeys([*order, value])), F.struct(*order))
     return (
         runs.groupBy(key, "_slice")
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
+        .agg(last.alias("_last"))
         .withColumn("_last", F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")))
         .where("_last is not null")
         .select(key, "_slice", "_last.*", F.lit(True).alias("_lead"))

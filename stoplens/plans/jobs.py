@@ -16,6 +16,7 @@ from ..sources import (
     read_lake,
     read_serving,
     read_snapshots,
+    stream_snapshots,
     typed_passages,
 )
 from ..streaming import (
@@ -35,9 +36,12 @@ def _checkpoint(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-shape{SHAPE}"
 
 
-def publish_job(spark: SparkSession, snapshots: str, one_per_line: bool = False) -> DataFrame:
-    """Snapshot documents to keyed messages."""
-    return publish_frame(explode_snapshot(read_snapshots(spark, snapshots, one_per_line)))
+def publish_job(
+    spark: SparkSession, snapshots: str, one_per_line: bool = False, follow: bool = False
+) -> DataFrame:
+    """Snapshot documents to keyed messages; ``follow`` takes new ones as a stream."""
+    read = stream_snapshots if follow else read_snapshots
+    return publish_frame(explode_snapshot(read(spark, snapshots, one_per_line)))
 
 
 def archive_job(
@@ -82,7 +86,9 @@ def live_stats_job(
     stats = live_window_stats(decode(messages), routes, **options)
     checkpoint = _checkpoint(checkpoint, f"windows-{mode}")
     if mode == "update":
-        return upsert_table(stats, path, checkpoint, WINDOW_STATS, rejects_path)
+        return upsert_table(
+            stats, path, checkpoint, WINDOW_STATS, rejects_path, first_write_id=SHAPE * 10**12
+        )
     if mode == "append":
         return append_table(stats, path, checkpoint)
     if mode == "complete":

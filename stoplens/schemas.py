@@ -13,6 +13,9 @@ def _struct(**columns: T.DataType) -> T.StructType:
 
 TEXT = T.StringType()
 
+# The field names of the feed and of the routes file, and the
+# column names of the tables the results are stored in.
+
 # The feed names its update stamp in two ways; decoding accepts both.
 FEED_SCHEMA = _struct(
     coursetheorique=TEXT,

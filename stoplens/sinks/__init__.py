@@ -1,11 +1,13 @@
 from .archive import archive, backfill_archive
-from .publish import publish_frame, write_kafka
-from .serving import write_cassandra, write_serving
+from .publish import publish_frame, stream_to_kafka, write_kafka
+from .serving import compact_serving, write_cassandra, write_serving
 
 __all__ = [
     "archive",
     "backfill_archive",
+    "compact_serving",
     "publish_frame",
+    "stream_to_kafka",
     "write_cassandra",
     "write_kafka",
     "write_serving",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import passage_json, publish_key
 
@@ -23,7 +24,35 @@ def publish_frame(passages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def write_kafka(frame: DataFrame, servers: str, topic: str, options: dict[str, str] | None = None) -> None:
+def _settings(servers: str, topic: str, options: dict[str, str] | None) -> dict[str, str]:
+    return {
+        "kafka.bootstrap.servers": servers,
+        "topic": topic,
+        **PRODUCER_OPTIONS,
+        **(options or {}),
+    }
+
+
+def write_kafka(
+    frame: DataFrame, servers: str, topic: str, options: dict[str, str] | None = None
+) -> None:
     """Send key and value to a topic. Needs the Kafka connector on the classpath."""
-    settings = {"kafka.bootstrap.servers": servers, "topic": topic, **PRODUCER_OPTIONS}
-    frame.select("key", "value").write.format("kafka").options(**settings, **(options or {})).save()
+    settings = _settings(servers, topic, options)
+    frame.select("key", "value").write.format("kafka").options(**settings).save()
+
+
+def stream_to_kafka(
+    frame: DataFrame,
+    servers: str,
+    topic: str,
+    checkpoint: str,
+    options: dict[str, str] | None = None,
+) -> DataStreamWriter:
+    """Streaming form of ``write_kafka``."""
+    settings = _settings(servers, topic, options)
+    return (
+        frame.select("key", "value")
+        .writeStream.format("kafka")
+        .options(**settings)
+        .option("checkpointLocation", checkpoint)
+    )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.contracts import conform, split_rejects
 from ..schemas import ServingTable
+from ..sources.serving import read_serving
 
 
 def write_serving(
@@ -23,30 +24,48 @@ def write_serving(
     pick the newest row per key (``sources.read_serving``). Rows are stored in
     the table's clustering order, cut by range, so one busy key may span
     several files. Rows without a required key go to ``rejects_path``; if it
-    is not given, their presence is an error.
+    is not given, their presence is an error. The rows, statistics and so few
+    beside what they were computed from, are kept while the steps read them.
     """
-    good, rejects = split_rejects(df, table)
-    if rejects_path:
-        rejects.write.mode("overwrite").parquet(f"{rejects_path}/write_id={write_id}")
-    elif not rejects.isEmpty():
-        raise ValueError(f"{table.name}: rows without a required key and no rejects_path")
     order = [F.desc(name) if newest else F.asc(name) for name, newest in table.clustering]
-    (
-        conform(good, table)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .parquet(f"{path}/write_id={write_id}")
-    )
+    kept = df.persist()
+    try:
+        good, rejects = split_rejects(kept, table)
+        if rejects_path:
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/write_id={write_id}")
+        elif not rejects.isEmpty():
+            raise ValueError(f"{table.name}: rows without a required key and no rejects_path")
+        (
+            conform(good, table)
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .write.mode("overwrite")
+            .parquet(f"{path}/write_id={write_id}")
+        )
+    finally:
+        kept.unpersist()
 
 
-def write_cassandra(df: DataFrame, table: ServingTable, keyspace: str) -> None:
-    """Append to a Cassandra table. Needs the Cassandra connector on the classpath."""
+def compact_serving(
+    spark: SparkSession, path: str, new_path: str, table: ServingTable, write_id: int
+) -> None:
+    """Write the current rows of a table as the first folder of a new one.
+
+    ``write_id`` is one the writers have passed; later upserts go to the new path.
+    """
+    write_serving(read_serving(spark, path, table), new_path, table, write_id)
+
+
+def write_cassandra(
+    df: DataFrame, table: ServingTable, keyspace: str, truncate: bool = False
+) -> None:
+    """Upsert into a Cassandra table, or empty it first.
+
+    Needs the Cassandra connector on the classpath.
+    """
     good, _ = split_rejects(df, table)
-    (
-        conform(good, table)
-        .write.format("org.apache.spark.sql.cassandra")
-        .options(table=table.name, keyspace=keyspace)
-        .mode("append")
-        .save()
-    )
+    writer = conform(good, table).write.format("org.apache.spark.sql.cassandra")
+    writer = writer.options(table=table.name, keyspace=keyspace)
+    if truncate:
+        writer = writer.option("confirm.truncate", "true")
+    writer.mode("overwrite" if truncate else "append").save()

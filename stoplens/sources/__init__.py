@@ -1,4 +1,4 @@
-from .feed import decode, explode_snapshot, read_snapshots, typed_passages
+from .feed import decode, explode_snapshot, read_snapshots, stream_snapshots, typed_passages
 from .lake import read_lake
 from .routes import read_routes
 from .serving import read_serving
@@ -13,5 +13,6 @@ __all__ = [
     "read_snapshots",
     "stream_files",
     "stream_kafka",
+    "stream_snapshots",
     "typed_passages",
 ]

@@ -29,6 +29,14 @@ def read_snapshots(spark: SparkSession, path: str, one_per_line: bool = False) -
     return reader.option("multiLine", not one_per_line).json(path)
 
 
+def stream_snapshots(
+    spark: SparkSession, path: str, one_per_line: bool = False, files_per_batch: int = 1000
+) -> DataFrame:
+    """New snapshot documents as they are put below ``path``."""
+    reader = spark.readStream.schema(SNAPSHOT_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+    return reader.option("multiLine", not one_per_line).json(path)
+
+
 def explode_snapshot(snapshots: DataFrame) -> DataFrame:
     """One row per passage; a document without values gives none."""
     return _one_stamp(snapshots.select(F.explode("values").alias("passage")).select("passage.*"))

@@ -1,11 +1,21 @@
 from .changes import changes_stream
 from .dedup import dedup_stream
-from .sinks import append_table, replace_table, run_to_end, start, upsert_table
+from .sinks import (
+    append_table,
+    cassandra_table,
+    console,
+    replace_table,
+    run_to_end,
+    start,
+    upsert_table,
+)
 from .windows import live_window_stats
 
 __all__ = [
     "append_table",
+    "cassandra_table",
     "changes_stream",
+    "console",
     "dedup_stream",
     "live_window_stats",
     "replace_table",

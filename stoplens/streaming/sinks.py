@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..schemas import ServingTable
 from ..session import ROCKSDB, STATE_STORE
-from ..sinks.serving import write_serving
+from ..sinks.serving import write_cassandra, write_serving
 
 
 def replace_table(stats: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -45,18 +45,17 @@ def upsert_table(
     checkpoint: str,
     table: ServingTable,
     rejects_path: str | None = None,
+    first_write_id: int = 0,
 ) -> DataStreamWriter:
     """Update mode: every trigger upserts the rows it changed.
 
-    A repeated micro-batch rewrites its own folder, so nothing counts twice.
+    A repeated micro-batch rewrites its own folder, so nothing counts twice. A
+    stream on a new checkpoint numbers its batches from 0 again and needs a
+    ``first_write_id`` above the ids already in the table.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            write_serving(batch, path, table, batch_id, rejects_path)
-        finally:
-            batch.unpersist()
+        write_serving(batch, path, table, first_write_id + batch_id, rejects_path)
 
     return (
         stats.writeStream.outputMode("update")
@@ -65,6 +64,26 @@ def upsert_table(
     )
 
 
+def cassandra_table(
+    stats: DataFrame, checkpoint: str, table: ServingTable, keyspace: str, mode: str = "update"
+) -> DataStreamWriter:
+    """Update mode upserts changed rows, complete mode replaces the table."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_cassandra(batch, table, keyspace, truncate=mode == "complete")
+
+    return (
+        stats.writeStream.outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+    )
+
+
+def console(rows: DataFrame) -> DataStreamWriter:
+    """Print finished rows, cells in full, where no table is at hand."""
+    return rows.writeStream.outputMode("append").format("console").option("truncate", False)
+
+
 @contextmanager
 def _state_on_disk() -> Iterator[None]:
     """RocksDB as the state store of streams started within."""

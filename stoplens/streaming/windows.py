@@ -34,6 +34,8 @@ def live_window_stats(
     Every observation counts unless ``dedup_keys`` is given, which needs append
     mode: Spark chains stateful operators in that mode only.
     """
+    # Read once, so that the size measured is the size broadcast at every trigger.
+    routes = routes.cache()
     marked = passages.withWatermark("heurepassage", delay)
     if dedup_keys:
         marked = marked.dropDuplicatesWithinWatermark(list(dedup_keys))

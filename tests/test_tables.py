@@ -8,7 +8,7 @@ from stoplens.__main__ import main
 from stoplens.operators import line_stats
 from stoplens.schemas import LINE_STATS, WINDOW_STATS
 from stoplens.session import work_dir
-from stoplens.sinks import backfill_archive, write_serving
+from stoplens.sinks import backfill_archive, compact_serving, write_serving
 from stoplens.sources import read_lake, read_serving
 from workload.fixtures import passages
 
@@ -33,6 +33,9 @@ def test_upsert_replaces_equal_keys_only(spark, tmp_path):
     write_serving(stats(spark, ("B", "x", 5.0), ("C", "x", 6.0)), path, LINE_STATS, 2)
     assert content(spark, path) == expected
     assert read_serving(spark, path, LINE_STATS).schema == LINE_STATS.schema
+    compact_serving(spark, path, f"{tmp_path}/compacted", LINE_STATS, 2)
+    write_serving(stats(spark, ("A", "x", 9.0)), f"{tmp_path}/compacted", LINE_STATS, 3)
+    assert content(spark, f"{tmp_path}/compacted") == {**expected, ("A", "x"): 9.0}
 
 
 def test_rows_without_a_key_are_kept_apart(spark, tmp_path):

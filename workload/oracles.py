@@ -88,6 +88,7 @@ ORACLES: dict[str, str] = {
     "routes_scan": DUCKDB_PART_ROUTES,
     "snapshot_explode": f"{PASSAGES} SELECT * FROM passages",
     "snapshot_publish": f"{PASSAGES} SELECT coalesce(ligne, CAST(gid AS VARCHAR), '0') AS key, gid FROM passages",
+    "snapshot_publish_stream": f"{PASSAGES} SELECT * FROM passages",
     "publish_keyed": f"""{PASSAGES} SELECT coalesce(ligne, CAST(gid AS VARCHAR), '0') AS key, gid, id, ligne,
   direction, delaipassage, type, last_update_fme, 'absent' AS coursetheorique FROM passages""",
     "decode_passages": f"{PASSAGES} SELECT *, heurepassage AS kafka_ts FROM passages",

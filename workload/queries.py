@@ -111,6 +111,14 @@ def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.select("key", json_field("value", "gid").cast("bigint").alias("gid"))
 
 
+@query("snapshot_publish_stream")
+def snapshot_publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = work_dir(spark, "publish")
+    frame = publish_job(spark, write_snapshots(spark, sf_dir), one_per_line=True, follow=True)
+    run_to_end(append_table(frame, f"{out}/messages", f"{out}/checkpoint"))
+    return decode(spark.read.parquet(f"{out}/messages"), arrival=None).select(*PASSAGE)
+
+
 @query("publish_keyed")
 def publish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = publish_frame(passages(spark, sf_dir))
