@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import WAIT_PARSERS, delay_minutes
@@ -15,8 +15,9 @@ from .routes import match_routes
 OBSERVATION = ("id", "last_update_fme")
 
 
-def _distinct(*names: str | Column) -> list[str | Column]:
-    return list(dict.fromkeys(names))
+def _first_observations(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per observation; the remaining columns settle ties of ``order``."""
+    return keep_first(df, keys, list(dict.fromkeys([*order, *df.columns])))
 
 
 def stats_by(df: DataFrame, groups: Sequence[str], wait: str = "attente_min") -> DataFrame:
@@ -56,8 +57,9 @@ def line_stats(
     is still decided by the row that was kept.
     """
     live_wait = F.when(F.col("type") == "E", WAIT_PARSERS[parser]("delaipassage"))
-    needed = _distinct(*keys, *order, "ligne", "direction")
-    observed = keep_first(passages.select(*needed, live_wait.alias("attente_min")), keys, order)
+    needed = dict.fromkeys([*keys, *order, "ligne", "direction"])
+    slim = passages.select(*needed, live_wait.alias("attente_min"))
+    observed = _first_observations(slim, keys, order)
     return fill_missing(stats_by(short_waits(observed, max_wait), ["ligne", "direction"]))
 
 
@@ -88,8 +90,9 @@ def window_stats(
     the second grouping reuses its partitioning.
     """
     if dedup_keys:
-        needed = _distinct(*dedup_keys, *order, "heurepassage", "ligne", "direction", "delaipassage", "type")
-        passages = keep_first(passages.select(*needed), dedup_keys, order)
+        counted = ["heurepassage", "ligne", "direction", "delaipassage", "type"]
+        slim = passages.select(*dict.fromkeys([*dedup_keys, *order, *counted]))
+        passages = _first_observations(slim, dedup_keys, order)
     timed = passages.select(
         F.window("heurepassage", size).getField("start").alias("window_ts"),
         "ligne",

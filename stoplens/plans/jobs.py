@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import line_stats, serving_filter
-from ..schemas import LINE_STATS, WINDOW_STATS
+from ..schemas import LINE_STATS, WINDOW_STATS, feed_fields
 from ..sinks import archive, publish_frame, write_serving
 from ..sources import (
     decode,
@@ -32,6 +32,10 @@ from ..streaming import (
 SHAPE = 1
 
 
+# The fields live statistics and change events read.
+COUNTED = ("heurepassage", "ligne", "direction", "type", "delaipassage")
+
+
 def _checkpoint(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-shape{SHAPE}"
 
@@ -83,7 +87,8 @@ def live_stats_job(
     """
     if options.get("dedup_keys") and mode != "append":
         raise ValueError("dedup_keys needs append mode")
-    stats = live_window_stats(decode(messages), routes, **options)
+    fields = feed_fields(*COUNTED, *(options.get("dedup_keys") or ()))
+    stats = live_window_stats(decode(messages, schema=fields), routes, **options)
     checkpoint = _checkpoint(checkpoint, f"windows-{mode}")
     if mode == "update":
         return upsert_table(
@@ -100,7 +105,8 @@ def changes_job(
     messages: DataFrame, path: str, checkpoint: str, order: str = "kafka_ts", **options: object
 ) -> DataStreamWriter:
     """Messages to change events of each passage id."""
-    events = changes_stream(decode(messages), order=order, **options)
+    fields = feed_fields("id", "gid", *COUNTED)
+    events = changes_stream(decode(messages, schema=fields), order=order, **options)
     return append_table(events, path, _checkpoint(checkpoint, "changes"))
 
 

@@ -31,6 +31,17 @@ FEED_SCHEMA = _struct(
     type=TEXT,
 )
 
+UPDATE_STAMPS = ("last_update_fme", "last_updated_fme")
+
+
+def feed_fields(*names: str) -> T.StructType:
+    """The feed's schema reduced to some fields, so that only those are parsed."""
+    wanted = set(names)
+    if wanted & set(UPDATE_STAMPS):
+        wanted.update(UPDATE_STAMPS)
+    return T.StructType([field for field in FEED_SCHEMA.fields if field.name in wanted])
+
+
 SNAPSHOT_SCHEMA = T.StructType([T.StructField("values", T.ArrayType(FEED_SCHEMA), True)])
 
 ROUTES_SCHEMA = _struct(

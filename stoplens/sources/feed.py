@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import FEED_SCHEMA, SNAPSHOT_SCHEMA
-
-STAMPS = ("last_update_fme", "last_updated_fme")
+from ..schemas import FEED_SCHEMA, SNAPSHOT_SCHEMA, UPDATE_STAMPS
 
 # Texts that stand for a missing value in archives written by
 # tools without NULLs.
@@ -17,10 +15,11 @@ MISSING_TEXTS = ("None", "nan", "NaT")
 
 def _one_stamp(df: DataFrame) -> DataFrame:
     """The update stamp under one name, whichever name the feed used."""
-    if STAMPS[1] not in df.columns:
+    name, other = UPDATE_STAMPS
+    if other not in df.columns:
         return df
-    stamp = F.coalesce(*STAMPS) if STAMPS[0] in df.columns else F.col(STAMPS[1])
-    return df.withColumn(STAMPS[0], stamp).drop(STAMPS[1])
+    stamp = F.coalesce(name, other) if name in df.columns else F.col(other)
+    return df.withColumn(name, stamp).drop(other)
 
 
 def read_snapshots(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def read_lake(
     spark: SparkSession, path: str, year: int | None = None, month: int | None = None
 ) -> DataFrame:
-    """Archived rows of a year and month; other folders are not listed for reading."""
+    """Archived rows of a year and month; folders of others are not read."""
     lake = spark.read.parquet(path)
     for name, wanted in {"year": year, "month": month}.items():
         if wanted is not None:

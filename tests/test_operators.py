@@ -55,6 +55,16 @@ def test_dedup_comes_before_the_live_filter(spark):
     assert [r["id"] for r in kept.collect()] == ["b"]
 
 
+def test_ties_of_the_order_do_not_change_the_result(spark):
+    pair = [("a", "s", 1, "E", wait, "L", "D") for wait in ("3 min", "9 min")]
+    columns = "id string, last_update_fme string, gid int, type string, delaipassage string, ligne string, direction string"
+    means = {
+        line_stats(spark.createDataFrame(items, columns)).first()["attente_moyenne_min"]
+        for items in (pair, pair[::-1])
+    }
+    assert means == {3.0}
+
+
 def test_line_stats_shuffles_a_number_not_the_texts(spark, sf_dir, plan):
     text = plan(line_stats(passages(spark, sf_dir)))
     assert text.count("Exchange hashpartitioning") == 2

@@ -122,13 +122,10 @@ def snapshot_publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("publish_keyed")
 def publish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = publish_frame(passages(spark, sf_dir))
-    names = ["id", "ligne", "direction", "delaipassage", "type", "last_update_fme"]
-    return frame.select(
-        "key",
-        json_field("value", "gid").cast("bigint").alias("gid"),
-        *[json_field("value", name).alias(name) for name in names],
-        json_field("value", "coursetheorique", "absent").alias("coursetheorique"),
-    )
+    names = ["gid", "id", "ligne", "direction", "delaipassage", "type", "last_update_fme"]
+    absent = json_field("value", "coursetheorique", "absent").alias("coursetheorique")
+    fields = frame.select("key", absent, F.json_tuple("value", *names).alias(*names))
+    return fields.withColumn("gid", F.col("gid").cast("bigint"))
 
 
 def as_messages(rows: DataFrame) -> DataFrame:
