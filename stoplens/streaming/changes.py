@@ -26,7 +26,6 @@ def changes_stream(
     order: str = "gid",
     carry: Sequence[str] = ("ligne", "direction", "heurepassage"),
     slice_width: float = 60,
-    forget_after_ms: int | None = None,
 ) -> DataFrame:
     """Streaming form of ``operators.changes``, with the same output columns.
 
@@ -37,9 +36,8 @@ def changes_stream(
     micro-batch are spread by key and slice of the order (``slice_width``
     numbers or seconds) and compared with the row before in their slice. Only
     the first row and the last value of each slice then meet the state, one
-    value per key. A slice should hold about as many rows as suit one task.
-    ``forget_after_ms`` drops the state of keys not changed for that long (off
-    by default).
+    value per key, kept for good. A slice should hold about as many rows as
+    suit one task.
 
     The state needs the RocksDB store, which ``run_to_end`` and ``start`` set.
     """
@@ -68,12 +66,7 @@ def changes_stream(
     between = (
         sliced.mapInPandas(_slice_starts(key, value, order), slice_start)
         .groupBy(key)
-        .transformWithState(
-            _LastValue(key, order, kinds[value], forget_after_ms),
-            event,
-            "append",
-            "processingTime" if forget_after_ms else "none",
-        )
+        .transformWithState(_LastValue(key, order, kinds[value]), event, "append", "none")
     )
     return (
         inside.unionByName(between)
@@ -158,13 +151,12 @@ def _slice_starts(key: str, value: str, order: str) -> Callable:
 class _LastValue(StatefulProcessor):
     """Keeps the last value of a key and reports slices that start with another."""
 
-    def __init__(self, key: str, order: str, kind: T.DataType, forget_after_ms: int | None):
+    def __init__(self, key: str, order: str, kind: T.DataType):
         self.key, self.order, self.kind = key, order, kind
-        self.forget_after_ms = forget_after_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = T.StructType([T.StructField("value", self.kind)])
-        self.last = handle.getValueState("last", schema, self.forget_after_ms)
+        self.last = handle.getValueState("last", schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
         state = self.last.get()

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import brute_changes
 
-from stoplens.operators import keep_first
-from stoplens.plans import live_stats_job
+from stoplens.operators import changes, keep_first
+from stoplens.plans import changes_job, live_stats_job
 from stoplens.schemas import WINDOW_STATS
 from stoplens.sources import read_serving, stream_files
 from stoplens.streaming import (
@@ -17,7 +17,8 @@ from stoplens.streaming import (
     run_to_end,
     upsert_table,
 )
-from workload.fixtures import routes
+from workload.fixtures import EVENTS_SCHEMA, as_passages, passages, routes
+from workload.queries import as_messages
 
 FEED = "gid bigint, id string, ligne string, direction string, delaipassage string, type string, heurepassage timestamp, last_update_fme string"
 
@@ -135,3 +136,16 @@ def test_change_stream_equals_brute_force(spark, tmp_path, slice_width, batches)
     run_to_end(append_table(found, f"{tmp_path}/out", f"{tmp_path}/c"))
     rows = spark.read.parquet(f"{tmp_path}/out").select("event", "id", "gid", "old_value", "new_value")
     assert sorted((tuple(r) for r in rows.collect()), key=repr) == brute_changes(items)
+
+
+@pytest.mark.parametrize("options", [{}, {"slice_width": 3600.0}])
+def test_change_job_orders_by_arrival_time(spark, sf_dir, tmp_path, options):
+    feed = passages(spark, sf_dir)
+    messages = as_messages(as_passages(stream_files(spark, f"{sf_dir}/events.parquet*", EVENTS_SCHEMA)))
+    run_to_end(changes_job(messages, f"{tmp_path}/out", f"{tmp_path}/c", **options))
+    found = spark.read.parquet(f"{tmp_path}/out").withColumnRenamed("kafka_ts", "at")
+    carry = ("ligne", "direction")
+    expected = changes(feed.withColumn("at", F.col("heurepassage")), order=("at",), carry=carry)
+    columns = ["event", "id", "at", *carry, "old_value", "new_value"]
+    assert found.select(*columns).exceptAll(expected.select(*columns)).isEmpty()
+    assert expected.select(*columns).exceptAll(found.select(*columns)).isEmpty()
