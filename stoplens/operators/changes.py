@@ -25,8 +25,8 @@ def changes(
     """``NEW`` for the first row of a key, ``UPDATE`` where its value differs
     from the row before; rows that repeat the value give nothing.
 
-    NULL keys form one key and a NULL value equals a NULL value. ``order`` must
-    tell the rows of a key apart.
+    NULL keys form one key and a NULL value equals a NULL value. Rows of equal
+    ``order`` are taken by value.
 
     A key of ``hot_rows`` rows or more is too much for one task to sort. The
     rows of such keys are range-partitioned on key and order, so that each
@@ -34,10 +34,12 @@ def changes(
     own after the last row before it has been put in front. The runs are kept
     in a table, since both steps must see the same cuts.
     """
-    rows = df.select(*dict.fromkeys([key, value, *order, *carry]))
+    shown = list(dict.fromkeys([*order, *carry]))
+    rows = df.select(*dict.fromkeys([key, value, *shown]))
+    order = list(dict.fromkeys([*order, value]))
     hot, hot_total = _hot_keys(rows, key, hot_rows)
     if hot is None:
-        return _compare(rows.withColumn("_slice", F.lit(0)), key, value, order, carry)
+        return _compare(rows.withColumn("_slice", F.lit(0)), key, value, order, shown)
 
     hot = F.broadcast(hot)
     is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
@@ -45,8 +47,8 @@ def changes(
     slices = max(2, min(MAX_SLICES, -(-hot_total // hot_rows)))
     runs = _runs(rows.join(hot, is_hot, "left_semi"), [key, *order], slices)
     every = cold.unionByName(runs).withColumn("_lead", F.lit(False))
-    every = every.unionByName(_leads(runs, key, value, order), allowMissingColumns=True)
-    return _compare(every, key, value, order, carry)
+    every = every.unionByName(_leads(runs, key, order), allowMissingColumns=True)
+    return _compare(every, key, value, order, shown)
 
 
 def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> tuple[DataFrame | None, int]:
@@ -81,9 +83,9 @@ def _runs(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _leads(runs: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
-    """For every run of a key but its first, order and value of the row before it."""
-    last = F.max_by(F.struct(*dict.fromkeys([*order, value])), F.struct(*order))
+def _leads(runs: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """For every run of a key but its first, the last row before it, in order and value."""
+    last = F.max(F.struct(*order))
     return (
         runs.groupBy(key, "_slice")
         .agg(last.alias("_last"))
@@ -94,7 +96,7 @@ def _leads(runs: DataFrame, key: str, value: str, order: Sequence[str]) -> DataF
 
 
 def _compare(
-    df: DataFrame, key: str, value: str, order: Sequence[str], carry: Sequence[str]
+    df: DataFrame, key: str, value: str, order: Sequence[str], shown: Sequence[str]
 ) -> DataFrame:
     """Rows unlike the one before them in their slice; leads only go before."""
     seen = Window.partitionBy(key, "_slice").orderBy(*order)
@@ -111,7 +113,7 @@ def _compare(
     ).select(
         F.when(F.col("_first"), F.lit("NEW")).otherwise(F.lit("UPDATE")).alias("event"),
         key,
-        *dict.fromkeys([*order, *carry]),
+        *shown,
         F.col("_old").alias("old_value"),
         F.col(value).alias("new_value"),
     )

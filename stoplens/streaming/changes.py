@@ -19,6 +19,7 @@ from ..functions import passage_json
 # package need not be installed on them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+
 def changes_stream(
     df: DataFrame,
     key: str = "id",
@@ -30,7 +31,8 @@ def changes_stream(
     """Streaming form of ``operators.changes``, with the same output columns.
 
     Within a micro-batch a key's rows are taken by ``order``, a number or a
-    time without NULLs; across micro-batches the source's order counts.
+    time without NULLs, and equal ones by value; across micro-batches the
+    source's order counts.
 
     A busy key is kept off a single task in two steps. The rows of a
     micro-batch are spread by key and slice of the order (``slice_width``
@@ -53,7 +55,9 @@ def changes_stream(
             T.StructField("new_value", kinds[value]),
         ]
     )
-    slice_start = T.StructType([*event.fields[1:4], *event.fields[5:], T.StructField("_last", kinds[value])])
+    slice_start = T.StructType(
+        [*event.fields[1:4], *event.fields[5:], T.StructField("_last", kinds[value])]
+    )
 
     # Columns that are only passed through cross to Python as one text.
     text = passage_json(*carried.names) if carried.names else F.lit("{}")
@@ -83,31 +87,32 @@ def changes_stream(
 
 
 def _in_order(
-    chunks: Iterator[pd.DataFrame], key: str, order: str
-) -> tuple[pd.DataFrame, np.ndarray] | None:
-    """The rows of a partition by (key, slice, order), and where a slice starts."""
+    chunks: Iterator[pd.DataFrame], key: str, value: str, order: str
+) -> tuple[pd.DataFrame, np.ndarray, np.ndarray] | None:
+    """The rows of a partition by key, slice, order and value, where a slice
+    starts, and a code for each value (NULLs have one of their own)."""
     parts = [chunk for chunk in chunks if len(chunk)]
     if not parts:
         return None
     rows = pd.concat(parts, ignore_index=True)
     keys = pd.factorize(rows[key], use_na_sentinel=False)[0]
-    ranks = np.lexsort((rows[order].to_numpy(), rows["_slice"].to_numpy(), keys))
-    rows, keys, slices = rows.iloc[ranks], keys[ranks], rows["_slice"].to_numpy()[ranks]
+    codes = pd.factorize(rows[value], sort=True)[0]
+    ranks = np.lexsort((codes, rows[order].to_numpy(), rows["_slice"].to_numpy(), keys))
+    rows, keys, codes = rows.iloc[ranks], keys[ranks], codes[ranks]
+    slices = rows["_slice"].to_numpy()
     first = np.ones(len(rows), dtype=bool)
     first[1:] = (keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1])
-    return rows, first
+    return rows, first, codes
 
 
 def _inside_slices(key: str, value: str, order: str) -> Callable:
     """Rows unlike the one before them in the same slice."""
 
     def compare(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = _in_order(chunks, key, order)
+        found = _in_order(chunks, key, value, order)
         if found is None:
             return
-        rows, first = found
-        # All NULLs get the same code, so codes compare null-safe.
-        codes = pd.factorize(rows[value])[0]
+        rows, first, codes = found
         at = np.flatnonzero(~first & (codes != np.roll(codes, 1)))
         picked = rows.iloc[at]
         yield pd.DataFrame(
@@ -128,10 +133,10 @@ def _slice_starts(key: str, value: str, order: str) -> Callable:
     """The first row of each slice, with the last value of the slice."""
 
     def reduce(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = _in_order(chunks, key, order)
+        found = _in_order(chunks, key, value, order)
         if found is None:
             return
-        rows, first = found
+        rows, first, _ = found
         starts = np.flatnonzero(first)
         ends = np.append(starts[1:], len(rows)) - 1
         picked = rows.iloc[starts]

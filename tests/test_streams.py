@@ -120,7 +120,8 @@ def test_change_stream_equals_brute_force(spark, tmp_path, slice_width, batches)
 
     rng = random.Random(batches * 100 + slice_width)
     items = [
-        (gid, rng.choice([None, "a", "b"]), rng.choice([None, "None", "1 min", "2 min"])) for gid in range(120)
+        (at // 2, rng.choice([None, "a", "b"]), rng.choice([None, "None", "1 min", "2 min"]))
+        for at in range(120)
     ]
     size = len(items) // batches
     for at in range(batches):

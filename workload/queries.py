@@ -51,7 +51,7 @@ from stoplens.sources import (
 )
 from stoplens.streaming import append_table, dedup_stream, live_window_stats, run_to_end
 
-from .fixtures import EVENTS_SCHEMA, as_passages, events, part_routes, passages, routes
+from .fixtures import EVENTS_SCHEMA, as_passages, part_routes, passages, routes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
