@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit ... -m stoplens <job>`` or ``python -m stoplens <job>``.
+"""Command line: ``python -m stoplens <job>``, or ``run_job.py`` with spark-submit.
 
 Endpoints and paths are arguments. Credentials belong in Spark's own
 configuration, not here.
@@ -11,10 +11,11 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import jobs
+from .schemas import LINE_STATS, WINDOW_STATS
 from .session import build_session
-from .sinks import stream_to_kafka, write_kafka
+from .sinks import stream_to_kafka, write_cassandra, write_kafka
 from .sources import read_routes, stream_kafka
-from .streaming import run_to_end, start
+from .streaming import cassandra_table, console, run_to_end, start
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -31,7 +32,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--servers", required=True)
         sub.add_argument("--topic", required=True)
         sub.add_argument("--starting", default=starting)
-        sub.add_argument("--out", required=True)
+        sub.add_argument("--out")
         sub.add_argument("--checkpoint", required=True)
         sub.add_argument("--every", default="1 minute")
         sub.add_argument("--drain", action="store_true", help="stop at the end of the topic")
@@ -55,15 +56,18 @@ def _parser() -> argparse.ArgumentParser:
     stats.add_argument("--month", type=int)
     stats.add_argument("--max-wait", type=float, default=15)
     stats.add_argument("--parser", choices=["first_int", "delay_text"], default="first_int")
-    stats.add_argument("--out", required=True)
-    stats.add_argument("--write-id", type=int, required=True)
+    stats.add_argument("--out")
+    stats.add_argument("--write-id", type=int, help="number of the write; newer replaces older")
     stats.add_argument("--rejects")
+    stats.add_argument("--cassandra-keyspace", help="write there instead of to --out")
 
     live = command("live-stats", "messages to window statistics")
     stream_arguments(live, "latest")
     live.add_argument("--routes", required=True)
     live.add_argument("--mode", choices=["update", "append", "complete"], default="update")
     live.add_argument("--rejects")
+    live.add_argument("--cassandra-keyspace", help="write there instead of to --out")
+    live.add_argument("--console", action="store_true", help="print closed windows")
 
     changes = command("changes", "messages to change events")
     stream_arguments(changes, "earliest")
@@ -108,16 +112,26 @@ def main(argv: list[str] | None = None) -> None:
         found = jobs.line_stats_job(
             spark, args.lake, args.year, args.month, max_wait=args.max_wait, parser=args.parser
         )
-        jobs.store_line_stats(found, args.out, args.write_id, args.rejects)
+        if args.cassandra_keyspace:
+            write_cassandra(found, LINE_STATS, args.cassandra_keyspace)
+        else:
+            jobs.store_line_stats(found, args.out, args.write_id, args.rejects)
     elif args.job == "live-stats":
-        writer = jobs.live_stats_job(
-            _messages(spark, args),
-            read_routes(spark, args.routes),
-            args.out,
-            args.checkpoint,
-            args.mode,
-            args.rejects,
-        )
+        messages, routes = _messages(spark, args), read_routes(spark, args.routes)
+        if args.console:
+            writer = console(jobs.live_stats(messages, routes))
+        elif args.cassandra_keyspace:
+            writer = cassandra_table(
+                jobs.live_stats(messages, routes),
+                f"{args.checkpoint}/cassandra-{args.mode}",
+                WINDOW_STATS,
+                args.cassandra_keyspace,
+                args.mode,
+            )
+        else:
+            writer = jobs.live_stats_job(
+                messages, routes, args.out, args.checkpoint, args.mode, args.rejects
+            )
         _run_stream(writer, args)
     elif args.job == "changes":
         _run_stream(jobs.changes_job(_messages(spark, args), args.out, args.checkpoint), args)

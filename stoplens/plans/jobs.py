@@ -71,6 +71,17 @@ def store_line_stats(stats: DataFrame, path: str, write_id: int, rejects_path: s
     write_serving(stats, path, LINE_STATS, write_id, rejects_path)
 
 
+def live_stats(
+    messages: DataFrame,
+    routes: DataFrame,
+    dedup_keys: Sequence[str] | None = None,
+    **options: object,
+) -> DataFrame:
+    """Messages to streaming window statistics."""
+    passages = decode(messages, schema=feed_fields(*COUNTED, *(dedup_keys or ())))
+    return live_window_stats(passages, routes, dedup_keys=dedup_keys, **options)
+
+
 def live_stats_job(
     messages: DataFrame,
     routes: DataFrame,
@@ -87,8 +98,7 @@ def live_stats_job(
     """
     if options.get("dedup_keys") and mode != "append":
         raise ValueError("dedup_keys needs append mode")
-    fields = feed_fields(*COUNTED, *(options.get("dedup_keys") or ()))
-    stats = live_window_stats(decode(messages, schema=fields), routes, **options)
+    stats = live_stats(messages, routes, **options)
     checkpoint = _checkpoint(checkpoint, f"windows-{mode}")
     if mode == "update":
         return upsert_table(

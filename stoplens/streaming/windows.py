@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import delay_minutes
 from ..operators.routes import match_routes
+from .dedup import dedup_stream
 
 GROUPS = ("ligne", "direction", "route_code", "pmr")
 
@@ -36,9 +37,12 @@ def live_window_stats(
     """
     # Read once, so that the size measured is the size broadcast at every trigger.
     routes = routes.cache()
-    marked = passages.withWatermark("heurepassage", delay)
+    counted = ["heurepassage", "ligne", "direction", "type", "delaipassage"]
     if dedup_keys:
-        marked = marked.dropDuplicatesWithinWatermark(list(dedup_keys))
+        needed = passages.select(*dict.fromkeys([*dedup_keys, *counted]))
+        marked = dedup_stream(needed, dedup_keys, delay=delay)
+    else:
+        marked = passages.withWatermark("heurepassage", delay)
     timed = marked.select(
         "heurepassage", "ligne", "direction", "type", delay_minutes("delaipassage").alias("_wait")
     )

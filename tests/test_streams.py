@@ -11,6 +11,7 @@ from stoplens.sources import read_serving, stream_files
 from stoplens.streaming import (
     append_table,
     changes_stream,
+    console,
     dedup_stream,
     live_window_stats,
     replace_table,
@@ -98,6 +99,18 @@ def test_dedup_on_a_stream(spark, tmp_path):
     assert keep_first(found, ["id", "last_update_fme"], ["gid"]).count() == 2
 
 
+def test_repeats_are_dropped_before_the_shuffle():
+    import pyarrow as pa
+
+    from stoplens.streaming.dedup import _newest_per_key
+
+    batch = pa.RecordBatch.from_pylist(
+        [{"id": key, "at": at, "n": n} for n, (key, at) in enumerate([("a", 1), (None, 5), ("a", 3), (None, 4), ("b", None)])]
+    )
+    (found,) = _newest_per_key(["id"], "at")(iter([batch]))
+    assert sorted(row["n"] for row in found.to_pylist()) == [1, 2, 4]
+
+
 def test_windows_after_dedup(spark, tmp_path):
     for _ in range(2):
         feed_file(spark, f"{tmp_path}/in", ["09:01", "09:02", "10:30"])
@@ -108,6 +121,15 @@ def test_windows_after_dedup(spark, tmp_path):
     assert counts(spark.read.parquet(f"{tmp_path}/out")) == {"09:00": 2}
 
 
+def test_closed_windows_on_the_console(spark, tmp_path):
+    feed_file(spark, f"{tmp_path}/in", ["09:01", "10:30"])
+    schema = spark.createDataFrame([], FEED).schema
+    stats = live_window_stats(stream_files(spark, f"{tmp_path}/in", schema), routes(spark))
+    query = console(stats).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert "Console" in query.lastProgress["sink"]["description"]
+
+
 def test_job_rejects_what_spark_cannot_run(spark, tmp_path):
     with pytest.raises(ValueError):
         live_stats_job(None, None, "", "", "update", dedup_keys=["id"])

@@ -234,7 +234,8 @@ def dedup_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream form: the stamp is an hour, so repeats are less than an hour apart."""
     out = work_dir(spark, "dedup")
-    rows = dedup_stream(stream_passages(spark, sf_dir), OBSERVATION, delay="1 hour")
+    needed = stream_passages(spark, sf_dir).select(*OBSERVATION, "heurepassage")
+    rows = dedup_stream(needed, OBSERVATION, delay="1 hour")
     run_to_end(append_table(rows.select(*OBSERVATION), f"{out}/rows", f"{out}/checkpoint"))
     return spark.read.parquet(f"{out}/rows")
 
