@@ -102,8 +102,9 @@ def start(writer: DataStreamWriter, every: str = "1 minute") -> StreamingQuery:
         return writer.trigger(processingTime=every).start()
 
 
-def run_to_end(writer: DataStreamWriter) -> None:
+def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
     """Process what is there now, then stop; the next run goes on from there."""
     with _state_on_disk():
         query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query

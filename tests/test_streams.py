@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import brute_changes
 
-from stoplens.operators import changes, keep_first
+from stoplens.operators import changes, keep_first, window_stats
 from stoplens.plans import changes_job, live_stats_job
 from stoplens.schemas import WINDOW_STATS
 from stoplens.sources import read_serving, stream_files
@@ -58,13 +58,25 @@ def test_late_rows_in_each_mode(spark, tmp_path):
     stats = live_window_stats(staged(spark, tmp_path, STAGED), routes(spark))
     run_to_end(replace_table(stats, f"{tmp_path}/complete", f"{tmp_path}/c1"))
     assert counts(spark.read.parquet(f"{tmp_path}/complete")) == {"09:00": 3, "09:40": 3, "10:30": 1}
-    run_to_end(append_table(stats, f"{tmp_path}/append", f"{tmp_path}/c2"))
+    query = run_to_end(append_table(stats, f"{tmp_path}/append", f"{tmp_path}/c2"))
     assert counts(spark.read.parquet(f"{tmp_path}/append")) == {"09:00": 2, "09:40": 3}
+    dropped = [step["stateOperators"][0]["numRowsDroppedByWatermark"] for step in query.recentProgress]
+    assert sum(dropped) == 1
     run_to_end(upsert_table(stats, f"{tmp_path}/update", f"{tmp_path}/c3", WINDOW_STATS))
     table = read_serving(spark, f"{tmp_path}/update", WINDOW_STATS)
     assert counts(table) == {"09:00": 2, "09:40": 3, "10:30": 1}
 
 
+def test_complete_mode_equals_batch_in_any_arrival_order(spark, sf_dir, tmp_path):
+    feed = passages(spark, sf_dir)
+    feed.orderBy(F.xxhash64("gid")).repartition(5, F.xxhash64("gid")).write.parquet(f"{tmp_path}/in")
+    stream = stream_files(spark, f"{tmp_path}/in", feed.schema, files_per_batch=1)
+    run_to_end(replace_table(live_window_stats(stream, routes(spark)), f"{tmp_path}/t", f"{tmp_path}/c"))
+    batch = window_stats(feed, routes(spark))
+    live = spark.read.parquet(f"{tmp_path}/t").select(*batch.columns)
+    assert live.exceptAll(batch).isEmpty() and batch.exceptAll(live).isEmpty()
+
+
 def test_late_row_counts_while_the_watermark_lags(spark, tmp_path):
     without = [times for times in STAGED if times != ["09:46"]]
     stats = live_window_stats(staged(spark, tmp_path, without), routes(spark))

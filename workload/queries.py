@@ -385,7 +385,8 @@ def change_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("serving_upsert")
 def serving_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics of the whole month, then of its second half over the same table."""
+    """Statistics of the month, then of its second half without one line, whose
+    rows of the first write stay."""
     path = work_dir(spark, "line-stats")
     rows = passages(spark, sf_dir)
     late = rows.where((F.col("heurepassage") >= MID_MONTH) & (F.col("ligne") != "T1"))
