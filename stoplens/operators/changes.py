@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-MAX_SLICES = 20_000
+MAX_HOT_KEYS = 100_000
+MAX_SLICES = 100_000
 
 
 def changes(
