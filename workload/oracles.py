@@ -100,10 +100,11 @@ SELECT coalesce(CAST(COLUMNS(* EXCLUDE (heurepassage)) AS VARCHAR), 'None') FROM
 SELECT CAST(COLUMNS(* EXCLUDE (year, month, day, hour)) AS VARCHAR),
   CAST(year AS INT) AS year, CAST(month AS INT) AS month, CAST(day AS INT) AS day, CAST(hour AS INT) AS hour
 FROM parts""",
-    "lake_month_scan": """SELECT CAST(o_orderkey AS VARCHAR) AS gid, o_orderstatus AS type,
-  CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
-  CAST(day(o_orderdate) AS INT) AS day
-FROM orders WHERE year(o_orderdate) = 1996 AND month(o_orderdate) = 3""",
+    "lake_month_scan": f"""{PASSAGES}, late AS (
+  SELECT *, heurepassage + INTERVAL 1 MONTH AS arrival FROM passages WHERE heurepassage >= {SINCE})
+SELECT CAST(COLUMNS(* EXCLUDE (arrival)) AS VARCHAR), CAST(year(arrival) AS INT) AS year,
+  CAST(month(arrival) AS INT) AS month, CAST(day(arrival) AS INT) AS day, CAST(hour(arrival) AS INT) AS hour
+FROM late""",
     "lake_line_stats": f"{PASSAGES} {line_stats('passages')}",
     # The archive's text for a missing value survives as a NULL line.
     "replayed_archive": f"{PASSAGES} {line_stats('passages')}",

@@ -184,16 +184,12 @@ def backfilled_lake(spark: SparkSession, sf_dir: str) -> str:
 
 @query("lake_month_scan")
 def lake_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The month read back from an archive of several years, keyed by order date."""
-    lake = work_dir(spark, "orders-lake")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.col("o_orderkey").alias("gid"),
-        F.col("o_orderstatus").alias("type"),
-        F.col("o_orderdate").cast("timestamp").alias("heurepassage"),
-    )
-    backfill_archive(orders, lake, "heurepassage")
-    month = read_lake(spark, lake, year=1996, month=3)
-    return month.select("gid", "type", "year", "month", "day")
+    """The second of two archived months; passages after MID_MONTH arrive a month late."""
+    lake = work_dir(spark, "two-months")
+    delay = F.make_ym_interval(F.lit(0), (F.col("heurepassage") >= MID_MONTH).cast("int"))
+    late = passages(spark, sf_dir).withColumn("arrival", F.col("heurepassage") + delay)
+    backfill_archive(late, lake, "arrival")
+    return read_lake(spark, lake, year=2024, month=2).select(*ARCHIVED)
 
 
 @query("lake_line_stats")
@@ -337,9 +333,9 @@ def window_stats_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Scheduled passages (type T) reach the stream one stage after live ones of
-# the same week, and are late by then.
-STAGES = 6
-STAGE = "CAST(floor((day(heurepassage) - 1) / 7) AS INT) + CASE type WHEN 'T' THEN 1 ELSE 0 END"
+# the same half of the month, and are late by then.
+STAGES = 4
+STAGE = "CAST(floor((day(heurepassage) - 1) / 15) AS INT) + CASE type WHEN 'T' THEN 1 ELSE 0 END"
 
 
 @query("late_rows")
