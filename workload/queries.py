@@ -30,13 +30,19 @@ from stoplens.operators import (
     line_stats,
     match_routes,
     realtime_rows,
-    serving_filter,
     short_waits,
     split_rejects,
     stats_by,
     window_stats,
 )
-from stoplens.plans import archive_job, changes_job, line_stats_job, live_stats_job, publish_job
+from stoplens.plans import (
+    archive_job,
+    changes_job,
+    line_stats_job,
+    live_stats_job,
+    publish_job,
+    serving_job,
+)
 from stoplens.schemas import LINE_STATS, WINDOW_STATS
 from stoplens.session import work_dir
 from stoplens.sinks import archive, backfill_archive, publish_frame, write_serving
@@ -403,23 +409,23 @@ def serving_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_rejects(window_stats(passages(spark, sf_dir), routes(spark)), WINDOW_STATS)[1]
 
 
-def stored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def store_windows(spark: SparkSession, sf_dir: str) -> str:
     path = work_dir(spark, "serving")
     stats = window_stats(passages(spark, sf_dir), routes(spark))
     write_serving(stats, f"{path}/table", WINDOW_STATS, 0, f"{path}/rejects")
-    return read_serving(spark, f"{path}/table", WINDOW_STATS)
+    return f"{path}/table"
 
 
 @query("serving_scan")
 def serving_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_windows(spark, sf_dir)
+    return read_serving(spark, store_windows(spark, sf_dir), WINDOW_STATS)
 
 
 @query("serving_filter")
 def serving_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving_filter(stored_windows(spark, sf_dir), ["C7", "93"], MID_MONTH)
+    return serving_job(spark, store_windows(spark, sf_dir), ["C7", "93"], MID_MONTH)
 
 
 @query("serving_latest")
 def serving_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_windows(stored_windows(spark, sf_dir))
+    return latest_windows(read_serving(spark, store_windows(spark, sf_dir), WINDOW_STATS))
