@@ -54,4 +54,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v
 """
 
-ORACLES = {"op6_quality_rules": QUALITY_RULES}
+WARC = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+),
+d AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p
+),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM f
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+c AS (SELECT vec_id, unnest(range(len(v))) AS d, unnest(v) AS x FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM c AS q JOIN c ON q.d = c.d AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL
+),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLES = {"op1_exact_top_k": TOP_K, "op4_warc": WARC, "op6_quality_rules": QUALITY_RULES}

@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stoplens.session import work_dir
+
 from .packing import pack_documents
 from .quality_rules import quality_rules
 from .secret_scan import BASE_KINDS, of_kinds, scan_secrets, span_text
 from .simhash import fingerprint_hex, simhash_groups
 from .tables import table
+from .topk import top_k
+from .toxicity import fit_toxicity, score_toxicity
+from .warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +58,29 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), ids=False).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query("op4_warc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "llm-warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    page = lambda urn: F.regexp_extract(urn, r"<urn:page:(-?\d+)>", 1).try_cast("bigint")
+    return read_archives(spark, path, payload=False).select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to_id").alias("refers_to"),
+    )
+
+
+@query("op1_exact_top_k")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model)

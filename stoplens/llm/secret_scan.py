@@ -44,7 +44,7 @@ IDENTIFIER = re.compile(
     r"|[\d+/_=-]+"
     r"|(?:[A-Za-z]+[/_=-]+)+\d+"
 )
-MAX_CHARS_PER_TOKEN = 2.0
+MAX_CHARS_PER_TOKEN = 1.9
 PLACEHOLDER = "[SECRET]"
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
