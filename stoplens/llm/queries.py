@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from stoplens.session import work_dir
 
+from .cotraining import fit_quality, score_quality
+from .lattice import decoded, sample_segmentations
 from .packing import pack_documents
+from .paragraphs import repeated_paragraphs
 from .quality_rules import quality_rules
 from .secret_scan import BASE_KINDS, of_kinds, scan_secrets, span_text
 from .simhash import fingerprint_hex, simhash_groups
@@ -84,3 +87,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model)
+
+
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sample_segmentations(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "sample",
+        F.size("ids").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "log_prob",
+        "perturbed",
+        "log_inclusion",
+        F.xxhash64(decoded(F.col("ids"))).alias("decoded_hash"),
+    )

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 BITS = 20
 # Labelled rows that a model is fitted on at most: those with the least hash of their id.
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 10_000
 # Coordinates that fewer of these rows have are not learned from.
-MIN_ROWS = 3
-PASSES = 3
+MIN_ROWS = 5
+PASSES = 5
 WORD = re.compile(r"\w+")
 CACHE_WORDS = 400_000
 
@@ -92,10 +92,10 @@ def ftrl(
     rows: list[np.ndarray],
     labels: list[int],
     bits: int = BITS,
-    alpha: float = 0.2,
+    alpha: float = 2.0,
     beta: float = 1.0,
-    l1: float = 1.0,
-    l2: float = 1.0,
+    l1: float = 10.0,
+    l2: float = 0.1,
     passes: int = PASSES,
 ) -> Model:
     """The model after ``passes`` over ``rows`` (distinct coordinates of each) in their order.
