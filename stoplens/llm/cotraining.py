@@ -211,7 +211,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, r
         return Quality(views, (np.zeros(2), np.zeros(2)), np.zeros(3))
     calibrations = tuple(logistic(x[:, None], y) for x in raw)
     both = np.column_stack([c[0] * x + c[1] for c, x in zip(calibrations, raw, strict=True)])
-    return Quality(views, calibrations, logistic(both, y))
+    weights = logistic(both, y)
+    # A view that would count against itself counts for nothing.
+    if (weights[:2] < 0).any():
+        used = int(weights[1] < 0) ^ 1
+        one = logistic(both[:, [used]], y)
+        weights = np.array([one[0] if used == 0 else 0.0, one[0] if used == 1 else 0.0, one[1]])
+    return Quality(views, calibrations, weights)
 
 
 def score_quality(docs: DataFrame, model: Quality) -> DataFrame:

@@ -390,10 +390,10 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run:
     Returns doc_id, para (line number), unit (number in the document), start and length
     (code points), words, kept_doc_id (where the passage stays) and removed: true for all
     but the first of a class, by doc_id and place. Copies within a document count. Case
-    and white space make no difference. Null and empty texts have no paragraphs; rows
-    with a null doc_id take no part; of rows that repeat an id and text none counts as
-    the later one.
+    and white space make no difference. Null and empty texts have no paragraphs. Rows
+    with a null doc_id, or one that other rows have too, take no part.
     """
+    docs = _told_apart(docs.select("doc_id", "text"))
     lines = staged(occurrences(docs, tune_bands(threshold)), "paragraphs")
     classes = staged(paragraph_classes(docs, lines, threshold), "paragraph-classes")
 
@@ -445,6 +445,13 @@ def _exploded(lines: DataFrame, carried: str) -> DataFrame:
     return each.select("doc_id", "para", *place, moved.alias("kept"))
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """Rows whose doc_id is their own."""
+    docs = docs.where("doc_id IS NOT NULL")
+    shared = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    return docs.join(staged(shared, "shared-ids"), "doc_id", "left_anti")
+
+
 def cut_text(text: str | None, spans) -> str | None:
     """``text`` without ``spans`` (start, length; apart) and the white space after each."""
     if text is None or spans is None or len(spans) == 0:
@@ -465,3 +472,23 @@ def without_spans(text: Column, spans: Column) -> Column:
         return pd.Series([cut_text(x, s) for x, s in zip(texts, removed, strict=True)], dtype="object")
 
     return cut(text, spans)
+
+
+def without_repeats(docs: DataFrame, threshold: float = THRESHOLD, min_run: int = MIN_RUN) -> DataFrame:
+    """``docs`` with what repeats cut from text, and n_chars (if there) counted anew.
+
+    Columns stay as they are. Rows of whose text nothing is left are dropped.
+    """
+    found = repeated_paragraphs(docs, threshold, min_run).where("removed")
+    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+    spans = staged(spans.select(F.col("doc_id").alias("id"), "spans"), "spans")
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    joined = docs.select(row, "doc_id", "text").join(spans, F.col("doc_id") == F.col("id"), "left")
+    cut = joined.withColumn("text", without_spans(F.col("text"), F.col("spans")))
+    left = cut.where(F.col("spans").isNull() | (F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != ""))
+    changed = F.col("spans").isNotNull()
+    values = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        values["n_chars"] = F.when(changed, F.length("text").cast(kind)).otherwise(values["n_chars"])
+    return left.select(*[values[c].alias(c) for c in docs.columns])

@@ -92,7 +92,7 @@ def _covered(positions: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, counts, and the measures the rules bound.
+    """One row per document: row (all its columns), counts, and the measures the rules bound.
 
     A null text has no words and no lines. Windows are compared by 64-bit hash:
     two different windows of one text are taken for equal with a probability of
@@ -100,16 +100,17 @@ def measured(docs: DataFrame) -> DataFrame:
     """
     blank = f"[{SPACE}]"
     stops = stop_words()
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    text = docs.select(row, F.coalesce("text", F.lit("")).alias("t"))
     body = F.btrim("t", F.lit(SPACE))
     words = text.select(
-        "doc_id",
+        "row",
         "t",
         F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, f"{blank}+")).alias("w"),
         F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "").alias("lines"),
     )
     counts = words.select(
-        "doc_id",
+        "row",
         F.size("w").alias("n"),
         F.length(F.translate("t", SPACE, "")).cast("bigint").alias("word_chars"),
         F.regexp_count("t", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
@@ -125,7 +126,7 @@ def measured(docs: DataFrame) -> DataFrame:
     repeats = F.size(F.array_distinct("h")) < F.size("h")
     places = windows.withColumn("h", F.when(repeats, _repeat_positions(F.col("h"))))
     return places.select(
-        "doc_id",
+        "row",
         F.col("n").cast("bigint").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -150,33 +151,32 @@ def passes(rule: Rule) -> Column:
     return F.coalesce(held, F.lit(True))
 
 
-def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Counts and verdict of each row of ``docs`` (doc_id, text; other columns are ignored).
-
-    Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept and failed_rules (names, in the table's order). Every row
-    gives a row, repeated and null ids included; a null, empty or blank text has
-    no words, fails the base and is not kept.
-    """
+def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``measured`` with base_failed, failed_rules (names, in the table's order) and kept."""
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     failed = F.filter(
         F.array(*[F.when(~passes(r), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull()
     )
-    return (
-        measured(docs)
-        .withColumn("base_failed", base_failed)
-        .withColumn("failed_rules", failed)
-        .select(
-            "doc_id",
-            "n_words",
-            "word_chars",
-            "n_symbols",
-            "n_dup_lines",
-            "n_repeat_words",
-            "base_failed",
-            (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"),
-            "failed_rules",
-        )
-    )
+    verdicts = measured(docs).withColumn("base_failed", base_failed).withColumn("failed_rules", failed)
+    return verdicts.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Counts and verdict of each row of ``docs`` (doc_id, text; other columns are ignored).
+
+    Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, kept and failed_rules. Every row gives a row, repeated and null ids
+    included; a null, empty or blank text has no words, fails the base and is not kept.
+    """
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged(docs, rules).select("row.doc_id", *counts, "base_failed", "kept", "failed_rules")
+
+
+def passing(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns."""
+    # A filter on measures alone would be pushed below the projections that compute them, each
+    # written out wherever it is used. A column without a fixed value keeps it above them.
+    judgement = judged(docs, rules).select("row", "kept", F.monotonically_increasing_id().alias("at"))
+    return judgement.where(F.col("kept") & (F.col("at") >= 0)).select("row.*")

@@ -138,6 +138,19 @@ def scan_secrets(docs: DataFrame, vocabulary: str | None = None, limit: float =
     return docs.select("doc_id", secret_spans(F.col("text"), vocabulary, limit).alias("spans"))
 
 
+def without_secrets(docs: DataFrame, vocabulary: str | None = None, limit: float = MAX_CHARS_PER_TOKEN) -> DataFrame:
+    """``docs`` with a placeholder for each secret in text, and n_chars (if there) counted anew.
+
+    Rows and columns stay as they are.
+    """
+    text = redacted(F.col("text"), secret_spans(F.col("text"), vocabulary, limit))
+    clean = docs.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
+    return clean.select(*docs.columns)
+
+
 def of_kinds(spans: Column, kinds: tuple[str, ...]) -> Column:
     return F.filter(spans, lambda x: x["kind"].isin(*kinds))
 

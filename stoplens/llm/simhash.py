@@ -113,15 +113,10 @@ def fingerprint_links(prints: DataFrame, bits: int = BITS, blocks: int = BLOCKS)
     return pairs.unionAll(spokes).distinct()
 
 
-def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, text): doc_id, fp, component_id, in any order.
-
-    component_id is the smallest doc_id reachable over links of at most ``bits`` bits,
-    itself included. Null, empty and blank texts have fingerprint zero and link like
-    any other. Rows with a null doc_id keep it and link the rest; a component of such
-    rows alone has no id. Repeated rows give repeated rows.
-    """
-    marks = staged(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "fingerprints")
+def _grouped(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """A row per row of ``docs``: doc_id, mark (a hash of the text), fp, root (of its component), component_id."""
+    mark = F.xxhash64("text").alias("mark")
+    marks = staged(docs.select("doc_id", mark, fingerprint_column(F.col("text"), shingle).alias("fp")), "fingerprints")
     prints = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     found = connected_components(fingerprint_links(prints.select("fp"), bits))
     rooted = staged(
@@ -131,8 +126,47 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) ->
         "rooted",
     )
     ids = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
-    classes = staged(rooted.join(ids, "root").select("fp", "component_id"), "classes")
-    return marks.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = staged(rooted.join(ids, "root").select("fp", "root", "component_id"), "classes")
+    return marks.join(classes, "fp").select("doc_id", "mark", "fp", "root", "component_id")
+
+
+def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """A row per row of ``docs`` (doc_id, text): doc_id, fp, component_id, in any order.
+
+    component_id is the smallest doc_id reachable over links of at most ``bits`` bits,
+    itself included. Null, empty and blank texts have fingerprint zero and link like
+    any other. Rows with a null doc_id keep it and link the rest; a component of such
+    rows alone has no id. Repeated rows give repeated rows.
+    """
+    return _grouped(docs, shingle, bits).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest doc_id, by text hash among equals.
+
+    Rows with a null doc_id come last. Of rows that repeat id and text, one stays.
+    """
+    groups = staged(_grouped(docs, shingle, bits).select("doc_id", "mark", "root"), "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
+    first = groups.groupBy("root").agg(F.min(order).alias("first"))
+    rows = groups.groupBy("root", "doc_id", "mark").agg(F.count("*").alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    judged = staged(rows.join(first, "root").select("doc_id", "mark", "n", same.alias("stays")), "judged")
+
+    gone = staged(judged.where("NOT stays").select("doc_id", "mark"), "gone")
+    often = staged(judged.where("stays AND n > 1").select("doc_id", "mark"), "often")
+    names, mark = docs.columns, "mark"
+    while mark in names:
+        mark = f"_{mark}"
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+
+    def match(side: DataFrame) -> Column:
+        return marked["doc_id"].eqNullSafe(side["doc_id"]) & (marked[mark] == side["mark"])
+
+    kept = marked.join(gone, match(gone), "left_anti")
+    once = kept.join(often, match(often), "left_anti")
+    repeats = kept.join(often, match(often), "left_semi").dropDuplicates(["doc_id", mark])
+    return once.unionAll(repeats).select(*names)
 
 
 def fingerprint_hex(fp: Column) -> Column:
