@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -28,7 +29,7 @@ from .tables import partitions, staged
 CAPACITY = 4096
 SEPARATOR = 1
 # Words whose ids a worker keeps at a time.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 # Below U+0250, without U+0130, lower-casing a text at once equals the tokenizer's own.
 NOT_PLAIN = re.compile("[İɐ-\U0010ffff]")
 SPECIAL = "<|endoftext|>"
@@ -43,6 +44,13 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte."""
+    printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in printed else chr(next(others)) for b in range(256)]
+
+
 class WordEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes, equal to the tokenizer's own.
 
@@ -59,16 +67,27 @@ class WordEncoder:
         self.stop = self.tokenizer.token_to_id(SPECIAL)
         self.words = words
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()
+        self.letters = byte_letters()
 
     def _ids(self, text: str):
         import numpy as np
 
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
+    def _word(self, word: str) -> bytes:
+        """Ids of lower-case letters: one word to the tokenizer, so its model is asked at once."""
+        spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, words: list[str]) -> None:
-        """Ids of ``words``, encoded together with special tokens between them."""
+        """Ids of ``words``, those of more than letters encoded together with special tokens between them."""
         import numpy as np
 
+        plain = [w for w in words if w.isalpha() and w.islower() and not NOT_PLAIN.search(w)]
+        self.known.update((w, self._word(w)) for w in plain)
+        words = [w for w in words if w not in self.known]
         for at in range(0, len(words), 2000):
             some = words[at : at + 2000]
             ids = self._ids(SPECIAL.join(some))
@@ -85,9 +104,13 @@ class WordEncoder:
                 parts.append(text)
                 continue
             parts.append((text if NOT_PLAIN.search(text) else text.lower()).split(" "))
-        if len(self.known) > self.words:
-            self.known.clear()
-        new = set().union(*(p for p in parts if isinstance(p, list))).difference(self.known)
+        used = set().union(*(p for p in parts if isinstance(p, list)))
+        if len(self.known) > self.words:  # words met again are the likeliest to be met again
+            self.known, self.again = {w: self.known[w] for w in self.again}, set()
+            if len(self.known) > self.words // 2:
+                self.known = {}
+        new = used.difference(self.known)
+        self.again |= used - new
         # Words end in full stops and commas more often than not: known without them.
         ended = {w: (c, w[len(c) :]) for w in new if (c := w.rstrip(".,")) != w and c and c[-1].isalnum()}
         single = new.difference(ended).union(*ended.values()).difference(self.known)
