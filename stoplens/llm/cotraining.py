@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import staged
-from .toxicity import Model, ftrl
+from .toxicity import MIN_ROWS, Model, ftrl
 
 BITS = 18
 # Labelled rows used at most (least hash of the id): four fifths train, one calibrates.
@@ -31,24 +31,36 @@ ROUNDS = 2
 SURE = 0.95
 PASSED_ON = 200
 
-TOKEN = re.compile(r"\w+|[^\w\s]+")
-SHAPES = str.maketrans(dict.fromkeys("0123456789", "0"))
+VIEWS = "doc_id bigint, text_view binary, page_view binary"
+WORD = re.compile(r"\w+")
+SYMBOLS = re.compile(r"[^\w\s]+")
+CACHE_WORDS = 200_000
+
+
+def _coordinate(name: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(name) >> (64 - BITS)
 
 
 @cache
 def _seen() -> dict[str, int]:
+    """Both coordinates of tokens, their word's and their shape's, in one number; kept up to a bound."""
     return {}
 
 
-def _hashed(names: set[str]) -> np.ndarray:
-    import xxhash
-
+def _token_coordinates(tokens: set[str]) -> np.ndarray:
     seen = _seen()
-    if len(seen) > 400_000:
+    if len(seen) > CACHE_WORDS:
         seen.clear()
-    for x in names.difference(seen):
-        seen[x] = xxhash.xxh64_intdigest(x) >> (64 - BITS)
-    return np.unique(np.fromiter(map(seen.__getitem__, names), dtype=np.int32, count=len(names)))
+    for t in tokens.difference(seen):
+        seen[t] = _coordinate(t.lower()) << 32 | _coordinate(f"shape={_shape(t)}")
+    both = np.fromiter(map(seen.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+    return np.concatenate((both >> 32, both & 0xFFFFFFFF))
+
+
+def _distinct(found: list) -> np.ndarray:
+    return np.unique(np.concatenate(found)).astype(np.int32)
 
 
 def _bucket(x: float, steps: float = 2.0) -> int:
@@ -63,13 +75,11 @@ def _shape(token: str) -> str:
 
 def text_view(text: str | None) -> np.ndarray:
     """Coordinates of what a text says; those of having no words for a null or empty one."""
-    tokens = TOKEN.findall(text or "")
-    kinds = set(tokens)
-    names = {t.lower() for t in kinds} | {f"shape={_shape(t)}" for t in kinds}
-    symbols = sum(not (t[0].isalnum() or t[0] == "_") for t in tokens)
-    share = lambda n: int(10 * n / max(1, len(tokens)))
-    names |= {f"symbols={share(symbols)}", f"distinct={share(len(kinds))}:{_bucket(len(tokens), 1)}"}
-    return _hashed(names)
+    words, symbols = WORD.findall(text or ""), SYMBOLS.findall(text or "")
+    kinds, n = {*words, *symbols}, len(words) + len(symbols)
+    share = lambda x: int(10 * x / max(1, n))
+    names = (f"symbols={share(len(symbols))}", f"distinct={share(len(kinds))}:{_bucket(n, 1)}")
+    return _distinct([_token_coordinates(kinds), np.array([_coordinate(x) for x in names])])
 
 
 def page_view(lang, source, n_chars, n_lines) -> np.ndarray:
@@ -80,7 +90,7 @@ def page_view(lang, source, n_chars, n_lines) -> np.ndarray:
     line = None if chars is None or not lines else _bucket(chars / lines)
     names = {f"lang={known(lang)}", f"source={known(source)}", f"length={length}", f"line={line}"}
     names |= {f"lines={None if lines is None else _bucket(lines)}", f"page={length}:{line}"}
-    return _hashed(names)
+    return _distinct([np.array([_coordinate(x) for x in names])])
 
 
 def _pages(docs: DataFrame) -> DataFrame:
@@ -94,49 +104,58 @@ def _rows(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield text_view(text), page_view(*page)
 
 
+def views_of(docs: DataFrame, used: np.ndarray | None = None) -> DataFrame:
+    """``docs`` -> doc_id, text_view, page_view (coordinates, as bytes).
+
+    With ``used``, a mask, only the text coordinates it has.
+    """
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(a if used is None else a[used[a]], b) for a, b in _rows(batch)]
+            out = pd.DataFrame([(a.tobytes(), b.tobytes()) for a, b in rows], columns=["text_view", "page_view"])
+            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
+            yield out
+
+    return _pages(docs).mapInPandas(found, VIEWS)
+
+
 @dataclass
 class Views:
     text: Model
     page: Model
 
-    def logits(self, docs: DataFrame) -> DataFrame:
-        """``docs`` -> doc_id, text_logit, page_logit."""
+    def logits(self, views: DataFrame) -> DataFrame:
+        """``views`` -> doc_id, text_logit, page_logit."""
         models = (self.text, self.page)
 
         def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             dense = [m.dense() for m in models]
             for batch in batches:
-                found = [[m.intercept + d[x].sum(dtype=np.float64) for m, d, x in zip(models, dense, views, strict=True)] for views in _rows(batch)]
-                out = pd.DataFrame(found, columns=["text_logit", "page_logit"], dtype="float64")
-                out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-                yield out
+                out = pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64")})
+                for name, m, d in zip(("text", "page"), models, dense, strict=True):
+                    at = (np.frombuffer(x, dtype=np.int32) for x in batch[f"{name}_view"])
+                    out[f"{name}_logit"] = [m.intercept + d[x].sum(dtype=np.float64) for x in at]
+                yield out.astype({"text_logit": "float64", "page_logit": "float64"})
 
-        return _pages(docs).mapInPandas(scored, "doc_id bigint, text_logit double, page_logit double")
+        return views.mapInPandas(scored, "doc_id bigint, text_logit double, page_logit double")
 
 
-def _views_of(docs: DataFrame, chosen: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+def _rows_of(views: DataFrame, chosen: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
     """(id, label, text view, page view) of the documents that ``chosen`` (id, label; bounded) has."""
-
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            views = [(a.tobytes(), b.tobytes()) for a, b in _rows(batch)]
-            out = pd.DataFrame(views, columns=["text_view", "page_view"])
-            out.insert(0, "label", batch["label"].to_numpy())
-            out.insert(0, "id", batch["doc_id"].to_numpy())
-            yield out
-
-    pages = _pages(docs)
-    pages = pages.join(F.broadcast(chosen), pages["doc_id"] == chosen["id"]).drop("id")
-    rows = pages.mapInPandas(found, "id bigint, label int, text_view binary, page_view binary")
-    order = (F.xxhash64("id"), "id", "text_view")
+    rows = views.join(F.broadcast(chosen), views["doc_id"] == chosen["id"])
     # A document is a training row once, whatever repeats its id.
     rows = rows.groupBy("id").agg(F.min(F.struct("text_view", "page_view", "label")).alias("r")).select("id", "r.*")
     return [
         (r["id"], r["label"], np.frombuffer(r["text_view"], dtype=np.int32), np.frombuffer(r["page_view"], dtype=np.int32))
-        for r in rows.orderBy(*order).collect()
+        for r in rows.orderBy(F.xxhash64("id"), "id").collect()
     ]
 
 
+def _labelled_docs(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    return docs.join(F.broadcast(chosen.select("id")), docs["doc_id"] == chosen["id"], "left_semi")
+
+
 def _fit(rows: list[tuple]) -> Model:
     return ftrl([x for x, _ in rows], [y for _, y in rows], bits=BITS, alpha=0.5, l1=2.0, l2=1.0, passes=4)
 
@@ -171,18 +190,26 @@ def _is_apart(doc_id: int) -> bool:
     return zlib.crc32(f"apart:{doc_id}".encode()) % 5 == 0
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, rounds: int = ROUNDS) -> Quality:
-    """Fit on at most ``rows`` labelled rows and what all unlabelled ones add to them."""
+def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, rounds: int = ROUNDS) -> tuple[Quality, DataFrame]:
+    """The model fitted on at most ``rows`` labelled rows and what all others add to them, and the views of ``docs``.
+
+    Text coordinates that fewer than MIN_ROWS labelled rows have are not used, which makes
+    the views short: they are worked out once, written, and read in every round.
+    """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(F.max("quality").alias("label"))
-    labelled = _views_of(docs, known.orderBy(F.xxhash64("id"), "id").limit(rows))
+    first = staged(known.orderBy(F.xxhash64("id"), "id").limit(rows), "labelled")
+    labelled = _rows_of(views_of(_labelled_docs(docs, first)), first)
+    used = np.bincount(np.concatenate([r[2] for r in labelled] or [np.empty(0, dtype=np.int32)]), minlength=1 << BITS) >= MIN_ROWS
+    labelled = [(i, y, t[used[t]], p) for i, y, t, p in labelled]
+    views_table = staged(views_of(docs, used), "views")
     train = [r for r in labelled if not _is_apart(r[0])] or labelled
     apart = [r for r in labelled if _is_apart(r[0])] or labelled
     for_text, for_page = [(t, y) for _, y, t, _ in train], [(p, y) for _, y, _, p in train]
     views, taken = Views(_fit(for_text), _fit(for_page)), set()
     sure = float(np.log(SURE / (1 - SURE)))
     for _ in range(rounds):
-        scored = staged(views.logits(docs.where("doc_id IS NOT NULL")).join(known, F.col("doc_id") == F.col("id"), "left_anti"), "logits")
+        scored = staged(views.logits(views_table.where("doc_id IS NOT NULL")).join(known, F.col("doc_id") == F.col("id"), "left_anti"), "logits")
         chosen: dict[int, dict[str, int]] = {}
         for view, other in (("text_logit", "page"), ("page_logit", "text")):
             for label, side in ((1, 1), (0, -1)):
@@ -196,7 +223,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, r
         if not chosen:
             break
         ids = docs.sparkSession.createDataFrame([(i, 0) for i in chosen], "id bigint, label int")
-        for i, _, text, page in _views_of(docs, ids):
+        for i, _, text, page in _rows_of(views_table, ids):
             for other, label in chosen[i].items():
                 taken.add((i, other))
                 (for_text if other == "text" else for_page).append((text if other == "text" else page, label))
@@ -208,7 +235,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, r
         for m, rows in ((views.text, [r[2] for r in apart]), (views.page, [r[3] for r in apart]))
     ]
     if not len(y):  # nothing to learn from: every score is a half
-        return Quality(views, (np.zeros(2), np.zeros(2)), np.zeros(3))
+        return Quality(views, (np.zeros(2), np.zeros(2)), np.zeros(3)), views_table
     calibrations = tuple(logistic(x[:, None], y) for x in raw)
     both = np.column_stack([c[0] * x + c[1] for c, x in zip(calibrations, raw, strict=True)])
     weights = logistic(both, y)
@@ -217,11 +244,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, r
         used = int(weights[1] < 0) ^ 1
         one = logistic(both[:, [used]], y)
         weights = np.array([one[0] if used == 0 else 0.0, one[0] if used == 1 else 0.0, one[1]])
-    return Quality(views, calibrations, weights)
+    return Quality(views, calibrations, weights), views_table
 
 
-def score_quality(docs: DataFrame, model: Quality) -> DataFrame:
-    """``docs`` (doc_id, text, lang, source, n_chars) -> doc_id, text_score, page_score, score, predicted.
+def score_quality(views: DataFrame, model: Quality) -> DataFrame:
+    """``views`` (of documents' doc_id, text, lang, source, n_chars) -> doc_id, text_score, page_score, score, predicted.
 
     A row for each row; scores are probabilities of quality 1, predicted is 1 from a half
     on. Nulls are values like others; a null text has no words and no lines.
@@ -231,7 +258,7 @@ def score_quality(docs: DataFrame, model: Quality) -> DataFrame:
         return 1 / (1 + F.exp(-F.greatest(F.lit(-35.0), F.least(F.lit(35.0), x))))
 
     (a, b), (c, d), w = *model.calibrations, model.combined
-    scored = model.views.logits(docs).select(
+    scored = model.views.logits(views).select(
         "doc_id", (F.col("text_logit") * float(a) + float(b)).alias("t"), (F.col("page_logit") * float(c) + float(d)).alias("p")
     )
     score = share(F.col("t") * float(w[0]) + F.col("p") * float(w[1]) + float(w[2]))

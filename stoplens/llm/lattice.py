@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,10 @@ BATCH_CHARS = 400_000
 # Characters of words laid out together at least.
 TABLE = 100_000
 # Words whose lattices a worker keeps at a time.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
+# Words of up to so many characters have their shares computed as plain numbers, each character lifted by e^LIFT.
+PLAIN_WIDTH = 16
+LIFT = 6.0
 # Paths of up to so many pieces are opened at every step.
 SHORT = 64
 
@@ -169,14 +173,36 @@ class Words:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.again: set[str] = set()
         self.first = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.start = Grown(np.int64, [0])
         self.piece, self.length = Grown(np.int32), Grown(np.int32)
         self.log, self.cumulative = Grown(np.float32), Grown(np.float32)
 
+    def trim(self) -> None:
+        """Keep the words met again since the last time, the likeliest to be met again."""
+        words = sorted(self.again)
+        if len(words) > WORDS_KEPT // 2:
+            return self.clear()
+        which = np.array([self.index[w] for w in words], dtype=np.int64)
+        first, sizes, start = self.first[which], self.size[which], self.start.view()
+        nodes, _ = _ranges(first, sizes)
+        degrees = start[nodes + 1] - start[nodes]
+        edges, _ = _ranges(start[nodes], degrees)
+        columns = [(c, c.view()[edges]) for c in (self.piece, self.length, self.log, self.cumulative)]
+        self.index, self.again = dict(zip(words, range(len(words)), strict=True)), set()
+        self.first, self.size = np.cumsum(sizes) - sizes, sizes
+        self.start = Grown(np.int64, [0])
+        self.start.extend(np.cumsum(degrees))
+        for column, values in columns:
+            column.used = 0
+            column.extend(values)
+
     def learn(self, words: set[str]) -> None:
-        new = sorted(words.difference(self.index), key=len)
+        missing = words.difference(self.index)
+        self.again |= words - missing
+        new = sorted(missing, key=len)
         if not new:
             return
         sizes = np.array([len(w) for w in new], dtype=np.int64)
@@ -219,6 +245,40 @@ class Words:
         if spelled.any():
             code = -2 - edge[spelled]
             log[spelled] = v.byte_log_prob * (2 + (code > 0x7FF) + (code > 0xFFFF))
+        if width <= PLAIN_WIDTH:
+            share = self._shares(log, sizes)[held][:, ::-1]
+        else:
+            share = np.exp(self._log_shares(log, sizes))[held][:, ::-1]
+        edge = edge[held][:, ::-1]
+        real = edge != -1
+        total = np.cumsum(share, axis=1)
+        last = longest - 1 - real[:, ::-1].argmax(axis=1)
+        total[np.arange(len(last)), last] = np.inf  # whatever rounding left
+        lengths = np.broadcast_to(np.arange(longest, 0, -1), edge.shape)
+        self.start.extend(self.start.view()[-1] + np.cumsum(real.sum(axis=1)))
+        self.piece.extend(edge[real])
+        self.length.extend(lengths[real])
+        self.log.extend(np.log(np.maximum(share[real], 1e-300)))
+        self.cumulative.extend(total[real])
+
+    @staticmethod
+    def _shares(log: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Each edge's share of its node. Sums are scaled by LIFT a character, so short words stay in range."""
+        n, width, longest = log.shape
+        weights = np.exp(log + LIFT * np.arange(1, longest + 1))
+        below = np.zeros((n, width + longest))
+        below[np.arange(n), sizes] = 1
+        for i in range(width - 1, -1, -1):
+            paths = weights[:, i, :]
+            paths *= below[:, i + 1 : i + 1 + longest]
+            below[:, i] += paths.sum(axis=1)
+            paths /= np.where(below[:, i] > 0, below[:, i], 1)[:, None]
+        return weights
+
+    @staticmethod
+    def _log_shares(log: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The same for words of any length, as logs."""
+        n, width, longest = log.shape
         below = np.full((n, width + longest), -np.inf)
         below[np.arange(n), sizes] = 0
         with np.errstate(invalid="ignore", divide="ignore"):
@@ -229,17 +289,7 @@ class Words:
                 inside = i < sizes
                 below[inside, i] = total[inside]
                 log[:, i, :] = paths - total[:, None]
-        log, edge = log[held][:, ::-1], edge[held][:, ::-1]
-        real = np.isfinite(log)
-        shares = np.cumsum(np.exp(np.where(real, log, -np.inf)), axis=1)
-        last = longest - 1 - real[:, ::-1].argmax(axis=1)
-        shares[np.arange(len(last)), last] = np.inf  # whatever rounding left
-        lengths = np.broadcast_to(np.arange(longest, 0, -1), log.shape)
-        self.start.extend(self.start.view()[-1] + np.cumsum(real.sum(axis=1)))
-        self.piece.extend(edge[real])
-        self.length.extend(lengths[real])
-        self.log.extend(log[real])
-        self.cumulative.extend(shares[real])
+        return log
 
 
 class Grown:
@@ -277,14 +327,14 @@ class Sampler:
     def __init__(self, texts: list[str | None], seeds: np.ndarray, words: Words, k: int) -> None:
         self.v, self.k, self.seeds, self.words = words.v, k, seeds, words
         if len(words.index) > WORDS_KEPT:
-            words.clear()
+            words.trim()
         per_text = [self.v.words(x) for x in texts]
         words.learn(set().union(*per_text))
         counts = np.array([len(w) for w in per_text], dtype=np.int64)
         self.ends = np.cumsum(counts)
         self.begins = self.ends - counts
         get = words.index.__getitem__
-        word = np.fromiter((i for some in per_text for i in map(get, some)), dtype=np.int64, count=int(counts.sum()))
+        word = np.fromiter(map(get, chain.from_iterable(per_text)), dtype=np.int64, count=int(counts.sum()))
         self.text_of = np.repeat(np.arange(len(texts)), counts)
         # The nodes where words begin and end; one more, so that the last has a next.
         self.node_of = np.append(words.first[word], 0)
@@ -310,10 +360,10 @@ class Sampler:
             live = np.isfinite(g)
             if not live.any():
                 break
-            tail, text, words = self._tails(s, live, at, node)
+            tail, nodes, text, words = self._tails(s, live, at, node)
             cuts = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=d))))
             logs = w.log.view()[tail].astype(np.float64)
-            self._open(s, slots, g, log, steps + (edge >= 0), tail, text, words, logs, cuts)
+            self._open(s, slots, g, log, steps + (edge >= 0), tail, nodes, text, words, logs, cuts)
             total = log + np.bincount(text, weights=logs, minlength=d)
             paths.append([np.empty(0, dtype=np.int64)] * d)
             pieces = w.piece.view()
@@ -329,7 +379,7 @@ class Sampler:
         return [[(*row, log_inclusion(row[1], rest[t])) for row in rows] for t, rows in enumerate(out)]
 
     def _tails(self, s: int, live: np.ndarray, at: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Edges from each live text's node to its end, drawn by their shares, with their texts and words."""
+        """Edges from each live text's node to its end, drawn by their shares: with the nodes they leave, texts, words."""
         w = self.words
         all_words = np.arange(len(self.text_of))
         words = all_words[live[self.text_of] & (all_words >= at[self.text_of])]
@@ -338,7 +388,7 @@ class Sampler:
         nodes[opened] = node[text[opened]]
         seeds = _mixed(self.seeds[text] + (words - self.begins[text]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         start, cumulative, length = w.start.view(), w.cumulative.view(), w.length.view()
-        turns, chosen, going = [], [], np.arange(len(words))
+        turns, left, chosen, going = [], [], [], np.arange(len(words))
         while len(going):
             here = nodes[going]
             u = uniform(seeds[going], (s + 1) * 4096 + len(turns))
@@ -348,6 +398,7 @@ class Sampler:
                 edge[more] += 1
                 more = more[u[more] >= cumulative[edge[more]]]
             turns.append(going)
+            left.append(here)
             chosen.append(edge)
             nodes[going] = here = here + length[edge]
             going = going[here < ends[going]]
@@ -355,12 +406,12 @@ class Sampler:
         for which in turns:
             counts[which] += 1
         offsets = np.cumsum(counts) - counts
-        edges = np.zeros(int(counts.sum()), dtype=np.int64)
-        for k, (which, taken) in enumerate(zip(turns, chosen, strict=True)):
-            edges[offsets[which] + k] = taken
-        return edges, np.repeat(text, counts), np.repeat(words, counts)
+        edges, sources = np.zeros((2, int(counts.sum())), dtype=np.int64)
+        for k, (which, here, taken) in enumerate(zip(turns, left, chosen, strict=True)):
+            edges[offsets[which] + k], sources[offsets[which] + k] = taken, here
+        return edges, sources, np.repeat(text, counts), np.repeat(words, counts)
 
-    def _open(self, s, slots, g, log, steps, tail, text, words, logs, cuts) -> None:
+    def _open(self, s, slots, g, log, steps, tail, nodes, text, words, logs, cuts) -> None:
         """Put the siblings of the edges of ``tail`` among the open nodes.
 
         Which child has the most is independent of how much that is, and the others' scores are
@@ -374,8 +425,7 @@ class Sampler:
         near = (before > CUT) | (np.diff(cuts) <= SHORT)[text]
         at = np.flatnonzero(near)
         starts, lengths = w.start.view(), w.length.view()
-        # The node an edge leaves: the last that starts at or before it.
-        node = np.searchsorted(starts, tail[at], side="right") - 1
+        node = nodes[at]
         edge, of = _ranges(starts[node], starts[node + 1] - starts[node])
         other = edge != tail[at[of]]
         edge, of = edge[other], at[of[other]]
@@ -387,11 +437,19 @@ class Sampler:
         u = uniform(self.seeds[t], s + 1, ahead + (1 << 40), lengths[edge])
         with np.errstate(over="ignore"):
             value = share - np.logaddexp(share - g[t], np.log(-np.log(u)))
-        order = np.lexsort((-value, t))
-        rank = np.arange(len(order)) - np.searchsorted(t[order], t[order])
-        order, rank = order[rank < k], rank[rank < k]
+        # The k best of each text; texts are in order.
+        firsts = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+        owner, best, rank, rest = np.cumsum(np.concatenate(([0], t[1:] != t[:-1]))), [], [], value.copy()
+        for r in range(k):
+            top = np.maximum.reduceat(rest, firsts)
+            found = np.flatnonzero((rest == top[owner]) & np.isfinite(rest))
+            found = found[np.concatenate(([True], owner[found][1:] != owner[found][:-1]))] if len(found) else found
+            rest[found] = -np.inf
+            best.append(found)
+            rank.append(np.full(len(found), r))
+        order, rank = np.concatenate(best), np.concatenate(rank)
         edge, of, t = edge[order], of[order], t[order]
-        node = node[np.searchsorted(at, of)] + lengths[edge]
+        node = nodes[of] + lengths[edge]
         word = words[of]
         over = node == self.end_of[word]
         word = word + over
@@ -428,13 +486,14 @@ def sample_texts(keys: list, texts: list[str | None], words: Words, k: int = K,
 
 
 def sample_segmentations(
-    docs: DataFrame, k: int = K, seed: int = SEED, path: str | None = None, key: str = "doc_id"
+    docs: DataFrame, k: int = K, seed: int = SEED, path: str | None = None, decode: bool = False
 ) -> DataFrame:
     """Up to ``k`` distinct segmentations of each row of ``docs`` (doc_id, text).
 
     Returns doc_id, sample (from 1, by perturbed score), ids, log_prob (of the
     segmentation, given the text), perturbed and log_inclusion (log of the probability
-    that it is in a sample that ends at the same score). Fewer rows for texts with fewer
+    that it is in a sample that ends at the same score); with ``decode`` also text, which
+    the ids stand for. Fewer rows for texts with fewer
     segmentations: a null or empty text has one, without ids. Rows with equal keys and
     texts get equal samples. Other columns are ignored.
     """
@@ -448,24 +507,26 @@ def sample_segmentations(
             for hi in range(1, len(ids) + 1):
                 size += len(texts[hi - 1] or "")
                 if size >= BATCH_CHARS or hi == len(ids):
-                    yield _batch(ids[lo:hi], sample_texts(ids[lo:hi], texts[lo:hi], words, k, seed))
+                    yield _batch(ids[lo:hi], sample_texts(ids[lo:hi], texts[lo:hi], words, k, seed), words.v if decode else None)
                     lo, size = hi, 0
 
-    return docs.select(F.col(key).alias("doc_id"), "text").mapInArrow(sampled, SAMPLES)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(sampled, SAMPLES + ", text string" * decode)
 
 
-def _batch(ids: list, found: list[list[tuple]]) -> pa.RecordBatch:
+def _batch(ids: list, found: list[list[tuple]], v: Vocabulary | None) -> pa.RecordBatch:
     rows = [(doc_id, s + 1, *row) for doc_id, samples in zip(ids, found, strict=True) for s, row in enumerate(samples)]
     offsets = np.concatenate(([0], np.cumsum([len(r[2]) for r in rows]))).astype(np.int32)
     flat = np.concatenate([r[2] for r in rows]) if rows else np.empty(0, dtype=np.int32)
+    names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion"]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([r[0] for r in rows], pa.int64()),
             pa.array([r[1] for r in rows], pa.int32()),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())),
             *(pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)),
+            *([pa.array([v.decode(r[2].tolist()) for r in rows], pa.string())] if v else []),
         ],
-        names=["doc_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion"],
+        names=[*names, "text"] if v else names,
     )
 
 

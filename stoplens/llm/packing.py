@@ -29,7 +29,7 @@ from .tables import partitions, staged
 CAPACITY = 4096
 SEPARATOR = 1
 # Words whose ids a worker keeps at a time.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 # Below U+0250, without U+0130, lower-casing a text at once equals the tokenizer's own.
 NOT_PLAIN = re.compile("[İɐ-\U0010ffff]")
 SPECIAL = "<|endoftext|>"
@@ -122,11 +122,17 @@ class WordEncoder:
 
 
 @cache
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str, words: int) -> WordEncoder:
+    return WordEncoder(path, words)
 
 
-def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, ids: bool = True) -> DataFrame:
+def cut_pieces(
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    vocabulary: str | None = None,
+    ids: bool = True,
+    cache_words: int = CACHE_WORDS,
+) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, piece, start, length, ids_crc32, ids (as bytes).
 
     A null text is empty: its only piece is the separator.
@@ -134,7 +140,7 @@ def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None
     path, tail = vocabulary or vocabulary_path(), SEPARATOR.to_bytes(4, "little")
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path).encode
+        encode = encoder(path, cache_words).encode
         for batch in batches:
             for at in range(0, len(batch), 256):
                 some, rows = batch.iloc[at : at + 256], []
@@ -243,13 +249,18 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, ids: bool = True
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    vocabulary: str | None = None,
+    ids: bool = True,
+    cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """Each piece of ``docs`` (doc_id, text) with its place.
 
     Returns doc_id, piece, start, length, ids_crc32, ids (with ``ids``), sequence_id and
     offset. Every row gives at least one piece; repeated and null ids are kept as they
-    are; other columns are ignored.
+    are; other columns are ignored. ``cache_words`` bounds the words whose ids a Python
+    worker keeps (about 200 bytes each).
     """
-    cut = cut_pieces(docs, capacity, vocabulary, ids)
+    cut = cut_pieces(docs, capacity, vocabulary, ids, cache_words)
     return pack_pieces(staged(cut if ids else cut.drop("ids"), "pieces"), capacity)

@@ -41,7 +41,7 @@ BLOCK = 512
 SEED = 20240101
 # Words hashed together at least; texts are processed whole.
 CHUNK_WORDS = 50_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 # Distinct shingles of a block that are multiplied at a time.
 COLUMNS = 4096
 

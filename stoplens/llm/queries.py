@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stoplens.session import work_dir
 
 from .cotraining import fit_quality, score_quality
-from .lattice import decoded, sample_segmentations
+from .lattice import sample_segmentations
 from .packing import pack_documents
 from .paragraphs import repeated_paragraphs
 from .quality_rules import quality_rules
@@ -96,13 +96,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_quality_classifier")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    model, views = fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return score_quality(views, model)
 
 
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sample_segmentations(table(spark, sf_dir, "documents"))
+    found = sample_segmentations(table(spark, sf_dir, "documents"), decode=True)
     return found.select(
         "doc_id",
         "sample",
@@ -111,5 +111,5 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "log_prob",
         "perturbed",
         "log_inclusion",
-        F.xxhash64(decoded(F.col("ids"))).alias("decoded_hash"),
+        F.xxhash64("text").alias("decoded_hash"),
     )

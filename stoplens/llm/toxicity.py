@@ -25,7 +25,7 @@ TRAIN_ROWS = 10_000
 MIN_ROWS = 5
 PASSES = 5
 WORD = re.compile(r"\w+")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 class Hasher:
