@@ -16,7 +16,7 @@ from .paragraphs import repeated_paragraphs
 from .quality_rules import quality_rules
 from .secret_scan import BASE_KINDS, of_kinds, scan_secrets, span_text
 from .simhash import fingerprint_hex, simhash_groups
-from .tables import table
+from .tables import small_batches, table
 from .topk import top_k
 from .toxicity import fit_toxicity, score_toxicity
 from .warc import read_archives, write_archives
@@ -27,7 +27,11 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
-        QUERIES[name] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         return build
 
     return register

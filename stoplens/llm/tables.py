@@ -24,3 +24,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand Python ``rows`` rows at a time, for this session: texts are long, and two batches of
+    the default 10,000 are a large part of an executor's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)

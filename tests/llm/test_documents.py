@@ -1,0 +1,263 @@
+"""Operators over documents against plain versions of what they compute."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from stoplens.llm import packing, quality_rules, secret_scan, simhash
+from stoplens.llm.queries import QUERIES
+from stoplens.llm.tables import table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def all_docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+
+
+# --- quality rules ----------------------------------------------------------
+
+
+def counts(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    times = Counter(windows)
+    covered = {p for k, w in enumerate(windows) if times[w] > 1 for p in range(k, k + 5)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def test_rule_counts_of_odd_rows(odd_docs):
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    rows = quality_rules.quality_rules(odd_docs).collect()
+    found = Counter((r["doc_id"], *(r[c] for c in names)) for r in rows)
+    assert found == Counter((r["doc_id"], *counts(r["text"])) for r in odd_docs.collect())
+    assert all(r["base_failed"] == (r["n_words"] < 10 or 5 * r["n_repeat_words"] > r["n_words"]) for r in rows)
+
+
+def test_each_rule_rejects(docs):
+    prose = "the cat sat on a mat and it was not there when we looked for it".split()
+    cases = {
+        "symbols": " ".join(w + "###" for w in prose),
+        "repeated_lines": "\n".join([*["same line"] * 5, *(" ".join(prose[k : k + 4]) for k in range(0, 16, 8))]),
+        "bullets": "\n".join("- " + " ".join(prose[k : k + 3]) for k in range(0, 15, 3)),
+        "ellipses": "\n".join(" ".join(prose[k : k + 3]) + "..." for k in range(0, 15, 3)),
+        "word_length": " ".join(f"{w}{'x' * 25}{k}" for k, w in enumerate(prose)),
+        "stop_words": " ".join(f"zq{k}" for k in range(60)),
+        None: " ".join(prose),
+    }
+    rows = quality_rules.quality_rules(docs(*enumerate(cases.values()))).orderBy("doc_id").collect()
+    for name, r in zip(cases, rows, strict=True):
+        assert r["failed_rules"] == ([name] if name else []), name
+
+
+def test_rules_are_native(odd_docs, plan):
+    text = plan(quality_rules.passing(odd_docs))
+    assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
+    assert quality_rules.passing(odd_docs).columns == odd_docs.columns
+
+
+# --- SimHash ----------------------------------------------------------------
+
+
+def plain_fingerprint(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lowered)
+    shingles = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+
+def plain_components(prints):
+    """Smallest id of each row's component, by comparing all pairs."""
+    label = {f: min((i for i, g in prints if g == f and i is not None), default=None) for _, f in prints}
+    parent = {f: f for f in label}
+
+    def root(f):
+        return f if parent[f] == f else root(parent[f])
+
+    for a in parent:
+        for b in parent:
+            if (a ^ b).bit_count() <= 2:
+                parent[root(a)] = root(b)
+    least = {}
+    for f, i in label.items():
+        least[root(f)] = min((x for x in (i, least.get(root(f))) if x is not None), default=None)
+    return [(i, f, least[root(f)]) for i, f in prints]
+
+
+def test_simhash_query_equals_plain_version(spark, sf_dir):
+    found = QUERIES["op5_simhash"](spark, sf_dir).collect()
+    plain = plain_components([(r["doc_id"], plain_fingerprint(r["text"])) for r in all_docs(spark, sf_dir)])
+    assert sorted(map(tuple, found)) == sorted((i, f"{f:016x}", c) for i, f, c in plain)
+
+
+def test_simhash_of_odd_rows(odd_docs):
+    found = simhash.simhash_groups(odd_docs).collect()
+    mask = (1 << 64) - 1
+    plain = plain_components([(r["doc_id"], plain_fingerprint(r["text"])) for r in odd_docs.collect()])
+    assert Counter((r["doc_id"], r["fp"] & mask, r["component_id"]) for r in found) == Counter(plain)
+
+
+def test_links_survive_many_prints_under_one_key(spark, monkeypatch):
+    """Chains and clusters under shared keys are found pair by pair and through neighbours alike."""
+    random = np.random.default_rng(3)
+    base = 0x0F0F_1234_5678_9ABC
+    prints = {base}
+    for k in range(120):  # walks of one and two bits, so that keys are shared
+        bits = random.integers(0, 12, 3 + k % 3)
+        prints.add(base ^ int(sum(1 << int(b) for b in set(bits.tolist()))))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    frame = spark.createDataFrame([(p,) for p in signed], "fp bigint")
+    plain = plain_components([(p, p) for p in prints])
+    for limit in (0, 3, 1000):
+        monkeypatch.setattr(simhash, "KEY_LIMIT", limit)
+        links = [tuple(r) for r in simhash.fingerprint_links(frame).collect()]
+        assert all(0 < ((a ^ b) & (1 << 64) - 1).bit_count() <= 2 for a, b in links)
+        parent = {p: p for p in signed}
+
+        def root(x):
+            return x if parent[x] == x else root(parent[x])
+
+        for a, b in links:
+            parent[root(a)] = root(b)
+        assert len({root(p) for p in signed}) == len({c for _, _, c in plain})
+
+
+def test_one_row_of_each_group_stays(odd_docs, docs):
+    kept = simhash.one_of_each(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 1), (False, 4), (False, 5), (False, 6), (True, 0)]
+    same = docs((7, "one two three four"), (7, "another text of words"), (8, "one two three four"))
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.one_of_each(same).collect()) == [(7, "another text of words"), (7, "one two three four")]
+    assert simhash.one_of_each(docs()).count() == 0
+
+
+# --- packing ----------------------------------------------------------------
+
+
+def plain_pieces(rows, capacity=packing.CAPACITY):
+    from tokenizers import Tokenizer
+
+    tokenizer, out = Tokenizer.from_file(packing.vocabulary_path()), []
+    for doc_id, text in rows:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        for k, start in enumerate(range(0, len(ids), capacity)):
+            part = ids[start : start + capacity]
+            out.append((doc_id, k, start, len(part), zlib.crc32(part.tobytes())))
+    return out
+
+
+def assert_packed(rows, capacity):
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans in by_sequence.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by_sequence)
+
+
+def test_packing_query(spark, sf_dir):
+    rows = QUERIES["op2_best_fit_packing"](spark, sf_dir).collect()
+    found = sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    assert found == sorted(plain_pieces((r["doc_id"], r["text"]) for r in all_docs(spark, sf_dir)))
+    sequences = assert_packed(rows, packing.CAPACITY)
+    assert sequences <= 1.02 * sum(r["length"] for r in rows) / packing.CAPACITY + 1
+
+
+def test_packing_of_odd_rows(odd_docs, docs):
+    rows = packing.pack_documents(odd_docs, capacity=512).collect()
+    found = Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    assert found == Counter(plain_pieces(((r["doc_id"], r["text"]) for r in odd_docs.collect()), 512))
+    assert_packed(rows, 512)
+    assert packing.pack_documents(docs()).count() == 0
+
+
+@pytest.mark.parametrize("text", ["don't STOP  now's", "Σίσυφος ΟΔΟΣ", "J̌ İstanbul é", "x<|endoftext|>y", "…a.,b. 12ab", "naïve,naïve. Über"])
+def test_ids_are_the_tokenizers(text):
+    encode = packing.WordEncoder(packing.vocabulary_path(), words=3)
+    plain = encode.tokenizer.encode(text, add_special_tokens=False).ids
+    for _ in range(3):
+        assert np.frombuffer(next(iter(encode.encode([text]))), dtype="<u4").tolist() == plain
+
+
+def test_plan_is_best_fit():
+    random = np.random.default_rng(5)
+    for _ in range(60):
+        counts = {int(k): int(n) for k, n in zip(random.integers(1, 33, 9), random.integers(1, 40, 9), strict=True)}
+        plan = packing.plan_slots(counts, 32)
+        used, taken = {}, Counter()
+        for length, rank, n, each, first, offset in sorted(plan, key=lambda x: -x[0]):
+            taken[length] += n
+            for k in range(n):
+                s, o = first + k // each, offset + k % each * length
+                assert used.get(s, 0) == o
+                used[s] = o + length
+        assert taken == Counter(counts) and max(used.values()) <= 32
+        rooms = []  # best fit, piece by piece
+        for length in sorted(counts, reverse=True):
+            for _ in range(counts[length]):
+                fit = min((r for r in rooms if r >= length), default=None)
+                if fit is not None:
+                    rooms.remove(fit)
+                rooms.append((32 if fit is None else fit) - length)
+        assert len(used) == len(rooms)
+
+
+# --- secrets ----------------------------------------------------------------
+
+
+def plain_base(text):
+    out = []
+    for m in re.finditer(r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text or ""):
+        if len(m[2]) >= 8:
+            out.append(("assign", *m.span()))
+    out += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 16]
+    out += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text or "") if len(m[0]) >= 32]
+    return sorted(out, key=lambda x: (x[1], ("assign", "access", "hex").index(x[0])))
+
+
+def test_secret_query(spark, sf_dir):
+    import hashlib
+
+    found = {r["doc_id"]: r for r in QUERIES["op10_secret_scan"](spark, sf_dir).collect()}
+    for r in all_docs(spark, sf_dir):
+        base = plain_base(r["text"])
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        row, kinds = found[r["doc_id"]], Counter(k for k, _, _ in base)
+        assert (row["n_assign"], row["n_access"], row["n_hex"]) == (kinds["assign"], kinds["access"], kinds["hex"])
+        assert row["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert [x for x in row["spans"].split(",") if x and not x.startswith("random")] == [x for x in text.split(",") if x]
+
+
+def test_random_strings_are_found_and_identifiers_are_not(docs):
+    rows = [
+        "é key q9XvT2LmZ8aKpR4wYc7NbE1s end",
+        "d41d8cd98f00b204e9800998ecf8427e",
+        "id 123e4567-e89b-12d3-a456-426614174000",
+        "at 2024-01-01T00-00-00Z or 1234567890123456789012",
+        "document-chapter-section-12345 internationalisation2024words",
+        "token: q9XvT2LmZ8aKpR4wYc7NbE1s",
+    ]
+    found = [[tuple(s) for s in r["spans"]] for r in secret_scan.scan_secrets(docs(*enumerate(rows))).orderBy("doc_id").collect()]
+    assert found == [[("random", 6, 30)], [("hex", 0, 32)], [], [], [], [("assign", 0, 31)]]
+    clean = secret_scan.without_secrets(docs(*enumerate(rows))).orderBy("doc_id").collect()
+    assert clean[0]["text"] == "é key [SECRET] end" and clean[0]["n_chars"] == len(clean[0]["text"])
+    assert clean[2]["text"] == rows[2]
+
+
+def test_secrets_of_odd_rows(odd_docs):
+    assert all(r["spans"] == [] for r in secret_scan.scan_secrets(odd_docs).collect())
+    clean = secret_scan.without_secrets(odd_docs)
+    assert clean.columns == odd_docs.columns
+    assert Counter(r["text"] for r in clean.collect()) == Counter(r["text"] for r in odd_docs.collect())
