@@ -34,6 +34,7 @@ SEED = 7
 OFFSET = 100.0
 CUT = -37.0
 SPACE = "▁"
+STAND_IN = "\U0010fffe"
 WORD = re.compile(f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n")
 # Characters of text worked on together at least; a longer text is worked on whole.
 BATCH_CHARS = 400_000
@@ -138,7 +139,8 @@ class Vocabulary:
         return known, np.where(known, self.values[at], -1)
 
     def words(self, text: str | None) -> list[str]:
-        return WORD.findall(self.model.normalize(text)) if text else []
+        # normalize() drops the null character, which encoding keeps: a noncharacter stands in for it.
+        return WORD.findall(self.model.normalize(text.replace("\0", STAND_IN)).replace(STAND_IN, "\0")) if text else []
 
     def expand(self, edge: int) -> list[int]:
         """Ids of an edge: a piece, or a character (as -2 - its code) in bytes."""
