@@ -68,6 +68,7 @@ def _parser() -> argparse.ArgumentParser:
     live.add_argument("--rejects")
     live.add_argument("--cassandra-keyspace", help="write there instead of to --out")
     live.add_argument("--console", action="store_true", help="print closed windows")
+    live.add_argument("--console-rows", type=int, default=20, help="rows printed of a micro-batch")
 
     changes = command("changes", "messages to change events")
     stream_arguments(changes, "earliest")
@@ -79,6 +80,16 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _checked(parser: argparse.ArgumentParser, args: argparse.Namespace) -> argparse.Namespace:
+    """Ends with a message where a job lacks what its output needs."""
+    elsewhere = getattr(args, "cassandra_keyspace", None) or getattr(args, "console", False)
+    if hasattr(args, "out") and not args.out and not elsewhere:
+        parser.error(f"{args.job} needs --out")
+    if args.job == "line-stats" and args.out and args.write_id is None:
+        parser.error("line-stats --out needs --write-id")
+    return args
+
+
 def _run_stream(writer, args: argparse.Namespace) -> None:
     if args.drain:
         run_to_end(writer)
@@ -91,7 +102,8 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = _checked(parser, parser.parse_args(argv))
     spark = build_session(
         f"stoplens-{args.job}", args.master, args.shuffle_partitions, args.time_zone
     )
@@ -113,13 +125,15 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.lake, args.year, args.month, max_wait=args.max_wait, parser=args.parser
         )
         if args.cassandra_keyspace:
-            write_cassandra(found, LINE_STATS, args.cassandra_keyspace)
+            rejects = write_cassandra(found, LINE_STATS, args.cassandra_keyspace)
+            if args.rejects:
+                rejects.write.mode("overwrite").parquet(args.rejects)
         else:
             jobs.store_line_stats(found, args.out, args.write_id, args.rejects)
     elif args.job == "live-stats":
         messages, routes = _messages(spark, args), read_routes(spark, args.routes)
         if args.console:
-            writer = console(jobs.live_stats(messages, routes))
+            writer = console(jobs.live_stats(messages, routes), args.console_rows)
         elif args.cassandra_keyspace:
             writer = cassandra_table(
                 jobs.live_stats(messages, routes),
@@ -136,7 +150,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "changes":
         _run_stream(jobs.changes_job(_messages(spark, args), args.out, args.checkpoint), args)
     else:
-        jobs.serving_job(spark, args.table, args.line, args.since).show(truncate=False)
+        for row in jobs.serving_job(spark, args.table, args.line, args.since).toLocalIterator():
+            print(*row, sep="\t")
 
 
 if __name__ == "__main__":

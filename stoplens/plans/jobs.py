@@ -67,8 +67,8 @@ def line_stats_job(
 
 
 def store_line_stats(stats: DataFrame, path: str, write_id: int, rejects_path: str | None = None) -> None:
-    """Upsert line statistics into their serving table."""
-    write_serving(stats, path, LINE_STATS, write_id, rejects_path)
+    """Upsert line statistics into their serving table; rows without a key go to ``<path>-rejects``."""
+    write_serving(stats, path, LINE_STATS, write_id, rejects_path or f"{path.rstrip('/')}-rejects")
 
 
 def live_stats(
@@ -94,13 +94,16 @@ def live_stats_job(
     """Messages to window statistics in a table at ``path``.
 
     ``update`` (upserts, bounded state), ``append`` (closed windows only) or
-    ``complete`` (whole table at every trigger, unbounded state).
+    ``complete`` (whole table at every trigger, unbounded state). The table of ``update``
+    is keyed: rows without a line or direction go to ``rejects_path``, by default
+    ``<path>-rejects``. The other two keep them.
     """
     if options.get("dedup_keys") and mode != "append":
         raise ValueError("dedup_keys needs append mode")
     stats = live_stats(messages, routes, **options)
     checkpoint = _checkpoint(checkpoint, f"windows-{mode}")
     if mode == "update":
+        rejects_path = rejects_path or f"{path.rstrip('/')}-rejects"
         return upsert_table(
             stats, path, checkpoint, WINDOW_STATS, rejects_path, first_write_id=SHAPE * 10**12
         )

@@ -70,6 +70,11 @@ class ServingTable:
     required: tuple[str, ...]
     clustering: tuple[tuple[str, bool], ...]
 
+    @property
+    def stored(self) -> T.StructType:
+        """The columns of the files, with the number of the write they are from."""
+        return T.StructType([*self.schema.fields, T.StructField("write_id", T.LongType())])
+
 
 LINE_STATS = ServingTable(
     name="stats_historiques",

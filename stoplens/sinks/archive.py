@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import arrival_parts, string_columns
+from .writers import batch_folder, stream_folder
 
 PARTS = ("year", "month", "day", "hour")
 
@@ -30,13 +31,14 @@ def archive(
     """Writer that appends a stream to the archive, each row once.
 
     Files are committed with the stream's progress, so a restart neither loses
-    nor repeats rows, and the last incomplete file is written as well.
+    nor repeats rows, and the last incomplete file is written as well. A new
+    checkpoint writes to a new folder beside those of other writers.
     """
     return (
         _archived(passages, arrival, legacy_nulls)
         .writeStream.format("parquet")
         .partitionBy(*PARTS)
-        .option("path", path)
+        .option("path", stream_folder(passages.sparkSession, path, checkpoint))
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", max_records)
     )
@@ -49,7 +51,7 @@ def backfill_archive(
     max_records: int = ROWS_PER_FILE,
     legacy_nulls: bool = False,
 ) -> None:
-    """Append a batch of passages to the archive.
+    """Append a batch of passages to the archive, in a folder beside those of streams.
 
     The rebalance hint brings an hour's rows together before the write, and
     lets AQE split an hour that is too big for one task.
@@ -60,5 +62,5 @@ def backfill_archive(
         .write.mode("append")
         .partitionBy(*PARTS)
         .option("maxRecordsPerFile", max_records)
-        .parquet(path)
+        .parquet(batch_folder(path))
     )

@@ -27,6 +27,8 @@ def write_serving(
     is not given, their presence is an error. The rows, statistics and so few
     beside what they were computed from, are kept while the steps read them.
     """
+    if not isinstance(write_id, int):
+        raise TypeError(f"write_id must be a number, not {write_id!r}")
     order = [F.desc(name) if newest else F.asc(name) for name, newest in table.clustering]
     kept = df.persist()
     try:
@@ -58,14 +60,15 @@ def compact_serving(
 
 def write_cassandra(
     df: DataFrame, table: ServingTable, keyspace: str, truncate: bool = False
-) -> None:
-    """Upsert into a Cassandra table, or empty it first.
+) -> DataFrame:
+    """Upsert into a Cassandra table, or empty it first; returns the rows without a required key.
 
     Needs the Cassandra connector on the classpath.
     """
-    good, _ = split_rejects(df, table)
+    good, rejects = split_rejects(df, table)
     writer = conform(good, table).write.format("org.apache.spark.sql.cassandra")
     writer = writer.options(table=table.name, keyspace=keyspace)
     if truncate:
         writer = writer.option("confirm.truncate", "true")
     writer.mode("overwrite" if truncate else "append").save()
+    return rejects

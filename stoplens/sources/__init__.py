@@ -3,6 +3,7 @@ from .lake import read_lake
 from .routes import read_routes
 from .serving import read_serving
 from .streams import stream_files, stream_kafka
+from .written import read_written
 
 __all__ = [
     "decode",
@@ -11,6 +12,7 @@ __all__ = [
     "read_routes",
     "read_serving",
     "read_snapshots",
+    "read_written",
     "stream_files",
     "stream_kafka",
     "stream_snapshots",

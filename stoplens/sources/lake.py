@@ -1,17 +1,31 @@
-"""The archive: Parquet under year=/month=/day=/hour= folders."""
+"""The archive: Parquet under year=/month=/day=/hour= folders of each writer."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .written import exists, has_log, union, writers
+
+
+def _read_folder(spark: SparkSession, folder: str, year: int | None, month: int | None) -> DataFrame:
+    """A batch writer's month is read by its path, so no other is listed; a stream's log lists its files."""
+    wanted = {"year": year, "month": month}
+    inner = f"{folder}/year={year}/month={month}"
+    if year is not None and month is not None and not has_log(spark, folder) and exists(spark, inner):
+        return spark.read.option("basePath", folder).parquet(inner)
+    lake = spark.read.parquet(folder)
+    for name, value in wanted.items():
+        if value is not None:
+            lake = lake.where(F.col(name) == value)
+    return lake
+
 
 def read_lake(
     spark: SparkSession, path: str, year: int | None = None, month: int | None = None
 ) -> DataFrame:
-    """Archived rows of a year and month; folders of others are not read."""
-    lake = spark.read.parquet(path)
-    for name, wanted in {"year": year, "month": month}.items():
-        if wanted is not None:
-            lake = lake.where(F.col(name) == wanted)
-    return lake
+    """Archived rows of a year and month, by every writer; folders of other months are not read."""
+    folders = writers(spark, path)
+    if not folders:
+        raise FileNotFoundError(f"no archive at {path}")
+    return union([_read_folder(spark, x, year, month) for x in folders])

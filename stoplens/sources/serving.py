@@ -15,5 +15,5 @@ def read_serving(spark: SparkSession, path: str, table: ServingTable) -> DataFra
     Filters on key columns reach the scan, as they do not depend on which
     write is newest.
     """
-    writes = spark.read.parquet(path)
+    writes = spark.read.schema(table.stored).parquet(path)
     return keep_first(writes, table.keys, [F.desc("write_id")]).drop("write_id")

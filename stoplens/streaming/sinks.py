@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..schemas import ServingTable
 from ..session import ROCKSDB, STATE_STORE
 from ..sinks.serving import write_cassandra, write_serving
+from ..sinks.writers import stream_folder
 
 
 def replace_table(stats: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -30,11 +31,14 @@ def replace_table(stats: DataFrame, path: str, checkpoint: str) -> DataStreamWri
 
 
 def append_table(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Append mode: finished rows only, each written once."""
+    """Append mode: finished rows only, each written once.
+
+    They are in a folder of this checkpoint below ``path``; ``read_written`` reads all.
+    """
     return (
         rows.writeStream.outputMode("append")
         .format("parquet")
-        .option("path", path)
+        .option("path", stream_folder(rows.sparkSession, path, checkpoint))
         .option("checkpointLocation", checkpoint)
     )
 
@@ -79,9 +83,10 @@ def cassandra_table(
     )
 
 
-def console(rows: DataFrame) -> DataStreamWriter:
-    """Print finished rows, cells in full, where no table is at hand."""
-    return rows.writeStream.outputMode("append").format("console").option("truncate", False)
+def console(rows: DataFrame, num_rows: int = 20) -> DataStreamWriter:
+    """Print finished rows, cells in full, up to ``num_rows`` of each micro-batch."""
+    writer = rows.writeStream.outputMode("append").format("console")
+    return writer.option("truncate", False).option("numRows", num_rows)
 
 
 @contextmanager

@@ -7,7 +7,7 @@ from test_operators import brute_changes
 from stoplens.operators import changes, keep_first, window_stats
 from stoplens.plans import changes_job, live_stats_job
 from stoplens.schemas import WINDOW_STATS
-from stoplens.sources import read_serving, stream_files
+from stoplens.sources import read_serving, read_written, stream_files
 from stoplens.streaming import (
     append_table,
     changes_stream,
@@ -59,7 +59,7 @@ def test_late_rows_in_each_mode(spark, tmp_path):
     run_to_end(replace_table(stats, f"{tmp_path}/complete", f"{tmp_path}/c1"))
     assert counts(spark.read.parquet(f"{tmp_path}/complete")) == {"09:00": 3, "09:40": 3, "10:30": 1}
     query = run_to_end(append_table(stats, f"{tmp_path}/append", f"{tmp_path}/c2"))
-    assert counts(spark.read.parquet(f"{tmp_path}/append")) == {"09:00": 2, "09:40": 3}
+    assert counts(read_written(spark, f"{tmp_path}/append")) == {"09:00": 2, "09:40": 3}
     dropped = [step["stateOperators"][0]["numRowsDroppedByWatermark"] for step in query.recentProgress]
     assert sum(dropped) == 1
     run_to_end(upsert_table(stats, f"{tmp_path}/update", f"{tmp_path}/c3", WINDOW_STATS))
@@ -81,7 +81,7 @@ def test_late_row_counts_while_the_watermark_lags(spark, tmp_path):
     without = [times for times in STAGED if times != ["09:46"]]
     stats = live_window_stats(staged(spark, tmp_path, without), routes(spark))
     run_to_end(append_table(stats, f"{tmp_path}/append", f"{tmp_path}/c"))
-    assert counts(spark.read.parquet(f"{tmp_path}/append"))["09:00"] == 3
+    assert counts(read_written(spark, f"{tmp_path}/append"))["09:00"] == 3
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
@@ -106,7 +106,7 @@ def test_dedup_on_a_stream(spark, tmp_path):
     schema = spark.createDataFrame([], FEED).schema
     stream = stream_files(spark, f"{tmp_path}/in", schema)
     run_to_end(append_table(dedup_stream(stream), f"{tmp_path}/out", f"{tmp_path}/c"))
-    found = spark.read.parquet(f"{tmp_path}/out")
+    found = read_written(spark, f"{tmp_path}/out")
     assert found.count() == 2
     assert keep_first(found, ["id", "last_update_fme"], ["gid"]).count() == 2
 
@@ -130,7 +130,7 @@ def test_windows_after_dedup(spark, tmp_path):
     stream = stream_files(spark, f"{tmp_path}/in", schema)
     stats = live_window_stats(stream, routes(spark), dedup_keys=["id", "last_update_fme"])
     run_to_end(append_table(stats, f"{tmp_path}/out", f"{tmp_path}/c"))
-    assert counts(spark.read.parquet(f"{tmp_path}/out")) == {"09:00": 2}
+    assert counts(read_written(spark, f"{tmp_path}/out")) == {"09:00": 2}
 
 
 def test_closed_windows_on_the_console(spark, tmp_path):
@@ -169,7 +169,7 @@ def test_change_stream_equals_brute_force(spark, tmp_path, slice_width, batches)
     stream = stream_files(spark, f"{tmp_path}/in", schema, files_per_batch=1)
     found = changes_stream(stream, carry=(), slice_width=slice_width)
     run_to_end(append_table(found, f"{tmp_path}/out", f"{tmp_path}/c"))
-    rows = spark.read.parquet(f"{tmp_path}/out").select("event", "id", "gid", "old_value", "new_value")
+    rows = read_written(spark, f"{tmp_path}/out").select("event", "id", "gid", "old_value", "new_value")
     assert sorted((tuple(r) for r in rows.collect()), key=repr) == brute_changes(items)
 
 
@@ -178,7 +178,7 @@ def test_change_job_orders_by_arrival_time(spark, sf_dir, tmp_path, options):
     feed = passages(spark, sf_dir)
     messages = as_messages(as_passages(stream_files(spark, f"{sf_dir}/events.parquet*", EVENTS_SCHEMA)))
     run_to_end(changes_job(messages, f"{tmp_path}/out", f"{tmp_path}/c", **options))
-    found = spark.read.parquet(f"{tmp_path}/out").withColumnRenamed("kafka_ts", "at")
+    found = read_written(spark, f"{tmp_path}/out").withColumnRenamed("kafka_ts", "at")
     carry = ("ligne", "direction")
     expected = changes(feed.withColumn("at", F.col("heurepassage")), order=("at",), carry=carry)
     columns = ["event", "id", "at", *carry, "old_value", "new_value"]

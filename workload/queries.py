@@ -53,6 +53,7 @@ from stoplens.sources import (
     read_routes,
     read_serving,
     read_snapshots,
+    read_written,
     stream_files,
 )
 from stoplens.streaming import append_table, dedup_stream, live_window_stats, run_to_end
@@ -122,7 +123,7 @@ def snapshot_publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "publish")
     frame = publish_job(spark, write_snapshots(spark, sf_dir), one_per_line=True, follow=True)
     run_to_end(append_table(frame, f"{out}/messages", f"{out}/checkpoint"))
-    return decode(spark.read.parquet(f"{out}/messages"), arrival=None).select(*PASSAGE)
+    return decode(read_written(spark, f"{out}/messages"), arrival=None).select(*PASSAGE)
 
 
 @query("publish_keyed")
@@ -239,7 +240,7 @@ def dedup_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     needed = stream_passages(spark, sf_dir).select(*OBSERVATION, "heurepassage")
     rows = dedup_stream(needed, OBSERVATION, delay="1 hour")
     run_to_end(append_table(rows.select(*OBSERVATION), f"{out}/rows", f"{out}/checkpoint"))
-    return spark.read.parquet(f"{out}/rows")
+    return read_written(spark, f"{out}/rows")
 
 
 @query("realtime_rows")
@@ -330,7 +331,7 @@ def window_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("window_stats_append")
 def window_stats_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(live_windows(spark, sf_dir, "append") + "/table")
+    return read_written(spark, live_windows(spark, sf_dir, "append") + "/table")
 
 
 @query("window_stats_update")
@@ -356,7 +357,7 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = stream_files(spark, f"{out}/in", schema)
         stats = live_window_stats(stream, routes(spark))
         run_to_end(append_table(stats, f"{out}/table", f"{out}/checkpoint"))
-    return spark.read.parquet(f"{out}/table")
+    return read_written(spark, f"{out}/table")
 
 
 # --- changes ----------------------------------------------------------------
@@ -379,7 +380,7 @@ def change_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "changes")
     messages = as_messages(stream_passages(spark, sf_dir))
     run_to_end(changes_job(messages, f"{out}/events", f"{out}/checkpoint", order="gid", slice_width=1_000_000))
-    return spark.read.parquet(f"{out}/events")
+    return read_written(spark, f"{out}/events")
 
 
 # --- serving ----------------------------------------------------------------
