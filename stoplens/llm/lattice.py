@@ -34,14 +34,13 @@ SEED = 7
 OFFSET = 100.0
 CUT = -37.0
 SPACE = "▁"
-STAND_IN = "\U0010fffe"
 WORD = re.compile(f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n")
 # Characters of text worked on together at least; a longer text is worked on whole.
 BATCH_CHARS = 400_000
 # Characters of words laid out together at least.
 TABLE = 100_000
 # Words whose lattices a worker keeps at a time.
-WORDS_KEPT = 150_000
+WORDS_KEPT = 400_000
 # Words of up to so many characters have their shares computed as plain numbers, each character lifted by e^LIFT.
 PLAIN_WIDTH = 16
 LIFT = 6.0
@@ -59,6 +58,10 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+# The hash of the empty string; not zero, which a null character would leave as it is.
+EMPTY = np.uint64(0x5851F42D4C957F2D)
+
+
 def _fold(state: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Hash of a string one character longer."""
     state = (state ^ codes) * np.uint64(0x9E3779B97F4A7C15)
@@ -110,7 +113,7 @@ class Vocabulary:
         table: dict[int, int] = {}
         with np.errstate(over="ignore"):
             for i in plain:
-                state = np.uint64(0)
+                state = EMPTY
                 for at, c in enumerate(self.pieces[i]):
                     state = _fold(np.array([state]), np.array([ord(c)], dtype=np.uint64))[0]
                     table.setdefault(int(state), -1)
@@ -139,8 +142,7 @@ class Vocabulary:
         return known, np.where(known, self.values[at], -1)
 
     def words(self, text: str | None) -> list[str]:
-        # normalize() drops the null character, which encoding keeps: a noncharacter stands in for it.
-        return WORD.findall(self.model.normalize(text.replace("\0", STAND_IN)).replace(STAND_IN, "\0")) if text else []
+        return WORD.findall(self.model.normalize(text)) if text else []
 
     def expand(self, edge: int) -> list[int]:
         """Ids of an edge: a piece, or a character (as -2 - its code) in bytes."""
@@ -227,7 +229,7 @@ class Words:
         longest = min(v.longest, width)
         edge = np.full((n, width, longest), -1, dtype=np.int32)
         row, at = np.nonzero(held)
-        state = np.zeros(len(row), dtype=np.uint64)
+        state = np.full(len(row), EMPTY)
         for k in range(longest):
             state = _fold(state, codes[row, at + k])
             known, piece = v.find(state)
