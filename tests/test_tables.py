@@ -1,3 +1,4 @@
+import os
 import tempfile
 from types import SimpleNamespace
 
@@ -8,8 +9,10 @@ from stoplens.__main__ import main
 from stoplens.operators import line_stats
 from stoplens.schemas import LINE_STATS, WINDOW_STATS
 from stoplens.session import work_dir
-from stoplens.sinks import backfill_archive, compact_serving, write_serving
+from stoplens.sinks import archive, backfill_archive, compact_serving, write_serving
+from stoplens.sinks.writers import stream_folder
 from stoplens.sources import read_lake, read_serving
+from stoplens.streaming import run_to_end
 from workload.fixtures import passages
 
 STATS = "ligne string, direction string, attente_moyenne_min double, attente_max_min float, attente_min_min float, ecart_type_attente double, total_enregistrements bigint"
@@ -113,3 +116,40 @@ def test_work_dir_is_machine_local_only_on_a_local_master():
     assert work_dir(session_like("local[2]"), "x").startswith(tempfile.gettempdir())
     with pytest.raises(ValueError):
         work_dir(session_like("spark://host"), "x")
+
+
+def lake_rows(spark, tmp_path):
+    return sorted(r["gid"] for r in read_lake(spark, f"{tmp_path}/lake").select("gid").collect())
+
+
+def test_archive_unites_writers_and_checkpoints(spark, sf_dir, tmp_path):
+    feed = passages(spark, sf_dir).where("gid < 60")
+    feed.where("gid < 20").write.parquet(f"{tmp_path}/in1")
+    feed.where("gid >= 20 AND gid < 40").write.parquet(f"{tmp_path}/in2")
+    for k in (1, 2):
+        stream = spark.readStream.schema(feed.schema).parquet(f"{tmp_path}/in{k}")
+        run_to_end(archive(stream, f"{tmp_path}/lake", f"{tmp_path}/shape{k}", "heurepassage"))
+        if k == 1:
+            backfill_archive(feed.where("gid >= 40"), f"{tmp_path}/lake", "heurepassage")
+    assert lake_rows(spark, tmp_path) == sorted(str(k) for k in range(60) if feed.where(f"gid = {k}").count())
+
+
+def test_a_log_that_the_checkpoint_does_not_know_is_refused(spark, tmp_path):
+    folder = stream_folder(spark, f"{tmp_path}/lake", f"{tmp_path}/c")
+    os.makedirs(f"{folder}/_spark_metadata")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        stream_folder(spark, f"{tmp_path}/lake", f"{tmp_path}/c")
+    os.makedirs(f"{tmp_path}/c/metadata")
+    assert stream_folder(spark, f"{tmp_path}/lake", f"{tmp_path}/c") == folder
+    assert stream_folder(spark, f"{tmp_path}/lake", f"{tmp_path}/c2") != folder
+
+
+@pytest.mark.parametrize("arguments", [["--lake", "x"], ["--lake", "x", "--out", "y"]])
+def test_line_stats_needs_a_write_id_and_a_place(arguments):
+    with pytest.raises(SystemExit):
+        main(["line-stats", *arguments])
+
+
+def test_write_ids_are_numbers(spark, tmp_path):
+    with pytest.raises(TypeError):
+        write_serving(spark.range(1), f"{tmp_path}/t", LINE_STATS, None)
