@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -62,3 +64,19 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/stoplens-{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to Python workers that would not find it, once per application.
+
+    They find it where the driver runs in its folder or has it on PYTHONPATH.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    found = {os.path.abspath(x) for x in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if x}
+    context = spark.sparkContext
+    if root in found or getattr(context, "_has_stoplens", False):
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/stoplens", "zip", root, os.path.basename(package))
+    context.addPyFile(archive)
+    context._has_stoplens = True
