@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stoplens.session import work_dir
+from stoplens.session import ship_package, work_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,5 +28,6 @@ def partitions(spark: SparkSession) -> int:
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand Python ``rows`` rows at a time, for this session: texts are long, and two batches of
-    the default 10,000 are a large part of an executor's memory."""
+    the default 10,000 are a large part of an executor's memory. Workers get this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
