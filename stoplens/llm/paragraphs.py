@@ -6,10 +6,15 @@ within each, exact Jaccard similarities are computed and only pairs that reach t
 threshold are linked. Components of these links, with exact copies counted once,
 are the classes; of each class the first occurrence stays.
 
-Passages do not keep to lines. So a line is also cut into units, sentences of at
-least five words, which repeat if equal. A unit is repeated if it, or its line, is;
-consecutive repeated units of MIN_RUN words or more are a passage, while a stock
-phrase on its own is left alone.
+Passages keep neither to lines nor to sentences. So every window of PASSAGE words that
+occurs twice is found as well, whatever stops are in it: of each window the least hash
+of its GRAM-word grams is its anchor, and windows whose anchor occurs twice are
+compared by a hash of all their words. A passage is what such windows cover.
+
+A line is also cut into units, sentences of at least five words, which repeat if
+equal. A unit is repeated if it, or its line, is; consecutive repeated units of
+MIN_RUN words or more are a passage too, and so is each line nearly like another,
+while an exact stock phrase on its own is left alone.
 
 A large cluster is first compared with its most copied member. What is similar to it
 needs no more comparing among itself; the rest is compared with all in blocks.
@@ -34,7 +39,11 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.99
 ROWS = 4
-# Passages of 50 words and more, less a unit cut short at either end.
+# Words that are a passage wherever they start and end.
+PASSAGE = 50
+# Words of an anchor: any two equal windows of PASSAGE words share theirs.
+GRAM = 20
+# Words of consecutive repeated units.
 MIN_RUN = 35
 MIN_UNIT = 5
 BLOCK = 512
@@ -46,13 +55,17 @@ CACHE_WORDS = 100_000
 COLUMNS = 4096
 
 BLANKS = re.compile(r"\s*")
+TOKEN = re.compile(r"\S+")
 SENTENCE = re.compile(r"\S.*?(?:[.!?](?=\s)|$)", re.DOTALL)
 
-# ``unit`` is the document's number of the line's first unit.
+# ``unit`` is the document's number of the line's first unit. ``anchors`` of the document are in its first row.
 OCCURRENCES = (
     "doc_id bigint, para int, unit int, pid bigint, bands array<bigint>, "
-    "uids array<bigint>, starts array<int>, lengths array<int>, words array<int>"
+    "uids array<bigint>, starts array<int>, lengths array<int>, words array<int>, "
+    "anchors array<bigint>, places array<int>"
 )
+WINDOWS = "hash bigint, doc_id bigint, pos int"
+PARTS = "doc_id bigint, para int, unit int, start int, length int, words int, kept_doc_id bigint, removed boolean"
 
 
 def tune_bands(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -100,6 +113,16 @@ def shingle_hashes(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     return out
 
 
+def anchors_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a text's grams, and for each window of PASSAGE words the place of its least gram."""
+    grams = shingle_hashes(words, GRAM)
+    width = PASSAGE - GRAM + 1
+    if len(grams) < width:
+        return grams, np.empty(0, dtype=np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1)
+    return grams, least + np.arange(len(least))
+
+
 def paragraphs_of(text: str | None) -> list[tuple[int, int, str]]:
     """(number, start in code points, line) of each line with a word."""
     out, start = [], 0
@@ -162,7 +185,14 @@ def occurrences_of(texts: list[tuple[int, str | None]], bands: int, rows: int =
                 key = _mix(key + np.minimum.reduceat(_mix((shingles ^ offsets[k]) * factors[k]), cuts))
             keys[b, of[cuts]] = key
     signed = _signed(keys.T.copy()).tolist()
-    for (doc_id, para, unit, start, units, words), key in zip(found, signed, strict=True):
+    ends = np.cumsum(sizes)
+    heads = [k for k, f in enumerate(found) if f[2] == 0]
+    anchors = {}
+    for k, after in zip(heads, [*heads[1:], len(found)], strict=True):
+        grams, at = anchors_of(hashes[ends[k] - sizes[k] : ends[after - 1]])
+        at = np.unique(at)
+        anchors[k] = (_signed(grams[at]).tolist(), at.tolist())
+    for line, ((doc_id, para, unit, start, units, words), key) in enumerate(zip(found, signed, strict=True)):
         yield (
             doc_id,
             para,
@@ -173,6 +203,7 @@ def occurrences_of(texts: list[tuple[int, str | None]], bands: int, rows: int =
             [start + u[0] for u in units],
             [u[1] - u[0] for u in units],
             [len(u[2]) for u in units],
+            *anchors.get(line, ([], [])),
         )
 
 
@@ -384,12 +415,101 @@ def paragraph_classes(docs: DataFrame, lines: DataFrame, threshold: float = THRE
     return connected_components(links).select(F.col("node").alias("pid"), F.col("component").alias("class"))
 
 
+# --- windows ----------------------------------------------------------------
+
+
+def repeated_windows(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Ranges of places (in words) where windows of PASSAGE words start that occur twice or more.
+
+    Returns doc_id, first and last place, kept_doc_id and shift: the windows' first
+    occurrence is there, ``shift`` words before that place.
+    """
+    anchors = lines.where(F.size("anchors") > 0).select("doc_id", F.explode(F.arrays_zip("anchors", "places")).alias("x"))
+    anchors = anchors.select("doc_id", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
+    often = staged(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
+    wanted = anchors.join(often, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("wanted"))
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for doc_id, text, asked in zip(batch["doc_id"], batch["text"], batch["wanted"], strict=True):
+                words = word_hashes(text.lower().split())
+                at = anchors_of(words)[1]
+                at = np.flatnonzero(np.isin(at, asked))
+                found = _signed(shingle_hashes(words, PASSAGE)[at])
+                for lo in range(0, len(at), CHUNK_WORDS):
+                    part = slice(lo, lo + CHUNK_WORDS)
+                    yield pd.DataFrame({"hash": found[part], "doc_id": doc_id, "pos": at[part].astype(np.int32)})
+
+    windows = staged(texts.mapInPandas(hashed, WINDOWS), "windows")
+    first = windows.groupBy("hash").agg(F.min(F.struct("doc_id", "pos")).alias("kept"), F.count("*").alias("n"))
+    first = staged(first.where("n > 1").select("hash", "kept"), "first-windows")
+    shift = (F.col("pos") - F.col("kept.pos")).alias("shift")
+    found = windows.join(first, "hash").select("doc_id", "pos", F.col("kept.doc_id").alias("kept_doc_id"), shift)
+    in_text = Window.partitionBy("doc_id").orderBy("kept_doc_id", "shift", "pos")
+    runs = found.withColumn("run", F.col("pos") - F.row_number().over(in_text))
+    return runs.groupBy("doc_id", "kept_doc_id", "shift", "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).drop("run")
+
+
+def parts_of(doc_id, text: str, units, ranges) -> Iterator[tuple]:
+    """Rows of PARTS: what repeated ``units`` and ``ranges`` of windows cover of a text, cut at units."""
+    places = [(para, start + a, start + b, len(w)) for para, start, line in paragraphs_of(text) for a, b, w in units_of(line)]
+    spans = np.array([m.span() for m in TOKEN.finditer(text)], dtype=np.int64).reshape(-1, 2)
+    ends = np.cumsum([p[3] for p in places])
+    # 1: first of its kind, 2: to be removed; and the number of the row kept.
+    state = np.zeros(len(spans), dtype=np.int8)
+    rows = [(ends[u["unit"]] - places[u["unit"]][3], ends[u["unit"]], u["kept_doc_id"], u["removed"]) for u in units]
+    for r in ranges:
+        lo, hi, own = r["first"], r["last"] + PASSAGE, r["kept_doc_id"] == doc_id
+        if own and 0 < r["shift"] < PASSAGE:  # the words of the first occurrence stay
+            lo += PASSAGE - r["shift"]
+        rows.append((lo, hi, r["kept_doc_id"], not (own and r["shift"] == 0)))
+    numbers = {k: n for n, k in enumerate(sorted({r[2] for r in rows}))}
+    names, kept = list(numbers), np.full(len(spans), len(numbers))
+    for removed in (False, True):
+        for lo, hi, to, gone in rows:
+            if gone == removed:
+                if removed:
+                    kept[lo:hi][state[lo:hi] == 1] = len(numbers)
+                state[lo:hi] = 1 + removed
+                kept[lo:hi] = np.minimum(kept[lo:hi], numbers[to])
+    unit_of = np.repeat(np.arange(len(places)), [p[3] for p in places])
+    cuts = np.flatnonzero((state[1:] != state[:-1]) | (unit_of[1:] != unit_of[:-1])) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(spans)], strict=True):
+        if state[lo]:
+            unit = int(unit_of[lo])
+            start, end = int(spans[lo, 0]), int(spans[hi - 1, 1])
+            yield doc_id, places[unit][0], unit, start, end - start, hi - lo, names[kept[lo:hi].min()], bool(state[lo] == 2)
+
+
+def covered(docs: DataFrame, units: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Rows of PARTS for repeated ``units`` (doc_id, unit, kept_doc_id, removed) and ``ranges`` of windows."""
+    units = units.groupBy("doc_id").agg(F.collect_list(F.struct("unit", "kept_doc_id", "removed")).alias("units"))
+    ranges = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last", "kept_doc_id", "shift")).alias("ranges"))
+    found = staged(units.join(ranges, "doc_id", "full"), "covered")
+    texts = docs.select("doc_id", "text").join(found, "doc_id")
+    names = [x.split()[0] for x in PARTS.split(", ")]
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc_id, text, of_units, of_windows in zip(*(batch[c] for c in ("doc_id", "text", "units", "ranges")), strict=True):
+                rows += parts_of(doc_id, text, () if of_units is None else of_units, () if of_windows is None else of_windows)
+                if len(rows) > 10_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names)
+
+    return texts.mapInPandas(parts, PARTS)
+
+
 def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run: int = MIN_RUN) -> DataFrame:
-    """Units of ``docs`` (doc_id, text) in repeated passages of ``min_run`` words or more.
+    """What repeats in ``docs`` (doc_id, text): windows of PASSAGE words, lines nearly like
+    others, and runs of repeated units of ``min_run`` words or more.
 
-    Returns doc_id, para (line number), unit (number in the document), start and length
-    (code points), words, kept_doc_id (where the passage stays) and removed: true for all
-    but the first of a class, by doc_id and place. Copies within a document count. Case
+    Returns a row per unit, or part of one: doc_id, para (line number), unit (number in the
+    document), start and length (code points), words, kept_doc_id (where it stays) and
+    removed: true for all but the first, by doc_id and place. Copies within a document count. Case
     and white space make no difference. Null and empty texts have no paragraphs. Rows
     with a null doc_id, or one that other rows have too, take no part.
     """
@@ -402,32 +522,27 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run:
     kept_lines = classes.join(places, "pid").groupBy("class").agg(F.min("at").alias("kept"))
     near = staged(classes.join(kept_lines, "class").select("pid", "kept"), "near-lines")
     of_lines = lines.join(near, "pid").select("doc_id", "para", "unit", "kept", *_UNITS)
-    of_lines = _exploded(of_lines, "kept")
+    of_lines = _exploded(of_lines, "kept").withColumn("near", F.lit(True))
     # The k-th unit of a line stands for the k-th of the line that stays.
 
     units = _exploded(lines.select("doc_id", "para", "unit", "uids", *_UNITS), "uid")
     first = units.groupBy("uid").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count("*").alias("n"))
     first = staged(first.where("n > 1").select("uid", "kept"), "units")
-    of_units = units.join(first, "uid").select("doc_id", "para", "unit", "start", "length", "words", "kept")
+    of_units = units.join(first, "uid").select("doc_id", "para", "unit", "start", "length", "words", "kept", F.lit(False).alias("near"))
 
     same = (F.col("doc_id") == F.col("kept.doc_id")) & (F.col("unit") == F.col("kept.unit"))
     marked = of_lines.unionAll(of_units).withColumn("removed", ~same)
     repeated = marked.groupBy("doc_id", "unit").agg(
-        F.min("para").alias("para"),
-        F.min("start").alias("start"),
-        F.min("length").alias("length"),
         F.min("words").alias("words"),
+        F.bool_or("near").alias("near"),
         F.min("kept.doc_id").alias("kept_doc_id"),
         F.bool_or("removed").alias("removed"),
     )
     in_text = Window.partitionBy("doc_id").orderBy("unit")
     runs = repeated.withColumn("run", F.col("unit") - F.row_number().over(in_text))
     in_run = Window.partitionBy("doc_id", "run")
-    return (
-        runs.withColumn("run_words", F.sum("words").over(in_run))
-        .where(F.col("run_words") >= min_run)
-        .select("doc_id", "para", "unit", "start", "length", "words", "kept_doc_id", "removed")
-    )
+    chosen = runs.withColumn("run_words", F.sum("words").over(in_run)).where(F.col("near") | (F.col("run_words") >= min_run))
+    return covered(docs, chosen, repeated_windows(docs, lines))
 
 
 _UNITS = ("starts", "lengths", "words")

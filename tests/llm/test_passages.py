@@ -114,3 +114,29 @@ def test_bands_reach_the_recall():
 def test_cuts(text, spans, left):
     found = None if spans is None else [{"start": a, "length": n} for a, n in spans]
     assert P.cut_text(text, found) == left
+
+
+def removed_texts(frame):
+    texts = {r["doc_id"]: r["text"] for r in frame.collect()}
+    rows = [r for r in P.repeated_paragraphs(frame).collect() if r["removed"]]
+    rows = sorted((r["doc_id"], r["start"], r["length"]) for r in rows)
+    return [(k, texts[k][start : start + n]) for k, start, n in rows]
+
+
+def test_passages_cut_inside_sentences_and_short_near_lines_are_found(docs):
+    inner = " ".join(RANDOM.choice(VOCABULARY, 30)) + ". " + " ".join(RANDOM.choice(VOCABULARY, 30))
+    line = " ".join(RANDOM.choice(VOCABULARY, 20))
+    frame = docs(
+        (1, f"{sentence(20)[:-1]} {inner} {sentence(20)}"),
+        (2, f"{sentence(20)[:-1]} {inner} {sentence(20)}"),
+        (3, f"{prose(40)}\n{line} end\n{prose(40)}"),
+        (4, f"{prose(40)}\n{line} stop\n{prose(40)}"),
+    )
+    found = removed_texts(frame)
+    assert " ".join(t for k, t in found if k == 2) == inner
+    assert [t for k, t in found if k == 4] == [f"{line} stop"]
+
+
+def test_words_of_the_first_occurrence_stay_where_a_text_repeats_itself(docs):
+    rows = P.without_repeats(docs((1, "na " * 500))).collect()
+    assert [r["text"].split() for r in rows] == [["na"] * P.PASSAGE]
