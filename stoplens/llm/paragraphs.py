@@ -12,7 +12,7 @@ of its GRAM-word grams is its anchor, and windows whose anchor occurs twice are
 compared by a hash of all their words. A passage is what such windows cover.
 
 A line is also cut into units, sentences of at least five words, which repeat if
-equal. A unit is repeated if it, or its line, is; consecutive repeated units of
+equal or, found and compared as lines are, nearly so. A unit is repeated if it, or its line, is; consecutive repeated units of
 MIN_RUN words or more are a passage too, and so is each line nearly like another,
 while an exact stock phrase on its own is left alone.
 
@@ -46,6 +46,8 @@ GRAM = 20
 # Words of consecutive repeated units.
 MIN_RUN = 35
 MIN_UNIT = 5
+# A unit of fewer words has no other at the threshold: four of five shingles are eight words.
+NEAR_UNIT = 8
 BLOCK = 512
 SEED = 20240101
 # Words hashed together at least; texts are processed whole.
@@ -58,9 +60,10 @@ BLANKS = re.compile(r"\s*")
 TOKEN = re.compile(r"\S+")
 SENTENCE = re.compile(r"\S.*?(?:[.!?](?=\s)|$)", re.DOTALL)
 
+# A row per line, and one per unit that may be near another (``whole`` is false, ``nth`` its number in the line).
 # ``unit`` is the document's number of the line's first unit. ``anchors`` of the document are in its first row.
 OCCURRENCES = (
-    "doc_id bigint, para int, unit int, pid bigint, bands array<bigint>, "
+    "doc_id bigint, para int, unit int, whole boolean, nth int, pid bigint, bands array<bigint>, "
     "uids array<bigint>, starts array<int>, lengths array<int>, words array<int>, "
     "anchors array<bigint>, places array<int>"
 )
@@ -158,6 +161,25 @@ def _digest(words: list[str]) -> int:
     return value - ((value >> 63) << 64)
 
 
+def band_keys(shingles: np.ndarray, of: np.ndarray, count: int, bands: int, rows: int, salt: int = 0) -> list[list[int]]:
+    """Keys of the ``count`` texts of which ``of`` (ascending) says whose each shingle is."""
+    keys = np.zeros((bands, count), dtype=np.uint64)
+    if len(shingles):
+        cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        factors, offsets = hash_functions(bands * rows)
+        for b in range(bands):
+            key = np.full(len(cuts), b + 1 + salt, dtype=np.uint64)
+            for k in range(b * rows, (b + 1) * rows):
+                key = _mix(key + np.minimum.reduceat(_mix((shingles ^ offsets[k]) * factors[k]), cuts))
+            keys[b, of[cuts]] = key
+    return _signed(keys.T.copy()).tolist()
+
+
+def unit_id(digest: int) -> int:
+    """Units are compared with units, lines with lines."""
+    return digest ^ 0x5DEECE66D1234567
+
+
 def occurrences_of(texts: list[tuple[int, str | None]], bands: int, rows: int = ROWS) -> Iterator[tuple]:
     """Rows of OCCURRENCES for (doc_id, text) pairs, hashed together."""
     found = []
@@ -173,18 +195,16 @@ def occurrences_of(texts: list[tuple[int, str | None]], bands: int, rows: int =
     hashes = word_hashes([w for f in found for w in f[5]])
     line_of = np.repeat(np.arange(len(found)), sizes)
     shingles = shingle_hashes(hashes)
-    inside = line_of[: len(shingles)] == line_of[SHINGLE - 1 :] if len(shingles) else np.empty(0, dtype=bool)
-    shingles, of = shingles[inside], line_of[: len(inside)][inside]
-    keys = np.zeros((bands, len(found)), dtype=np.uint64)
-    if len(shingles):
-        cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-        factors, offsets = hash_functions(bands * rows)
-        for b in range(bands):
-            key = np.full(len(cuts), b + 1, dtype=np.uint64)
-            for k in range(b * rows, (b + 1) * rows):
-                key = _mix(key + np.minimum.reduceat(_mix((shingles ^ offsets[k]) * factors[k]), cuts))
-            keys[b, of[cuts]] = key
-    signed = _signed(keys.T.copy()).tolist()
+
+    def inside(text_of: np.ndarray) -> np.ndarray:
+        return text_of[: len(shingles)] == text_of[SHINGLE - 1 :] if len(shingles) else np.empty(0, dtype=bool)
+
+    within = inside(line_of)
+    keys = band_keys(shingles[within], line_of[: len(within)][within], len(found), bands, rows)
+    unit_sizes = np.array([len(u[2]) for f in found for u in f[4]])
+    unit_of = np.repeat(np.arange(len(unit_sizes)), unit_sizes)
+    within = inside(unit_of) & (np.repeat(unit_sizes, unit_sizes)[: len(shingles)] >= NEAR_UNIT)
+    unit_keys = iter(band_keys(shingles[within], unit_of[: len(within)][within], len(unit_sizes), bands, rows, 1 << 20))
     ends = np.cumsum(sizes)
     heads = [k for k, f in enumerate(found) if f[2] == 0]
     anchors = {}
@@ -192,23 +212,29 @@ def occurrences_of(texts: list[tuple[int, str | None]], bands: int, rows: int =
         grams, at = anchors_of(hashes[ends[k] - sizes[k] : ends[after - 1]])
         at = np.unique(at)
         anchors[k] = (_signed(grams[at]).tolist(), at.tolist())
-    for line, ((doc_id, para, unit, start, units, words), key) in enumerate(zip(found, signed, strict=True)):
+    for line, ((doc_id, para, unit, start, units, words), key) in enumerate(zip(found, keys, strict=True)):
+        uids, starts = [_digest(u[2]) for u in units], [start + u[0] for u in units]
         yield (
             doc_id,
             para,
             unit,
+            True,
+            -1,
             _digest(words),
             key if len(words) >= SHINGLE else [],
-            [_digest(u[2]) for u in units],
-            [start + u[0] for u in units],
+            uids,
+            starts,
             [u[1] - u[0] for u in units],
             [len(u[2]) for u in units],
             *anchors.get(line, ([], [])),
         )
+        for k, (uid, at, u, near) in enumerate(zip(uids, starts, units, unit_keys)):
+            if len(u[2]) >= NEAR_UNIT:
+                yield doc_id, para, unit + k, False, k, unit_id(uid), near, [], [at], [u[1] - u[0]], [len(u[2])], [], []
 
 
 def occurrences(docs: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
-    """Each line with a word of ``docs`` (doc_id, text), with its band keys (none under five words)."""
+    """Each line with a word of ``docs`` (doc_id, text), and its units, with band keys (none under five words)."""
     names = [x.split()[0] for x in OCCURRENCES.split(", ")]
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -380,8 +406,8 @@ def verified_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFram
 
 
 def _with_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (pid, cluster, copies, doc_id, para) with the shingles of that paragraph."""
-    wanted = members.groupBy("doc_id").agg(F.collect_list(F.struct("para", "pid", "cluster", "copies")).alias("wanted"))
+    """``members`` (pid, cluster, copies, doc_id, para, nth) with the shingles of that line or unit."""
+    wanted = members.groupBy("doc_id").agg(F.collect_list(F.struct("para", "nth", "pid", "cluster", "copies")).alias("wanted"))
     texts = docs.select("doc_id", "text").join(wanted, "doc_id")
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -391,7 +417,8 @@ def _with_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
                 lines = {k: line for k, _, line in paragraphs_of(text)}
                 for x in asked:
                     if line := lines.get(x["para"]):
-                        found = np.unique(shingle_hashes(word_hashes(line.lower().split())))
+                        words = line.lower().split() if x["nth"] < 0 else units_of(line)[x["nth"]][2]
+                        found = np.unique(shingle_hashes(word_hashes(words)))
                         rows.append((x["cluster"], x["pid"], x["copies"], found.tobytes()))
             yield pd.DataFrame(rows, columns=["cluster", "pid", "copies", "shingles"])
 
@@ -400,16 +427,16 @@ def _with_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def paragraph_classes(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``lines`` (occurrences, written) -> pid, class, for paragraphs in a class of two or more pids."""
+    """``lines`` (occurrences, written) -> pid, class, for lines and units in a class of two or more pids."""
     keyed = lines.select("pid", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("pid").alias("least"), F.max("pid").alias("most"))
     buckets = staged(buckets.where("least < most").select("key", "least"), "buckets")
     loose = keyed.join(buckets, "key").where("pid > least").select(F.col("pid").alias("a"), F.col("least").alias("b"))
     clusters = staged(connected_components(loose), "clusters")
 
-    places = lines.groupBy("pid").agg(F.min(F.struct("doc_id", "para")).alias("at"), F.count("*").alias("copies"))
+    places = lines.groupBy("pid").agg(F.min(F.struct("doc_id", "para", "nth")).alias("at"), F.count("*").alias("copies"))
     members = clusters.join(places, clusters["node"] == places["pid"]).select(
-        "pid", F.col("component").alias("cluster"), "copies", "at.doc_id", "at.para"
+        "pid", F.col("component").alias("cluster"), "copies", "at.doc_id", "at.para", "at.nth"
     )
     links = verified_links(_with_shingles(docs, members), threshold)
     return connected_components(links).select(F.col("node").alias("pid"), F.col("component").alias("class"))
@@ -517,15 +544,15 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run:
     lines = staged(occurrences(docs, tune_bands(threshold)), "paragraphs")
     classes = staged(paragraph_classes(docs, lines, threshold), "paragraph-classes")
 
-    # Lines nearly like others. Those exactly like others are found by their units.
+    # Lines and units nearly like others. Those exactly like others are found by their units.
     places = lines.groupBy("pid").agg(F.min(F.struct("doc_id", "unit")).alias("at"))
     kept_lines = classes.join(places, "pid").groupBy("class").agg(F.min("at").alias("kept"))
     near = staged(classes.join(kept_lines, "class").select("pid", "kept"), "near-lines")
-    of_lines = lines.join(near, "pid").select("doc_id", "para", "unit", "kept", *_UNITS)
-    of_lines = _exploded(of_lines, "kept").withColumn("near", F.lit(True))
+    of_lines = lines.join(near, "pid").select("doc_id", "para", "unit", "kept", "whole", *_UNITS)
+    of_lines = _exploded(of_lines, "kept")
     # The k-th unit of a line stands for the k-th of the line that stays.
 
-    units = _exploded(lines.select("doc_id", "para", "unit", "uids", *_UNITS), "uid")
+    units = _exploded(lines.where("whole").select("doc_id", "para", "unit", "uids", *_UNITS), "uid")
     first = units.groupBy("uid").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count("*").alias("n"))
     first = staged(first.where("n > 1").select("uid", "kept"), "units")
     of_units = units.join(first, "uid").select("doc_id", "para", "unit", "start", "length", "words", "kept", F.lit(False).alias("near"))
@@ -551,13 +578,13 @@ _UNITS = ("starts", "lengths", "words")
 def _exploded(lines: DataFrame, carried: str) -> DataFrame:
     """A row per unit of ``lines``, with the column ``carried``: ``uid``, or ``kept`` moved on to that unit."""
     arrays = [F.col(x) for x in _UNITS] + ([F.col("uids")] if carried == "uid" else [])
-    head = ["doc_id", "para", "unit"] + (["kept"] if carried == "kept" else [])
+    head = ["doc_id", "para", "unit"] + (["kept", "whole"] if carried == "kept" else [])
     each = lines.select(*head, F.posexplode(F.arrays_zip(*arrays)).alias("k", "x"))
     place = [(F.col("unit") + F.col("k")).alias("unit"), F.col("x.starts").alias("start"), F.col("x.lengths").alias("length"), F.col("x.words").alias("words")]
     if carried == "uid":
         return each.select("doc_id", "para", *place, F.col("x.uids").alias("uid"))
     moved = F.struct(F.col("kept.doc_id").alias("doc_id"), (F.col("kept.unit") + F.col("k")).alias("unit"))
-    return each.select("doc_id", "para", *place, moved.alias("kept"))
+    return each.select("doc_id", "para", *place, moved.alias("kept"), F.col("whole").alias("near"))
 
 
 def _told_apart(docs: DataFrame) -> DataFrame:

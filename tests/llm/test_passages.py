@@ -140,3 +140,18 @@ def test_passages_cut_inside_sentences_and_short_near_lines_are_found(docs):
 def test_words_of_the_first_occurrence_stay_where_a_text_repeats_itself(docs):
     rows = P.without_repeats(docs((1, "na " * 500))).collect()
     assert [r["text"].split() for r in rows] == [["na"] * P.PASSAGE]
+
+
+def test_unpunctuated_passages_and_edited_sentences_are_found(docs):
+    inner = " ".join(RANDOM.choice(VOCABULARY, 60))
+    sentences = [sentence(60) for _ in range(2)]
+    changed = [edited(x, 30 + 5 * k) for k, x in enumerate(sentences)]
+    plain = lambda n: " ".join(RANDOM.choice(VOCABULARY, n))
+    frame = docs(
+        (1, f"{plain(40)} {inner} {plain(40)}"),
+        (2, f"{plain(40)} {inner} {plain(40)}"),
+        (3, f"{prose(120)} {' '.join(sentences)} {prose(40)}"),
+        (4, f"{prose(120)} {' '.join(changed)} {prose(40)}"),
+        (5, "One. Two three four five six. " + plain(60)),  # a unit is not compared with its own line
+    )
+    assert removed_texts(frame) == [(2, inner), *((4, x) for x in changed)]
