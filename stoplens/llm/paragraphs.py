@@ -16,6 +16,10 @@ equal or, found and compared as lines are, nearly so. A unit is repeated if it,
 MIN_RUN words or more are a passage too, and so is each line nearly like another,
 while an exact stock phrase on its own is left alone.
 
+Rows are told apart by keys of their own, which sort as doc_ids do: rows that share
+a doc_id, or have none, get their text's hash and a number written once after it.
+Inside, doc_id is that key.
+
 A large cluster is first compared with its most copied member. What is similar to it
 needs no more comparing among itself; the rest is compared with all in blocks.
 """
@@ -63,12 +67,12 @@ SENTENCE = re.compile(r"\S.*?(?:[.!?](?=\s)|$)", re.DOTALL)
 # A row per line, and one per unit that may be near another (``whole`` is false, ``nth`` its number in the line).
 # ``unit`` is the document's number of the line's first unit. ``anchors`` of the document are in its first row.
 OCCURRENCES = (
-    "doc_id bigint, para int, unit int, whole boolean, nth int, pid bigint, bands array<bigint>, "
+    "doc_id binary, para int, unit int, whole boolean, nth int, pid bigint, bands array<bigint>, "
     "uids array<bigint>, starts array<int>, lengths array<int>, words array<int>, "
     "anchors array<bigint>, places array<int>"
 )
-WINDOWS = "hash bigint, doc_id bigint, pos int"
-PARTS = "doc_id bigint, para int, unit int, start int, length int, words int, kept_doc_id bigint, removed boolean"
+WINDOWS = "hash bigint, doc_id binary, pos int"
+PARTS = "doc_id binary, para int, unit int, start int, length int, words int, kept_doc_id binary, removed boolean"
 
 
 def tune_bands(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -248,7 +252,7 @@ def occurrences(docs: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
                     held, size = [], 0
             yield pd.DataFrame(list(occurrences_of(held, bands, rows)), columns=names)
 
-    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(lines, OCCURRENCES)
+    return docs.select("doc_id", "text").mapInPandas(lines, OCCURRENCES)
 
 
 # --- exact similarity -------------------------------------------------------
@@ -485,12 +489,12 @@ def parts_of(doc_id, text: str, units, ranges) -> Iterator[tuple]:
     ends = np.cumsum([p[3] for p in places])
     # 1: first of its kind, 2: to be removed; and the number of the row kept.
     state = np.zeros(len(spans), dtype=np.int8)
-    rows = [(ends[u["unit"]] - places[u["unit"]][3], ends[u["unit"]], u["kept_doc_id"], u["removed"]) for u in units]
+    rows = [(ends[u["unit"]] - places[u["unit"]][3], ends[u["unit"]], bytes(u["kept_doc_id"]), u["removed"]) for u in units]
     for r in ranges:
-        lo, hi, own = r["first"], r["last"] + PASSAGE, r["kept_doc_id"] == doc_id
+        lo, hi, own = r["first"], r["last"] + PASSAGE, bytes(r["kept_doc_id"]) == doc_id
         if own and 0 < r["shift"] < PASSAGE:  # the words of the first occurrence stay
             lo += PASSAGE - r["shift"]
-        rows.append((lo, hi, r["kept_doc_id"], not (own and r["shift"] == 0)))
+        rows.append((lo, hi, bytes(r["kept_doc_id"]), not (own and r["shift"] == 0)))
     numbers = {k: n for n, k in enumerate(sorted({r[2] for r in rows}))}
     names, kept = list(numbers), np.full(len(spans), len(numbers))
     for removed in (False, True):
@@ -537,10 +541,15 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run:
     Returns a row per unit, or part of one: doc_id, para (line number), unit (number in the
     document), start and length (code points), words, kept_doc_id (where it stays) and
     removed: true for all but the first, by doc_id and place. Copies within a document count. Case
-    and white space make no difference. Null and empty texts have no paragraphs. Rows
-    with a null doc_id, or one that other rows have too, take no part.
+    and white space make no difference. Null and empty texts have no paragraphs. Each row is a
+    document: those of one doc_id come in the order of their texts' hashes, those without last.
     """
-    docs = _told_apart(docs.select("doc_id", "text"))
+    found = _repeated(_told_apart(docs.select("doc_id", "text")), threshold, min_run)
+    return found.withColumns({c: _id_of(F.col(c)) for c in ("doc_id", "kept_doc_id")})
+
+
+def _repeated(docs: DataFrame, threshold: float, min_run: int) -> DataFrame:
+    """Rows of PARTS for ``docs`` (doc_id, a key; text)."""
     lines = staged(occurrences(docs, tune_bands(threshold)), "paragraphs")
     classes = staged(paragraph_classes(docs, lines, threshold), "paragraph-classes")
 
@@ -587,11 +596,32 @@ def _exploded(lines: DataFrame, carried: str) -> DataFrame:
     return each.select("doc_id", "para", *place, moved.alias("kept"), F.col("whole").alias("near"))
 
 
+def _sortable(x: Column) -> Column:
+    """The eight bytes of a bigint, which sort as it does."""
+    return F.unhex(F.lpad(F.hex(x.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+
+
+def _key_of(doc_id: Column) -> Column:
+    """A zero and the id; for a null a one, which sorts last."""
+    return F.when(doc_id.isNull(), F.unhex(F.lit("01"))).otherwise(F.concat(F.unhex(F.lit("00")), _sortable(doc_id)))
+
+
+def _id_of(key: Column) -> Column:
+    value = F.conv(F.hex(F.substring(key, 2, 8)), 16, 10).cast("decimal(20,0)") - F.expr("9223372036854775808BD")
+    return F.when(F.hex(F.substring(key, 1, 1)) == "00", value.cast("bigint"))
+
+
 def _told_apart(docs: DataFrame) -> DataFrame:
-    """Rows whose doc_id is their own."""
-    docs = docs.where("doc_id IS NOT NULL")
-    shared = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    return docs.join(staged(shared, "shared-ids"), "doc_id", "left_anti")
+    """``docs`` -> row (the whole of it), doc_id (a key no other row has) and text."""
+    columns = [F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "text"]
+    docs = docs.select(*columns)
+    shared = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    shared = staged(shared, "shared-ids")
+    own = docs.where("doc_id IS NOT NULL").join(shared, "doc_id", "left_anti").withColumn("doc_id", _key_of(F.col("doc_id")))
+    others = docs.join(shared, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    key = F.concat(_key_of(F.col("doc_id")), _sortable(F.xxhash64("text")), _sortable(F.monotonically_increasing_id()))
+    others = staged(others.withColumn("doc_id", key).select("row", "doc_id", "text"), "shared-rows")
+    return own.select("row", "doc_id", "text").unionAll(others)
 
 
 def cut_text(text: str | None, spans) -> str | None:
@@ -621,11 +651,11 @@ def without_repeats(docs: DataFrame, threshold: float = THRESHOLD, min_run: int
 
     Columns stay as they are. Rows of whose text nothing is left are dropped.
     """
-    found = repeated_paragraphs(docs, threshold, min_run).where("removed")
+    rows = _told_apart(docs)
+    found = _repeated(rows.select("doc_id", "text"), threshold, min_run).where("removed")
     spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
     spans = staged(spans.select(F.col("doc_id").alias("id"), "spans"), "spans")
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    joined = docs.select(row, "doc_id", "text").join(spans, F.col("doc_id") == F.col("id"), "left")
+    joined = rows.join(spans, F.col("doc_id") == F.col("id"), "left")
     cut = joined.withColumn("text", without_spans(F.col("text"), F.col("spans")))
     left = cut.where(F.col("spans").isNull() | (F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != ""))
     changed = F.col("spans").isNotNull()

@@ -155,3 +155,23 @@ def test_unpunctuated_passages_and_edited_sentences_are_found(docs):
         (5, "One. Two three four five six. " + plain(60)),  # a unit is not compared with its own line
     )
     assert removed_texts(frame) == [(2, inner), *((4, x) for x in changed)]
+
+
+def test_rows_that_share_an_id_or_have_none_take_part(docs):
+    mine, others = prose(64), [prose(40) for _ in range(6)]
+    frame = docs(
+        (-3, f"{others[0]} {PASSAGE}"),
+        (7, f"{others[1]} {PASSAGE}"),
+        (7, f"{others[2]} {PASSAGE}"),
+        (7, f"{others[2]} {PASSAGE}"),
+        (None, f"{others[3]} {PASSAGE}"),
+        (None, f"{others[4]} {mine}"),
+        (9, f"{others[5]} {mine}"),
+    )
+    found = [(r["doc_id"], r["kept_doc_id"]) for r in P.repeated_paragraphs(frame).collect() if r["removed"]]
+    assert set(found) == {(7, -3), (7, 7), (None, -3), (None, 9)}
+    left = sorted((str(r["doc_id"]), r["text"].strip()) for r in P.without_repeats(frame).collect())
+    # Of the two equal rows with id 7 nothing is left of one.
+    assert left == sorted(
+        [("-3", f"{others[0]} {PASSAGE}"), ("7", others[1]), ("7", others[2]), ("None", others[3]), ("None", others[4]), ("9", f"{others[5]} {mine}")]
+    )
