@@ -52,6 +52,8 @@ MIN_RUN = 35
 MIN_UNIT = 5
 # A unit of fewer words has no other at the threshold: four of five shingles are eight words.
 NEAR_UNIT = 8
+# Hashes a band of units: there are many units, so fewer and shorter bands of the same recall.
+NEAR_ROWS = 3
 BLOCK = 512
 SEED = 20240101
 # Words hashed together at least; texts are processed whole.
@@ -184,7 +186,7 @@ def unit_id(digest: int) -> int:
     return digest ^ 0x5DEECE66D1234567
 
 
-def occurrences_of(texts: list[tuple[int, str | None]], bands: int, rows: int = ROWS) -> Iterator[tuple]:
+def occurrences_of(texts: list[tuple[bytes, str | None]], bands: int, near_bands: int, rows: int = ROWS) -> Iterator[tuple]:
     """Rows of OCCURRENCES for (doc_id, text) pairs, hashed together."""
     found = []
     for doc_id, text in texts:
@@ -208,7 +210,7 @@ def occurrences_of(texts: list[tuple[int, str | None]], bands: int, rows: int =
     unit_sizes = np.array([len(u[2]) for f in found for u in f[4]])
     unit_of = np.repeat(np.arange(len(unit_sizes)), unit_sizes)
     within = inside(unit_of) & (np.repeat(unit_sizes, unit_sizes)[: len(shingles)] >= NEAR_UNIT)
-    unit_keys = iter(band_keys(shingles[within], unit_of[: len(within)][within], len(unit_sizes), bands, rows, 1 << 20))
+    unit_keys = iter(band_keys(shingles[within], unit_of[: len(within)][within], len(unit_sizes), near_bands, NEAR_ROWS, 1 << 20))
     ends = np.cumsum(sizes)
     heads = [k for k, f in enumerate(found) if f[2] == 0]
     anchors = {}
@@ -237,7 +239,7 @@ def occurrences_of(texts: list[tuple[int, str | None]], bands: int, rows: int =
                 yield doc_id, para, unit + k, False, k, unit_id(uid), near, [], [at], [u[1] - u[0]], [len(u[2])], [], []
 
 
-def occurrences(docs: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
+def occurrences(docs: DataFrame, bands: int, near_bands: int, rows: int = ROWS) -> DataFrame:
     """Each line with a word of ``docs`` (doc_id, text), and its units, with band keys (none under five words)."""
     names = [x.split()[0] for x in OCCURRENCES.split(", ")]
 
@@ -248,9 +250,9 @@ def occurrences(docs: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
                 held.append((doc_id, text))
                 size += len(text or "")
                 if size > 6 * CHUNK_WORDS:
-                    yield pd.DataFrame(list(occurrences_of(held, bands, rows)), columns=names)
+                    yield pd.DataFrame(list(occurrences_of(held, bands, near_bands, rows)), columns=names)
                     held, size = [], 0
-            yield pd.DataFrame(list(occurrences_of(held, bands, rows)), columns=names)
+            yield pd.DataFrame(list(occurrences_of(held, bands, near_bands, rows)), columns=names)
 
     return docs.select("doc_id", "text").mapInPandas(lines, OCCURRENCES)
 
@@ -550,7 +552,7 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run:
 
 def _repeated(docs: DataFrame, threshold: float, min_run: int) -> DataFrame:
     """Rows of PARTS for ``docs`` (doc_id, a key; text)."""
-    lines = staged(occurrences(docs, tune_bands(threshold)), "paragraphs")
+    lines = staged(occurrences(docs, tune_bands(threshold), tune_bands(threshold, rows=NEAR_ROWS)), "paragraphs")
     classes = staged(paragraph_classes(docs, lines, threshold), "paragraph-classes")
 
     # Lines and units nearly like others. Those exactly like others are found by their units.
