@@ -28,9 +28,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGNED = 8
 MIN_ACCESS = 16
 
-# What may be random: unbroken, with letters and digits both.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+# What may be random: unbroken, whatever it is made of.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 # Hexadecimal digests of the usual lengths, with or without a name before them.
 DIGEST = re.compile(
     r"(?:md5|sha1|sha224|sha256|sha384|sha512)?[-=_/]?"
@@ -45,6 +44,9 @@ IDENTIFIER = re.compile(
     r"|(?:[A-Za-z]+[/_=-]+)+\d+"
 )
 MAX_CHARS_PER_TOKEN = 1.9
+# Without digits a string may be a word. Lengths up to these have limits of their own, which of the
+# 1,111 distinct words of 16 letters and more in sf0.1/documents one is under.
+WORD_LIMITS = ((17, 1.75), (19, 1.85))
 PLACEHOLDER = "[SECRET]"
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -76,19 +78,31 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def is_random(string: str, tokens: int, limit: float = MAX_CHARS_PER_TOKEN) -> bool:
+    if not any(c.isdigit() for c in string):
+        limit = min([limit, *(x for most, x in WORD_LIMITS if len(string) <= most)])
     return tokens > 0 and len(string) / tokens <= limit
 
 
+def _covers(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether ``spans``, by start, have all places from ``start`` to ``end``."""
+    for s, e in spans:
+        if s > start:
+            break
+        start = max(start, e)
+    return start >= end
+
+
 def find_spans(text: str | None, encode, limit: float = MAX_CHARS_PER_TOKEN) -> list[tuple[str, int, int]]:
-    """Base spans, and spans of random strings apart from them, by start and kind."""
+    """Base spans, and spans of random strings that these don't cover, by start and kind."""
     if not text:
         return []
     found = base_spans(text)
+    base = sorted((s, e) for _, s, e in found)
     for m in CANDIDATE.finditer(text):
         string, (start, end) = m[0], m.span()
-        if not MIXED.match(string) or DIGEST.fullmatch(string) or IDENTIFIER.fullmatch(string):
+        if DIGEST.fullmatch(string) or IDENTIFIER.fullmatch(string):
             continue
-        if any(s < end and start < e for _, s, e in found):
+        if _covers(base, start, end):
             continue
         if is_random(string, len(encode(string)), limit):
             found.append(("random", start, end))
