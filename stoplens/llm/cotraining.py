@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import staged
-from .toxicity import MIN_ROWS, Model, ftrl
+from .toxicity import Model, ftrl
 
 BITS = 18
 # Labelled rows used at most (least hash of the id): four fifths train, one calibrates.
@@ -104,16 +104,12 @@ def _rows(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield text_view(text), page_view(*page)
 
 
-def views_of(docs: DataFrame, used: np.ndarray | None = None) -> DataFrame:
-    """``docs`` -> doc_id, text_view, page_view (coordinates, as bytes).
-
-    With ``used``, a mask, only the text coordinates it has.
-    """
+def views_of(docs: DataFrame) -> DataFrame:
+    """``docs`` -> doc_id, text_view, page_view (coordinates, as bytes)."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(a if used is None else a[used[a]], b) for a, b in _rows(batch)]
-            out = pd.DataFrame([(a.tobytes(), b.tobytes()) for a, b in rows], columns=["text_view", "page_view"])
+            out = pd.DataFrame([(a.tobytes(), b.tobytes()) for a, b in _rows(batch)], columns=["text_view", "page_view"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield out
 
@@ -193,16 +189,13 @@ def _is_apart(doc_id: int) -> bool:
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, rounds: int = ROUNDS) -> tuple[Quality, DataFrame]:
     """The model fitted on at most ``rows`` labelled rows and what all others add to them, and the views of ``docs``.
 
-    Text coordinates that fewer than MIN_ROWS labelled rows have are not used, which makes
-    the views short: they are worked out once, written, and read in every round.
+    Views are worked out once, written, and read in every round.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(F.max("quality").alias("label"))
     first = staged(known.orderBy(F.xxhash64("id"), "id").limit(rows), "labelled")
     labelled = _rows_of(views_of(_labelled_docs(docs, first)), first)
-    used = np.bincount(np.concatenate([r[2] for r in labelled] or [np.empty(0, dtype=np.int32)]), minlength=1 << BITS) >= MIN_ROWS
-    labelled = [(i, y, t[used[t]], p) for i, y, t, p in labelled]
-    views_table = staged(views_of(docs, used), "views")
+    views_table = staged(views_of(docs), "views")
     train = [r for r in labelled if not _is_apart(r[0])] or labelled
     apart = [r for r in labelled if _is_apart(r[0])] or labelled
     for_text, for_page = [(t, y) for _, y, t, _ in train], [(p, y) for _, y, _, p in train]

@@ -175,6 +175,13 @@ def test_quality_of_odd_rows(spark, odd_docs):
         assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_views_keep_words_that_no_labelled_row_has(docs, spark):
+    frame = docs(*((k, f"common words {k % 2}") for k in range(20)), (99, "unheard of"))
+    _, views = cotraining.fit_quality(frame, spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id bigint, quality int"))
+    row = views.where("doc_id = 99").collect()[0]
+    assert np.frombuffer(row["text_view"], dtype=np.int32).tolist() == cotraining.text_view("unheard of").tolist()
+
+
 # --- segmentations ----------------------------------------------------------
 
 
