@@ -3,8 +3,11 @@
 One classifier sees what the text says: its words, symbols, shapes of words and how
 often words repeat. The other sees the page: language, source, length and layout.
 Both start from labelled rows. In each round every unlabelled document is scored,
-and those one view is sure of become training rows of the other. At the end each
-view is calibrated on labelled rows kept apart, and the calibrated views are
+and all those one view is sure of become training rows of the other, but for those
+whose views are sure of opposite labels. They are dealt
+into shards, each is fitted with the labelled rows in a task of its own, and the
+shards' weights are averaged by their rows. Which coordinates are learned from is
+counted over all training rows. At the end each view is calibrated on labelled rows kept apart, and the calibrated views are
 combined there into one probability.
 """
 
@@ -21,15 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import staged
-from .toxicity import Model, ftrl
+from .toxicity import MIN_ROWS, Model, ftrl
 
 BITS = 18
 # Labelled rows used at most (least hash of the id): four fifths train, one calibrates.
 LABELLED_ROWS = 5000
 ROUNDS = 2
-# A view's share of a label beyond which it is sure, and how many rows of each label it passes on per round.
+# A view's share of a label beyond which it is sure.
 SURE = 0.95
-PASSED_ON = 200
+# Unlabelled documents per shard, about. There are as many shards as the documents need.
+SHARD = 10_000
+# Fixed point of weights that are added up, so that their order makes no difference.
+POINT = float(1 << 20)
 
 VIEWS = "doc_id bigint, text_view binary, page_view binary"
 WORD = re.compile(r"\w+")
@@ -152,8 +158,100 @@ def _labelled_docs(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(chosen.select("id")), docs["doc_id"] == chosen["id"], "left_semi")
 
 
-def _fit(rows: list[tuple]) -> Model:
-    return ftrl([x for x, _ in rows], [y for _, y in rows], bits=BITS, alpha=0.5, l1=2.0, l2=1.0, passes=4)
+def _fit(rows: list[tuple], held: np.ndarray | None = None) -> Model:
+    return ftrl([x for x, _ in rows], [y for _, y in rows], bits=BITS, alpha=0.5, l1=2.0, l2=1.0, passes=4, held=held)
+
+
+def _calibrated(views: Views, apart: list[tuple]) -> tuple[list[np.ndarray], tuple[np.ndarray, ...]]:
+    """The logits of the rows ``apart`` in each view, and each view's calibration there (slope, shift)."""
+    y = np.array([r[1] for r in apart], dtype=np.float64)
+    raw = [
+        np.array([m.intercept + m.dense()[x].sum(dtype=np.float64) for x in rows])
+        for m, rows in ((views.text, [r[2] for r in apart]), (views.page, [r[3] for r in apart]))
+    ]
+    if not len(y):  # nothing to learn from: every score is a half
+        return raw, (np.zeros(2), np.zeros(2))
+    return raw, tuple(logistic(x[:, None], y) for x in raw)
+
+
+def _passed_on(views: Views, by: tuple[np.ndarray, ...], batch: pd.DataFrame) -> Iterator[tuple[str, int, int, np.ndarray]]:
+    """(view, row, label, coordinates) of the rows of ``batch`` that the other view, calibrated, is sure of.
+
+    Where the views are sure of opposite labels, neither passes the row on.
+    """
+    sure = np.log(SURE / (1 - SURE))
+    logits = []
+    for model, name, (slope, shift) in ((views.text, "text_view", by[0]), (views.page, "page_view", by[1])):
+        dense = model.dense()
+        at = (np.frombuffer(x, dtype=np.int32) for x in batch[name])
+        logits.append([slope * (model.intercept + dense[x].sum(dtype=np.float64)) + shift for x in at])
+    for k, (text, page) in enumerate(zip(*logits, strict=True)):
+        if text * page < 0 and min(abs(text), abs(page)) >= sure:
+            continue
+        for name, other in (("text", page), ("page", text)):
+            if abs(other) >= sure:
+                yield name, k, int(other > 0), np.frombuffer(batch[f"{name}_view"].iat[k], dtype=np.int32)
+
+
+def _learned_from(unlabelled: DataFrame, views: Views, by: tuple[np.ndarray, ...], labelled: dict[str, list[tuple]]) -> dict[str, np.ndarray]:
+    """For each view, the coordinates that MIN_ROWS of the labelled rows and those passed on have."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = {name: np.zeros(1 << BITS, dtype=np.int64) for name in labelled}
+        for batch in batches:
+            for name, _, _, at in _passed_on(views, by, batch):
+                counts[name][at] += 1
+        for name, n in counts.items():
+            at = np.flatnonzero(n)
+            yield pd.DataFrame({"view": name, "at": at.astype(np.int32), "n": n[at]})
+
+    total = {name: np.bincount(np.concatenate([x for x, _ in rows] or [np.empty(0, dtype=np.int32)]), minlength=1 << BITS) for name, rows in labelled.items()}
+    found = unlabelled.mapInPandas(counted, "view string, at int, n bigint").groupBy("view", "at").agg(F.sum("n").alias("n"))
+    found = found.toPandas()
+    for name, n in total.items():
+        own = found[found["view"] == name]
+        n[own["at"].to_numpy(dtype=np.int64)] += own["n"].to_numpy(dtype=np.int64)
+    return {name: n >= MIN_ROWS for name, n in total.items()}
+
+
+def _refitted(unlabelled: DataFrame, shards: int, views: Views, by: tuple[np.ndarray, ...], labelled: dict[str, list[tuple]]) -> Views | None:
+    """Views fitted on ``labelled`` rows and all that ``views`` pass on; none if they pass nothing on."""
+    held = _learned_from(unlabelled, views, by, labelled)
+
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids, orders = batch["doc_id"].tolist(), batch["hash"].tolist()
+            rows = [(name, orders[k] % shards, orders[k], ids[k], y, x[held[name][x]].tobytes()) for name, k, y, x in _passed_on(views, by, batch)]
+            yield pd.DataFrame(rows, columns=["view", "shard", "hash", "doc_id", "label", "at"])
+
+    def fitted(batch: pd.DataFrame) -> pd.DataFrame:
+        name = batch["view"].iat[0]
+        # A document is a training row once, whatever repeats its id.
+        batch = batch.sort_values(["hash", "doc_id", "at", "label"]).drop_duplicates("doc_id")
+        added = [(np.frombuffer(x, dtype=np.int32), y) for x, y in zip(batch["at"], batch["label"].tolist(), strict=True)]
+        model = _fit([*labelled[name], *added], held[name])
+        at = np.concatenate((model.at, [-1, -2])).astype(np.int32)
+        sums = np.concatenate((model.weights, [model.intercept, 1.0])) * len(added) * POINT
+        return pd.DataFrame({"view": name, "at": at, "sum": np.rint(sums).astype(np.int64)})
+
+    rows = unlabelled.withColumn("hash", F.xxhash64("doc_id")).mapInPandas(
+        dealt, "view string, shard bigint, hash bigint, doc_id bigint, label int, at binary"
+    )
+    sums = rows.groupBy("view", "shard").applyInPandas(fitted, "view string, at int, sum bigint")
+    sums = sums.groupBy("view", "at").agg(F.sum("sum").alias("sum")).toPandas()
+    models = {}
+    for name, rows_of in labelled.items():
+        own = sums[sums["view"] == name]
+        at, total = own["at"].to_numpy(dtype=np.int64), own["sum"].to_numpy(dtype=np.float64)
+        if not len(own):
+            models[name] = None
+            continue
+        mean = dict(zip(at.tolist(), (total / total[at == -2][0]).tolist(), strict=True))
+        some = np.sort(at[at >= 0]).astype(np.int32)
+        models[name] = Model(mean[-1], some, np.array([mean[k] for k in some.tolist()], dtype=np.float32), BITS)
+    if not any(models.values()):
+        return None
+    return Views(models["text"] or views.text, models["page"] or views.page)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -195,41 +293,27 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, r
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(F.max("quality").alias("label"))
     first = staged(known.orderBy(F.xxhash64("id"), "id").limit(rows), "labelled")
     labelled = _rows_of(views_of(_labelled_docs(docs, first)), first)
-    views_table = staged(views_of(docs), "views")
+    # Joined once, as views are long.
+    found = views_of(docs).join(known.select("id"), F.col("doc_id") == F.col("id"), "left")
+    unknown = F.col("doc_id").isNotNull() & F.col("id").isNull()
+    written = staged(found.select("doc_id", "text_view", "page_view", unknown.alias("unlabelled")), "views")
+    views_table = written.drop("unlabelled")
     train = [r for r in labelled if not _is_apart(r[0])] or labelled
     apart = [r for r in labelled if _is_apart(r[0])] or labelled
-    for_text, for_page = [(t, y) for _, y, t, _ in train], [(p, y) for _, y, _, p in train]
-    views, taken = Views(_fit(for_text), _fit(for_page)), set()
-    sure = float(np.log(SURE / (1 - SURE)))
+    given = {"text": [(t, y) for _, y, t, _ in train], "page": [(p, y) for _, y, _, p in train]}
+    views = Views(_fit(given["text"]), _fit(given["page"]))
+    unlabelled = written.where("unlabelled").drop("unlabelled")
+    shards = max(1, round(views_table.count() / SHARD))
     for _ in range(rounds):
-        scored = staged(views.logits(views_table.where("doc_id IS NOT NULL")).join(known, F.col("doc_id") == F.col("id"), "left_anti"), "logits")
-        chosen: dict[int, dict[str, int]] = {}
-        for view, other in (("text_logit", "page"), ("page_logit", "text")):
-            for label, side in ((1, 1), (0, -1)):
-                certain = scored.where(F.col(view) * side >= sure)
-                best = certain.groupBy("doc_id").agg(F.min(view).alias("logit")).orderBy(
-                    F.abs("logit").desc(), F.xxhash64("doc_id"), "doc_id"
-                )
-                for r in best.limit(PASSED_ON + len(taken)).collect():
-                    if (r["doc_id"], other) not in taken and sum(x.get(other) == label for x in chosen.values()) < PASSED_ON:
-                        chosen.setdefault(r["doc_id"], {})[other] = label
-        if not chosen:
+        better = _refitted(unlabelled, shards, views, _calibrated(views, apart)[1], given)
+        if better is None:
             break
-        ids = docs.sparkSession.createDataFrame([(i, 0) for i in chosen], "id bigint, label int")
-        for i, _, text, page in _rows_of(views_table, ids):
-            for other, label in chosen[i].items():
-                taken.add((i, other))
-                (for_text if other == "text" else for_page).append((text if other == "text" else page, label))
-        views = Views(_fit(for_text), _fit(for_page))
+        views = better
 
     y = np.array([r[1] for r in apart], dtype=np.float64)
-    raw = [
-        np.array([m.intercept + m.dense()[x].sum(dtype=np.float64) for x in rows])
-        for m, rows in ((views.text, [r[2] for r in apart]), (views.page, [r[3] for r in apart]))
-    ]
-    if not len(y):  # nothing to learn from: every score is a half
-        return Quality(views, (np.zeros(2), np.zeros(2)), np.zeros(3)), views_table
-    calibrations = tuple(logistic(x[:, None], y) for x in raw)
+    raw, calibrations = _calibrated(views, apart)
+    if not len(y):
+        return Quality(views, calibrations, np.zeros(3)), views_table
     both = np.column_stack([c[0] * x + c[1] for c, x in zip(calibrations, raw, strict=True)])
     weights = logistic(both, y)
     # A view that would count against itself counts for nothing.

@@ -97,15 +97,18 @@ def ftrl(
     l1: float = 10.0,
     l2: float = 0.1,
     passes: int = PASSES,
+    held: np.ndarray | None = None,
 ) -> Model:
     """The model after ``passes`` over ``rows`` (distinct coordinates of each) in their order.
 
+    ``held`` is a mask of the coordinates to learn from: without it, those MIN_ROWS rows have.
     Without rows every score is 0; with one label only, the label's share.
     """
     if not rows or len(set(labels)) < 2:
         share = min(max(float(np.mean(labels)) if labels else 0.0, 1e-9), 1 - 1e-9)
         return Model(float(np.log(share / (1 - share))), bits=bits)
-    held = np.bincount(np.concatenate(rows), minlength=1 << bits) >= MIN_ROWS
+    if held is None:
+        held = np.bincount(np.concatenate(rows), minlength=1 << bits) >= MIN_ROWS
     rows = [np.append(r[held[r]], 1 << bits) for r in rows]  # the last coordinate is the intercept
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     penalty = np.full((1 << bits) + 1, l1)

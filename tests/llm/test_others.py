@@ -182,6 +182,28 @@ def test_views_keep_words_that_no_labelled_row_has(docs, spark):
     assert np.frombuffer(row["text_view"], dtype=np.int32).tolist() == cotraining.text_view("unheard of").tolist()
 
 
+def test_all_sure_documents_add_words_that_no_labelled_row_has(spark, monkeypatch):
+    random = np.random.default_rng(3)
+    rows, labels = [], []
+    for k in range(1500):
+        good = k % 2
+        known = k < 200  # later rows have other words, but the same pages
+        words = " ".join(f"{'good' if good else 'bad'}{'a' if known else 'b'}{x}" for x in random.integers(0, 10, 8))
+        rows.append((k, words, "en" if good else "xx", "a" if good else "b", 500 if good else 40))
+        if known:
+            labels.append((k, good))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    monkeypatch.setattr(cotraining, "SHARD", 700)
+    model, views = cotraining.fit_quality(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    new = [cotraining._coordinate(f"{kind}b{x}") for kind in ("good", "bad") for x in range(10)]
+    weights = model.views.text.dense()[new]
+    assert (weights[:10] > 0).all() and (weights[10:] < 0).all()
+    given = {"text": [], "page": []}
+    counted = cotraining._learned_from(views, model.views, model.calibrations, given)
+    passed = [x for x in cotraining._passed_on(model.views, model.calibrations, views.toPandas()) if x[0] == "text"]
+    assert len(passed) > 1000 and counted["text"][new].all()
+
+
 # --- segmentations ----------------------------------------------------------
 
 
