@@ -11,8 +11,11 @@ from stoplens.session import work_dir
 
 from .cotraining import fit_quality, score_quality
 from .lattice import sample_segmentations
+from .merkle import FIELDS, fold, leaf_digest, merkle_manifest, proof_digest
+from .mixing import mix_sources
 from .packing import pack_documents
 from .paragraphs import repeated_paragraphs
+from .periodic import find_runs, planted_text, strongest
 from .quality_rules import quality_rules
 from .secret_scan import BASE_KINDS, of_kinds, scan_secrets, span_text
 from .simhash import fingerprint_hex, simhash_groups
@@ -117,3 +120,47 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "log_inclusion",
         F.xxhash64("text").alias("decoded_hash"),
     )
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row is checked against its proof after its text has lost its line breaks, for ids with an even CRC."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    told = {name: F.col(name) for name in FIELDS}
+    fields = list(told.values())
+    told["text"] = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    claimed = {"claimed": leaf_digest(list(told.values()))}
+    found = merkle_manifest(table(spark, sf_dir, "documents"), leaf_digest(fields), keep=claimed)
+    found = found.withColumn("folded_root", fold(F.col("claimed"), F.col("path")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query("op13_source_mix")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = find_runs(docs.withColumn("text", planted_text(F.col("doc_id"), F.col("text"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )

@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_every_operator_has_a_query():
-    assert {x.split("_")[0] for x in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {x.split("_")[0] for x in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_components(spark):
