@@ -7,13 +7,15 @@ configuration, not here.
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import jobs
 from .schemas import LINE_STATS, WINDOW_STATS
 from .session import build_session
-from .sinks import stream_to_kafka, write_cassandra, write_kafka
+from .sinks import write_cassandra, write_kafka
+from .sinks.archive import ROWS_PER_FILE
 from .sources import read_routes, stream_kafka
 from .streaming import cassandra_table, console, run_to_end, start
 
@@ -44,11 +46,14 @@ def _parser() -> argparse.ArgumentParser:
     publish.add_argument("--topic", required=True)
     publish.add_argument("--follow", action="store_true", help="go on with new documents")
     publish.add_argument("--checkpoint", help="needed to follow")
+    publish.add_argument("--rejects", required=True, help="where texts that are no passages go")
     publish.add_argument("--every", default="1 minute")
 
     archive = command("archive", "messages to the partitioned archive")
     stream_arguments(archive, "earliest")
     archive.add_argument("--legacy-nulls", action="store_true")
+    archive.add_argument("--rejects", help="where messages that are no JSON objects go; <out>-rejects if not given")
+    archive.add_argument("--max-records", type=int, default=ROWS_PER_FILE, help="rows of a file")
 
     stats = command("line-stats", "line statistics of the archive")
     stats.add_argument("--lake", required=True)
@@ -87,6 +92,10 @@ def _checked(parser: argparse.ArgumentParser, args: argparse.Namespace) -> argpa
         parser.error(f"{args.job} needs --out")
     if args.job == "line-stats" and args.out and args.write_id is None:
         parser.error("line-stats --out needs --write-id")
+    if getattr(args, "cassandra_keyspace", None) and not args.rejects:
+        parser.error(f"{args.job} --cassandra-keyspace needs --rejects, as its keys may not be null")
+    if args.job == "publish" and args.follow and not args.checkpoint:
+        parser.error("publish --follow needs --checkpoint")
     return args
 
 
@@ -108,16 +117,21 @@ def main(argv: list[str] | None = None) -> None:
         f"stoplens-{args.job}", args.master, args.shuffle_partitions, args.time_zone
     )
     if args.job == "publish":
-        frame = jobs.publish_job(spark, args.snapshots, args.one_per_line, args.follow)
+        send = partial(write_kafka, servers=args.servers, topic=args.topic)
         if args.follow:
-            writer = stream_to_kafka(frame, args.servers, args.topic, args.checkpoint)
+            writer = jobs.follow_job(spark, args.snapshots, send, args.rejects, args.checkpoint, args.one_per_line)
             start(writer, args.every).awaitTermination()
         else:
-            write_kafka(frame, args.servers, args.topic)
+            jobs.publish_job(spark, args.snapshots, send, args.rejects, args.one_per_line)
     elif args.job == "archive":
         messages = _messages(spark, args)
         writer = jobs.archive_job(
-            messages, args.out, args.checkpoint, legacy_nulls=args.legacy_nulls
+            messages,
+            args.out,
+            args.checkpoint,
+            args.rejects,
+            max_records=args.max_records,
+            legacy_nulls=args.legacy_nulls,
         )
         _run_stream(writer, args)
     elif args.job == "line-stats":
@@ -126,8 +140,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         if args.cassandra_keyspace:
             rejects = write_cassandra(found, LINE_STATS, args.cassandra_keyspace)
-            if args.rejects:
-                rejects.write.mode("overwrite").parquet(args.rejects)
+            rejects.write.mode("overwrite").parquet(args.rejects)
         else:
             jobs.store_line_stats(found, args.out, args.write_id, args.rejects)
     elif args.job == "live-stats":
@@ -140,6 +153,7 @@ def main(argv: list[str] | None = None) -> None:
                 f"{args.checkpoint}/cassandra-{args.mode}",
                 WINDOW_STATS,
                 args.cassandra_keyspace,
+                args.rejects,
                 args.mode,
             )
         else:

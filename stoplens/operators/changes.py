@@ -21,12 +21,14 @@ def changes(
     order: Sequence[str] = ("gid",),
     carry: Sequence[str] = ("ligne", "direction", "heurepassage"),
     hot_rows: int = HOT_ROWS,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """``NEW`` for the first row of a key, ``UPDATE`` where its value differs
     from the row before; rows that repeat the value give nothing.
 
     NULL keys form one key and a NULL value equals a NULL value. Rows of equal
-    ``order`` are taken by value.
+    ``order`` are taken by value. ``before`` (key and value, a row per key) holds
+    the values that keys had before all of ``df``.
 
     A key of ``hot_rows`` rows or more is too much for one task to sort. The
     rows of such keys are range-partitioned on key and order, so that each
@@ -38,8 +40,14 @@ def changes(
     rows = df.select(*dict.fromkeys([key, value, *shown]))
     order = list(dict.fromkeys([*order, value]))
     hot, hot_total = _hot_keys(rows, key, hot_rows)
+    if before is not None:
+        before = before.select(key, value, F.lit(True).alias("_lead"))
     if hot is None:
-        return _compare(rows.withColumn("_slice", F.lit(0)), key, value, order, shown)
+        every = rows.withColumn("_slice", F.lit(0))
+        if before is not None:
+            every = every.withColumn("_lead", F.lit(False))
+            every = every.unionByName(before.withColumn("_slice", F.lit(0)), allowMissingColumns=True)
+        return _compare(every, key, value, order, shown)
 
     hot = F.broadcast(hot)
     is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
@@ -48,6 +56,11 @@ def changes(
     runs = _runs(rows.join(hot, is_hot, "left_semi"), [key, *order], slices)
     every = cold.unionByName(runs).withColumn("_lead", F.lit(False))
     every = every.unionByName(_leads(runs, key, order), allowMissingColumns=True)
+    if before is not None:
+        first = runs.groupBy(F.col(key).alias("_hot_key")).agg(F.min("_slice").alias("_slice"))
+        place = F.col(key).eqNullSafe(F.col("_hot_key"))
+        ahead = before.join(F.broadcast(first), place, "left").drop("_hot_key")
+        every = every.unionByName(ahead.fillna(0, subset=["_slice"]), allowMissingColumns=True)
     return _compare(every, key, value, order, shown)
 
 
@@ -99,7 +112,8 @@ def _compare(
     df: DataFrame, key: str, value: str, order: Sequence[str], shown: Sequence[str]
 ) -> DataFrame:
     """Rows unlike the one before them in their slice; leads only go before."""
-    seen = Window.partitionBy(key, "_slice").orderBy(*order)
+    ahead = [F.desc("_lead")] if "_lead" in df.columns else []
+    seen = Window.partitionBy(key, "_slice").orderBy(*ahead, *order)
     compared = df.withColumns(
         {
             "_old": F.lag(value).over(seen),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: how many characters of a route name a direction must contain.
@@ -21,6 +21,9 @@ ROUTE_COLUMNS = {
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Characters of a route name that the index of names goes by.
+GRAM = 8
+
 
 def text_bytes(df: DataFrame) -> int:
     """Size of a table of texts, allowing 16 bytes per field on top of the text."""
@@ -28,6 +31,14 @@ def text_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(reduce(add, widths)).alias("bytes")).first()["bytes"] or 0
 
 
+def _named(routes: DataFrame) -> DataFrame:
+    return routes.select(
+        F.col("ligne").alias("_line"),
+        F.col("nom_trace").substr(1, NAME_PREFIX).alias("_name"),
+        *[F.col(name).alias(alias) for name, alias in ROUTE_COLUMNS.items()],
+    )
+
+
 def match_routes(
     df: DataFrame,
     routes: DataFrame,
@@ -38,24 +49,57 @@ def match_routes(
 
     A row matching several routes is repeated, one matching none keeps NULLs.
     ``df`` may be a stream. The routes are measured first and broadcast only
-    up to ``max_broadcast_bytes``. Beyond that both sides are shuffled on
-    (line, salt), each route copied once per salt, so that a line with a large
-    share of the rows (or rows without a line) is spread over ``salts`` tasks.
+    up to ``max_broadcast_bytes``. Beyond that a batch goes by an index of the
+    names (``match_by_index``). A stream's sides are shuffled on (line, salt),
+    each route copied once per salt, so that a line with a large share of the
+    rows (or rows without a line) is spread over ``salts`` tasks.
     """
-    routes = routes.select(
-        F.col("ligne").alias("_line"),
-        F.col("nom_trace").substr(1, NAME_PREFIX).alias("_name"),
-        *[F.col(name).alias(alias) for name, alias in ROUTE_COLUMNS.items()],
-    )
+    if text_bytes(_named(routes)) > max_broadcast_bytes and not df.isStreaming:
+        return match_by_index(df, routes, salts)
+    routes = _named(routes)
     rows = df.columns
     match = (F.col("ligne") == F.col("_line")) & F.col("direction").contains(F.col("_name"))
-    if text_bytes(routes) <= max_broadcast_bytes:
-        routes = F.broadcast(routes)
-    else:
-        salted = F.pmod(F.xxhash64(*rows), F.lit(salts)).cast("int")
-        df = df.withColumn("_salt", salted)
-        routes = routes.withColumn(
-            "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        ).hint("merge")
+    if df.isStreaming and text_bytes(routes) > max_broadcast_bytes:
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(*rows), F.lit(salts)).cast("int"))
+        routes = routes.withColumn("_copy", _every(salts)).hint("merge")
         match = match & (F.col("_salt") == F.col("_copy"))
+    else:
+        routes = F.broadcast(routes)
     return df.join(routes, match, "left").select(*rows, *ROUTE_COLUMNS.values())
+
+
+def _every(salts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+
+
+def match_by_index(df: DataFrame, routes: DataFrame, salts: int = 32, gram: int = GRAM) -> DataFrame:
+    """``match_routes`` for a batch and any number of routes: equalities only, no line meets all its routes.
+
+    A name is found in a direction where its first ``gram`` characters are. So routes are
+    keyed by line and these characters, and each distinct (line, direction) asks for those
+    that stand somewhere in the direction: few pairs, however many rows. What it gets is
+    checked in full. The matches are joined back to the rows by pair. A pair of more than
+    its share of rows is not one task: rows are dealt over ``salts``, and so are copies of
+    the pair's matches, which are as many as its routes.
+    """
+    routes, rows = _named(routes).where("_line is not null and _name is not null"), df.columns
+    routes = routes.withColumn("_gram", F.left("_name", F.lit(gram)))
+    # Names shorter than the key are asked for by their own lengths, if there are any.
+    lengths = sorted(r[0] for r in routes.select(F.length("_gram")).distinct().collect())
+    pairs = df.select("ligne", "direction").where("ligne is not null and direction is not null").distinct()
+
+    def grams(length: int) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("direction") - length + 1))
+        return F.transform(places, lambda at: F.substring("direction", at, F.lit(length)))
+
+    asked = F.array_distinct(F.concat(*[grams(n) for n in lengths])) if lengths else F.array().cast("array<string>")
+    probes = pairs.select("ligne", "direction", F.explode(asked).alias("_gram"))
+    # Neither side is known to be small.
+    found = probes.join(routes.hint("merge"), (F.col("ligne") == F.col("_line")) & (probes["_gram"] == routes["_gram"]))
+    found = found.where(F.col("direction").contains(F.col("_name"))).select(
+        F.col("ligne").alias("_line"), F.col("direction").alias("_direction"), *ROUTE_COLUMNS.values()
+    )
+    found = found.withColumn("_copy", _every(salts))
+    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*rows), F.lit(salts)).cast("int"))
+    same = (F.col("ligne") == F.col("_line")) & (F.col("direction") == F.col("_direction")) & (F.col("_salt") == F.col("_copy"))
+    return dealt.join(found.hint("merge"), same, "left").select(*rows, *ROUTE_COLUMNS.values())

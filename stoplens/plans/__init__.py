@@ -1,6 +1,7 @@
 from .jobs import (
     archive_job,
     changes_job,
+    follow_job,
     line_stats_job,
     live_stats,
     live_stats_job,

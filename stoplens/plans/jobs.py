@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import line_stats, serving_filter
 from ..schemas import LINE_STATS, WINDOW_STATS, feed_fields
-from ..sinks import archive, publish_frame, write_serving
+from ..sinks import archive_records, publish_stream, record_frame, split_once, write_serving
 from ..sources import (
     decode,
-    explode_snapshot,
+    decode_records,
     read_lake,
     read_serving,
     read_snapshots,
+    snapshot_records,
     stream_snapshots,
     typed_passages,
 )
@@ -25,6 +26,7 @@ from ..streaming import (
     live_window_stats,
     replace_table,
     upsert_table,
+    write_changes,
 )
 
 # Part of the checkpoint path. Raise it when a stream's grouping or state
@@ -41,18 +43,42 @@ def _checkpoint(root: str, name: str) -> str:
 
 
 def publish_job(
-    spark: SparkSession, snapshots: str, one_per_line: bool = False, follow: bool = False
-) -> DataFrame:
-    """Snapshot documents to keyed messages; ``follow`` takes new ones as a stream."""
-    read = stream_snapshots if follow else read_snapshots
-    return publish_frame(explode_snapshot(read(spark, snapshots, one_per_line)))
+    spark: SparkSession,
+    snapshots: str,
+    send: Callable[[DataFrame], None],
+    rejects_path: str,
+    one_per_line: bool = False,
+) -> None:
+    """Passages of snapshot documents to ``send`` as key and value, each as its text stands.
+
+    Documents and elements that are none go to ``rejects_path`` with the reason.
+    """
+    records = snapshot_records(read_snapshots(spark, snapshots, one_per_line))
+    split_once(records, lambda good: send(record_frame(good)), rejects_path)
+
+
+def follow_job(
+    spark: SparkSession,
+    snapshots: str,
+    send: Callable[[DataFrame], None],
+    rejects_path: str,
+    checkpoint: str,
+    one_per_line: bool = False,
+) -> DataStreamWriter:
+    """``publish_job`` for new documents as they come."""
+    records = snapshot_records(stream_snapshots(spark, snapshots, one_per_line))
+    return publish_stream(records, send, rejects_path, _checkpoint(checkpoint, "publish"))
 
 
 def archive_job(
-    messages: DataFrame, lake: str, checkpoint: str, **options: object
+    messages: DataFrame, lake: str, checkpoint: str, rejects_path: str | None = None, **options: object
 ) -> DataStreamWriter:
-    """Messages to the partitioned archive."""
-    return archive(decode(messages), lake, _checkpoint(checkpoint, "archive"), **options)
+    """Messages to the partitioned archive, with their whole texts.
+
+    Those that are no JSON objects go to ``rejects_path``, by default ``<lake>-rejects``.
+    """
+    rejects_path = rejects_path or f"{lake.rstrip('/')}-rejects"
+    return archive_records(decode_records(messages), lake, _checkpoint(checkpoint, "archive-records"), rejects_path, **options)
 
 
 def line_stats_job(
@@ -115,12 +141,26 @@ def live_stats_job(
 
 
 def changes_job(
-    messages: DataFrame, path: str, checkpoint: str, order: str = "kafka_ts", **options: object
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    order: str = "kafka_ts",
+    state_path: str | None = None,
+    slice_width: float | None = None,
+    **options: object,
 ) -> DataStreamWriter:
-    """Messages to change events of each passage id."""
-    fields = feed_fields("id", "gid", *COUNTED)
-    events = changes_stream(decode(messages, schema=fields), order=order, **options)
-    return append_table(events, path, _checkpoint(checkpoint, "changes"))
+    """Messages to change events of each passage id.
+
+    The last values are in a table at ``state_path``, by default ``<path>-state``. They outlast
+    the checkpoint: after a change of SHAPE, known ids still give UPDATE. With ``slice_width``
+    they are in the stream's own state store instead (``changes_stream``), and don't.
+    """
+    rows = decode(messages, schema=feed_fields("id", "gid", *COUNTED))
+    if slice_width is not None:
+        events = changes_stream(rows, order=order, slice_width=slice_width, **options)
+        return append_table(events, path, _checkpoint(checkpoint, "changes"))
+    state_path = state_path or f"{path.rstrip('/')}-state"
+    return write_changes(rows, path, state_path, _checkpoint(checkpoint, "changes"), order=[order], **options)
 
 
 def serving_job(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -42,7 +43,18 @@ def feed_fields(*names: str) -> T.StructType:
     return T.StructType([field for field in FEED_SCHEMA.fields if field.name in wanted])
 
 
-SNAPSHOT_SCHEMA = T.StructType([T.StructField("values", T.ArrayType(FEED_SCHEMA), True)])
+# An archived row is text, with the whole message as ``record``; its folders say when it came.
+ARCHIVE_PARTS = ("year", "month", "day", "hour")
+
+
+def archive_schema(extra: Sequence[str] = ()) -> T.StructType:
+    """The columns of the archive, and the text columns ``extra``."""
+    texts = dict.fromkeys([*FEED_SCHEMA.fieldNames(), "kafka_ts", "record", *extra], TEXT)
+    return _struct(**texts, **dict.fromkeys(ARCHIVE_PARTS, T.IntegerType()))
+
+
+# What could not be read, and why.
+REJECTS_SCHEMA = _struct(record=TEXT, reason=TEXT, kafka_ts=T.TimestampType())
 
 ROUTES_SCHEMA = _struct(
     ligne=TEXT,

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import passage_json, publish_key
+from .rejects import split_stream
 
 # Delivery settings of the feed's publisher.
 PRODUCER_OPTIONS = {
@@ -24,6 +28,18 @@ def publish_frame(passages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def record_frame(records: DataFrame) -> DataFrame:
+    """``key`` and ``value`` of JSON texts (record), each published as it stands.
+
+    Only the key's fields are read, as text, so a line or number of any JSON type counts.
+    Other columns are kept.
+    """
+    fields = F.from_json("record", "ligne string, gid string").alias("_key")
+    others = [c for c in records.columns if c != "record"]
+    key = publish_key("_key.ligne", "_key.gid").alias("key")
+    return records.select("record", *others, fields).select(key, F.col("record").alias("value"), *others)
+
+
 def _settings(servers: str, topic: str, options: dict[str, str] | None) -> dict[str, str]:
     return {
         "kafka.bootstrap.servers": servers,
@@ -56,3 +72,21 @@ def stream_to_kafka(
         .options(**settings)
         .option("checkpointLocation", checkpoint)
     )
+
+
+def publish_stream(
+    records: DataFrame,
+    send: Callable[[DataFrame], None],
+    rejects_path: str,
+    checkpoint: str,
+) -> DataStreamWriter:
+    """``send`` gets key and value of each micro-batch's passages; what is none goes to ``rejects_path``.
+
+    ``send`` may be ``write_kafka`` with its settings. After a failure a micro-batch is sent
+    again, as with any Kafka sink.
+    """
+
+    def write(good: DataFrame, batch_id: int) -> None:
+        send(record_frame(good))
+
+    return split_stream(records, write, rejects_path, checkpoint)

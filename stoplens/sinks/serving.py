@@ -58,6 +58,12 @@ def compact_serving(
     write_serving(read_serving(spark, path, table), new_path, table, write_id)
 
 
+def for_cassandra(good: DataFrame, table: ServingTable) -> DataFrame:
+    """``good`` as rows that Cassandra can hold: key columns that may be NULL here are empty texts there."""
+    optional = [name for name in table.keys if name not in table.required]
+    return conform(good, table).fillna("", subset=optional) if optional else conform(good, table)
+
+
 def write_cassandra(
     df: DataFrame, table: ServingTable, keyspace: str, truncate: bool = False
 ) -> DataFrame:
@@ -66,7 +72,7 @@ def write_cassandra(
     Needs the Cassandra connector on the classpath.
     """
     good, rejects = split_rejects(df, table)
-    writer = conform(good, table).write.format("org.apache.spark.sql.cassandra")
+    writer = for_cassandra(good, table).write.format("org.apache.spark.sql.cassandra")
     writer = writer.options(table=table.name, keyspace=keyspace)
     if truncate:
         writer = writer.option("confirm.truncate", "true")

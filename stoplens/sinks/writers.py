@@ -15,19 +15,34 @@ from pyspark.sql import SparkSession
 from ..sources.written import WRITER, exists, has_log
 
 
-def stream_folder(spark: SparkSession, path: str, checkpoint: str) -> str:
-    """The folder of the stream with this checkpoint.
+def checkpoint_mark(checkpoint: str) -> str:
+    """A short name for the stream with this checkpoint."""
+    checkpoint = checkpoint.rstrip("/")
+    return f"{posixpath.basename(checkpoint)}-{hashlib.sha256(checkpoint.encode()).hexdigest()[:8]}"
+
+
+def own_folder(path: str, checkpoint: str) -> str:
+    """The folder of the stream with this checkpoint."""
+    return f"{path.rstrip('/')}/{WRITER}{checkpoint_mark(checkpoint)}"
+
 
-    Refuses a folder whose log the checkpoint doesn't know, as after a checkpoint
-    was removed: its batches would be taken for written ones and lost.
+def checked_folder(spark: SparkSession, path: str, checkpoint: str) -> str:
+    """``own_folder``, unless it holds rows that the checkpoint doesn't know of.
+
+    So it is after a checkpoint was removed: the numbers of its batches begin anew, and
+    rows would be taken for written ones and lost, or replace others.
     """
-    checkpoint = checkpoint.rstrip("/")
-    mark = hashlib.sha256(checkpoint.encode()).hexdigest()[:8]
-    folder = f"{path.rstrip('/')}/{WRITER}{posixpath.basename(checkpoint)}-{mark}"
-    if has_log(spark, folder) and not exists(spark, f"{checkpoint}/metadata"):
+    folder = own_folder(path, checkpoint)
+    if exists(spark, folder) and not exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
         raise ValueError(f"{folder} was written with another checkpoint at {checkpoint}; choose a new one")
     return folder
 
 
+def stream_folder(spark: SparkSession, path: str, checkpoint: str) -> str:
+    """The folder of a stream's file sink. Refuses one whose log the checkpoint doesn't know."""
+    folder = own_folder(path, checkpoint)
+    return checked_folder(spark, path, checkpoint) if has_log(spark, folder) else folder
+
+
 def batch_folder(path: str) -> str:
     return f"{path.rstrip('/')}/{WRITER}batch"

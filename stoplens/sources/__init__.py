@@ -1,4 +1,14 @@
-from .feed import decode, explode_snapshot, read_snapshots, stream_snapshots, typed_passages
+from .feed import (
+    decode,
+    decode_records,
+    explode_snapshot,
+    good_records,
+    read_snapshots,
+    rejected_records,
+    snapshot_records,
+    stream_snapshots,
+    typed_passages,
+)
 from .lake import read_lake
 from .routes import read_routes
 from .serving import read_serving
@@ -7,12 +17,16 @@ from .written import read_written
 
 __all__ = [
     "decode",
+    "decode_records",
     "explode_snapshot",
+    "good_records",
     "read_lake",
     "read_routes",
     "read_serving",
     "read_snapshots",
     "read_written",
+    "rejected_records",
+    "snapshot_records",
     "stream_files",
     "stream_kafka",
     "stream_snapshots",

@@ -1,9 +1,11 @@
 from .changes import changes_stream
+from .changes_table import write_changes
 from .dedup import dedup_stream
 from .sinks import (
     append_table,
     cassandra_table,
     console,
+    finish,
     replace_table,
     run_to_end,
     start,
@@ -17,9 +19,11 @@ __all__ = [
     "changes_stream",
     "console",
     "dedup_stream",
+    "finish",
     "live_window_stats",
     "replace_table",
     "run_to_end",
     "start",
     "upsert_table",
+    "write_changes",
 ]

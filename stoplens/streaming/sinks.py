@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,17 +70,32 @@ def upsert_table(
 
 
 def cassandra_table(
-    stats: DataFrame, checkpoint: str, table: ServingTable, keyspace: str, mode: str = "update"
+    stats: DataFrame,
+    checkpoint: str,
+    table: ServingTable,
+    keyspace: str,
+    rejects_path: str,
+    mode: str = "update",
+    write: Callable[..., DataFrame] = write_cassandra,
 ) -> DataStreamWriter:
-    """Update mode upserts changed rows, complete mode replaces the table."""
+    """Update mode upserts changed rows, complete mode replaces the table.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_cassandra(batch, table, keyspace, truncate=mode == "complete")
+    Rows without a required key go to ``rejects_path``, a folder for each micro-batch; with
+    complete mode only the last one is the table's. ``write`` is what puts the rows.
+    """
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            rejects = write(kept, table, keyspace, truncate=mode == "complete")
+            rejects.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/write_id={batch_id}")
+        finally:
+            kept.unpersist()
 
     return (
         stats.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        .foreachBatch(upsert)
     )
 
 
@@ -107,6 +123,19 @@ def start(writer: DataStreamWriter, every: str = "1 minute") -> StreamingQuery:
         return writer.trigger(processingTime=every).start()
 
 
+def finish(query: StreamingQuery, seconds: float = 600) -> None:
+    """Stop a stream between two micro-batches, or after ``seconds``; raises what it failed with.
+
+    What is stopped within a micro-batch is done again at the next start.
+    """
+    until = time.monotonic() + seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.05)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
     """Process what is there now, then stop; the next run goes on from there."""
     with _state_on_disk():

@@ -16,8 +16,8 @@ from stoplens.operators import (
     realtime_rows,
     window_stats,
 )
-from stoplens.operators.routes import text_bytes
-from workload.fixtures import passages, routes
+from stoplens.operators.routes import match_by_index, text_bytes
+from workload.fixtures import named_passages, named_routes, passages, routes
 
 
 def rows(df):
@@ -94,6 +94,32 @@ def test_match_routes_cases(spark):
     assert match_routes(df, routes(spark)).count() == 6
 
 
+def test_match_by_index_equals_brute_force(spark):
+    pick = random.Random(8)
+    text = lambda n: "".join(pick.choice("ab ") for _ in range(n))
+    names = [None, "", *[text(pick.choice([1, 2, 3, 7, 8, 9, 12, 55])) for _ in range(60)]]
+    table = [(pick.choice([None, "hot", "hot", "L"]), f"c{k}", name, "", "", "", "") for k, name in enumerate(names)]
+    ways = [None, "", *[text(pick.choice([3, 8, 20, 70])) for _ in range(20)], *[f"x{n}y" for n in names if n]]
+    feed = [(k, pick.choice([None, "hot", "hot", "hot", "L", "M"]), pick.choice(ways)) for k in range(300)]
+    df = spark.createDataFrame(feed, "gid int, ligne string, direction string")
+    kinds = "ligne string, code_trace string, nom_trace string, sens string, nom_origine string, nom_destination string, pmr string"
+    found = match_by_index(df, spark.createDataFrame(table, kinds), salts=3)
+    expected = []
+    for gid, line, way in feed:
+        codes = [r[1] for r in table if None not in (line, way, r[2]) and r[0] == line and r[2][:50] in way]
+        expected += [(gid, code) for code in codes or [None]]
+    assert sorted(map(repr, map(tuple, found.select("gid", "route_code").collect()))) == sorted(map(repr, expected))
+    none = match_by_index(df, spark.createDataFrame([], kinds))
+    assert none.where("route_code is null").count() == len(feed)
+
+
+def test_index_joins_by_equalities_only(spark, sf_dir, plan):
+    text = plan(match_by_index(named_passages(spark, sf_dir), named_routes(spark, sf_dir)))
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    joins = [x for x in text.splitlines() if "Join " in x and "_gram" in x]
+    assert len(joins) == 1 and "ligne" in joins[0]
+
+
 def test_route_name_is_compared_by_its_first_characters(spark):
     name = "x" * 50
     table = routes(spark).limit(0).unionByName(

@@ -8,6 +8,7 @@ from stoplens.operators import changes, keep_first, window_stats
 from stoplens.plans import changes_job, live_stats_job
 from stoplens.schemas import WINDOW_STATS
 from stoplens.sources import read_serving, read_written, stream_files
+from stoplens.sources.written import matching
 from stoplens.streaming import (
     append_table,
     changes_stream,
@@ -17,7 +18,9 @@ from stoplens.streaming import (
     replace_table,
     run_to_end,
     upsert_table,
+    write_changes,
 )
+from stoplens.streaming.last_values import LastValues
 from workload.fixtures import EVENTS_SCHEMA, as_passages, passages, routes
 from workload.queries import as_messages
 
@@ -184,3 +187,90 @@ def test_change_job_orders_by_arrival_time(spark, sf_dir, tmp_path, options):
     columns = ["event", "id", "at", *carry, "old_value", "new_value"]
     assert found.select(*columns).exceptAll(expected.select(*columns)).isEmpty()
     assert expected.select(*columns).exceptAll(found.select(*columns)).isEmpty()
+
+
+CHANGE_ROWS = "gid bigint, id string, delaipassage string"
+
+
+def change_files(spark, tmp_path, items, batches):
+    """A stream of ``items`` dealt over files, a micro-batch each."""
+    import time
+
+    size = len(items) // batches
+    for at in range(batches):
+        part = spark.createDataFrame(items[at * size : (at + 1) * size], CHANGE_ROWS)
+        part.orderBy(F.rand(at)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(1.1)
+    return stream_files(spark, f"{tmp_path}/in", spark.createDataFrame([], CHANGE_ROWS).schema, files_per_batch=1)
+
+
+def random_changes(seed, n=160, keys=(None, "hot", "hot", "hot", "a", "b")):
+    rng = random.Random(seed)
+    return [(at // 2, rng.choice(keys), rng.choice([None, "None", "1 min", "2 min"])) for at in range(n)]
+
+
+def events_at(spark, path):
+    rows = read_written(spark, path).select("event", "id", "gid", "old_value", "new_value")
+    return sorted((tuple(r) for r in rows.collect()), key=repr)
+
+
+@pytest.mark.parametrize(("hot_rows", "batches", "compact_every"), [(1_000_000, 1, 50), (10, 4, 2), (1_000_000, 4, 1)])
+def test_changes_by_table_equal_brute_force(spark, tmp_path, hot_rows, batches, compact_every):
+    items = random_changes(hot_rows + batches)
+    stream = change_files(spark, tmp_path, items, batches)
+    options = {"order": ["gid"], "carry": (), "hot_rows": hot_rows, "compact_every": compact_every}
+    run_to_end(write_changes(stream, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/c", **options))
+    assert events_at(spark, f"{tmp_path}/out") == brute_changes(items)
+    if batches == 4:
+        # What a repeat of the last micro-batch may read is kept, nothing else.
+        folders = sorted(x.rsplit("/", 1)[1] for x in matching(spark, f"{tmp_path}/state/*=*") if "first" not in x)
+        assert folders == ({2: ["base=1", "base=3", "delta=2", "delta=3"], 1: ["base=2", "base=3", "delta=3"]}[compact_every])
+
+
+def test_known_ids_stay_known_on_a_new_checkpoint(spark, tmp_path, monkeypatch):
+    """As after the shape of a stream was raised."""
+    from stoplens.plans import jobs
+
+    def messages(path, *waits):
+        texts = [(f'{{"id":"p{k}","gid":{k},"delaipassage":"{w}"}}', k) for k, w in enumerate(waits)]
+        rows = spark.createDataFrame(texts, "value string, at bigint")
+        rows.selectExpr("CAST(value AS BINARY) AS value", "timestamp_seconds(at) AS timestamp").write.parquet(path)
+        return stream_files(spark, path, "value binary, timestamp timestamp")
+
+    run_to_end(changes_job(messages(f"{tmp_path}/in1", "1 min", "2 min"), f"{tmp_path}/out", f"{tmp_path}/c"))
+    monkeypatch.setattr(jobs, "SHAPE", jobs.SHAPE + 1)
+    run_to_end(changes_job(messages(f"{tmp_path}/in2", "1 min", "3 min", "9 min"), f"{tmp_path}/out", f"{tmp_path}/c"))
+    found = read_written(spark, f"{tmp_path}/out").select("event", "id", "old_value", "new_value")
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [("NEW", "p0", None, "1 min"), ("NEW", "p1", None, "2 min"), ("UPDATE", "p1", "2 min", "3 min"), ("NEW", "p2", None, "9 min")], key=repr
+    )
+
+
+def test_repeated_changes_replace_themselves(spark, tmp_path):
+    items = random_changes(3, n=80)
+    stream = change_files(spark, tmp_path, items, 2)
+    options = {"order": ["gid"], "carry": (), "compact_every": 1}
+    writer = lambda: write_changes(stream, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/c", **options)
+    run_to_end(writer())
+    for name in ("1", ".1.crc"):  # as after a failure between the write and the commit
+        (tmp_path / "c" / "commits" / name).unlink(missing_ok=True)
+    run_to_end(writer())
+    assert events_at(spark, f"{tmp_path}/out") == brute_changes(items)
+
+
+def test_last_values_before_a_number(spark, tmp_path):
+    schema = spark.createDataFrame([], "id string, wait string").schema
+    table = LastValues(spark, f"{tmp_path}/state", *schema.fields, compact_every=3)
+    assert table.before(0).count() == 0
+    for n, rows in enumerate([[("a", "1"), (None, "x")], [("a", None)], [("b", "2")], [(None, "y")]]):
+        table.put(spark.createDataFrame(rows, schema), n)
+    values = lambda n: dict(map(tuple, table.before(n).collect()))
+    assert values(4) == {"a": None, None: "y", "b": "2"} and values(3) == {"a": None, None: "x", "b": "2"}
+    (tmp_path / "state" / "delta=3" / "_SUCCESS").unlink()  # a write that did not end
+    assert values(4) == values(3)
+
+
+def test_changes_by_table_run_in_the_jvm(spark, plan):
+    df = spark.createDataFrame(random_changes(1), CHANGE_ROWS)
+    before = spark.createDataFrame([("a", "1 min")], "id string, delaipassage string")
+    assert "Python" not in plan(changes(df, carry=(), before=before)) and "Pandas" not in plan(changes(df, carry=(), hot_rows=10, before=before))

@@ -8,6 +8,7 @@ repeated (id, stamp) pairs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -58,6 +59,24 @@ PART_ROUTES = {
     "pmr": "CASE WHEN p_size % 3 = 0 THEN 'True' WHEN p_size % 3 = 1 THEN 'False' END",
 }
 
+# Passages and routes that both grow: a direction names one route by its number. Most are of
+# one line, some have no line or name, and some names are shorter than the index's key.
+NAMED_PASSAGES = {
+    "gid": "event_id",
+    "ligne": "CASE event_id % 9 WHEN 0 THEN NULL WHEN 1 THEN '93' WHEN 2 THEN '93' ELSE 'C7' END",
+    "direction": (
+        "CASE WHEN event_id % 7 <> 0 THEN concat('Vers ', p_name, ' ', lpad(CAST(p_partkey AS {text}), 9, '0'), ' centre') END"
+    ),
+}
+NAMED_ROUTES = {
+    **PART_ROUTES,
+    "ligne": "CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '93' ELSE 'C7' END",
+    "nom_trace": (
+        "CASE WHEN p_partkey % 6 = 0 THEN NULL WHEN p_partkey % 97 = 50 THEN lpad(CAST(p_partkey AS {text}), 7, '0') "
+        "ELSE concat(p_name, ' ', lpad(CAST(p_partkey AS {text}), 9, '0')) END"
+    ),
+}
+
 
 def columns_sql(columns: dict[str, str], words: dict[str, str]) -> list[str]:
     return [f"{text.format(**words)} AS {name}" for name, text in columns.items()]
@@ -85,6 +104,22 @@ def part_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.selectExpr(*columns_sql(PART_ROUTES, SPARK_WORDS))
 
 
+def named_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
+    named = events(spark, sf_dir).join(parts, F.expr(f"p_partkey = event_id % {parts.count()}"))
+    return named.selectExpr(*columns_sql(NAMED_PASSAGES, SPARK_WORDS))
+
+
+def named_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return parts.selectExpr(*columns_sql(NAMED_ROUTES, SPARK_WORDS))
+
+
+DUCKDB_NAMED_PASSAGES = (
+    "SELECT " + ", ".join(columns_sql(NAMED_PASSAGES, DUCKDB_WORDS))
+    + " FROM events JOIN part ON p_partkey = event_id % (SELECT count(*) FROM part)"
+)
+DUCKDB_NAMED_ROUTES = "SELECT " + ", ".join(columns_sql(NAMED_ROUTES, DUCKDB_WORDS)) + " FROM part"
 DUCKDB_PASSAGES = (
     "SELECT " + ", ".join(columns_sql(PASSAGE_COLUMNS, DUCKDB_WORDS))
     + " FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)"

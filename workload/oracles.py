@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .fixtures import DUCKDB_PART_ROUTES, DUCKDB_PASSAGES, ROUTES_SQL
-from .queries import MID_MONTH, STAGE, STAGES
+from .fixtures import DUCKDB_NAMED_PASSAGES, DUCKDB_NAMED_ROUTES, DUCKDB_PART_ROUTES, DUCKDB_PASSAGES, ROUTES_SQL
+from .queries import DOCUMENT, MESSAGE, MID_MONTH, PASSAGE, SNAPSHOT_SIZE, STAGE, STAGES
 
 FIRST_INT = r"try_cast(regexp_extract(delaipassage, '(\d+)', 1) AS FLOAT)"
 DELAY = r"""CASE
@@ -59,11 +59,12 @@ def line_stats(source: str, parser: str = FIRST_INT, max_wait: int = 15) -> str:
     return stats_by("ligne, direction", live)
 
 
-def changes(key: str = "id") -> str:
+def changes(key: str = "id", order: str = "gid", shown: str = "gid") -> str:
     return f"""{PASSAGES}, ordered AS (
   SELECT *, row_number() OVER seen AS nth, lag(delaipassage) OVER seen AS old_value
-  FROM (SELECT * REPLACE ({key} AS id) FROM passages) WINDOW seen AS (PARTITION BY id ORDER BY gid))
-SELECT CASE WHEN nth = 1 THEN 'NEW' ELSE 'UPDATE' END AS event, id, gid, ligne, direction, heurepassage,
+  FROM (SELECT * REPLACE ({key} AS id), heurepassage AS kafka_ts, {STAGE} AS stage FROM passages)
+  WINDOW seen AS (PARTITION BY id ORDER BY {order}))
+SELECT CASE WHEN nth = 1 THEN 'NEW' ELSE 'UPDATE' END AS event, id, {shown}, ligne, direction, heurepassage,
   old_value, delaipassage AS new_value
 FROM ordered WHERE nth = 1 OR old_value IS DISTINCT FROM delaipassage"""
 
@@ -81,13 +82,35 @@ timely AS (SELECT s.* EXCLUDE (stage) FROM staged s JOIN marks USING (stage)
   WHERE watermark IS NULL
      OR time_bucket(INTERVAL '10 minutes', heurepassage) + INTERVAL '10 minutes' > watermark)"""
 
+FIELDS = ", ".join(
+    f"'{c}', " + (f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%fZ')" if c == "heurepassage" else c) for c in PASSAGE
+)
+RECORDS = f""", records AS (
+  SELECT *, CAST(json_object({FIELDS}, 'quai', concat('Q', CAST(gid % 5 AS VARCHAR)),
+    'infos', json_object('niveau', gid % 3, 'texte', ligne)) AS VARCHAR) AS record FROM passages)"""
+KEY = "coalesce(ligne, CAST(gid AS VARCHAR), '0') AS key"
+
 SINCE = "TIMESTAMP '" + MID_MONTH + "'"
 
 ORACLES: dict[str, str] = {
     "passages": f"{PASSAGES} SELECT * FROM passages",
     "routes_scan": DUCKDB_PART_ROUTES,
     "snapshot_explode": f"{PASSAGES} SELECT * FROM passages",
-    "snapshot_publish": f"{PASSAGES} SELECT coalesce(ligne, CAST(gid AS VARCHAR), '0') AS key, gid FROM passages",
+    "snapshot_publish": f"{PASSAGES}{RECORDS} SELECT {KEY}, gid, record AS value FROM records",
+    "corrupt_documents": f"""{PASSAGES}{RECORDS}, polls AS (
+  SELECT gid // {SNAPSHOT_SIZE} AS poll, concat('{{"values":[', string_agg(record, ',' ORDER BY gid), ']}}') AS whole
+  FROM records GROUP BY 1)
+SELECT record, NULL AS reason FROM records WHERE (gid // {SNAPSHOT_SIZE}) % 5 IN (0, 3)
+UNION ALL SELECT {DOCUMENT.format(text="VARCHAR")}, 'not a JSON object' FROM polls WHERE poll % 5 IN (1, 2)
+UNION ALL SELECT unnest([concat('text ', CAST(poll AS VARCHAR)), CAST(poll AS VARCHAR), NULL]),
+  'values hold no object here' FROM polls WHERE poll % 5 = 3""",
+    "archived_records": f"""{PASSAGES}{RECORDS} SELECT {MESSAGE} AS record,
+  CASE WHEN gid % 50 < 2 THEN 'not a JSON object' END AS reason,
+  CASE WHEN gid % 50 > 2 THEN CAST(gid AS VARCHAR) END AS gid, CASE WHEN gid % 50 > 1 THEN ligne END AS ligne,
+  CAST(hour(heurepassage) AS INT) AS hour FROM records""",
+    "lake_root_layout": f"""{PASSAGES} SELECT * REPLACE (nullif(delaipassage, 'None') AS delaipassage),
+  CAST(year(heurepassage) AS INT) AS year, CAST(month(heurepassage) AS INT) AS month,
+  CAST(day(heurepassage) AS INT) AS day, CAST(hour(heurepassage) AS INT) AS hour FROM passages""",
     "snapshot_publish_stream": f"{PASSAGES} SELECT * FROM passages",
     "publish_keyed": f"""{PASSAGES} SELECT coalesce(ligne, CAST(gid AS VARCHAR), '0') AS key, gid, id, ligne,
   direction, delaipassage, type, last_update_fme, 'absent' AS coursetheorique FROM passages""",
@@ -122,6 +145,8 @@ SELECT * FROM first_seen WHERE type = 'E' AND delaipassage IS NOT NULL""",
     "line_stats_delay_text": f"{PASSAGES} {line_stats('passages', DELAY, 90)}",
     "route_enrich": f"{PASSAGES}{enriched('passages')} SELECT * FROM enriched",
     "route_enrich_shuffled": f"{PASSAGES}{enriched('passages')} SELECT * FROM enriched",
+    "route_enrich_indexed": f"""WITH passages AS ({DUCKDB_NAMED_PASSAGES}), routes AS ({DUCKDB_NAMED_ROUTES})
+{enriched("passages")} SELECT * FROM enriched""",
     "conditional_count": f"""{PASSAGES} SELECT ligne, direction, count(*) AS total_passages,
   count(CASE WHEN type = 'E' THEN 1 END) AS realtime_count FROM passages GROUP BY ligne, direction""",
     "window_stats": f"{PASSAGES}{windows()} SELECT * FROM windows",
@@ -138,6 +163,7 @@ WHERE window_ts + INTERVAL '10 minutes' <= (SELECT max(heurepassage) FROM passag
     "change_events": changes(),
     "change_events_sliced": changes("ligne"),
     "change_events_stream": changes(),
+    "change_events_staged": changes(order="stage, kafka_ts, delaipassage NULLS FIRST", shown="kafka_ts"),
     "serving_upsert": f"""{PASSAGES}, late AS (
   SELECT * FROM passages WHERE heurepassage >= {SINCE} AND ligne <> 'T1'),
 month_stats AS ({line_stats('passages')}), late_stats AS ({line_stats('late')}),

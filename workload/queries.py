@@ -17,6 +17,7 @@ from stoplens.functions import (
     first_int_minutes,
     json_field,
     passage_json,
+    string_columns,
     stringify,
 )
 from stoplens.operators import (
@@ -38,14 +39,15 @@ from stoplens.operators import (
 from stoplens.plans import (
     archive_job,
     changes_job,
+    follow_job,
     line_stats_job,
     live_stats_job,
     publish_job,
     serving_job,
 )
-from stoplens.schemas import LINE_STATS, WINDOW_STATS
+from stoplens.schemas import ARCHIVE_PARTS, LINE_STATS, WINDOW_STATS
 from stoplens.session import work_dir
-from stoplens.sinks import archive, backfill_archive, publish_frame, write_serving
+from stoplens.sinks import archive, backfill_archive, publish_frame, read_rejects, write_serving
 from stoplens.sources import (
     decode,
     explode_snapshot,
@@ -55,10 +57,11 @@ from stoplens.sources import (
     read_snapshots,
     read_written,
     stream_files,
+    typed_passages,
 )
 from stoplens.streaming import append_table, dedup_stream, live_window_stats, run_to_end
 
-from .fixtures import EVENTS_SCHEMA, as_passages, part_routes, passages, routes
+from .fixtures import EVENTS_SCHEMA, as_passages, named_passages, named_routes, part_routes, passages, routes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,17 +95,36 @@ def routes_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_routes(spark, path)
 
 
-def write_snapshots(spark: SparkSession, sf_dir: str) -> str:
-    """Snapshot documents of SNAPSHOT_SIZE passages each, one per line."""
+# Fields the feed's schema does not declare.
+UNDECLARED = {
+    "quai": "concat('Q', CAST(gid % 5 AS STRING))",
+    "infos": "named_struct('niveau', gid % 3, 'texte', ligne)",
+}
+
+
+def records(rows: DataFrame) -> DataFrame:
+    """Passages with their JSON texts, undeclared fields among them."""
+    return rows.selectExpr("*", *[f"{text} AS {name}" for name, text in UNDECLARED.items()]).withColumn("record", passage_json(*PASSAGE, *UNDECLARED))
+
+
+# What documents hold beside or instead of their passages, by poll modulo 5: a text cut
+# short, values that are no array, elements that are no passages, no values at all.
+DOCUMENT = """CASE poll % 5 WHEN 1 THEN left(whole, length(whole) - 3)
+  WHEN 2 THEN concat('{{"values":{{"poll":', CAST(poll AS {text}), '}}}}')
+  WHEN 3 THEN concat(left(whole, length(whole) - 2), ',"text ', CAST(poll AS {text}), '",', CAST(poll AS {text}), ',null]}}')
+  WHEN 4 THEN concat('{{"poll":', CAST(poll AS {text}), '}}') ELSE whole END"""
+
+
+def write_snapshots(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
+    """Snapshot documents of SNAPSHOT_SIZE passages each, one per line; some ``broken``."""
     path = work_dir(spark, "snapshots")
-    (
-        passages(spark, sf_dir)
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("gid", "record"))), lambda x: x["record"])
+    documents = (
+        records(passages(spark, sf_dir))
         .groupBy(F.floor(F.col("gid") / SNAPSHOT_SIZE).alias("poll"))
-        .agg(F.collect_list(F.struct(*PASSAGE)).alias("values"))
-        .select("values")
-        .write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-        .json(path)
+        .agg(F.concat(F.lit('{"values":['), F.array_join(texts, ","), F.lit("]}")).alias("whole"))
     )
+    documents.select(F.expr(DOCUMENT.format(text="STRING")) if broken else "whole").write.text(path)
     return path
 
 
@@ -114,16 +136,29 @@ def snapshot_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("snapshot_publish")
 def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = publish_job(spark, write_snapshots(spark, sf_dir), one_per_line=True)
-    return frame.select("key", json_field("value", "gid").cast("bigint").alias("gid"))
+    out = work_dir(spark, "publish")
+    send = lambda frame: frame.write.parquet(f"{out}/messages")
+    publish_job(spark, write_snapshots(spark, sf_dir), send, f"{out}/rejects", one_per_line=True)
+    frame = spark.read.parquet(f"{out}/messages")
+    return frame.select("key", json_field("value", "gid").cast("bigint").alias("gid"), "value")
 
 
 @query("snapshot_publish_stream")
 def snapshot_publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = work_dir(spark, "publish")
-    frame = publish_job(spark, write_snapshots(spark, sf_dir), one_per_line=True, follow=True)
-    run_to_end(append_table(frame, f"{out}/messages", f"{out}/checkpoint"))
-    return decode(read_written(spark, f"{out}/messages"), arrival=None).select(*PASSAGE)
+    out = work_dir(spark, "publish-stream")
+    send = lambda frame: frame.write.mode("append").parquet(f"{out}/messages")
+    run_to_end(follow_job(spark, write_snapshots(spark, sf_dir), send, f"{out}/rejects", f"{out}/checkpoint", one_per_line=True))
+    return decode(spark.read.parquet(f"{out}/messages"), arrival=None).select(*PASSAGE)
+
+
+@query("corrupt_documents")
+def corrupt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was published and what was put aside of documents some of which are broken."""
+    out = work_dir(spark, "corrupt")
+    send = lambda frame: frame.write.parquet(f"{out}/messages")
+    publish_job(spark, write_snapshots(spark, sf_dir, broken=True), send, f"{out}/rejects", one_per_line=True)
+    sent = spark.read.parquet(f"{out}/messages").select(F.col("value").alias("record"), F.lit(None).cast("string").alias("reason"))
+    return sent.unionByName(read_rejects(spark, f"{out}/rejects").drop("kafka_ts"))
 
 
 @query("publish_keyed")
@@ -213,6 +248,37 @@ def replayed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_stats_job(spark, f"{out}/lake")
 
 
+# Messages by gid modulo 50: cut short, an array, a number as text, any other.
+MESSAGE = """CASE gid % 50 WHEN 0 THEN left(record, length(record) - 2) WHEN 1 THEN concat('[', record, ']')
+  WHEN 2 THEN replace(record, '"gid":', '"gid":"no","n":') ELSE record END"""
+
+
+@query("archived_records")
+def archived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts of archived messages and of those put aside, some of which are broken."""
+    out = work_dir(spark, "archive-records")
+    rows = records(stream_passages(spark, sf_dir))
+    messages = rows.select(F.expr(MESSAGE).cast("binary").alias("value"), F.col("heurepassage").alias("timestamp"))
+    run_to_end(archive_job(messages, f"{out}/lake", f"{out}/checkpoint"))
+    kept = read_lake(spark, f"{out}/lake").select("record", F.lit(None).cast("string").alias("reason"), "gid", "ligne", "hour")
+    aside = read_rejects(spark, f"{out}/lake-rejects")
+    return kept.unionByName(aside.select("record", "reason", F.hour("kafka_ts").alias("hour")), allowMissingColumns=True)
+
+
+@query("lake_root_layout")
+def lake_root_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month of a lake with hour folders at its root, to which two writers have added."""
+    out = work_dir(spark, "root-lake")
+    rows = passages(spark, sf_dir)
+    parts = [part.alias(name) for name, part in arrival_parts("heurepassage").items()]
+    old = rows.where("gid % 3 = 0").select(*string_columns(PASSAGE, legacy_nulls=True), *parts)
+    old.write.partitionBy(*ARCHIVE_PARTS).parquet(f"{out}/lake")
+    backfill_archive(rows.where("gid % 3 = 1"), f"{out}/lake", "heurepassage")
+    stream = stream_passages(spark, sf_dir).where("gid % 3 = 2")
+    run_to_end(archive(stream, f"{out}/lake", f"{out}/checkpoint", "heurepassage"))
+    return typed_passages(read_lake(spark, f"{out}/lake", 2024, 1)).select(*ARCHIVED)
+
+
 # --- scalar functions, filters, de-duplication ------------------------------
 
 
@@ -285,6 +351,12 @@ def route_enrich_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_routes(passages(spark, sf_dir), routes(spark), max_broadcast_bytes=0, salts=4)
 
 
+@query("route_enrich_indexed")
+def route_enrich_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes that grow with the data, by the index of their names."""
+    return match_routes(named_passages(spark, sf_dir), named_routes(spark, sf_dir), max_broadcast_bytes=0)
+
+
 @query("conditional_count")
 def live_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conditional_count(passages(spark, sf_dir))
@@ -360,6 +432,9 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_written(spark, f"{out}/table")
 
 
+CHANGED = ["ligne", "direction", "heurepassage", "old_value", "new_value"]
+
+
 # --- changes ----------------------------------------------------------------
 
 
@@ -379,8 +454,23 @@ def change_events_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "changes")
     messages = as_messages(stream_passages(spark, sf_dir))
-    run_to_end(changes_job(messages, f"{out}/events", f"{out}/checkpoint", order="gid", slice_width=1_000_000))
-    return read_written(spark, f"{out}/events")
+    run_to_end(changes_job(messages, f"{out}/events", f"{out}/checkpoint", order="gid"))
+    return read_written(spark, f"{out}/events").select("event", "id", "gid", *CHANGED)
+
+
+@query("change_events_staged")
+def change_events_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job as it is by default over several micro-batches, restarted for each.
+
+    The topic's order is by stage, then time, then value.
+    """
+    out = work_dir(spark, "changes-staged")
+    staged = passages(spark, sf_dir).withColumn("stage", F.expr(STAGE))
+    for stage in range(STAGES):
+        as_messages(staged.where(F.col("stage") == stage)).write.mode("append").parquet(f"{out}/in")
+        stream = stream_files(spark, f"{out}/in", "value binary, timestamp timestamp")
+        run_to_end(changes_job(stream, f"{out}/events", f"{out}/checkpoint", compact_every=2))
+    return read_written(spark, f"{out}/events").select("event", "id", "kafka_ts", *CHANGED)
 
 
 # --- serving ----------------------------------------------------------------
