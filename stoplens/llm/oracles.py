@@ -74,18 +74,18 @@ FROM f
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
-c AS (SELECT vec_id, unnest(range(len(v))) AS d, unnest(v) AS x FROM v),
+c AS (SELECT r, vec_id, unnest(range(len(v))) AS d, unnest(v) AS x FROM v),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
-  FROM c AS q JOIN c ON q.d = c.d AND q.vec_id <> c.vec_id
+  SELECT q.r, c.r AS other, q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM c AS q JOIN c ON q.d = c.d AND q.r <> c.r
   WHERE q.vec_id % 50 = 0 GROUP BY ALL
 ),
 r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+  SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

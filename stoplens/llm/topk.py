@@ -30,23 +30,23 @@ def _finite(x: Column) -> Column:
 
 
 def integer_vectors(table: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and floor(scale * x) of each component; unusable rows are left out."""
+    """vec_id, floor(scale * x) of each component and a number for the row; unusable rows are left out."""
     usable = table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
     usable = usable.where(F.forall("embedding", _finite))
     ints = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    return usable.select("vec_id", ints.alias("v"))
+    return usable.select("vec_id", ints.alias("v"), F.monotonically_increasing_id().alias("row"))
 
 
 class SortedLists:
-    """A block of vectors (rows of ``values``) with each dimension sorted."""
+    """A block of vectors (rows of ``values``) with each dimension sorted; ``own`` tells rows that share an id apart."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
-        self.ids, self.values = ids, values
+    def __init__(self, ids: np.ndarray, values: np.ndarray, own: np.ndarray | None = None) -> None:
+        self.ids, self.values, self.own = ids, values, ids if own is None else own
         self.order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(values, self.order, axis=0)
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best other vectors, ties to smaller ids."""
+    def search(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best vectors but the row ``own``, ties to smaller ids."""
         n, used = len(self.ids), np.flatnonzero(query)
         up, down = used[query[used] > 0], used[query[used] < 0]
         met, found, scores = np.zeros(n, dtype=bool), np.empty(0, dtype=np.int64), np.empty(0, dtype=query.dtype)
@@ -58,7 +58,7 @@ class SortedLists:
             else:
                 now[self.order[n - hi : n - lo, up].ravel()] = True
                 now[self.order[lo:hi, down].ravel()] = True
-            new = np.flatnonzero(now & ~met & (self.ids != query_id))
+            new = np.flatnonzero(now & ~met & (self.own != own))
             met |= now
             found = np.concatenate((found, new))
             scores = np.concatenate((scores, self.values[new] @ query))
@@ -92,17 +92,19 @@ def _exact(a: np.ndarray, b: np.ndarray) -> type:
 
 
 def search_block(queries: pd.DataFrame, block: pd.DataFrame, k: int = K) -> pd.DataFrame:
-    """The k best of ``block`` for each of ``queries`` (vec_id, v)."""
-    out = [(np.empty(0, dtype=np.int64),) * 3]
-    if len(queries) and len(block):
+    """The k best of ``block`` for each of ``queries`` (vec_id, v, row)."""
+    out = [(np.empty(0, dtype=np.int64),) * 4]
+    # A side without rows may come as the group's columns only.
+    if "v" in queries and "v" in block and len(queries) and len(block):
         width = max(max(map(len, queries["v"])), max(map(len, block["v"])))
         q, x = _matrix(queries["v"], width), _matrix(block["v"], width)
         kind = _exact(q, x)
-        lists, q = SortedLists(block["vec_id"].to_numpy(), x.astype(kind)), q.astype(kind)
-        for query_id, query in zip(queries["vec_id"].tolist(), q, strict=True):
-            ids, scores = lists.search(query_id, query, k)
-            out.append((np.full(len(ids), query_id), ids, scores.astype(np.int64)))
-    names = ("query_id", "vec_id", "score")
+        lists = SortedLists(block["vec_id"].to_numpy(), x.astype(kind), block["row"].to_numpy())
+        q = q.astype(kind)
+        for query_id, own, query in zip(queries["vec_id"].tolist(), queries["row"].tolist(), q, strict=True):
+            ids, scores = lists.search(own, query, k)
+            out.append((np.full(len(ids), query_id), np.full(len(ids), own), ids, scores.astype(np.int64)))
+    names = ("query_id", "row", "vec_id", "score")
     return pd.DataFrame({c: np.concatenate(x) for c, x in zip(names, zip(*out, strict=True), strict=True)})
 
 
@@ -110,23 +112,24 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, scale: int = SCALE) ->
     """For each row of ``table`` (vec_id, embedding) that ``is_query`` holds for, its k best others.
 
     Returns query_id, rank (from 1), vec_id, score: fewer than k rows where there are
-    fewer others, none for a lone vector. A vec_id stands for one vector: of rows that
-    share one, the least vector counts. Missing components of shorter vectors are zero.
-    Rows with a null id, or a null vector or one with null or non-finite components,
-    take no part.
+    fewer others, none for a lone vector or an empty table. Equal scores rank by smaller
+    vec_id. Rows that share a vec_id are queries and candidates of their own. Missing
+    components of shorter vectors are zero. Rows with a null id, or a null vector or one
+    with null or non-finite components, take no part; other columns may have any names
+    (``is_query`` is asked of vec_id only).
     """
-    vectors = integer_vectors(table, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
+    vectors = integer_vectors(table, scale)
     vectors = staged(vectors.withColumn("q", F.coalesce(is_query, F.lit(False))), "vectors")
     n, n_queries = vectors.agg(F.count("*"), F.count_if("q")).first()
     blocks = max(MIN_BLOCKS, -(-n // CANDIDATES))
     query_blocks = max(1, -(-n_queries // QUERIES))
 
     def dealt(parts: int, seed: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(parts)).cast("int")
+        return F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(parts)).cast("int")
 
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    candidates = vectors.select("vec_id", "v", dealt(blocks, 0).alias("block"), every(query_blocks).alias("part"))
-    queries = vectors.where("q").select("vec_id", "v", every(blocks).alias("block"), dealt(query_blocks, 1).alias("part"))
+    candidates = vectors.select("vec_id", "v", "row", dealt(blocks, 0).alias("block"), every(query_blocks).alias("part"))
+    queries = vectors.where("q").select("vec_id", "v", "row", every(blocks).alias("block"), dealt(query_blocks, 1).alias("part"))
 
     def search(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         return search_block(asked, block, k)
@@ -134,7 +137,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, scale: int = SCALE) ->
     found = (
         queries.groupBy("block", "part")
         .cogroup(candidates.groupBy("block", "part"))
-        .applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+        .applyInPandas(search, "query_id bigint, row bigint, vec_id bigint, score bigint")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

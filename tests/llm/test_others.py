@@ -64,11 +64,27 @@ def test_unusable_vectors_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.5, 0.0]), (2, [nan, 1.0]), (3, [inf, 1.0]), (4, None), (5, [None, 1.0]), (None, [9.0, 9.0]), (6, [0.5]), (7, [])]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     found = top_k(frame, F.col("vec_id") % 50 == 0).orderBy("rank").collect()
-    assert [tuple(r) for r in found] == [(0, 1, 1, 256 * 128), (0, 2, 6, 256 * 128), (0, 3, 7, 0)]
+    # The two rows with id 1 are two candidates.
+    assert [tuple(r) for r in found] == [(0, 1, 1, 256 * 128), (0, 2, 1, 256 * 128), (0, 3, 6, 256 * 128), (0, 4, 7, 0)]
     assert top_k(frame.where("vec_id = 0"), F.lit(True)).count() == 0
     assert top_k(frame.where("vec_id < 0"), F.lit(True)).count() == 0
 
 
+def test_rows_that_share_an_id_are_vectors_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.25, 0.0]), (1, [0.5, 0.0]), (1, [0.9, 0.0]), (1, [0.5, 0.0])]
+    frame = spark.createDataFrame([(*r, 7, True) for r in rows], "vec_id bigint, embedding array<float>, row int, q boolean")
+    found = sorted(tuple(r) for r in top_k(frame, F.col("vec_id") % 50 == 0, k=4).collect())
+    of = lambda own, others: [(0, k + 1, i, own * x) for k, (i, x) in enumerate(others)]
+    assert found == sorted(of(256, [(1, 230), (1, 128), (1, 128), (0, 64)]) + of(64, [(0, 256), (1, 230), (1, 128), (1, 128)]))
+
+
+def test_shared_ids_equal_sql(spark, sf_dir, tmp_path):
+    table(spark, sf_dir, "embeddings").withColumn("vec_id", F.expr("vec_id DIV 3 * 2")).coalesce(1).write.parquet(f"{tmp_path}/e")
+    (part,) = (tmp_path / "e").glob("part-*.parquet")
+    part.rename(tmp_path / "embeddings.parquet")
+    assert spark_rows(QUERIES["op1_exact_top_k"](spark, str(tmp_path))) == duckdb_rows(connect(str(tmp_path)), ORACLES["op1_exact_top_k"])
+
+
 # --- archives ---------------------------------------------------------------
 
 PAGES = "page_id bigint, url string, html string, payload string, digest int"
@@ -143,6 +159,12 @@ def test_toxicity_of_odd_rows(spark, odd_docs, docs):
     assert toxicity.score_toxicity(docs(), toxicity.Model(0.0)).count() == 0
 
 
+def test_toxicity_with_clashing_columns(spark, docs):
+    frame = docs(*[(k, "good words here" if k % 2 else "bad words there") for k in range(60)]).withColumns({"id": F.lit(1), "toxic": F.lit(0), "at": F.lit("x")})
+    labels = spark.createDataFrame([(k, 1 - k % 2, "t", 0) for k in range(60)], "doc_id bigint, toxic int, text string, id int")
+    assert toxicity.score_toxicity(frame, toxicity.fit_toxicity(frame, labels)).count() == 60
+
+
 def test_l1_leaves_few_weights():
     random = np.random.default_rng(6)
     rows, labels = [], []
