@@ -149,7 +149,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, bi
             found = [np.unique(features(x, bits)).tobytes() for x in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "toxic": batch["toxic"], "at": found})
 
-    texts = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["id"]).select("id", "toxic", "text")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "toxic", "text")
     found = texts.mapInPandas(coordinates, "id bigint, toxic int, at binary")
     got = found.orderBy(F.xxhash64("id"), "id", "at").limit(rows).collect()
     return [np.frombuffer(r["at"], dtype=np.int32) for r in got], [r["toxic"] for r in got]
@@ -172,8 +172,9 @@ def score_texts(text: Column, model: Model) -> Column:
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, held_out, score, predicted; a row for each row.
 
-    A null text, and one without words, is scored by the intercept. The label, language,
-    source and id of a row have no part in its score.
+    A null text, and one without words, is scored by the intercept; a long one whole, by one
+    task. The label, language, source and id of a row have no part in its score, so rows that
+    share a text share it. Other columns may have any names; an empty table gives no rows.
     """
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_texts(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
