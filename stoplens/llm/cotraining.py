@@ -41,6 +41,8 @@ VIEWS = "doc_id bigint, text_view binary, page_view binary"
 WORD = re.compile(r"\w+")
 SYMBOLS = re.compile(r"[^\w\s]+")
 CACHE_WORDS = 200_000
+# Ids whose least row a task remembers while it deals rows out.
+KNOWN_IDS = 10_000
 
 
 def _coordinate(name: str) -> int:
@@ -219,9 +221,17 @@ def _refitted(unlabelled: DataFrame, shards: int, views: Views, by: tuple[np.nda
     held = _learned_from(unlabelled, views, by, labelled)
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        least: dict[tuple, tuple] = {}
         for batch in batches:
-            ids, orders = batch["doc_id"].tolist(), batch["hash"].tolist()
-            rows = [(name, orders[k] % shards, orders[k], ids[k], y, x[held[name][x]].tobytes()) for name, k, y, x in _passed_on(views, by, batch)]
+            ids, orders, rows = batch["doc_id"].tolist(), batch["hash"].tolist(), []
+            if len(least) > KNOWN_IDS:
+                least.clear()
+            for name, k, y, x in _passed_on(views, by, batch):
+                row = (x[held[name][x]].tobytes(), y)
+                # Of rows that share an id the least one trains, so others needn't travel.
+                if row < least.get((name, ids[k]), (row[0], y + 1)):
+                    least[name, ids[k]] = row
+                    rows.append((name, orders[k] % shards, orders[k], ids[k], y, row[0]))
             yield pd.DataFrame(rows, columns=["view", "shard", "hash", "doc_id", "label", "at"])
 
     def fitted(batch: pd.DataFrame) -> pd.DataFrame:
@@ -287,14 +297,15 @@ def _is_apart(doc_id: int) -> bool:
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, rounds: int = ROUNDS) -> tuple[Quality, DataFrame]:
     """The model fitted on at most ``rows`` labelled rows and what all others add to them, and the views of ``docs``.
 
-    Views are worked out once, written, and read in every round.
+    Views are worked out once, written, and read in every round. Documents whose labels are beyond
+    ``rows`` are unlabelled ones. Without documents or labels every score is a half.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(F.max("quality").alias("label"))
     first = staged(known.orderBy(F.xxhash64("id"), "id").limit(rows), "labelled")
     labelled = _rows_of(views_of(_labelled_docs(docs, first)), first)
-    # Joined once, as views are long.
-    found = views_of(docs).join(known.select("id"), F.col("doc_id") == F.col("id"), "left")
+    # The sample's ids are bounded, so views, which are long, are marked where they are made.
+    found = views_of(docs).join(F.broadcast(first.select("id")), F.col("doc_id") == F.col("id"), "left")
     unknown = F.col("doc_id").isNotNull() & F.col("id").isNull()
     written = staged(found.select("doc_id", "text_view", "page_view", unknown.alias("unlabelled")), "views")
     views_table = written.drop("unlabelled")
