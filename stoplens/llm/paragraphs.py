@@ -1,21 +1,19 @@
 """Substring dedup: paragraphs that repeat, exactly or nearly, across documents.
 
-A paragraph is a line. Its five-word shingles are min-hashed, and paragraphs whose
-hashes agree throughout a band share a key. Keys tie paragraphs into loose clusters;
-within each, exact Jaccard similarities are computed and only pairs that reach the
-threshold are linked. Components of these links, with exact copies counted once,
-are the classes; of each class the first occurrence stays.
+A paragraph is a line. It is also cut into units, sentences of at least five words. Their
+five-word shingles are min-hashed, and those whose hashes agree throughout a band share a
+key. Keys tie them into loose clusters; within each, exact Jaccard similarities are
+computed and only pairs that reach the threshold are linked. Components of these links,
+with exact copies counted once, are the classes; of each class the first occurrence
+stays. A repeated line of MIN_LINE words or more counts on its own; shorter ones and
+units do in a run of repeated ones of MIN_RUN words, be they exact copies or near ones.
+A stock phrase on its own is left alone.
 
 Passages keep neither to lines nor to sentences. So every window of PASSAGE words that
 occurs twice is found as well, whatever stops are in it: of each window the least hash
 of its GRAM-word grams is its anchor, and windows whose anchor occurs twice are
 compared by a hash of all their words. A passage is what such windows cover.
 
-A line is also cut into units, sentences of at least five words, which repeat if
-equal or, found and compared as lines are, nearly so. A unit is repeated if it, or its line, is; consecutive repeated units of
-MIN_RUN words or more are a passage too, and so is each line nearly like another,
-while an exact stock phrase on its own is left alone.
-
 Rows are told apart by keys of their own, which sort as doc_ids do: rows that share
 a doc_id, or have none, get their text's hash and a number written once after it.
 Inside, doc_id is that key.
@@ -28,11 +26,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +48,8 @@ PASSAGE = 50
 GRAM = 20
 # Words of consecutive repeated units.
 MIN_RUN = 35
+# Words of a repeated line that counts on its own.
+MIN_LINE = 15
 MIN_UNIT = 5
 # A unit of fewer words has no other at the threshold: four of five shingles are eight words.
 NEAR_UNIT = 8
@@ -59,21 +60,57 @@ SEED = 20240101
 # Words hashed together at least; texts are processed whole.
 CHUNK_WORDS = 50_000
 CACHE_WORDS = 100_000
+# Digests of which a worker remembers that it has given their keys.
+KNOWN_PIDS = 500_000
 # Distinct shingles of a block that are multiplied at a time.
 COLUMNS = 4096
 
 BLANKS = re.compile(r"\s*")
 TOKEN = re.compile(r"\S+")
-SENTENCE = re.compile(r"\S.*?(?:[.!?](?=\s)|$)", re.DOTALL)
-
-# A row per line, and one per unit that may be near another (``whole`` is false, ``nth`` its number in the line).
-# ``unit`` is the document's number of the line's first unit. ``anchors`` of the document are in its first row.
-OCCURRENCES = (
-    "doc_id binary, para int, unit int, whole boolean, nth int, pid bigint, bands array<bigint>, "
-    "uids array<bigint>, starts array<int>, lengths array<int>, words array<int>, "
+# Scripts written without spaces, and the stops that end a sentence without one.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
+STOPS = "\u3002\uff01\uff1f"
+SENTENCE_END = re.compile(rf"[.!?](?=\s)|[{STOPS}]")
+OF_UNSPACED = re.compile(f"[{UNSPACED}{STOPS}]")
+PIECE = re.compile(f"[{UNSPACED}{STOPS}]|[^{UNSPACED}{STOPS}]+")
+# A string without white space of more code points is as many words as code points.
+LONG_TOKEN = 200
+
+# A row per document; units and lines are numbered from 0. Of each unit its line, place, length in code
+# points, number of words, place in words, whether it is all of its line, and digest; of each line of several units the first one, how many they are and the
+# line's digest; band keys with the digest of the unit or line they are of; anchors and their places in words.
+DOCUMENTS = pa.schema(
+    [
+        ("doc_id", pa.binary()),
+        ("paras", pa.list_(pa.int32())),
+        ("starts", pa.list_(pa.int32())),
+        ("lengths", pa.list_(pa.int32())),
+        ("words", pa.list_(pa.int32())),
+        ("ats", pa.list_(pa.int32())),
+        ("alone", pa.list_(pa.bool_())),
+        ("uids", pa.list_(pa.int64())),
+        ("line_units", pa.list_(pa.int32())),
+        ("line_counts", pa.list_(pa.int32())),
+        ("line_pids", pa.list_(pa.int64())),
+        ("keys", pa.list_(pa.int64())),
+        ("key_pids", pa.list_(pa.int64())),
+        ("anchors", pa.list_(pa.int64())),
+        ("places", pa.list_(pa.int32())),
+    ]
+)
+DOCUMENTS_DDL = (
+    "doc_id binary, paras array<int>, starts array<int>, lengths array<int>, words array<int>, "
+    "ats array<int>, alone array<boolean>, uids array<bigint>, line_units array<int>, line_counts array<int>, line_pids array<bigint>, keys array<bigint>, key_pids array<bigint>, "
     "anchors array<bigint>, places array<int>"
 )
-WINDOWS = "hash bigint, doc_id binary, pos int"
+FOUND = pa.schema(
+    [
+        ("cluster", pa.int64()), ("pid", pa.int64()), ("copies", pa.int64()), ("shingles", pa.binary()),
+        ("hash", pa.int64()), ("doc_id", pa.binary()), ("pos", pa.int32()),
+    ]
+)
+FOUND_DDL = "cluster bigint, pid bigint, copies bigint, shingles binary, hash bigint, doc_id binary, pos int"
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
 PARTS = "doc_id binary, para int, unit int, start int, length int, words int, kept_doc_id binary, removed boolean"
 
 
@@ -94,15 +131,59 @@ def _known_words() -> dict[str, int]:
     return {}
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
+def _is_plain(word: str) -> bool:
+    return len(word) <= LONG_TOKEN and (word.isascii() or not OF_UNSPACED.search(word))
+
+
+def word_hashes(words: list[str]) -> tuple[np.ndarray, bool]:
+    """Hashes of ``words`` split at white space, and whether each is one word indeed."""
     import xxhash
 
-    known = _known_words()
+    known, plain = _known_words(), True
     if len(known) > CACHE_WORDS:
         known.clear()
     for w in set(words).difference(known):
-        known[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        if _is_plain(w):
+            known[w] = xxhash.xxh64_intdigest(w)
+        else:
+            plain = False
+    if not plain:
+        return np.empty(0, dtype=np.uint64), False
+    return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words)), True
+
+
+def cut_hashes(words: list[str]) -> np.ndarray:
+    """Hashes of words that ``cut_words`` made."""
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def token_spans(text: str) -> list[tuple[int, int]]:
+    """Where words are: between white space, but single code points of scripts without it and of endless strings."""
+    out = []
+    for m in TOKEN.finditer(text):
+        if _is_plain(m[0]):
+            out.append(m.span())
+            continue
+        for p in PIECE.finditer(m[0]):
+            at, end = m.start() + p.start(), m.start() + p.end()
+            out += [(k, k + 1) for k in range(at, end)] if end - at > LONG_TOKEN else [(at, end)]
+    return out
+
+
+def split_words(text: str) -> list[str]:
+    return text.lower().split()
+
+
+def cut_words(text: str) -> list[str]:
+    return [text[a:b].lower() for a, b in token_spans(text)]
+
+
+def text_hashes(text: str) -> np.ndarray:
+    """Hashes of a text's words."""
+    found, plain = word_hashes(split_words(text))
+    return found if plain else cut_hashes(cut_words(text))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -122,37 +203,75 @@ def shingle_hashes(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     return out
 
 
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse there."""
+    base = 0x9E3779B97F4A7C15
+    out = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        factors = np.full(size, x, dtype=np.uint64)
+        factors[0] = 1
+        out.append(np.cumprod(factors, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """``shingle_hashes`` for wide windows: differences of running sums."""
+    n = len(words) - width + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.uint64)
+    powers, inverse = _powers(1 << (len(words) - 1).bit_length())
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(words) * powers[: len(words)], dtype=np.uint64)))
+    return _mix((sums[width:] - sums[:n]) * inverse[:n])
+
+
 def anchors_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of a text's grams, and for each window of PASSAGE words the place of its least gram."""
-    grams = shingle_hashes(words, GRAM)
+    """Hashes of a text's grams, and for each window of PASSAGE words the place of its least gram, the first if several."""
+    grams = window_hashes(words, GRAM)
     width = PASSAGE - GRAM + 1
-    if len(grams) < width:
+    n = len(grams) - width + 1
+    if n <= 0:
         return grams, np.empty(0, dtype=np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1)
-    return grams, least + np.arange(len(least))
+    least, at, span = grams, np.arange(len(grams)), 1
+
+    def joined(step: int) -> tuple[np.ndarray, np.ndarray]:
+        left = least[:-step] <= least[step:]
+        return np.where(left, least[:-step], least[step:]), np.where(left, at[:-step], at[step:])
+
+    while 2 * span <= width:
+        least, at = joined(span)
+        span *= 2
+    if span < width:
+        least, at = joined(width - span)
+    return grams, at
 
 
-def paragraphs_of(text: str | None) -> list[tuple[int, int, str]]:
+def lines_of(text: str | None) -> Iterator[tuple[int, int, str]]:
     """(number, start in code points, line) of each line with a word."""
-    out, start = [], 0
+    start = 0
     for k, line in enumerate((text or "").split("\n")):
         if line and not line.isspace():
-            out.append((k, start, line))
+            yield k, start, line
         start += len(line) + 1
-    return out
 
 
-def units_of(line: str, least: int = MIN_UNIT) -> list[tuple[int, int, list[str]]]:
+def units_of(line: str, split: Callable[[str], list[str]] = cut_words, least: int = MIN_UNIT) -> list[tuple[int, int, list[str]]]:
     """(start, end, lower-case words) of the units of a line; the last may be short."""
-    out, start, held = [], None, []
-    for m in SENTENCE.finditer(line):
-        start = m.start() if start is None else start
-        held += m[0].lower().split()
-        if len(held) >= least:
-            out.append((start, m.end(), held))
-            start, held = None, []
+    out, held, first, at = [], [], 0, 0
+    ends = [m.end() for m in SENTENCE_END.finditer(line)]
+    for end in [*ends, len(line)]:
+        part = line[at:end]
+        words = split(part)
+        if words:
+            if not held:
+                first = at + len(part) - len(part.lstrip())
+            held = held + words if held else words
+            if len(held) >= least:
+                out.append((first, at + len(part.rstrip()), held))
+                held = []
+        at = end
     if held:
-        out.append((start, len(line.rstrip()), held))
+        out.append((first, len(line.rstrip()), held))
     return out
 
 
@@ -160,101 +279,158 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _digest(words: list[str]) -> int:
-    import xxhash
-
-    value = xxhash.xxh64_intdigest(" ".join(words))
-    return value - ((value >> 63) << 64)
+def digests(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A digest for each of the texts that ``words`` are, one after the other, of ``sizes`` words (one at least)."""
+    if not len(sizes):
+        return np.empty(0, dtype=np.uint64)
+    begins = np.cumsum(sizes) - sizes
+    place = (np.arange(len(words)) - np.repeat(begins, sizes)).astype(np.uint64)
+    parts = _mix(words + _mix(place * np.uint64(0xD1342543DE82EF95) + np.uint64(1)))
+    return _mix(np.add.reduceat(parts, begins) + sizes.astype(np.uint64))
 
 
-def band_keys(shingles: np.ndarray, of: np.ndarray, count: int, bands: int, rows: int, salt: int = 0) -> list[list[int]]:
-    """Keys of the ``count`` texts of which ``of`` (ascending) says whose each shingle is."""
-    keys = np.zeros((bands, count), dtype=np.uint64)
-    if len(shingles):
-        cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+def band_keys(shingles: np.ndarray, cuts: np.ndarray, bands: int, rows: int, salt: int = 0) -> np.ndarray:
+    """Keys (text, band) of texts whose shingles begin at ``cuts``."""
+    keys = np.zeros((len(cuts), bands), dtype=np.uint64)
+    if len(cuts):
         factors, offsets = hash_functions(bands * rows)
         for b in range(bands):
             key = np.full(len(cuts), b + 1 + salt, dtype=np.uint64)
             for k in range(b * rows, (b + 1) * rows):
-                key = _mix(key + np.minimum.reduceat(_mix((shingles ^ offsets[k]) * factors[k]), cuts))
-            keys[b, of[cuts]] = key
-    return _signed(keys.T.copy()).tolist()
-
-
-def unit_id(digest: int) -> int:
-    """Units are compared with units, lines with lines."""
-    return digest ^ 0x5DEECE66D1234567
-
-
-def occurrences_of(texts: list[tuple[bytes, str | None]], bands: int, near_bands: int, rows: int = ROWS) -> Iterator[tuple]:
-    """Rows of OCCURRENCES for (doc_id, text) pairs, hashed together."""
-    found = []
-    for doc_id, text in texts:
-        unit = 0
-        for para, start, line in paragraphs_of(text):
-            units = units_of(line)
-            found.append((doc_id, para, unit, start, units, [w for u in units for w in u[2]]))
-            unit += len(units)
-    if not found:
-        return
-    sizes = np.array([len(f[5]) for f in found])
-    hashes = word_hashes([w for f in found for w in f[5]])
-    line_of = np.repeat(np.arange(len(found)), sizes)
-    shingles = shingle_hashes(hashes)
-
-    def inside(text_of: np.ndarray) -> np.ndarray:
-        return text_of[: len(shingles)] == text_of[SHINGLE - 1 :] if len(shingles) else np.empty(0, dtype=bool)
-
-    within = inside(line_of)
-    keys = band_keys(shingles[within], line_of[: len(within)][within], len(found), bands, rows)
-    unit_sizes = np.array([len(u[2]) for f in found for u in f[4]])
-    unit_of = np.repeat(np.arange(len(unit_sizes)), unit_sizes)
-    within = inside(unit_of) & (np.repeat(unit_sizes, unit_sizes)[: len(shingles)] >= NEAR_UNIT)
-    unit_keys = iter(band_keys(shingles[within], unit_of[: len(within)][within], len(unit_sizes), near_bands, NEAR_ROWS, 1 << 20))
-    ends = np.cumsum(sizes)
-    heads = [k for k, f in enumerate(found) if f[2] == 0]
-    anchors = {}
-    for k, after in zip(heads, [*heads[1:], len(found)], strict=True):
-        grams, at = anchors_of(hashes[ends[k] - sizes[k] : ends[after - 1]])
-        at = np.unique(at)
-        anchors[k] = (_signed(grams[at]).tolist(), at.tolist())
-    for line, ((doc_id, para, unit, start, units, words), key) in enumerate(zip(found, keys, strict=True)):
-        uids, starts = [_digest(u[2]) for u in units], [start + u[0] for u in units]
-        yield (
-            doc_id,
-            para,
-            unit,
-            True,
-            -1,
-            _digest(words),
-            key if len(words) >= SHINGLE else [],
-            uids,
-            starts,
-            [u[1] - u[0] for u in units],
-            [len(u[2]) for u in units],
-            *anchors.get(line, ([], [])),
-        )
-        for k, (uid, at, u, near) in enumerate(zip(uids, starts, units, unit_keys)):
-            if len(u[2]) >= NEAR_UNIT:
-                yield doc_id, para, unit + k, False, k, unit_id(uid), near, [], [at], [u[1] - u[0]], [len(u[2])], [], []
+                key = _mix(key + np.minimum.reduceat((shingles ^ offsets[k]) * factors[k], cuts))
+            keys[:, b] = key
+    return keys
+
+
+def _keys_of(shingles: np.ndarray, sizes: np.ndarray, wanted: np.ndarray, bands: int, rows: int, salt: int) -> np.ndarray:
+    """Keys of the ``wanted`` (SHINGLE words or more) of texts of ``sizes`` words, one after the other, whose ``shingles`` these are."""
+    begins = np.cumsum(sizes) - sizes
+    counts = sizes[wanted] - SHINGLE + 1
+    starts = np.repeat(begins[wanted] - (np.cumsum(counts) - counts), counts)
+    return band_keys(shingles[starts + np.arange(counts.sum())], np.cumsum(counts) - counts, bands, rows, salt)
+
+
+def _lists(of: np.ndarray, count: int, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A list per document of the ``values`` that are ``of`` it (ascending)."""
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=count))))
+    return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(values, type=kind))
+
+
+class Documents:
+    """Rows of DOCUMENTS for (doc_id, text) pairs, hashed together; each worker gives the keys of a digest once or a few times."""
+
+    def __init__(self, bands: int, near_bands: int, rows: int = ROWS) -> None:
+        self.bands, self.near_bands, self.rows = bands, near_bands, rows
+        self.given: set[int] = set()
+
+    def _fresh(self, pids: np.ndarray) -> np.ndarray:
+        if len(self.given) > KNOWN_PIDS:
+            self.given.clear()
+        out = np.zeros(len(pids), dtype=bool)
+        for k, pid in enumerate(pids.tolist()):
+            if pid not in self.given:
+                self.given.add(pid)
+                out[k] = True
+        return out
+
+    def batch(self, texts: list[tuple[bytes, str | None]]) -> pa.RecordBatch:
+        found = self._units([text for _, text in texts], split_words)
+        hashes, plain = word_hashes(found[0])
+        if not plain:
+            found = self._units([text for _, text in texts], cut_words)
+            hashes = cut_hashes(found[0])
+        return self._arrow([doc_id for doc_id, _ in texts], hashes, *(np.array(x, dtype=np.int64).reshape(-1, w) for x, w in zip(found[1:], (5, 4), strict=True)))
+
+    @staticmethod
+    def _units(texts: list[str | None], split: Callable[[str], list[str]]) -> tuple[list[str], list[tuple], list[tuple]]:
+        """All words; (document, line, start, length, words) of units; (document, first unit, units, words) of lines."""
+        words, units, lines = [], [], []
+        for doc, text in enumerate(texts):
+            unit = 0
+            for para, start, line in lines_of(text):
+                some, size = units_of(line, split), 0
+                for a, b, w in some:
+                    units.append((doc, para, start + a, b - a, len(w)))
+                    words += w
+                    size += len(w)
+                lines.append((doc, unit, len(some), size))
+                unit += len(some)
+        return words, units, lines
+
+    def _arrow(self, doc_ids: list[bytes], hashes: np.ndarray, units: np.ndarray, lines: np.ndarray) -> pa.RecordBatch:
+        n, sizes, line_sizes = len(doc_ids), units[:, 4], lines[:, 3]
+        uids, pids = digests(hashes, sizes), digests(hashes, line_sizes)
+        # A line of one unit is compared as this unit.
+        several = lines[:, 2] > 1
+        near = np.flatnonzero(sizes >= NEAR_UNIT)
+        near = near[self._fresh(uids[near])]
+        long = np.flatnonzero(several & (line_sizes >= SHINGLE))
+        long = long[self._fresh(pids[long])]
+        shingles = shingle_hashes(hashes)
+        keys = [
+            _keys_of(shingles, sizes, near, self.near_bands, NEAR_ROWS, 1 << 20),
+            _keys_of(shingles, line_sizes, long, self.bands, self.rows, 0),
+        ]
+        flat = np.concatenate([k.ravel() for k in keys])
+        flat_pids = np.concatenate([np.repeat(x, k.shape[1]) for x, k in zip((uids[near], pids[long]), keys, strict=True)])
+        flat_docs = np.concatenate([np.repeat(x, k.shape[1]) for x, k in zip((units[near, 0], lines[long, 0]), keys, strict=True)])
+        order = np.argsort(flat_docs, kind="stable")
+        doc_sizes = np.bincount(lines[:, 0], line_sizes, n).astype(np.int64)
+        ats = np.cumsum(sizes) - sizes - (np.cumsum(doc_sizes) - doc_sizes)[units[:, 0]]
+        alone = np.repeat(~several, lines[:, 2])
+        anchors, places, anchor_docs = self._anchors(hashes, doc_sizes)
+        of_units, of_lines = units[:, 0], lines[several, 0]
+        i32, i64 = pa.int32(), pa.int64()
+        columns = [
+            pa.array(doc_ids, type=pa.binary()),
+            *[_lists(of_units, n, units[:, k], i32) for k in (1, 2, 3, 4)],
+            _lists(of_units, n, ats, i32),
+            _lists(of_units, n, alone, pa.bool_()),
+            _lists(of_units, n, _signed(uids), i64),
+            _lists(of_lines, n, lines[several, 1], i32),
+            _lists(of_lines, n, lines[several, 2], i32),
+            _lists(of_lines, n, _signed(pids[several]), i64),
+            _lists(flat_docs, n, _signed(flat[order]), i64),
+            _lists(flat_docs, n, _signed(flat_pids[order]), i64),
+            _lists(anchor_docs, n, _signed(anchors), i64),
+            _lists(anchor_docs, n, places, i32),
+        ]
+        return pa.record_batch(columns, schema=DOCUMENTS)
+
+    @staticmethod
+    def _anchors(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Anchors of the documents that ``hashes`` are, their places there, and whose they are."""
+        grams, at = anchors_of(hashes)
+        begins = np.cumsum(sizes) - sizes
+        doc = np.repeat(np.arange(len(sizes)), sizes)[: len(at)]
+        inside = np.arange(len(at)) + PASSAGE <= (begins + sizes)[doc]
+        at = np.unique(at[inside])
+        doc = np.repeat(np.arange(len(sizes)), sizes)[at]
+        return grams[at], at - begins[doc], doc
+
+
+def _chunks(doc_ids: list[bytes], texts: list[str | None]) -> Iterator[list[tuple[bytes, str | None]]]:
+    held, size = [], 0
+    for doc_id, text in zip(doc_ids, texts, strict=True):
+        held.append((doc_id, text))
+        size += len(text or "")
+        if size > 6 * CHUNK_WORDS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def occurrences(docs: DataFrame, bands: int, near_bands: int, rows: int = ROWS) -> DataFrame:
-    """Each line with a word of ``docs`` (doc_id, text), and its units, with band keys (none under five words)."""
-    names = [x.split()[0] for x in OCCURRENCES.split(", ")]
+    """A row of DOCUMENTS for each of ``docs`` (doc_id, text)."""
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = Documents(bands, near_bands, rows)
         for batch in batches:
-            held, size = [], 0
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-                held.append((doc_id, text))
-                size += len(text or "")
-                if size > 6 * CHUNK_WORDS:
-                    yield pd.DataFrame(list(occurrences_of(held, bands, near_bands, rows)), columns=names)
-                    held, size = [], 0
-            yield pd.DataFrame(list(occurrences_of(held, bands, near_bands, rows)), columns=names)
+            for chunk in _chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield made.batch(chunk)
 
-    return docs.select("doc_id", "text").mapInPandas(lines, OCCURRENCES)
+    return docs.select("doc_id", "text").mapInArrow(hashed, DOCUMENTS_DDL)
 
 
 # --- exact similarity -------------------------------------------------------
@@ -411,70 +587,149 @@ def verified_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFram
 # --- classes ----------------------------------------------------------------
 
 
-def _with_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (pid, cluster, copies, doc_id, para, nth) with the shingles of that line or unit."""
-    wanted = members.groupBy("doc_id").agg(F.collect_list(F.struct("para", "nth", "pid", "cluster", "copies")).alias("wanted"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+def pieces_of(lines: DataFrame) -> DataFrame:
+    """What is compared: units, and lines of several units. ``lines`` (rows of DOCUMENTS) -> pid, place (doc_id,
+    unit, at: in words), words (of its units), whole (whether it is a line)."""
+    each = F.arrays_zip("uids", "ats", "words", "alone")
+    units = lines.select("doc_id", F.posexplode(each).alias("unit", "x")).select(
+        F.col("x.uids").alias("pid"),
+        F.struct("doc_id", "unit", F.col("x.ats").alias("at")).alias("place"),
+        F.array("x.words").alias("words"),
+        F.col("x.alone").alias("whole"),
+    )
+    each = F.explode(F.arrays_zip("line_pids", "line_units", "line_counts"))
+    several = lines.select("doc_id", "ats", "words", each.alias("x")).select(
+        F.col("x.line_pids").alias("pid"),
+        F.struct("doc_id", F.col("x.line_units").alias("unit"), F.get("ats", F.col("x.line_units")).alias("at")).alias("place"),
+        F.slice("words", F.col("x.line_units") + 1, F.col("x.line_counts")).alias("words"),
+        F.lit(True).alias("whole"),
+    )
+    return units.unionAll(several)
 
-    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _size(words: str) -> Column:
+    return F.aggregate(words, F.lit(0), lambda a, b: a + b)
+
+
+def key_links(keyed: DataFrame) -> DataFrame:
+    """``keyed`` (key, pid) -> links a, b that connect the pids of each key.
+
+    Rows are dealt by range of key and pid, so no key is too much for a task, and shuffled
+    once: a task links the pids of a key to the first one it meets, and tells with which keys
+    it begins and ends, as these may go on in another.
+    """
+    dealt = keyed.repartitionByRange("key", "pid").sortWithinPartitions("key", "pid")
+
+    def edge(pid: int, key: int) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([x], type=pa.int64()) for x in (pid, pid, key)], schema=LINKS)
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, first = None, 0
         for batch in batches:
-            rows = []
-            for text, asked in zip(batch["text"], batch["wanted"], strict=True):
-                lines = {k: line for k, _, line in paragraphs_of(text)}
-                for x in asked:
-                    if line := lines.get(x["para"]):
-                        words = line.lower().split() if x["nth"] < 0 else units_of(line)[x["nth"]][2]
-                        found = np.unique(shingle_hashes(word_hashes(words)))
-                        rows.append((x["cluster"], x["pid"], x["copies"], found.tobytes()))
-            yield pd.DataFrame(rows, columns=["cluster", "pid", "copies", "shingles"])
-
-    found = texts.mapInPandas(shingles, "cluster bigint, pid bigint, copies bigint, shingles binary")
-    return staged(found.dropDuplicates(["pid"]), "shingles")
-
-
-def paragraph_classes(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``lines`` (occurrences, written) -> pid, class, for lines and units in a class of two or more pids."""
-    keyed = lines.select("pid", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("pid").alias("least"), F.max("pid").alias("most"))
-    buckets = staged(buckets.where("least < most").select("key", "least"), "buckets")
-    loose = keyed.join(buckets, "key").where("pid > least").select(F.col("pid").alias("a"), F.col("least").alias("b"))
-    clusters = staged(connected_components(loose), "clusters")
-
-    places = lines.groupBy("pid").agg(F.min(F.struct("doc_id", "para", "nth")).alias("at"), F.count("*").alias("copies"))
-    members = clusters.join(places, clusters["node"] == places["pid"]).select(
-        "pid", F.col("component").alias("cluster"), "copies", "at.doc_id", "at.para", "at.nth"
-    )
-    links = verified_links(_with_shingles(docs, members), threshold)
+            if not batch.num_rows:
+                continue
+            keys, pids = (batch.column(k).to_numpy() for k in (0, 1))
+            new = np.ones(len(keys), dtype=bool)
+            new[1:] = keys[1:] != keys[:-1]
+            new[0] = key is None or keys[0] != key
+            firsts = np.concatenate(([first], pids[new]))[np.cumsum(new)]
+            other = pids != firsts
+            other[1:] &= new[1:] | (pids[1:] != pids[:-1])
+            columns = [pa.array(pids[other]), pa.array(firsts[other]), pa.nulls(int(other.sum()), pa.int64())]
+            yield pa.record_batch(columns, schema=LINKS)
+            if key is None:
+                yield edge(int(pids[0]), int(keys[0]))
+            key, first = int(keys[-1]), int(firsts[-1])
+        if key is not None:
+            yield edge(first, key)
+
+    found = staged(dealt.mapInArrow(linked, "a bigint, b bigint, key bigint"), "key-links")
+    edges = found.where(F.col("key").isNotNull()).select("key", "a")
+    least = edges.groupBy("key").agg(F.min("a").alias("b"))
+    across = edges.join(least, "key").where("a > b").select("a", "b")
+    return found.where(F.col("key").isNull()).select("a", "b").unionAll(across)
+
+
+def loose_members(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """``lines`` (rows of DOCUMENTS) -> pid, cluster, place, size, copies of what shares a band key with something else."""
+    keyed = lines.select(F.explode(F.arrays_zip("keys", "key_pids")).alias("x")).select(F.col("x.keys").alias("key"), F.col("x.key_pids").alias("pid"))
+    clusters = staged(connected_components(key_links(keyed)), "clusters")
+    found = clusters.join(places, clusters["node"] == places["pid"])
+    return staged(found.select("pid", F.col("component").alias("cluster"), "place", "size", "copies"), "members")
+
+
+def paragraph_classes(shingles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``shingles`` (cluster, pid, copies, shingles; written) -> pid, class, of those in a class of two or more."""
+    links = verified_links(shingles, threshold)
     return connected_components(links).select(F.col("node").alias("pid"), F.col("component").alias("class"))
 
 
-# --- windows ----------------------------------------------------------------
+# --- texts ------------------------------------------------------------------
 
 
-def repeated_windows(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Ranges of places (in words) where windows of PASSAGE words start that occur twice or more.
+def found_in_texts(docs: DataFrame, members: DataFrame, anchored: DataFrame) -> DataFrame:
+    """The shingles of ``members`` and the hashes of windows at ``anchored`` places (doc_id, place), in one pass over the texts.
 
-    Returns doc_id, first and last place, kept_doc_id and shift: the windows' first
-    occurrence is there, ``shift`` words before that place.
+    Rows have either cluster, pid, copies and shingles, or hash, doc_id and pos.
     """
-    anchors = lines.where(F.size("anchors") > 0).select("doc_id", F.explode(F.arrays_zip("anchors", "places")).alias("x"))
+    wanted = members.groupBy(F.col("place.doc_id").alias("doc_id")).agg(
+        F.collect_list(F.struct("place.at", "size", "cluster", "pid", "copies")).alias("wanted")
+    )
+    places = anchored.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    texts = docs.select("doc_id", "text").join(wanted.join(places, "doc_id", "full"), "doc_id")
+
+    def of_members(hashes: np.ndarray, asked: list[dict]) -> pa.RecordBatch:
+        sets = [np.unique(shingle_hashes(hashes[x["at"] : x["at"] + x["size"]])).tobytes() for x in asked]
+        named = [pa.array([x[c] for x in asked], type=pa.int64()) for c in ("cluster", "pid", "copies")]
+        empty = [pa.nulls(len(asked), FOUND.field(k).type) for k in (4, 5, 6)]
+        return pa.record_batch([*named, pa.array(sets, type=pa.binary()), *empty], schema=FOUND)
+
+    def of_windows(hashes: np.ndarray, doc_id: bytes, asked: list[int]) -> Iterator[pa.RecordBatch]:
+        at = anchors_of(hashes)[1]
+        at = np.flatnonzero(np.isin(at, asked))
+        found = _signed(window_hashes(hashes, PASSAGE)[at])
+        for lo in range(0, len(at), CHUNK_WORDS):
+            part = slice(lo, lo + CHUNK_WORDS)
+            n = len(at[part])
+            empty = [pa.nulls(n, FOUND.field(k).type) for k in range(4)]
+            ids = pa.array([doc_id], type=pa.binary()).take(pa.array(np.zeros(n, dtype=np.int32)))
+            yield pa.record_batch([*empty, pa.array(found[part]), ids, pa.array(at[part], type=pa.int32())], schema=FOUND)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, rows = [], 0
+            for doc_id, text, asked, anchors in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "wanted", "places")), strict=True):
+                hashes = text_hashes(text)
+                if asked:
+                    held.append(of_members(hashes, asked))
+                if anchors:
+                    held += of_windows(hashes, doc_id, anchors)
+                rows += len(hashes)
+                if rows > CHUNK_WORDS:
+                    yield from pa.Table.from_batches(held, FOUND).combine_chunks().to_batches()
+                    held, rows = [], 0
+            yield from pa.Table.from_batches(held, FOUND).combine_chunks().to_batches()
+
+    return staged(texts.mapInArrow(found, FOUND_DDL), "found-in-texts")
+
+
+# --- windows ----------------------------------------------------------------
+
+
+def repeated_anchors(lines: DataFrame) -> DataFrame:
+    """Places (doc_id, place) of the anchors that occur twice or more."""
+    anchors = lines.select("doc_id", F.explode(F.arrays_zip("anchors", "places")).alias("x"))
     anchors = anchors.select("doc_id", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
     often = staged(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
-    wanted = anchors.join(often, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("wanted"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+    return anchors.join(often, "anchor").select("doc_id", "place")
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for doc_id, text, asked in zip(batch["doc_id"], batch["text"], batch["wanted"], strict=True):
-                words = word_hashes(text.lower().split())
-                at = anchors_of(words)[1]
-                at = np.flatnonzero(np.isin(at, asked))
-                found = _signed(shingle_hashes(words, PASSAGE)[at])
-                for lo in range(0, len(at), CHUNK_WORDS):
-                    part = slice(lo, lo + CHUNK_WORDS)
-                    yield pd.DataFrame({"hash": found[part], "doc_id": doc_id, "pos": at[part].astype(np.int32)})
-
-    windows = staged(texts.mapInPandas(hashed, WINDOWS), "windows")
+
+def repeated_windows(windows: DataFrame) -> DataFrame:
+    """Ranges of places (in words) where ``windows`` (hash, doc_id, pos) of PASSAGE words start that occur twice or more.
+
+    Returns doc_id, first and last place, kept_doc_id and shift: the windows' first
+    occurrence is there, ``shift`` words before that place.
+    """
     first = windows.groupBy("hash").agg(F.min(F.struct("doc_id", "pos")).alias("kept"), F.count("*").alias("n"))
     first = staged(first.where("n > 1").select("hash", "kept"), "first-windows")
     shift = (F.col("pos") - F.col("kept.pos")).alias("shift")
@@ -484,10 +739,18 @@ def repeated_windows(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return runs.groupBy("doc_id", "kept_doc_id", "shift", "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).drop("run")
 
 
+def splitter(text: str) -> Callable[[str], list[str]]:
+    """``split_words`` where that is right for ``text``, else ``cut_words``."""
+    unspaced = not text.isascii() and OF_UNSPACED.search(text)
+    return cut_words if unspaced or max(map(len, text.split()), default=0) > LONG_TOKEN else split_words
+
+
 def parts_of(doc_id, text: str, units, ranges) -> Iterator[tuple]:
     """Rows of PARTS: what repeated ``units`` and ``ranges`` of windows cover of a text, cut at units."""
-    places = [(para, start + a, start + b, len(w)) for para, start, line in paragraphs_of(text) for a, b, w in units_of(line)]
-    spans = np.array([m.span() for m in TOKEN.finditer(text)], dtype=np.int64).reshape(-1, 2)
+    split = splitter(text)
+    places = [(para, start + a, start + b, len(w)) for para, start, line in lines_of(text) for a, b, w in units_of(line, split)]
+    spans = [m.span() for m in TOKEN.finditer(text)] if split is split_words else token_spans(text)
+    spans = np.array(spans, dtype=np.int64).reshape(-1, 2)
     ends = np.cumsum([p[3] for p in places])
     # 1: first of its kind, 2: to be removed; and the number of the row kept.
     state = np.zeros(len(spans), dtype=np.int8)
@@ -536,66 +799,64 @@ def covered(docs: DataFrame, units: DataFrame, ranges: DataFrame) -> DataFrame:
     return texts.mapInPandas(parts, PARTS)
 
 
-def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run: int = MIN_RUN) -> DataFrame:
-    """What repeats in ``docs`` (doc_id, text): windows of PASSAGE words, lines nearly like
-    others, and runs of repeated units of ``min_run`` words or more.
+def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run: int = MIN_RUN, min_line: int = MIN_LINE) -> DataFrame:
+    """What repeats in ``docs`` (doc_id, text), exactly or nearly: windows of PASSAGE words, lines of
+    ``min_line`` words or more, and runs of repeated units of ``min_run`` words or more.
 
     Returns a row per unit, or part of one: doc_id, para (line number), unit (number in the
     document), start and length (code points), words, kept_doc_id (where it stays) and
     removed: true for all but the first, by doc_id and place. Copies within a document count. Case
     and white space make no difference. Null and empty texts have no paragraphs. Each row is a
     document: those of one doc_id come in the order of their texts' hashes, those without last.
+    Code points of scripts without spaces, and of strings of more than LONG_TOKEN of them without
+    white space, are words each. A text is read whole by one task, a line of any length with
+    it. Other columns may have any names; an empty table gives no rows.
     """
-    found = _repeated(_told_apart(docs.select("doc_id", "text")), threshold, min_run)
+    found = _repeated(_told_apart(docs.select("doc_id", "text")), threshold, min_run, min_line)
     return found.withColumns({c: _id_of(F.col(c)) for c in ("doc_id", "kept_doc_id")})
 
 
-def _repeated(docs: DataFrame, threshold: float, min_run: int) -> DataFrame:
+def _repeated(docs: DataFrame, threshold: float, min_run: int, min_line: int) -> DataFrame:
     """Rows of PARTS for ``docs`` (doc_id, a key; text)."""
-    lines = staged(occurrences(docs, tune_bands(threshold), tune_bands(threshold, rows=NEAR_ROWS)), "paragraphs")
-    classes = staged(paragraph_classes(docs, lines, threshold), "paragraph-classes")
-
-    # Lines and units nearly like others. Those exactly like others are found by their units.
-    places = lines.groupBy("pid").agg(F.min(F.struct("doc_id", "unit")).alias("at"))
-    kept_lines = classes.join(places, "pid").groupBy("class").agg(F.min("at").alias("kept"))
-    near = staged(classes.join(kept_lines, "class").select("pid", "kept"), "near-lines")
-    of_lines = lines.join(near, "pid").select("doc_id", "para", "unit", "kept", "whole", *_UNITS)
-    of_lines = _exploded(of_lines, "kept")
+    lines = staged(occurrences(docs, tune_bands(threshold), tune_bands(threshold, rows=NEAR_ROWS)), "documents")
+    pieces = pieces_of(lines)
+    places = pieces.groupBy("pid").agg(F.min(F.struct("place", _size("words").alias("size"))).alias("least"), F.count("*").alias("copies"))
+    places = staged(places.select("pid", "least.place", "least.size", "copies"), "places")
+    members = loose_members(lines, places)
+    found = found_in_texts(docs, members, repeated_anchors(lines))
+    shingles = found.where(F.col("shingles").isNotNull()).select("cluster", "pid", "copies", "shingles")
+    windows = found.where(F.col("hash").isNotNull()).select("hash", "doc_id", "pos")
+    classes = staged(paragraph_classes(shingles, threshold), "classes")
+
+    # Exact copies stay where their first one is, those nearly alike where the first of their class is.
+    near = classes.join(members.select("pid", "place"), "pid")
+    kept = near.groupBy("class").agg(F.min("place").alias("near_kept"))
+    near = staged(classes.join(kept, "class").select(F.col("pid").alias("near_pid"), "near_kept"), "near")
+    exact = places.where("copies > 1").select("pid", F.col("place").alias("kept"))
+    repeated = exact.join(near, F.col("pid") == F.col("near_pid"), "full").select(
+        F.coalesce("near_pid", "pid").alias("pid"), F.coalesce("near_kept", "kept").alias("kept")
+    )
     # The k-th unit of a line stands for the k-th of the line that stays.
-
-    units = _exploded(lines.where("whole").select("doc_id", "para", "unit", "uids", *_UNITS), "uid")
-    first = units.groupBy("uid").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count("*").alias("n"))
-    first = staged(first.where("n > 1").select("uid", "kept"), "units")
-    of_units = units.join(first, "uid").select("doc_id", "para", "unit", "start", "length", "words", "kept", F.lit(False).alias("near"))
-
-    same = (F.col("doc_id") == F.col("kept.doc_id")) & (F.col("unit") == F.col("kept.unit"))
-    marked = of_lines.unionAll(of_units).withColumn("removed", ~same)
-    repeated = marked.groupBy("doc_id", "unit").agg(
+    marked = pieces.join(staged(repeated, "repeated"), "pid").withColumn("alone", F.col("whole") & (_size("words") >= min_line))
+    marked = marked.select("place", "kept", "alone", F.posexplode("words").alias("k", "words")).select(
+        "place.doc_id",
+        (F.col("place.unit") + F.col("k")).alias("unit"),
+        "words",
+        "alone",
+        F.col("kept.doc_id").alias("kept_doc_id"),
+        ((F.col("place.doc_id") != F.col("kept.doc_id")) | (F.col("place.unit") != F.col("kept.unit"))).alias("removed"),
+    )
+    units = marked.groupBy("doc_id", "unit").agg(
         F.min("words").alias("words"),
-        F.bool_or("near").alias("near"),
-        F.min("kept.doc_id").alias("kept_doc_id"),
+        F.bool_or("alone").alias("alone"),
+        F.min("kept_doc_id").alias("kept_doc_id"),
         F.bool_or("removed").alias("removed"),
     )
     in_text = Window.partitionBy("doc_id").orderBy("unit")
-    runs = repeated.withColumn("run", F.col("unit") - F.row_number().over(in_text))
+    runs = units.withColumn("run", F.col("unit") - F.row_number().over(in_text))
     in_run = Window.partitionBy("doc_id", "run")
-    chosen = runs.withColumn("run_words", F.sum("words").over(in_run)).where(F.col("near") | (F.col("run_words") >= min_run))
-    return covered(docs, chosen, repeated_windows(docs, lines))
-
-
-_UNITS = ("starts", "lengths", "words")
-
-
-def _exploded(lines: DataFrame, carried: str) -> DataFrame:
-    """A row per unit of ``lines``, with the column ``carried``: ``uid``, or ``kept`` moved on to that unit."""
-    arrays = [F.col(x) for x in _UNITS] + ([F.col("uids")] if carried == "uid" else [])
-    head = ["doc_id", "para", "unit"] + (["kept", "whole"] if carried == "kept" else [])
-    each = lines.select(*head, F.posexplode(F.arrays_zip(*arrays)).alias("k", "x"))
-    place = [(F.col("unit") + F.col("k")).alias("unit"), F.col("x.starts").alias("start"), F.col("x.lengths").alias("length"), F.col("x.words").alias("words")]
-    if carried == "uid":
-        return each.select("doc_id", "para", *place, F.col("x.uids").alias("uid"))
-    moved = F.struct(F.col("kept.doc_id").alias("doc_id"), (F.col("kept.unit") + F.col("k")).alias("unit"))
-    return each.select("doc_id", "para", *place, moved.alias("kept"), F.col("whole").alias("near"))
+    chosen = runs.withColumn("run_words", F.sum("words").over(in_run)).where(F.col("alone") | (F.col("run_words") >= min_run))
+    return covered(docs, chosen, repeated_windows(windows))
 
 
 def _sortable(x: Column) -> Column:
@@ -648,13 +909,13 @@ def without_spans(text: Column, spans: Column) -> Column:
     return cut(text, spans)
 
 
-def without_repeats(docs: DataFrame, threshold: float = THRESHOLD, min_run: int = MIN_RUN) -> DataFrame:
+def without_repeats(docs: DataFrame, threshold: float = THRESHOLD, min_run: int = MIN_RUN, min_line: int = MIN_LINE) -> DataFrame:
     """``docs`` with what repeats cut from text, and n_chars (if there) counted anew.
 
     Columns stay as they are. Rows of whose text nothing is left are dropped.
     """
     rows = _told_apart(docs)
-    found = _repeated(rows.select("doc_id", "text"), threshold, min_run).where("removed")
+    found = _repeated(rows.select("doc_id", "text"), threshold, min_run, min_line).where("removed")
     spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
     spans = staged(spans.select(F.col("doc_id").alias("id"), "spans"), "spans")
     joined = rows.join(spans, F.col("doc_id") == F.col("id"), "left")
