@@ -56,7 +56,8 @@ def ordered(
     ``amount``, before (its sum over the group's earlier rows). Rows that agree in all of
     group and order come in any order.
     """
-    rows = _sorted(rows, [group, *order], "ordered")
+    # Written once before the sort: sampling the ranges would work its columns out a second time.
+    rows = _sorted(staged(rows, "unordered"), [group, *order], "ordered")
     total = F.sum(F.col(amount) if amount else F.lit(0)).alias("sum")
     pieces = staged(rows.groupBy("part", group).agg(F.count("*").alias("n"), F.min("place").alias("first"), total), "pieces")
     groups = pieces.groupBy(group).agg(F.sum("n").alias("group_rows"), F.sum("sum").alias("group_sum"))
