@@ -3,7 +3,7 @@
 Large stars hang each node's larger neighbours on its smallest one, small stars
 hang the smaller ones there too; the table becomes one star per component in a
 number of rounds about the logarithm of the longest path. Each round is written
-below ``spark.checkpoint.dir``. A hub's edges are joined to its minimum by a
+below ``spark.checkpoint.dir``, the one before it deleted. A hub's edges are joined to its minimum by a
 plain equality of two written tables, which adaptive execution can split.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import staged
+from .tables import discard, staged
 
 
 def _minima(edges: DataFrame) -> DataFrame:
@@ -21,15 +21,21 @@ def _minima(edges: DataFrame) -> DataFrame:
 
 def _large_stars(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _minima(both).select("u", F.least("m", "u").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    minima = _minima(both)
+    least = minima.select("u", F.least("m", "u").alias("m"))
+    moved = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    found = staged(moved.distinct(), "large-stars")
+    discard(minima)
+    return found
 
 
 def _small_stars(edges: DataFrame) -> DataFrame:
     """``edges`` have u > v."""
     least = _minima(edges)
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionAll(least.select("u", F.col("m").alias("v")))
+    found = staged(moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "small-stars")
+    discard(least)
+    return found
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -51,8 +57,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     seen, now = None, _print(stars)
     while seen != now:
-        larger = staged(_large_stars(stars).distinct(), "large-stars")
-        stars = staged(_small_stars(larger).distinct(), "small-stars")
+        larger = _large_stars(stars)
+        discard(stars)
+        stars = _small_stars(larger)
+        discard(larger)
         seen, now = now, _print(stars)
     roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)

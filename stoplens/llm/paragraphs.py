@@ -27,16 +27,17 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from .components import connected_components
-from .tables import staged
+from .tables import discard, staged
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -77,32 +78,29 @@ PIECE = re.compile(f"[{UNSPACED}{STOPS}]|[^{UNSPACED}{STOPS}]+")
 LONG_TOKEN = 200
 
 # A row per document; units and lines are numbered from 0. Of each unit its line, place, length in code
-# points, number of words, place in words, whether it is all of its line, and digest; of each line of several units the first one, how many they are and the
-# line's digest; band keys with the digest of the unit or line they are of; anchors and their places in words.
-DOCUMENTS = pa.schema(
-    [
-        ("doc_id", pa.binary()),
-        ("paras", pa.list_(pa.int32())),
-        ("starts", pa.list_(pa.int32())),
-        ("lengths", pa.list_(pa.int32())),
-        ("words", pa.list_(pa.int32())),
-        ("ats", pa.list_(pa.int32())),
-        ("alone", pa.list_(pa.bool_())),
-        ("uids", pa.list_(pa.int64())),
-        ("line_units", pa.list_(pa.int32())),
-        ("line_counts", pa.list_(pa.int32())),
-        ("line_pids", pa.list_(pa.int64())),
-        ("keys", pa.list_(pa.int64())),
-        ("key_pids", pa.list_(pa.int64())),
-        ("anchors", pa.list_(pa.int64())),
-        ("places", pa.list_(pa.int32())),
-    ]
-)
-DOCUMENTS_DDL = (
-    "doc_id binary, paras array<int>, starts array<int>, lengths array<int>, words array<int>, "
-    "ats array<int>, alone array<boolean>, uids array<bigint>, line_units array<int>, line_counts array<int>, line_pids array<bigint>, keys array<bigint>, key_pids array<bigint>, "
-    "anchors array<bigint>, places array<int>"
-)
+# points, number of words, place in words, whether it is all of its line, and digest; of each line of several
+# units the first one, how many they are and the line's digest; the digests of units and lines that have
+# band keys; anchors and their places in words.
+COLUMNS_OF = {
+    "doc_id": pa.binary(),
+    **dict.fromkeys(("paras", "starts", "lengths", "words", "ats"), pa.list_(pa.int32())),
+    "alone": pa.list_(pa.bool_()),
+    "uids": pa.list_(pa.int64()),
+    **dict.fromkeys(("line_units", "line_counts"), pa.list_(pa.int32())),
+    **dict.fromkeys(("line_pids", "near_units", "near_lines", "anchors"), pa.list_(pa.int64())),
+    "places": pa.list_(pa.int32()),
+}
+
+
+def band_names(bands: int, near_bands: int) -> list[str]:
+    """Columns of the keys of each band, for lines and for units."""
+    return [*(f"line_band_{b}" for b in range(bands)), *(f"unit_band_{b}" for b in range(near_bands))]
+
+
+def documents_schema(bands: int, near_bands: int) -> pa.Schema:
+    return pa.schema(COLUMNS_OF | dict.fromkeys(band_names(bands, near_bands), pa.list_(pa.int64())))
+
+
 FOUND = pa.schema(
     [
         ("cluster", pa.int64()), ("pid", pa.int64()), ("copies", pa.int64()), ("shingles", pa.binary()),
@@ -317,10 +315,11 @@ def _lists(of: np.ndarray, count: int, values: np.ndarray, kind: pa.DataType) ->
 
 
 class Documents:
-    """Rows of DOCUMENTS for (doc_id, text) pairs, hashed together; each worker gives the keys of a digest once or a few times."""
+    """Rows of ``documents_schema`` for (doc_id, text) pairs, hashed together; each worker gives the keys of a digest once or a few times."""
 
     def __init__(self, bands: int, near_bands: int, rows: int = ROWS) -> None:
         self.bands, self.near_bands, self.rows = bands, near_bands, rows
+        self.schema = documents_schema(bands, near_bands)
         self.given: set[int] = set()
 
     def _fresh(self, pids: np.ndarray) -> np.ndarray:
@@ -367,14 +366,9 @@ class Documents:
         long = np.flatnonzero(several & (line_sizes >= SHINGLE))
         long = long[self._fresh(pids[long])]
         shingles = shingle_hashes(hashes)
-        keys = [
-            _keys_of(shingles, sizes, near, self.near_bands, NEAR_ROWS, 1 << 20),
-            _keys_of(shingles, line_sizes, long, self.bands, self.rows, 0),
-        ]
-        flat = np.concatenate([k.ravel() for k in keys])
-        flat_pids = np.concatenate([np.repeat(x, k.shape[1]) for x, k in zip((uids[near], pids[long]), keys, strict=True)])
-        flat_docs = np.concatenate([np.repeat(x, k.shape[1]) for x, k in zip((units[near, 0], lines[long, 0]), keys, strict=True)])
-        order = np.argsort(flat_docs, kind="stable")
+        unit_keys = _keys_of(shingles, sizes, near, self.near_bands, NEAR_ROWS, 1 << 20)
+        line_keys = _keys_of(shingles, line_sizes, long, self.bands, self.rows, 0)
+        of_near, of_long = units[near, 0], lines[long, 0]
         doc_sizes = np.bincount(lines[:, 0], line_sizes, n).astype(np.int64)
         ats = np.cumsum(sizes) - sizes - (np.cumsum(doc_sizes) - doc_sizes)[units[:, 0]]
         alone = np.repeat(~several, lines[:, 2])
@@ -390,12 +384,14 @@ class Documents:
             _lists(of_lines, n, lines[several, 1], i32),
             _lists(of_lines, n, lines[several, 2], i32),
             _lists(of_lines, n, _signed(pids[several]), i64),
-            _lists(flat_docs, n, _signed(flat[order]), i64),
-            _lists(flat_docs, n, _signed(flat_pids[order]), i64),
+            _lists(of_near, n, _signed(uids[near]), i64),
+            _lists(of_long, n, _signed(pids[long]), i64),
             _lists(anchor_docs, n, _signed(anchors), i64),
             _lists(anchor_docs, n, places, i32),
+            *[_lists(of_long, n, _signed(k.copy()), i64) for k in line_keys.T],
+            *[_lists(of_near, n, _signed(k.copy()), i64) for k in unit_keys.T],
         ]
-        return pa.record_batch(columns, schema=DOCUMENTS)
+        return pa.record_batch(columns, schema=self.schema)
 
     @staticmethod
     def _anchors(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -422,7 +418,7 @@ def _chunks(doc_ids: list[bytes], texts: list[str | None]) -> Iterator[list[tupl
 
 
 def occurrences(docs: DataFrame, bands: int, near_bands: int, rows: int = ROWS) -> DataFrame:
-    """A row of DOCUMENTS for each of ``docs`` (doc_id, text)."""
+    """A row of ``documents_schema`` for each of ``docs`` (doc_id, text)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Documents(bands, near_bands, rows)
@@ -430,7 +426,7 @@ def occurrences(docs: DataFrame, bands: int, near_bands: int, rows: int = ROWS)
             for chunk in _chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 yield made.batch(chunk)
 
-    return docs.select("doc_id", "text").mapInArrow(hashed, DOCUMENTS_DDL)
+    return docs.select("doc_id", "text").mapInArrow(hashed, from_arrow_schema(documents_schema(bands, near_bands)))
 
 
 # --- exact similarity -------------------------------------------------------
@@ -588,7 +584,7 @@ def verified_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFram
 
 
 def pieces_of(lines: DataFrame) -> DataFrame:
-    """What is compared: units, and lines of several units. ``lines`` (rows of DOCUMENTS) -> pid, place (doc_id,
+    """What is compared: units, and lines of several units. ``lines`` (``occurrences``) -> pid, place (doc_id,
     unit, at: in words), words (of its units), whole (whether it is a line)."""
     each = F.arrays_zip("uids", "ats", "words", "alone")
     units = lines.select("doc_id", F.posexplode(each).alias("unit", "x")).select(
@@ -647,13 +643,28 @@ def key_links(keyed: DataFrame) -> DataFrame:
     edges = found.where(F.col("key").isNotNull()).select("key", "a")
     least = edges.groupBy("key").agg(F.min("a").alias("b"))
     across = edges.join(least, "key").where("a > b").select("a", "b")
-    return found.where(F.col("key").isNull()).select("a", "b").unionAll(across)
+    links = found.where(F.col("key").isNull()).select("a", "b").unionAll(across)
+    links._staged_at = found._staged_at
+    return links
 
 
-def loose_members(lines: DataFrame, places: DataFrame) -> DataFrame:
-    """``lines`` (rows of DOCUMENTS) -> pid, cluster, place, size, copies of what shares a band key with something else."""
-    keyed = lines.select(F.explode(F.arrays_zip("keys", "key_pids")).alias("x")).select(F.col("x.keys").alias("key"), F.col("x.key_pids").alias("pid"))
-    clusters = staged(connected_components(key_links(keyed)), "clusters")
+def loose_members(lines: DataFrame, places: DataFrame, bands: int, near_bands: int) -> DataFrame:
+    """``lines`` (``occurrences``) -> pid, cluster, place, size, copies of what shares a band key with something else.
+
+    A band of units and one of lines at a time, so the shuffles of all bands needn't be kept at once.
+    """
+
+    def keyed(pids: str, keys: str) -> DataFrame:
+        each = lines.select(F.explode(F.arrays_zip(pids, keys)).alias("x"))
+        return each.select(F.col(f"x.{keys}").alias("key"), F.col(f"x.{pids}").alias("pid"))
+
+    links = []
+    for b in range(max(bands, near_bands)):
+        of_lines = [keyed("near_lines", f"line_band_{b}")] if b < bands else []
+        of_units = [keyed("near_units", f"unit_band_{b}")] if b < near_bands else []
+        links.append(key_links(reduce(DataFrame.unionAll, of_lines + of_units)))
+    clusters = staged(connected_components(reduce(DataFrame.unionAll, links)), "clusters")
+    discard(*links)
     found = clusters.join(places, clusters["node"] == places["pid"])
     return staged(found.select("pid", F.col("component").alias("cluster"), "place", "size", "copies"), "members")
 
@@ -818,11 +829,12 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run:
 
 def _repeated(docs: DataFrame, threshold: float, min_run: int, min_line: int) -> DataFrame:
     """Rows of PARTS for ``docs`` (doc_id, a key; text)."""
-    lines = staged(occurrences(docs, tune_bands(threshold), tune_bands(threshold, rows=NEAR_ROWS)), "documents")
+    bands, near_bands = tune_bands(threshold), tune_bands(threshold, rows=NEAR_ROWS)
+    lines = staged(occurrences(docs, bands, near_bands), "documents")
     pieces = pieces_of(lines)
     places = pieces.groupBy("pid").agg(F.min(F.struct("place", _size("words").alias("size"))).alias("least"), F.count("*").alias("copies"))
     places = staged(places.select("pid", "least.place", "least.size", "copies"), "places")
-    members = loose_members(lines, places)
+    members = loose_members(lines, places, bands, near_bands)
     found = found_in_texts(docs, members, repeated_anchors(lines))
     shingles = found.where(F.col("shingles").isNotNull()).select("cluster", "pid", "copies", "shingles")
     windows = found.where(F.col("hash").isNotNull()).select("hash", "doc_id", "pos")

@@ -11,15 +11,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Spark's setting that removes shuffle files as soon as the query that wrote them has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back.
 
     Cuts the lineage: what follows reads files that survive lost executors,
-    and nothing above is computed a second time.
+    and nothing above is computed a second time. The shuffles behind it are
+    read by nothing else, so their files go at once.
     """
-    path = work_dir(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_dir(spark, f"llm-{label}")
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._staged_at = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._staged_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
