@@ -17,7 +17,7 @@ import bisect
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import pandas as pd
@@ -30,8 +30,11 @@ CAPACITY = 4096
 SEPARATOR = 1
 # Words whose ids a worker keeps at a time.
 CACHE_WORDS = 800_000
-# Below U+0250, without U+0130, lower-casing a text at once equals the tokenizer's own.
-NOT_PLAIN = re.compile("[İɐ-\U0010ffff]")
+# Below U+0250, without U+0130, lower-casing a text at once equals the tokenizer's own; without these
+# separators white space is the same to both, and without these digits so are letters and numbers.
+NOT_PLAIN = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeİɐ-\U0010ffff]")
+# Fixed value: how the tokenizer cuts a word of a plain text.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 SPECIAL = "<|endoftext|>"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
@@ -51,74 +54,64 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printed else chr(next(others)) for b in range(256)]
 
 
+class Kept(dict):
+    """Values by key, worked out when first asked for; about the ``most`` newest and oftenest asked are kept."""
+
+    def __init__(self, learn: Callable[[str], bytes], most: int) -> None:
+        self.learn, self.half, self.older = learn, max(1, most // 2), {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.learn(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes, equal to the tokenizer's own.
 
     The tokenizer drops white space and never joins what stands on either side of
-    it, so a text's ids are those of its parts between spaces, one after the other.
-    Ids of parts are kept, up to a bound. Texts with a special token go to the
-    tokenizer whole.
+    it, so a text's ids are those of its words, one after the other, and a word's those
+    of the parts it is cut into. Ids of both are kept, up to a bound. Texts with a special
+    token go to the tokenizer whole, words of texts that are not plain one by one.
     """
 
     def __init__(self, path: str, words: int = CACHE_WORDS) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.stop = self.tokenizer.token_to_id(SPECIAL)
-        self.words = words
-        self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()
         self.letters = byte_letters()
+        self.part = Kept(self._part, words // 4).__getitem__
+        self.word = Kept(self._word, words // 2).__getitem__
+        self.other = Kept(self._ids, words // 4).__getitem__
 
-    def _ids(self, text: str):
-        import numpy as np
-
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def _ids(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of lower-case letters: one word to the tokenizer, so its model is asked at once."""
-        spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+    def _part(self, part: str) -> bytes:
+        """Ids of what is one word to the tokenizer, so its model is asked at once."""
+        spelled = part if part.isascii() and part.isprintable() else "".join(map(self.letters.__getitem__, part.encode()))
         ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of ``words``, those of more than letters encoded together with special tokens between them."""
-        import numpy as np
-
-        plain = [w for w in words if w.isalpha() and w.islower() and not NOT_PLAIN.search(w)]
-        self.known.update((w, self._word(w)) for w in plain)
-        words = [w for w in words if w not in self.known]
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
-            ids = self._ids(SPECIAL.join(some))
-            cuts, raw, start = np.flatnonzero(ids == self.stop).tolist(), ids.tobytes(), 0
-            for word, end in zip(some, [*cuts, len(ids)], strict=True):
-                self.known[word] = raw[4 * start : 4 * end]
-                start = end + 1
+    def _word(self, word: str) -> bytes:
+        return self._part(word) if word.isalpha() else b"".join(map(self.part, PARTS.findall(word)))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        parts: list[list[str] | str] = []
         for text in texts:
-            text = text or ""
-            if "<|" in text:
-                parts.append(text)
-                continue
-            parts.append((text if NOT_PLAIN.search(text) else text.lower()).split(" "))
-        used = set().union(*(p for p in parts if isinstance(p, list)))
-        if len(self.known) > self.words:  # words met again are the likeliest to be met again
-            self.known, self.again = {w: self.known[w] for w in self.again}, set()
-            if len(self.known) > self.words // 2:
-                self.known = {}
-        new = used.difference(self.known)
-        self.again |= used - new
-        # Words end in full stops and commas more often than not: known without them.
-        ended = {w: (c, w[len(c) :]) for w in new if (c := w.rstrip(".,")) != w and c and c[-1].isalnum()}
-        single = new.difference(ended).union(*ended.values()).difference(self.known)
-        self._learn(list(single))
-        self.known.update({w: self.known[a] + self.known[b] for w, (a, b) in ended.items()})
-        get = self.known.__getitem__
-        for p in parts:
-            yield self._ids(p).tobytes() if isinstance(p, str) else b"".join(map(get, p))
+            if not text:
+                yield b""
+            elif "<|" in text:
+                yield self._ids(text)
+            elif NOT_PLAIN.search(text):
+                yield b"".join(map(self.other, text.split(" ")))
+            else:
+                yield b"".join(map(self.word, text.lower().split()))
 
 
 @cache
