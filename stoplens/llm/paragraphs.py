@@ -60,7 +60,6 @@ BLOCK = 512
 SEED = 20240101
 # Words hashed together at least; texts are processed whole.
 CHUNK_WORDS = 50_000
-CACHE_WORDS = 100_000
 # Digests of which a worker remembers that it has given their keys.
 KNOWN_PIDS = 500_000
 # Distinct shingles of a block that are multiplied at a time.
@@ -80,15 +79,16 @@ LONG_TOKEN = 200
 # A row per document; units and lines are numbered from 0. Of each unit its line, place, length in code
 # points, number of words, place in words, whether it is all of its line, and digest; of each line of several
 # units the first one, how many they are and the line's digest; the digests of units and lines that have
-# band keys; anchors and their places in words.
+# band keys; of each stretch of windows with one anchor the anchor, its first window, how many they are, and a
+# hash of all their words.
 COLUMNS_OF = {
     "doc_id": pa.binary(),
     **dict.fromkeys(("paras", "starts", "lengths", "words", "ats"), pa.list_(pa.int32())),
     "alone": pa.list_(pa.bool_()),
     "uids": pa.list_(pa.int64()),
     **dict.fromkeys(("line_units", "line_counts"), pa.list_(pa.int32())),
-    **dict.fromkeys(("line_pids", "near_units", "near_lines", "anchors"), pa.list_(pa.int64())),
-    "places": pa.list_(pa.int32()),
+    **dict.fromkeys(("line_pids", "near_units", "near_lines", "anchors", "spans"), pa.list_(pa.int64())),
+    **dict.fromkeys(("firsts", "counts"), pa.list_(pa.int32())),
 }
 
 
@@ -104,10 +104,10 @@ def documents_schema(bands: int, near_bands: int) -> pa.Schema:
 FOUND = pa.schema(
     [
         ("cluster", pa.int64()), ("pid", pa.int64()), ("copies", pa.int64()), ("shingles", pa.binary()),
-        ("hash", pa.int64()), ("doc_id", pa.binary()), ("pos", pa.int32()),
+        ("hash", pa.int64()), ("span", pa.int64()), ("doc_id", pa.binary()), ("pos", pa.int32()), ("k", pa.int32()),
     ]
 )
-FOUND_DDL = "cluster bigint, pid bigint, copies bigint, shingles binary, hash bigint, doc_id binary, pos int"
+FOUND_DDL = "cluster bigint, pid bigint, copies bigint, shingles binary, hash bigint, span bigint, doc_id binary, pos int, k int"
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
 PARTS = "doc_id binary, para int, unit int, start int, length int, words int, kept_doc_id binary, removed boolean"
 
@@ -124,34 +124,16 @@ def hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
     return draw[0] * np.uint64(2) + np.uint64(1), draw[1]
 
 
-@cache
-def _known_words() -> dict[str, int]:
-    return {}
-
-
 def _is_plain(word: str) -> bool:
     return len(word) <= LONG_TOKEN and (word.isascii() or not OF_UNSPACED.search(word))
 
 
-def word_hashes(words: list[str]) -> tuple[np.ndarray, bool]:
-    """Hashes of ``words`` split at white space, and whether each is one word indeed."""
-    import xxhash
+def is_plain(text: str, words: list[str]) -> bool:
+    """Whether each of ``words``, which ``text`` has between white space, is one word indeed."""
+    return (text.isascii() or not OF_UNSPACED.search(text)) and max(map(len, words), default=0) <= LONG_TOKEN
+
 
-    known, plain = _known_words(), True
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    for w in set(words).difference(known):
-        if _is_plain(w):
-            known[w] = xxhash.xxh64_intdigest(w)
-        else:
-            plain = False
-    if not plain:
-        return np.empty(0, dtype=np.uint64), False
-    return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words)), True
-
-
-def cut_hashes(words: list[str]) -> np.ndarray:
-    """Hashes of words that ``cut_words`` made."""
+def word_hashes(words: list[str]) -> np.ndarray:
     import xxhash
 
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
@@ -170,6 +152,21 @@ def token_spans(text: str) -> list[tuple[int, int]]:
     return out
 
 
+@cache
+def _white() -> np.ndarray:
+    """Which of the code points that hold all white space is."""
+    return np.array([chr(c).isspace() for c in range(0x3002)])
+
+
+def plain_spans(text: str) -> np.ndarray:
+    """Where words between white space are."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    white = _white()
+    inside = np.concatenate(([False], ~white[np.minimum(codes, len(white) - 1)], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges.reshape(-1, 2)
+
+
 def split_words(text: str) -> list[str]:
     return text.lower().split()
 
@@ -180,8 +177,8 @@ def cut_words(text: str) -> list[str]:
 
 def text_hashes(text: str) -> np.ndarray:
     """Hashes of a text's words."""
-    found, plain = word_hashes(split_words(text))
-    return found if plain else cut_hashes(cut_words(text))
+    words = split_words(text)
+    return word_hashes(words if is_plain(text, words) else cut_words(text))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -213,13 +210,24 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _sums(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of the words times powers, and the inverse powers."""
+    powers, inverse = _powers(1 << max(0, len(words) - 1).bit_length())
+    return np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(words) * powers[: len(words)], dtype=np.uint64))), inverse
+
+
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the words from each start to its end, wherever they stand."""
+    sums, inverse = _sums(words)
+    return _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """``shingle_hashes`` for wide windows: differences of running sums."""
     n = len(words) - width + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    powers, inverse = _powers(1 << (len(words) - 1).bit_length())
-    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(words) * powers[: len(words)], dtype=np.uint64)))
+    sums, inverse = _sums(words)
     return _mix((sums[width:] - sums[:n]) * inverse[:n])
 
 
@@ -333,12 +341,12 @@ class Documents:
         return out
 
     def batch(self, texts: list[tuple[bytes, str | None]]) -> pa.RecordBatch:
-        found = self._units([text for _, text in texts], split_words)
-        hashes, plain = word_hashes(found[0])
-        if not plain:
-            found = self._units([text for _, text in texts], cut_words)
-            hashes = cut_hashes(found[0])
-        return self._arrow([doc_id for doc_id, _ in texts], hashes, *(np.array(x, dtype=np.int64).reshape(-1, w) for x, w in zip(found[1:], (5, 4), strict=True)))
+        every = [text for _, text in texts]
+        found = self._units(every, split_words)
+        if max(map(len, found[0]), default=0) > LONG_TOKEN or not all(t is None or t.isascii() or not OF_UNSPACED.search(t) for t in every):
+            found = self._units(every, cut_words)
+        units, lines = (np.array(x, dtype=np.int64).reshape(-1, w) for x, w in zip(found[1:], (5, 4), strict=True))
+        return self._arrow([doc_id for doc_id, _ in texts], word_hashes(found[0]), units, lines)
 
     @staticmethod
     def _units(texts: list[str | None], split: Callable[[str], list[str]]) -> tuple[list[str], list[tuple], list[tuple]]:
@@ -372,7 +380,7 @@ class Documents:
         doc_sizes = np.bincount(lines[:, 0], line_sizes, n).astype(np.int64)
         ats = np.cumsum(sizes) - sizes - (np.cumsum(doc_sizes) - doc_sizes)[units[:, 0]]
         alone = np.repeat(~several, lines[:, 2])
-        anchors, places, anchor_docs = self._anchors(hashes, doc_sizes)
+        anchors, spans, firsts, counts, anchor_docs = self._anchors(hashes, doc_sizes)
         of_units, of_lines = units[:, 0], lines[several, 0]
         i32, i64 = pa.int32(), pa.int64()
         columns = [
@@ -387,22 +395,30 @@ class Documents:
             _lists(of_near, n, _signed(uids[near]), i64),
             _lists(of_long, n, _signed(pids[long]), i64),
             _lists(anchor_docs, n, _signed(anchors), i64),
-            _lists(anchor_docs, n, places, i32),
+            _lists(anchor_docs, n, _signed(spans), i64),
+            _lists(anchor_docs, n, firsts, i32),
+            _lists(anchor_docs, n, counts, i32),
             *[_lists(of_long, n, _signed(k.copy()), i64) for k in line_keys.T],
             *[_lists(of_near, n, _signed(k.copy()), i64) for k in unit_keys.T],
         ]
         return pa.record_batch(columns, schema=self.schema)
 
     @staticmethod
-    def _anchors(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Anchors of the documents that ``hashes`` are, their places there, and whose they are."""
+    def _anchors(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each stretch of windows with one anchor its anchor, hash, first place, windows and document."""
         grams, at = anchors_of(hashes)
         begins = np.cumsum(sizes) - sizes
-        doc = np.repeat(np.arange(len(sizes)), sizes)[: len(at)]
-        inside = np.arange(len(at)) + PASSAGE <= (begins + sizes)[doc]
-        at = np.unique(at[inside])
-        doc = np.repeat(np.arange(len(sizes)), sizes)[at]
-        return grams[at], at - begins[doc], doc
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        start = np.arange(len(at))
+        start = start[start + PASSAGE <= (begins + sizes)[doc[: len(at)]]]
+        at, doc = at[start], doc[start]
+        new = np.ones(len(start), dtype=bool)
+        new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
+        heads = np.flatnonzero(new)
+        counts = np.diff(np.append(heads, len(start)))
+        first, doc = start[heads], doc[heads]
+        spans = span_hashes(hashes, first, first + counts - 1 + PASSAGE) if len(first) else np.empty(0, dtype=np.uint64)
+        return grams[at[heads]], spans, first - begins[doc], counts, doc
 
 
 def _chunks(doc_ids: list[bytes], texts: list[str | None]) -> Iterator[list[tuple[bytes, str | None]]]:
@@ -678,43 +694,54 @@ def paragraph_classes(shingles: DataFrame, threshold: float = THRESHOLD) -> Data
 # --- texts ------------------------------------------------------------------
 
 
-def found_in_texts(docs: DataFrame, members: DataFrame, anchored: DataFrame) -> DataFrame:
-    """The shingles of ``members`` and the hashes of windows at ``anchored`` places (doc_id, place), in one pass over the texts.
+def found_in_texts(docs: DataFrame, members: DataFrame, stretches: DataFrame) -> DataFrame:
+    """The shingles of ``members`` and the hashes of the windows of ``stretches`` (span, place: doc_id, first, n;
+    copies), in one pass over the texts.
 
-    Rows have either cluster, pid, copies and shingles, or hash, doc_id and pos.
+    Rows have either cluster, pid, copies and shingles, or hash, span, copies, doc_id, pos and k, the window's
+    number in its stretch.
     """
     wanted = members.groupBy(F.col("place.doc_id").alias("doc_id")).agg(
         F.collect_list(F.struct("place.at", "size", "cluster", "pid", "copies")).alias("wanted")
     )
-    places = anchored.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    places = stretches.groupBy(F.col("place.doc_id").alias("doc_id")).agg(
+        F.collect_list(F.struct("place.first", "place.n", "span", "copies")).alias("stretches")
+    )
     texts = docs.select("doc_id", "text").join(wanted.join(places, "doc_id", "full"), "doc_id")
 
+    def column(rows: list[dict], name: str) -> np.ndarray:
+        return np.array([x[name] for x in rows], dtype=np.int64)
+
     def of_members(hashes: np.ndarray, asked: list[dict]) -> pa.RecordBatch:
         sets = [np.unique(shingle_hashes(hashes[x["at"] : x["at"] + x["size"]])).tobytes() for x in asked]
-        named = [pa.array([x[c] for x in asked], type=pa.int64()) for c in ("cluster", "pid", "copies")]
-        empty = [pa.nulls(len(asked), FOUND.field(k).type) for k in (4, 5, 6)]
+        named = [pa.array(column(asked, c)) for c in ("cluster", "pid", "copies")]
+        empty = [pa.nulls(len(asked), FOUND.field(k).type) for k in range(4, len(FOUND))]
         return pa.record_batch([*named, pa.array(sets, type=pa.binary()), *empty], schema=FOUND)
 
-    def of_windows(hashes: np.ndarray, doc_id: bytes, asked: list[int]) -> Iterator[pa.RecordBatch]:
-        at = anchors_of(hashes)[1]
-        at = np.flatnonzero(np.isin(at, asked))
-        found = _signed(window_hashes(hashes, PASSAGE)[at])
-        for lo in range(0, len(at), CHUNK_WORDS):
-            part = slice(lo, lo + CHUNK_WORDS)
-            n = len(at[part])
-            empty = [pa.nulls(n, FOUND.field(k).type) for k in range(4)]
-            ids = pa.array([doc_id], type=pa.binary()).take(pa.array(np.zeros(n, dtype=np.int32)))
-            yield pa.record_batch([*empty, pa.array(found[part]), ids, pa.array(at[part], type=pa.int32())], schema=FOUND)
+    def of_windows(hashes: np.ndarray, doc_id: bytes, asked: list[dict]) -> Iterator[pa.RecordBatch]:
+        every = window_hashes(hashes, PASSAGE)
+        for lo in range(0, len(asked), CHUNK_WORDS):
+            some = asked[lo : lo + CHUNK_WORDS]
+            n = column(some, "n")
+            k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(column(some, "first"), n) + k
+            none = pa.nulls(len(at), pa.int64())
+            ids = pa.array([doc_id], type=pa.binary()).take(pa.array(np.zeros(len(at), dtype=np.int32)))
+            copies, span = (pa.array(np.repeat(column(some, c), n)) for c in ("copies", "span"))
+            found = pa.array(_signed(every[at]))
+            places = [pa.array(x, type=pa.int32()) for x in (at, k)]
+            yield pa.record_batch([none, none, copies, pa.nulls(len(at), pa.binary()), found, span, ids, *places], schema=FOUND)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, rows = [], 0
-            for doc_id, text, asked, anchors in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "wanted", "places")), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "wanted", "stretches"))
+            for doc_id, text, asked, of_text in zip(*columns, strict=True):
                 hashes = text_hashes(text)
                 if asked:
                     held.append(of_members(hashes, asked))
-                if anchors:
-                    held += of_windows(hashes, doc_id, anchors)
+                if of_text:
+                    held += of_windows(hashes, doc_id, of_text)
                 rows += len(hashes)
                 if rows > CHUNK_WORDS:
                     yield from pa.Table.from_batches(held, FOUND).combine_chunks().to_batches()
@@ -727,41 +754,55 @@ def found_in_texts(docs: DataFrame, members: DataFrame, anchored: DataFrame) ->
 # --- windows ----------------------------------------------------------------
 
 
-def repeated_anchors(lines: DataFrame) -> DataFrame:
-    """Places (doc_id, place) of the anchors that occur twice or more."""
-    anchors = lines.select("doc_id", F.explode(F.arrays_zip("anchors", "places")).alias("x"))
-    anchors = anchors.select("doc_id", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
-    often = staged(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
-    return anchors.join(often, "anchor").select("doc_id", "place")
+def repeated_stretches(lines: DataFrame) -> DataFrame:
+    """Stretches of windows whose anchor occurs twice or more: doc_id, first (place in words), n (windows), span (hash)."""
+    every = lines.select("doc_id", F.explode(F.arrays_zip("anchors", "spans", "firsts", "counts")).alias("x"))
+    often = every.groupBy(F.col("x.anchors").alias("anchor")).agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    often = staged(often, "anchors")
+    found = every.join(often, F.col("x.anchors") == F.col("anchor"))
+    names = [F.col("x.firsts").alias("first"), F.col("x.counts").alias("n"), F.col("x.spans").alias("span")]
+    found = staged(found.select("doc_id", *names), "stretches")
+    discard(often)
+    return found
 
 
-def repeated_windows(windows: DataFrame) -> DataFrame:
-    """Ranges of places (in words) where ``windows`` (hash, doc_id, pos) of PASSAGE words start that occur twice or more.
+def repeated_windows(stretches: DataFrame, windows: DataFrame) -> DataFrame:
+    """Ranges of places (in words) where windows of PASSAGE words start that occur twice or more.
 
-    Returns doc_id, first and last place, kept_doc_id and shift: the windows' first
-    occurrence is there, ``shift`` words before that place.
+    ``windows`` (hash, span, copies, doc_id, pos, k) are those of the first of all equal ``stretches``. Returns
+    doc_id, first and last place, kept_doc_id and shift: the windows' first occurrence is
+    there, ``shift`` words before that place.
     """
-    first = windows.groupBy("hash").agg(F.min(F.struct("doc_id", "pos")).alias("kept"), F.count("*").alias("n"))
-    first = staged(first.where("n > 1").select("hash", "kept"), "first-windows")
-    shift = (F.col("pos") - F.col("kept.pos")).alias("shift")
-    found = windows.join(first, "hash").select("doc_id", "pos", F.col("kept.doc_id").alias("kept_doc_id"), shift)
-    in_text = Window.partitionBy("doc_id").orderBy("kept_doc_id", "shift", "pos")
-    runs = found.withColumn("run", F.col("pos") - F.row_number().over(in_text))
-    return runs.groupBy("doc_id", "kept_doc_id", "shift", "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).drop("run")
+    kept = windows.groupBy("hash").agg(F.min(F.struct("doc_id", "pos")).alias("kept"), F.sum("copies").alias("n"))
+    kept = windows.join(kept.where("n > 1").select("hash", "kept"), "hash").select(
+        "span", "k", F.col("kept.doc_id").alias("kept_doc_id"), (F.col("k") - F.col("kept.pos")).alias("ahead")
+    )
+    in_span = Window.partitionBy("span").orderBy("kept_doc_id", "ahead", "k")
+    of_span = kept.withColumn("run", F.col("k") - F.row_number().over(in_span)).groupBy("span", "kept_doc_id", "ahead", "run")
+    of_span = staged(of_span.agg(F.min("k").alias("from"), F.max("k").alias("to")).drop("run"), "span-ranges")
+    found = stretches.join(of_span, "span").select(
+        "doc_id",
+        "kept_doc_id",
+        (F.col("first") + F.col("ahead")).alias("shift"),
+        (F.col("first") + F.col("from")).alias("first"),
+        (F.col("first") + F.col("to")).alias("last"),
+    )
+    in_text = Window.partitionBy("doc_id", "kept_doc_id", "shift").orderBy("first")
+    new = (F.col("first") > F.lag("last").over(in_text) + 1).cast("int")
+    runs = found.withColumn("new", F.coalesce(new, F.lit(0))).withColumn("run", F.sum("new").over(in_text))
+    return runs.groupBy("doc_id", "kept_doc_id", "shift", "run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("run")
 
 
 def splitter(text: str) -> Callable[[str], list[str]]:
     """``split_words`` where that is right for ``text``, else ``cut_words``."""
-    unspaced = not text.isascii() and OF_UNSPACED.search(text)
-    return cut_words if unspaced or max(map(len, text.split()), default=0) > LONG_TOKEN else split_words
+    return split_words if is_plain(text, text.split()) else cut_words
 
 
 def parts_of(doc_id, text: str, units, ranges) -> Iterator[tuple]:
     """Rows of PARTS: what repeated ``units`` and ``ranges`` of windows cover of a text, cut at units."""
     split = splitter(text)
     places = [(para, start + a, start + b, len(w)) for para, start, line in lines_of(text) for a, b, w in units_of(line, split)]
-    spans = [m.span() for m in TOKEN.finditer(text)] if split is split_words else token_spans(text)
-    spans = np.array(spans, dtype=np.int64).reshape(-1, 2)
+    spans = plain_spans(text) if split is split_words else np.array(token_spans(text), dtype=np.int64).reshape(-1, 2)
     ends = np.cumsum([p[3] for p in places])
     # 1: first of its kind, 2: to be removed; and the number of the row kept.
     state = np.zeros(len(spans), dtype=np.int8)
@@ -831,14 +872,19 @@ def _repeated(docs: DataFrame, threshold: float, min_run: int, min_line: int) ->
     """Rows of PARTS for ``docs`` (doc_id, a key; text)."""
     bands, near_bands = tune_bands(threshold), tune_bands(threshold, rows=NEAR_ROWS)
     lines = staged(occurrences(docs, bands, near_bands), "documents")
-    pieces = pieces_of(lines)
+    pieces = staged(pieces_of(lines), "pieces")
     places = pieces.groupBy("pid").agg(F.min(F.struct("place", _size("words").alias("size"))).alias("least"), F.count("*").alias("copies"))
     places = staged(places.select("pid", "least.place", "least.size", "copies"), "places")
     members = loose_members(lines, places, bands, near_bands)
-    found = found_in_texts(docs, members, repeated_anchors(lines))
+    stretches = repeated_stretches(lines)
+    discard(lines)
+    distinct = stretches.groupBy("span").agg(F.min(F.struct("doc_id", "first", "n")).alias("place"), F.count("*").alias("copies"))
+    found = found_in_texts(docs, members, distinct)
     shingles = found.where(F.col("shingles").isNotNull()).select("cluster", "pid", "copies", "shingles")
-    windows = found.where(F.col("hash").isNotNull()).select("hash", "doc_id", "pos")
+    windows = found.where(F.col("hash").isNotNull()).select("hash", "span", "copies", "doc_id", "pos", "k")
     classes = staged(paragraph_classes(shingles, threshold), "classes")
+    ranges = staged(repeated_windows(stretches, windows), "ranges")
+    discard(found, stretches)
 
     # Exact copies stay where their first one is, those nearly alike where the first of their class is.
     near = classes.join(members.select("pid", "place"), "pid")
@@ -868,7 +914,9 @@ def _repeated(docs: DataFrame, threshold: float, min_run: int, min_line: int) ->
     runs = units.withColumn("run", F.col("unit") - F.row_number().over(in_text))
     in_run = Window.partitionBy("doc_id", "run")
     chosen = runs.withColumn("run_words", F.sum("words").over(in_run)).where(F.col("alone") | (F.col("run_words") >= min_run))
-    return covered(docs, chosen, repeated_windows(windows))
+    chosen = staged(chosen.select("doc_id", "unit", "kept_doc_id", "removed"), "chosen")
+    discard(pieces, places, members)
+    return covered(docs, chosen, ranges)
 
 
 def _sortable(x: Column) -> Column:

@@ -3,7 +3,11 @@
 import numpy as np
 import pytest
 
+from plain import near_classes, repeated_parts, without_parts
+
 from stoplens.llm import paragraphs as P
+from stoplens.llm.queries import QUERIES
+from stoplens.llm.tables import table
 
 RANDOM = np.random.default_rng(11)
 VOCABULARY = [f"w{k}" for k in range(5000)]
@@ -175,3 +179,104 @@ def test_rows_that_share_an_id_or_have_none_take_part(docs):
     assert left == sorted(
         [("-3", f"{others[0]} {PASSAGE}"), ("7", others[1]), ("7", others[2]), ("None", others[3]), ("None", others[4]), ("9", f"{others[5]} {mine}")]
     )
+
+
+# --- against plain versions -------------------------------------------------
+
+
+def whole_rows(frame):
+    names = ("doc_id", "para", "unit", "start", "length", "words", "kept_doc_id", "removed")
+    return sorted(tuple(r[c] for c in names) for r in frame.collect())
+
+
+def test_query_equals_all_pairs(spark, sf_dir):
+    docs = [tuple(r) for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
+    expected, found = repeated_parts(docs), whole_rows(QUERIES["op3_substring_dedup"](spark, sf_dir))
+    assert len(set(found) & set(expected)) >= 0.98 * max(len(found), len(expected)) > 100
+    left = {r["doc_id"]: r["text"] for r in P.without_repeats(table(spark, sf_dir, "documents")).collect()}
+    plain = without_parts(docs)
+    assert sum(left.get(i) == plain.get(i) for i, _ in docs) >= 0.98 * len(docs)
+
+
+def test_exact_and_near_lines_follow_one_rule(docs):
+    """A line counts on its own from MIN_LINE words on, be its copies exact or not."""
+    rows, wanted, n = [], set(), 0
+    for words in (5, 8, 12, 13, 15, 20, 30, 34, 35, 60):
+        for near in (False, True):
+            line = " ".join(RANDOM.choice(VOCABULARY, words))
+            rows += [(n, f"{prose(24)}\n{line}\n{prose(24)}"), (n + 1, f"{prose(24)}\n{line}{' more' * near}\n{prose(24)}")]
+            if words >= P.MIN_LINE:
+                wanted.add(n + 1)
+            n += 2
+    frame = docs(*rows)
+    assert {r["doc_id"] for r in P.repeated_paragraphs(frame).collect() if r["removed"]} == wanted
+    assert whole_rows(P.repeated_paragraphs(frame)) == repeated_parts(rows)
+
+
+def test_scripts_without_spaces(docs):
+    han = "".join(chr(0x4E00 + int(k)) for k in RANDOM.integers(0, 3000, 200))
+    thai = "".join(chr(0x0E01 + int(k)) for k in RANDOM.integers(0, 40, 200))
+    endless = "".join(chr(97 + int(k)) for k in RANDOM.integers(0, 26, 560))
+    stops = "\u3002".join("".join(chr(0x4E00 + int(k)) for k in RANDOM.integers(0, 3000, 12)) for _ in range(8))
+    rows = []
+    for k, text in enumerate((han, thai, endless, stops)):
+        rows += [(2 * k, f"{prose(16)}\nx {text}"), (2 * k + 1, f"ab{text[:0]} {text}\n{prose(16)}")]
+    rows += [(20, "語" * 30), (21, "短い文章です"), (22, "短い文章です")]
+    found = whole_rows(P.repeated_paragraphs(docs(*rows)))
+    assert found == repeated_parts(rows)
+    assert {r[0] for r in found if r[-1]} == {1, 3, 5, 7}
+    left = {r["doc_id"]: r["text"] for r in P.without_repeats(docs(*rows)).collect()}
+    assert all(t not in left[2 * k + 1] for k, t in enumerate((han, thai, endless, stops)))
+
+
+def test_words_and_spans_agree():
+    text = "Ab c\u3002d語e. f" + "x" * 300 + " İ\u00a0y\n" + "z" * 201 + "語" * 3 + "\u0e01\u0e02 q."
+    spans = P.token_spans(text)
+    assert [text[a:b].lower() for a, b in spans] == P.cut_words(text)
+    units = [w for _, _, line in P.lines_of(text) for u in P.units_of(line) for w in u[2]]
+    assert units == P.cut_words(text)
+    assert P.plain_spans(text).tolist() == [list(m.span()) for m in P.TOKEN.finditer(text)]
+    white = "".join(chr(c) for c in range(0x3100)) + "\U0001f600 x"
+    assert P.plain_spans(white).tolist() == [list(m.span()) for m in P.TOKEN.finditer(white)]
+    assert P.splitter("plain words here") is P.split_words and P.splitter(text) is P.cut_words
+
+
+def test_wide_hashes_depend_on_their_words_only():
+    words = RANDOM.integers(0, 1 << 63, 300).astype(np.uint64)
+    there = np.concatenate((RANDOM.integers(0, 1 << 63, 77).astype(np.uint64), words))
+    assert (P.window_hashes(words, 50) == P.window_hashes(there, 50)[77:]).all()
+    grams, at = P.anchors_of(words)
+    wide = P.PASSAGE - P.GRAM + 1
+    assert at.tolist() == [i + int(grams[i : i + wide].argmin()) for i in range(len(grams) - wide + 1)]
+    sizes = np.array([3, 1, 40, 256])
+    parts = np.split(words, np.cumsum(sizes)[:-1])
+    assert P.digests(words, sizes).tolist() == [int(P.digests(x, np.array([len(x)]))[0]) for x in parts]
+
+
+def test_links_of_keys_reach_across_partitions(spark):
+    from stoplens.llm.components import connected_components
+
+    rows = [(k % 3 if k % 5 else 0, k % 211) for k in range(2000)] + [(100 + k, 5000 + k) for k in range(300)]
+    keyed = spark.createDataFrame(rows, "key bigint, pid bigint")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = P.key_links(keyed)
+        assert all(a != b for a, b in links.collect())
+        assert {r["component"] for r in connected_components(links).collect()} == {0}
+        assert connected_components(links).count() == 211
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_planted_near_lines_are_all_found(docs):
+    """Recall of the bands on lines at and above the threshold."""
+    rows = []
+    for k in range(60):
+        line = RANDOM.choice(VOCABULARY, 60).tolist()
+        other = line.copy()
+        other[30] = "changed"  # 51 of 61 shingles: 0.836
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(other))]
+    assert len(near_classes([tuple(t.split()) for _, t in rows])) == 120
+    found = {r["doc_id"] for r in P.repeated_paragraphs(docs(*rows)).collect() if r["removed"]}
+    assert len(found) >= 57
