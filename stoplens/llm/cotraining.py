@@ -40,7 +40,7 @@ POINT = float(1 << 20)
 VIEWS = "doc_id bigint, text_view binary, page_view binary"
 WORD = re.compile(r"\w+")
 SYMBOLS = re.compile(r"[^\w\s]+")
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 # Ids whose least row a task remembers while it deals rows out.
 KNOWN_IDS = 10_000
 
@@ -62,7 +62,7 @@ def _token_coordinates(tokens: set[str]) -> np.ndarray:
     if len(seen) > CACHE_WORDS:
         seen.clear()
     for t in tokens.difference(seen):
-        seen[t] = _coordinate(t.lower()) << 32 | _coordinate(f"shape={_shape(t)}")
+        seen[t] = _coordinate(t.lower()) << 32 | _shape_coordinate(t)
     both = np.fromiter(map(seen.__getitem__, tokens), dtype=np.int64, count=len(tokens))
     return np.concatenate((both >> 32, both & 0xFFFFFFFF))
 
@@ -76,9 +76,37 @@ def _bucket(x: float, steps: float = 2.0) -> int:
     return int(np.log2(max(x, 0) + 1) * steps)
 
 
+class _Kinds(dict):
+    """For each character the one that stands for its kind: lower, upper, digit, other letter; or itself."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kind = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "w" if c.isalpha() else c
+        return kind
+
+
+KINDS = _Kinds()
+RUNS = re.compile(r"(.)\1+")
+
+
 def _shape(token: str) -> str:
-    kind = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "w" if c.isalpha() else c for c in token[:24])
-    return re.sub(r"(.)\1+", r"\1+", kind)
+    return RUNS.sub(r"\1+", token[:24].translate(KINDS))
+
+
+@cache
+def _shape_coordinates() -> dict[str, int]:
+    return {}
+
+
+def _shape_coordinate(token: str) -> int:
+    shape = ("a+" if len(token) > 1 else "a") if token.isascii() and token.isalpha() and token.islower() else _shape(token)
+    known = _shape_coordinates()
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    found = known.get(shape)
+    if found is None:
+        found = known[shape] = _coordinate(f"shape={shape}")
+    return found
 
 
 def text_view(text: str | None) -> np.ndarray:
