@@ -10,8 +10,8 @@ Draws are hashes of the row's key, so a row's samples depend on nothing else.
 The model's ranks, which are no probabilities, are taken as Zipf's: a piece has a
 probability in proportion to 1 / (rank + OFFSET).
 
-No piece reaches over the start of a word, so nodes are those of single words, whose
-lattices are kept, and all words of a batch of texts advance together. On paths of more
+No piece reaches over the start of a word, nor from letters to others, so nodes are those
+of single words, whose lattices are kept, and all words of a batch of texts advance together. On paths of more
 than SHORT pieces, nodes below a share of e^CUT of their text are not opened: one of
 their paths would be among the samples with a probability under a double's resolution.
 """
@@ -34,7 +34,8 @@ SEED = 7
 OFFSET = 100.0
 CUT = -37.0
 SPACE = "▁"
-WORD = re.compile(f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n")
+# Letters, digits or other characters, with the spaces before them; numbers that are no digits count with the others.
+WORD = re.compile(rf"{SPACE}*(?:[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|\d+|(?:[^\w{SPACE}\n]|[_\xb2\xb3\xb9\xbc-\xbe])+)|{SPACE}+|\n")
 # Characters of text worked on together at least; a longer text is worked on whole.
 BATCH_CHARS = 400_000
 # Characters of words laid out together at least.
@@ -97,7 +98,7 @@ class Vocabulary:
         self.pieces = [self.model.id_to_piece(i) for i in range(n)]
         plain = [i for i in range(n) if not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i))]
         order = sorted(plain, key=lambda i: -self.model.get_score(i))
-        if any(re.search(f"[^{SPACE}]{SPACE}|\\n", self.pieces[i]) for i in plain):
+        if any(len(WORD.findall(self.pieces[i])) != 1 for i in plain):
             raise ValueError("pieces of this model reach over the start of a word")
         weights = 1 / (np.arange(len(order) + 1) + OFFSET)
         log = np.log(weights / weights.sum())
@@ -395,7 +396,7 @@ class Sampler:
         turns, left, chosen, going = [], [], [], np.arange(len(words))
         while len(going):
             here = nodes[going]
-            u = uniform(seeds[going], (s + 1) * 4096 + len(turns))
+            u = uniform(seeds[going], (s + 1 << 40) + len(turns))
             edge = start[here]
             more = np.flatnonzero(u >= cumulative[edge])
             while len(more):
@@ -499,7 +500,9 @@ def sample_segmentations(
     that it is in a sample that ends at the same score); with ``decode`` also text, which
     the ids stand for. Fewer rows for texts with fewer
     segmentations: a null or empty text has one, without ids. Rows with equal keys and
-    texts get equal samples. Other columns are ignored.
+    texts get equal samples. Other columns are ignored, whatever their names; an empty table
+    gives no rows. A text is read whole by one task, a word of any length with it: its draws
+    have numbers of their own however many pieces it has.
     """
     where = path or model_path()
 
