@@ -148,7 +148,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Da
     """
     groups = staged(_grouped(docs, shingle, bits).select("doc_id", "mark", "root"), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
-    first = groups.groupBy("root").agg(F.min(order).alias("first"))
+    # Written, so that the join below reads both sides from shuffles and a large group's can be split.
+    first = staged(groups.groupBy("root").agg(F.min(order).alias("first")), "firsts")
     rows = groups.groupBy("root", "doc_id", "mark").agg(F.count("*").alias("n"))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
     judged = staged(rows.join(first, "root").select("doc_id", "mark", "n", same.alias("stays")), "judged")

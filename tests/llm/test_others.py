@@ -8,14 +8,16 @@ import numpy as np
 import pytest
 import zstandard
 from compare import connect, duckdb_rows, spark_rows
+from plain import coordinates, plain_ftrl, sigmoid, without_parts
 from pyspark.sql import functions as F
+from test_documents import assert_packed, plain_components, plain_fingerprint, plain_pieces
 
 import corpus_pipeline
-from stoplens.llm import cotraining, lattice, toxicity, warc
+from stoplens.llm import cotraining, lattice, secret_scan, toxicity, warc
 from stoplens.llm.components import connected_components
 from stoplens.llm.oracles import ORACLES
 from stoplens.llm.queries import QUERIES
-from stoplens.llm.tables import table
+from stoplens.llm.tables import staged, table
 from stoplens.llm.topk import SortedLists, top_k
 
 
@@ -159,6 +161,60 @@ def test_toxicity_of_odd_rows(spark, odd_docs, docs):
     assert toxicity.score_toxicity(docs(), toxicity.Model(0.0)).count() == 0
 
 
+def test_toxicity_equals_plain_ftrl(spark, sf_dir):
+    """Every score of the query, by a plain FTRL over the same labelled rows in the same order."""
+    rows = {r["doc_id"]: r["text"] for r in table(spark, sf_dir, "documents").collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in table(spark, sf_dir, "labels").collect()}
+    known = [i for i in rows if toxic.get(i) in (0, 1) and zlib.crc32(str(i).encode()) % 5]
+    order = spark.createDataFrame([(i,) for i in known], "id bigint").orderBy(F.xxhash64("id"), "id").collect()
+    known = [r["id"] for r in order]
+    sets = [coordinates(rows[i], toxicity.BITS) for i in known]
+    model = plain_ftrl(sets, [toxic[i] for i in known], toxicity.MIN_ROWS, toxicity.PASSES, 2.0, 10.0, 0.1)
+    found = {r["doc_id"]: r for r in QUERIES["op8_toxicity"](spark, sf_dir).collect()}
+    assert found.keys() == rows.keys() and len(known) > 50
+    for i, text in rows.items():
+        expected = sigmoid(model.margin(coordinates(text, toxicity.BITS)))
+        assert found[i]["score"] == pytest.approx(expected, abs=1e-4)
+        assert found[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_cotraining_equals_one_plain_fit_per_view(spark, sf_dir, monkeypatch):
+    """With one shard, each round is a plain fit of each view on the labelled rows and all that the other is sure of."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model, views = cotraining.fit_quality(docs, labels, rounds=1)
+    rows = {r["doc_id"]: r for r in views.collect()}
+    as_set = lambda x: frozenset(np.frombuffer(x, dtype=np.int32).tolist())
+    at = {i: (as_set(r["text_view"]), as_set(r["page_view"])) for i, r in rows.items()}
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect() if r["quality"] in (0, 1) and r["doc_id"] in at}
+    by_hash = lambda ids: [r["id"] for r in spark.createDataFrame([(i,) for i in ids], "id bigint").orderBy(F.xxhash64("id"), "id").collect()]
+    known = by_hash(quality)
+    apart, train = [i for i in known if cotraining._is_apart(i)], [i for i in known if not cotraining._is_apart(i)]
+    fit = lambda rows, y: plain_ftrl(rows, y, cotraining.MIN_ROWS, 4, 0.5, 2.0, 1.0)
+    first = [fit([at[i][k] for i in train], [quality[i] for i in train]) for k in (0, 1)]
+    y = np.array([quality[i] for i in apart], dtype=np.float64)
+    scale = [cotraining.logistic(np.array([[m.margin(at[i][k])] for i in apart]), y) for k, m in enumerate(first)]
+    sure = np.log(cotraining.SURE / (1 - cotraining.SURE))
+    added = ([], [])
+    for i in by_hash(set(at) - set(known)):
+        logits = [a * m.margin(at[i][k]) + b for k, (m, (a, b)) in enumerate(zip(first, scale, strict=True))]
+        if logits[0] * logits[1] < 0 and min(map(abs, logits)) >= sure:
+            continue
+        for k in (0, 1):
+            if abs(logits[1 - k]) >= sure:
+                added[k].append((i, int(logits[1 - k] > 0)))
+    assert added[0] or added[1]
+    second = []
+    for k in (0, 1):
+        some = [*[(at[i][k], quality[i]) for i in train], *[(at[i][k], label) for i, label in added[k]]]
+        second.append(fit(*map(list, zip(*some, strict=True))) if added[k] else first[k])
+    for k, name in enumerate(("text", "page")):
+        ours = getattr(model.views, name)
+        dense = ours.dense()
+        for i in list(at)[:60]:
+            margin = ours.intercept + dense[list(at[i][k])].sum(dtype=np.float64)
+            assert margin == pytest.approx(second[k].margin(at[i][k]), abs=2e-3)
+
+
 def test_toxicity_with_clashing_columns(spark, docs):
     frame = docs(*[(k, "good words here" if k % 2 else "bad words there") for k in range(60)]).withColumns({"id": F.lit(1), "toxic": F.lit(0), "at": F.lit("x")})
     labels = spark.createDataFrame([(k, 1 - k % 2, "t", 0) for k in range(60)], "doc_id bigint, toxic int, text string, id int")
@@ -315,6 +371,46 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, sf_dir):
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in frame.collect()}
 
 
+def test_pipeline_equals_plain_stages(spark, sf_dir):
+    """Every stage against a plain version over all of its input: rows kept, texts and pieces."""
+    encode = secret_scan.encoding(secret_scan.vocabulary_path()).encode_ordinary
+
+    def texts(frame):
+        return {r["doc_id"]: r["text"] for r in frame.select("doc_id", "text").collect()}
+
+    cursor = connect(sf_dir).execute(f"SELECT doc_id, kept FROM ({ORACLES['op6_quality_rules']})")
+    frame = table(spark, sf_dir, "documents")
+    plain = texts(frame)
+    plain = {i: plain[i] for i, kept in cursor.fetchall() if kept}
+    groups = plain_components([(i, plain_fingerprint(t)) for i, t in plain.items()])
+    steps = [
+        lambda x: x,
+        lambda x: {i: x[i] for i, _, least in groups if i == least},
+        lambda x: without_parts(list(x.items())),
+        lambda x: {i: redact_plain(t, secret_scan.find_spans(t, encode)) for i, t in x.items()},
+    ]
+    for (name, stage), step in zip(corpus_pipeline.STAGES[:-1], steps, strict=True):
+        frame, plain = staged(stage(spark, frame, sf_dir), "plain-stage"), step(plain)
+        found = texts(frame)
+        assert found.keys() == plain.keys(), name
+        assert sum(found[i] == plain[i] for i in plain) >= (0.98 if name == "substring dedup" else 1) * len(plain), name
+        plain = found
+    rows = corpus_pipeline.STAGES[-1][1](spark, frame, sf_dir).collect()
+    pieces = sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    assert pieces == sorted(plain_pieces(plain.items()))
+    assert assert_packed(rows, 4096) <= 1.02 * sum(r["length"] for r in rows) / 4096 + 1
+
+
+def redact_plain(text, spans):
+    """Each covered stretch as one placeholder, by code points; stretches that only touch are two."""
+    out, at = [], 0
+    for _, start, end in sorted(spans, key=lambda x: x[1:]):
+        if start >= at:
+            out += [text[at:start], secret_scan.PLACEHOLDER]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
 def test_pipeline_on_an_empty_table(spark, docs):
     frame = docs()
     for _, stage in corpus_pipeline.STAGES:
