@@ -73,10 +73,14 @@ def _parser() -> argparse.ArgumentParser:
     live.add_argument("--rejects")
     live.add_argument("--cassandra-keyspace", help="write there instead of to --out")
     live.add_argument("--console", action="store_true", help="print closed windows")
+    live.add_argument("--dedup-key", action="append", help="count a repeated observation of these fields once; append mode only")
     live.add_argument("--console-rows", type=int, default=20, help="rows printed of a micro-batch")
 
     changes = command("changes", "messages to change events")
     stream_arguments(changes, "earliest")
+    changes.add_argument("--order", default="kafka_ts", help="field that orders a passage's messages")
+    changes.add_argument("--state", help="table of last values; <out>-state if not given")
+    changes.add_argument("--slice-width", type=float, help="keep last values in the stream's state store, by slices so wide")
 
     serving = command("serving", "show stored window statistics")
     serving.add_argument("--table", required=True)
@@ -94,6 +98,8 @@ def _checked(parser: argparse.ArgumentParser, args: argparse.Namespace) -> argpa
         parser.error("line-stats --out needs --write-id")
     if getattr(args, "cassandra_keyspace", None) and not args.rejects:
         parser.error(f"{args.job} --cassandra-keyspace needs --rejects, as its keys may not be null")
+    if getattr(args, "dedup_key", None) and not args.console and args.mode != "append":
+        parser.error("live-stats --dedup-key needs --mode append or --console")
     if args.job == "publish" and args.follow and not args.checkpoint:
         parser.error("publish --follow needs --checkpoint")
     return args
@@ -145,11 +151,12 @@ def main(argv: list[str] | None = None) -> None:
             jobs.store_line_stats(found, args.out, args.write_id, args.rejects)
     elif args.job == "live-stats":
         messages, routes = _messages(spark, args), read_routes(spark, args.routes)
+        options = {"dedup_keys": args.dedup_key} if args.dedup_key else {}
         if args.console:
-            writer = console(jobs.live_stats(messages, routes), args.console_rows)
+            writer = console(jobs.live_stats(messages, routes, **options), args.console_rows)
         elif args.cassandra_keyspace:
             writer = cassandra_table(
-                jobs.live_stats(messages, routes),
+                jobs.live_stats(messages, routes, **options),
                 f"{args.checkpoint}/cassandra-{args.mode}",
                 WINDOW_STATS,
                 args.cassandra_keyspace,
@@ -158,11 +165,19 @@ def main(argv: list[str] | None = None) -> None:
             )
         else:
             writer = jobs.live_stats_job(
-                messages, routes, args.out, args.checkpoint, args.mode, args.rejects
+                messages, routes, args.out, args.checkpoint, args.mode, args.rejects, **options
             )
         _run_stream(writer, args)
     elif args.job == "changes":
-        _run_stream(jobs.changes_job(_messages(spark, args), args.out, args.checkpoint), args)
+        writer = jobs.changes_job(
+            _messages(spark, args),
+            args.out,
+            args.checkpoint,
+            args.order,
+            state_path=args.state,
+            slice_width=args.slice_width,
+        )
+        _run_stream(writer, args)
     else:
         for row in jobs.serving_job(spark, args.table, args.line, args.since).toLocalIterator():
             print(*row, sep="\t")

@@ -6,14 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from stoplens.__main__ import main
-from stoplens.operators import line_stats
+from stoplens.operators import changes, line_stats
 from stoplens.schemas import LINE_STATS, WINDOW_STATS
 from stoplens.session import work_dir
 from stoplens.sinks import archive, backfill_archive, compact_serving, write_serving
 from stoplens.sinks.writers import stream_folder
-from stoplens.sources import read_lake, read_serving
+from stoplens.sources import read_lake, read_serving, read_written, stream_files
 from stoplens.streaming import run_to_end
 from workload.fixtures import passages
+from workload.queries import as_messages
 
 STATS = "ligne string, direction string, attente_moyenne_min double, attente_max_min float, attente_min_min float, ecart_type_attente double, total_enregistrements bigint"
 
@@ -150,6 +151,47 @@ def test_line_stats_needs_a_write_id_and_a_place(arguments):
         main(["line-stats", *arguments])
 
 
+@pytest.mark.parametrize(
+    "arguments",
+    [
+        ["line-stats", "--lake", "x", "--cassandra-keyspace", "k"],
+        ["live-stats", "--servers", "s", "--topic", "t", "--checkpoint", "c", "--routes", "r", "--cassandra-keyspace", "k"],
+        ["live-stats", "--servers", "s", "--topic", "t", "--checkpoint", "c", "--routes", "r", "--out", "o", "--dedup-key", "id"],
+        ["publish", "--snapshots", "x", "--servers", "s", "--topic", "t", "--rejects", "r", "--follow"],
+        ["publish", "--snapshots", "x", "--servers", "s", "--topic", "t"],
+    ],
+)
+def test_commands_say_what_is_missing(arguments):
+    with pytest.raises(SystemExit):
+        main(arguments)
+
+
+@pytest.mark.parametrize("state", [[], ["--slice-width", "60"]])
+def test_changes_command(spark, sf_dir, tmp_path, monkeypatch, state):
+    """The command line over files in place of a topic."""
+    import stoplens.__main__ as command
+
+    as_messages(passages(spark, sf_dir).where("gid < 200")).write.parquet(f"{tmp_path}/in")
+    monkeypatch.setattr(command, "stream_kafka", lambda session, *_: stream_files(session, f"{tmp_path}/in", "value binary, timestamp timestamp"))
+    stream = ["--servers", "s", "--topic", "t", "--checkpoint", f"{tmp_path}/c", "--out", f"{tmp_path}/out", "--drain"]
+    main(["changes", *stream, "--order", "gid", *state])
+    found = read_written(spark, f"{tmp_path}/out").select("event", "id", "gid", "old_value", "new_value")
+    expected = changes(passages(spark, sf_dir).where("gid < 200")).select("event", "id", "gid", "old_value", "new_value")
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_archive_command(spark, sf_dir, tmp_path, monkeypatch):
+    import stoplens.__main__ as command
+
+    as_messages(passages(spark, sf_dir).where("gid < 50")).write.parquet(f"{tmp_path}/in")
+    monkeypatch.setattr(command, "stream_kafka", lambda session, *_: stream_files(session, f"{tmp_path}/in", "value binary, timestamp timestamp"))
+    stream = ["--servers", "s", "--topic", "t", "--checkpoint", f"{tmp_path}/c", "--out", f"{tmp_path}/lake", "--drain"]
+    main(["archive", *stream, "--max-records", "5"])
+    count = passages(spark, sf_dir).where("gid < 50").count()
+    assert read_lake(spark, f"{tmp_path}/lake").count() == count
+    assert len(list((tmp_path / "lake").rglob("*.parquet"))) >= count / 5
+
+
 def test_write_ids_are_numbers(spark, tmp_path):
     with pytest.raises(TypeError):
         write_serving(spark.range(1), f"{tmp_path}/t", LINE_STATS, None)
