@@ -346,6 +346,42 @@ def test_samples_depend_on_their_row_only(words):
         assert [x[0].tolist() for x in a] == [x[0].tolist() for x in b]
 
 
+def test_query_decodes_to_the_normalised_text(spark, sf_dir):
+    v = lattice.vocabulary(lattice.model_path())
+    rows = QUERIES["op9_sentencepiece"](spark, sf_dir).collect()
+    plain = lambda t: v.model.normalize(t or "").replace(lattice.SPACE, " ").removeprefix(" ")
+    texts = [(r["doc_id"], plain(r["text"])) for r in table(spark, sf_dir, "documents").collect()]
+    expected = dict(map(tuple, spark.createDataFrame(texts, "i bigint, t string").select("i", F.xxhash64("t")).collect()))
+    assert {r["doc_id"] for r in rows} == set(expected)
+    assert all(r["decoded_hash"] == expected[r["doc_id"]] for r in rows)
+    found = {(r["doc_id"], r["ids_hash"]) for r in rows}
+    assert len(found) == len(rows) and max(r["sample"] for r in rows) == lattice.K
+
+
+def test_words_of_many_pieces_have_draws_of_their_own(words, monkeypatch):
+    """A word of more than 4,096 pieces: no two draws of its samples are the same number."""
+    random = np.random.default_rng(9)
+    text = "".join(random.choice(list("qxzvjkw"), 9000))
+    seen, plain = [], lattice.uniform
+
+    def kept(seed, *counters):
+        out = plain(seed, *counters)
+        seen.extend(np.atleast_1d(out).tolist())
+        return out
+
+    monkeypatch.setattr(lattice, "uniform", kept)
+    (samples,) = lattice.sample_texts([1], [text], words)
+    assert min(len(s[0]) for s in samples) > 4096 and len(samples) == lattice.K
+    assert all(words.v.decode(s[0].tolist()) == text for s in samples)
+    assert len(set(seen)) == len(seen)
+
+
+def test_no_piece_reaches_over_a_word(words):
+    text = words.v.model.normalize("It's 12.5 x² a_b (c) ½.")
+    assert "".join(words.v.words("It's 12.5 x² a_b (c) ½.")) == text
+    assert all(len(lattice.WORD.findall(p)) == 1 for k, p in enumerate(words.v.pieces) if words.v.log_prob[k] > words.v.byte_log_prob)
+
+
 def test_segmentations_of_odd_rows(odd_docs, docs):
     rows = lattice.sample_segmentations(odd_docs, decode=True).collect()
     model = lattice.vocabulary(lattice.model_path()).model
