@@ -23,6 +23,11 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Characters of a route name that the index of names goes by.
 GRAM = 8
+# Characters of these that tell where a name can start, unless there are too many such starts.
+START, MAX_STARTS = 3, 4096
+
+# Rows of a (line, direction) pair that are no longer left to one task.
+BUSY = 100_000
 
 
 def text_bytes(df: DataFrame) -> int:
@@ -72,34 +77,61 @@ def _every(salts: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
 
 
-def match_by_index(df: DataFrame, routes: DataFrame, salts: int = 32, gram: int = GRAM) -> DataFrame:
+def _busy_pairs(df: DataFrame, busy: int) -> list[int]:
+    """Hashes of the (line, direction) pairs of ``busy`` rows or more, the 1,000 most frequent at most."""
+    counts = df.groupBy(F.xxhash64("ligne", "direction").alias("pair")).count().where(F.col("count") >= busy)
+    return [r["pair"] for r in counts.orderBy(F.desc("count"), "pair").limit(1000).collect()]
+
+
+def match_by_index(df: DataFrame, routes: DataFrame, salts: int = 32, gram: int = GRAM, busy: int = BUSY) -> DataFrame:
     """``match_routes`` for a batch and any number of routes: equalities only, no line meets all its routes.
 
-    A name is found in a direction where its first ``gram`` characters are. So routes are
-    keyed by line and these characters, and each distinct (line, direction) asks for those
-    that stand somewhere in the direction: few pairs, however many rows. What it gets is
-    checked in full. The matches are joined back to the rows by pair. A pair of more than
-    its share of rows is not one task: rows are dealt over ``salts``, and so are copies of
-    the pair's matches, which are as many as its routes.
+    A name is found in a direction where its first ``gram`` characters are. So each distinct
+    (line, direction) asks, for every place in it, for names of its line that start like that
+    place, and gets the lengths of such names, however many there are: one row. The texts of
+    these lengths at that place are then looked up as whole names. So names that start alike
+    are not compared one by one, and what is found are matches. They are joined back to the
+    rows by pair. A pair of more than ``busy`` rows is not one task: its rows are dealt over
+    ``salts``, and so are copies of its matches, which are as many as its routes.
     """
     routes, rows = _named(routes).where("_line is not null and _name is not null"), df.columns
-    routes = routes.withColumn("_gram", F.left("_name", F.lit(gram)))
+    names = routes.select("_line", "_name", F.left("_name", F.lit(gram)).alias("_gram"))
+    starts = names.groupBy("_line", "_gram").agg(F.collect_set(F.length("_name")).alias("_lengths"))
     # Names shorter than the key are asked for by their own lengths, if there are any.
-    lengths = sorted(r[0] for r in routes.select(F.length("_gram")).distinct().collect())
+    lengths = sorted(r[0] for r in names.select(F.length("_gram")).distinct().collect())
+    # Places where no name can start are left out before the shuffle, if few characters tell them.
+    known = names.select(F.length("_gram"), F.left("_gram", F.lit(START))).distinct().limit(MAX_STARTS + 1).collect()
     pairs = df.select("ligne", "direction").where("ligne is not null and direction is not null").distinct()
 
-    def grams(length: int) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("direction") - length + 1))
-        return F.transform(places, lambda at: F.substring("direction", at, F.lit(length)))
-
-    asked = F.array_distinct(F.concat(*[grams(n) for n in lengths])) if lengths else F.array().cast("array<string>")
-    probes = pairs.select("ligne", "direction", F.explode(asked).alias("_gram"))
+    def asked(length: int) -> Column:
+        last = F.length("direction") - length + 1 if length else F.lit(1)
+        places = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(F.lit(1), last))).otherwise(F.array().cast("array<int>"))
+        if len(known) <= MAX_STARTS:
+            few = [r[1] for r in known if r[0] == length]
+            places = F.filter(places, lambda at: F.substring("direction", at, F.lit(min(length, START))).isin(few))
+        return F.transform(places, lambda at: F.struct(at.alias("at"), F.substring("direction", at, F.lit(length)).alias("gram")))
+
+    none = F.array().cast("array<struct<at:int,gram:string>>")
+    probes = pairs.withColumn("_place", F.explode(F.concat(none, *[asked(n) for n in lengths])))
+    probes = probes.select("ligne", "direction", "_place.at", F.col("_place.gram").alias("_asked"))
+    # A start that most directions have is not one task.
+    probes = probes.withColumn("_salt", F.pmod(F.xxhash64("direction"), F.lit(salts)).cast("int"))
+    starts = starts.withColumn("_copy", _every(salts))
     # Neither side is known to be small.
-    found = probes.join(routes.hint("merge"), (F.col("ligne") == F.col("_line")) & (probes["_gram"] == routes["_gram"]))
-    found = found.where(F.col("direction").contains(F.col("_name"))).select(
+    begun = probes.join(
+        starts.hint("merge"),
+        (F.col("ligne") == F.col("_line")) & (F.col("_asked") == F.col("_gram")) & (F.col("_salt") == F.col("_copy")),
+    )
+    texts = begun.select("ligne", "direction", "at", F.explode("_lengths").alias("_length"))
+    texts = texts.where(F.col("at") + F.col("_length") - 1 <= F.length("direction"))
+    texts = texts.select("ligne", "direction", F.substring("direction", F.col("at"), F.col("_length")).alias("_text")).distinct()
+    found = texts.join(routes.hint("merge"), (F.col("ligne") == F.col("_line")) & (F.col("_text") == F.col("_name"))).select(
         F.col("ligne").alias("_line"), F.col("direction").alias("_direction"), *ROUTE_COLUMNS.values()
     )
-    found = found.withColumn("_copy", _every(salts))
-    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*rows), F.lit(salts)).cast("int"))
+    often = _busy_pairs(df, busy)
+    is_busy = lambda *pair: F.xxhash64(*pair).isin(often) if often else F.lit(False)
+    copies = F.when(is_busy("_line", "_direction"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    found = found.withColumn("_copy", F.explode(copies))
+    dealt = df.withColumn("_salt", F.when(is_busy("ligne", "direction"), F.pmod(F.xxhash64(*rows), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
     same = (F.col("ligne") == F.col("_line")) & (F.col("direction") == F.col("_direction")) & (F.col("_salt") == F.col("_copy"))
     return dealt.join(found.hint("merge"), same, "left").select(*rows, *ROUTE_COLUMNS.values())

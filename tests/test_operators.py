@@ -120,6 +120,35 @@ def test_index_joins_by_equalities_only(spark, sf_dir, plan):
     assert len(joins) == 1 and "ligne" in joins[0]
 
 
+ROUTE_KINDS = "ligne string, code_trace string, nom_trace string, sens string, nom_origine string, nom_destination string, pmr string"
+
+
+def test_names_that_start_alike_are_looked_up_whole(spark, plan):
+    names = [f"Terminus {k:04d}" for k in range(200)] + ["Terminus 00", "Terminus 0007 Nord", "Terminus 0007 Nord", "Term", "us 00", ""]
+    table = spark.createDataFrame([("C7", f"c{k}", n, "", "", "", "") for k, n in enumerate(names)], ROUTE_KINDS)
+    ways = [f"Vers Terminus {k:04d} Nord Term" for k in range(200)] + ["Terminus 0003", "Terminus 0", "", None, *["Vers Terminus 0007 Nord"] * 40]
+    feed = [(k, line, way) for k, (line, way) in enumerate((x, w) for x in ("C7", "93", None) for w in ways)]
+    df = spark.createDataFrame(feed, "gid int, ligne string, direction string")
+    assert "Contains(" not in plan(match_by_index(df, table))  # no pair meets the names that only start alike
+    found = match_by_index(df, table, salts=3, busy=20)
+    expected = []
+    for gid, line, way in feed:
+        codes = [f"c{k}" for k, n in enumerate(names) if line == "C7" and way is not None and n in way]
+        expected += [(gid, code) for code in codes or [None]]
+    assert sorted(map(repr, map(tuple, found.select("gid", "route_code").collect()))) == sorted(map(repr, expected))
+
+
+def test_index_with_more_starts_than_are_listed(spark, monkeypatch):
+    monkeypatch.setattr("stoplens.operators.routes.MAX_STARTS", 3)
+    names = ["abcdefghij", "bcdefghijk", "cd", "x", "yz1"]
+    table = spark.createDataFrame([("L", n, n, "", "", "", "") for n in names], ROUTE_KINDS)
+    df = spark.createDataFrame([("L", "abcdefghijk"), ("L", "xyz"), ("L", "yz1")], "ligne string, direction string")
+    found = match_by_index(df, table, salts=2)
+    assert rows(found.select("direction", "route_code")) == [
+        ("abcdefghijk", "abcdefghij"), ("abcdefghijk", "bcdefghijk"), ("abcdefghijk", "cd"), ("xyz", "x"), ("yz1", "yz1"),
+    ]
+
+
 def test_route_name_is_compared_by_its_first_characters(spark):
     name = "x" * 50
     table = routes(spark).limit(0).unionByName(
