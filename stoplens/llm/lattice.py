@@ -37,7 +37,7 @@ SPACE = "▁"
 # Letters, digits or other characters, with the spaces before them; numbers that are no digits count with the others.
 WORD = re.compile(rf"{SPACE}*(?:[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|\d+|(?:[^\w{SPACE}\n]|[_\xb2\xb3\xb9\xbc-\xbe])+)|{SPACE}+|\n")
 # Characters of text worked on together at least; a longer text is worked on whole.
-BATCH_CHARS = 400_000
+BATCH_CHARS = 1_000_000
 # Characters of words laid out together at least.
 TABLE = 100_000
 # Words whose lattices a worker keeps at a time.
@@ -108,6 +108,10 @@ class Vocabulary:
         self.byte_ids = np.array([self.model.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
         self.log_prob[self.byte_ids] = self.byte_log_prob
         self.longest = max(len(self.pieces[i]) for i in plain)
+        # The pieces' probabilities, lifted by their characters; the last one, which -1 stands for, is no piece.
+        lengths = np.ones(n + 1)
+        lengths[plain] = [len(self.pieces[i]) for i in plain]
+        self.lifted = np.exp(np.append(self.log_prob, -np.inf) + LIFT * lengths)
         self.bytes = [self.pieces[i].encode() for i in range(n)]
         for b, i in enumerate(self.byte_ids.tolist()):
             self.bytes[i] = bytes([b])
@@ -245,14 +249,18 @@ class Words:
                 longest = k + 1
                 break
         edge = edge[:, :, :longest]
-        log = np.where(edge >= 0, v.log_prob[np.maximum(edge, 0)], -np.inf)
         spelled = edge < -1
+        in_bytes = 0.0
         if spelled.any():
             code = -2 - edge[spelled]
-            log[spelled] = v.byte_log_prob * (2 + (code > 0x7FF) + (code > 0xFFFF))
+            in_bytes = v.byte_log_prob * (2 + (code > 0x7FF) + (code > 0xFFFF))
         if width <= PLAIN_WIDTH:
-            share = self._shares(log, sizes)[held][:, ::-1]
+            weights = v.lifted[np.maximum(edge, -1)]
+            weights[spelled] = np.exp(in_bytes + LIFT)
+            share = self._shares(weights, sizes)[held][:, ::-1]
         else:
+            log = np.where(edge >= 0, v.log_prob[np.maximum(edge, 0)], -np.inf)
+            log[spelled] = in_bytes
             share = np.exp(self._log_shares(log, sizes))[held][:, ::-1]
         edge = edge[held][:, ::-1]
         real = edge != -1
@@ -267,10 +275,9 @@ class Words:
         self.cumulative.extend(total[real])
 
     @staticmethod
-    def _shares(log: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Each edge's share of its node. Sums are scaled by LIFT a character, so short words stay in range."""
-        n, width, longest = log.shape
-        weights = np.exp(log + LIFT * np.arange(1, longest + 1))
+    def _shares(weights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Each edge's share of its node. Weights are scaled by LIFT a character, so short words stay in range."""
+        n, width, longest = weights.shape
         below = np.zeros((n, width + longest))
         below[np.arange(n), sizes] = 1
         for i in range(width - 1, -1, -1):

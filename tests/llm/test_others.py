@@ -290,6 +290,14 @@ def words():
     return lattice.known_words(lattice.model_path())
 
 
+def test_lifted_probabilities_are_those_of_the_pieces(words):
+    v = words.v
+    assert len(v.lifted) == len(v.pieces) + 1 and v.lifted[-1] == 0
+    for i, piece in enumerate(v.pieces):
+        length = 1 if v.model.is_byte(i) else len(piece)
+        assert v.lifted[i] == pytest.approx(np.exp(v.log_prob[i]) * np.exp(lattice.LIFT * length), rel=1e-12), piece
+
+
 def all_paths(v, text):
     """Every segmentation with the log of its probability."""
     plain = {p: i for i, p in enumerate(v.pieces) if np.isfinite(v.log_prob[i]) and not v.model.is_byte(i)}
