@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -182,7 +182,7 @@ class Words:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.again: set[str] = set()
+        self.again = np.zeros(0, dtype=bool)
         self.first = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.start = Grown(np.int64, [0])
@@ -191,16 +191,16 @@ class Words:
 
     def trim(self) -> None:
         """Keep the words met again since the last time, the likeliest to be met again."""
-        words = sorted(self.again)
-        if len(words) > WORDS_KEPT // 2:
+        which = np.flatnonzero(self.again)
+        if len(which) > WORDS_KEPT // 2:
             return self.clear()
-        which = np.array([self.index[w] for w in words], dtype=np.int64)
+        words = [w for w, met in zip(self.index, self.again.tolist(), strict=True) if met]  # they are in order of their numbers
         first, sizes, start = self.first[which], self.size[which], self.start.view()
         nodes, _ = _ranges(first, sizes)
         degrees = start[nodes + 1] - start[nodes]
         edges, _ = _ranges(start[nodes], degrees)
         columns = [(c, c.view()[edges]) for c in (self.piece, self.length, self.log, self.cumulative)]
-        self.index, self.again = dict(zip(words, range(len(words)), strict=True)), set()
+        self.index, self.again = dict(zip(words, range(len(words)), strict=True)), np.zeros(len(words), dtype=bool)
         self.first, self.size = np.cumsum(sizes) - sizes, sizes
         self.start = Grown(np.int64, [0])
         self.start.extend(np.cumsum(degrees))
@@ -208,12 +208,22 @@ class Words:
             column.used = 0
             column.extend(values)
 
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of words, which are learned where new."""
+        found = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(found < 0)
+        self.again[found[found >= 0]] = True
+        if len(missing):
+            missed = [words[i] for i in missing.tolist()]
+            self.learn(set(missed))
+            found[missing] = np.fromiter(map(self.index.__getitem__, missed), dtype=np.int64, count=len(missed))
+        return found
+
     def learn(self, words: set[str]) -> None:
-        missing = words.difference(self.index)
-        self.again |= words - missing
-        new = sorted(missing, key=len)
+        new = sorted(words.difference(self.index), key=len)
         if not new:
             return
+        self.again = np.append(self.again, np.zeros(len(new), dtype=bool))
         sizes = np.array([len(w) for w in new], dtype=np.int64)
         first = len(self.start) - 1 + np.cumsum(sizes) - sizes
         self.first, self.size = np.append(self.first, first), np.append(self.size, sizes)
@@ -341,12 +351,10 @@ class Sampler:
         if len(words.index) > WORDS_KEPT:
             words.trim()
         per_text = [self.v.words(x) for x in texts]
-        words.learn(set().union(*per_text))
         counts = np.array([len(w) for w in per_text], dtype=np.int64)
         self.ends = np.cumsum(counts)
         self.begins = self.ends - counts
-        get = words.index.__getitem__
-        word = np.fromiter(map(get, chain.from_iterable(per_text)), dtype=np.int64, count=int(counts.sum()))
+        word = words.numbers(list(chain.from_iterable(per_text)))
         self.text_of = np.repeat(np.arange(len(texts)), counts)
         # The nodes where words begin and end; one more, so that the last has a next.
         self.node_of = np.append(words.first[word], 0)

@@ -1,6 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import Row
 
+# As in the conftest above: whichever pytest loads last is the module that tests import.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 TEXT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 

@@ -354,6 +354,21 @@ def test_samples_depend_on_their_row_only(words):
         assert [x[0].tolist() for x in a] == [x[0].tolist() for x in b]
 
 
+def test_words_keep_their_numbers_through_trims(words, monkeypatch):
+    letter = lambda x: chr(97 + x % 26)
+    texts = [" ".join(letter(i) + letter(k) + letter(i // 26) + letter(k // 26) for i in range(60)) for k in range(40)]
+    expected = [lattice.sample_texts([k], [t], words, 2)[0] for k, t in enumerate(texts)]
+    monkeypatch.setattr(lattice, "WORDS_KEPT", 200)
+    few, trims = lattice.Words(words.v), 0
+    for k, t in enumerate(texts):
+        held = len(few.index)
+        found = lattice.sample_texts([k, k], [t, t], few, 2)
+        trims += len(few.index) < held
+        assert list(few.index.values()) == list(range(len(few.again))) == list(range(len(few.first)))
+        assert all([x[0].tolist() for x in row] == [x[0].tolist() for x in expected[k]] for row in found)
+    assert trims > 3
+
+
 def test_query_decodes_to_the_normalised_text(spark, sf_dir):
     v = lattice.vocabulary(lattice.model_path())
     rows = QUERIES["op9_sentencepiece"](spark, sf_dir).collect()
