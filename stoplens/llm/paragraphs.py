@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from .components import connected_components
-from .tables import discard, staged
+from .tables import discard, partitions, staged
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -64,8 +64,19 @@ CHUNK_WORDS = 50_000
 KNOWN_PIDS = 500_000
 # Distinct shingles of a block that are multiplied at a time.
 COLUMNS = 4096
+# Sets of a block that are compared one by one.
+FEW = 8
+# Pairs of key and digest that are sorted at a time.
+HELD_PAIRS = 1 << 20
+# Ranges of keys for each shuffle partition: one range is held in memory.
+BUCKETS = 16
+# Shares of the ranges that are shuffled one after the other.
+TURNS = 2
 
 BLANKS = re.compile(r"\s*")
+# White space beyond ASCII, and which bytes of UTF-8 are white space.
+WIDE_WHITE = tuple(chr(c) for c in range(0x80, 0x3001) if chr(c).isspace())
+WHITE_BYTES = np.array([c < 128 and chr(c).isspace() for c in range(256)])
 TOKEN = re.compile(r"\S+")
 # Scripts written without spaces, and the stops that end a sentence without one.
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
@@ -76,29 +87,24 @@ PIECE = re.compile(f"[{UNSPACED}{STOPS}]|[^{UNSPACED}{STOPS}]+")
 # A string without white space of more code points is as many words as code points.
 LONG_TOKEN = 200
 
-# A row per document; units and lines are numbered from 0. Of each unit its line, place, length in code
-# points, number of words, place in words, whether it is all of its line, and digest; of each line of several
-# units the first one, how many they are and the line's digest; the digests of units and lines that have
-# band keys; of each stretch of windows with one anchor the anchor, its first window, how many they are, and a
-# hash of all their words.
-COLUMNS_OF = {
-    "doc_id": pa.binary(),
-    **dict.fromkeys(("paras", "starts", "lengths", "words", "ats"), pa.list_(pa.int32())),
-    "alone": pa.list_(pa.bool_()),
-    "uids": pa.list_(pa.int64()),
-    **dict.fromkeys(("line_units", "line_counts"), pa.list_(pa.int32())),
-    **dict.fromkeys(("line_pids", "near_units", "near_lines", "anchors", "spans"), pa.list_(pa.int64())),
-    **dict.fromkeys(("firsts", "counts"), pa.list_(pa.int32())),
-}
-
-
-def band_names(bands: int, near_bands: int) -> list[str]:
-    """Columns of the keys of each band, for lines and for units."""
-    return [*(f"line_band_{b}" for b in range(bands)), *(f"unit_band_{b}" for b in range(near_bands))]
-
-
-def documents_schema(bands: int, near_bands: int) -> pa.Schema:
-    return pa.schema(COLUMNS_OF | dict.fromkeys(band_names(bands, near_bands), pa.list_(pa.int64())))
+# A row per document; units and lines are numbered from 0. Of each unit its number of words, place in words, whether
+# it is all of its line, and digest; of each line of several units the first one, how many they are and the line's
+# digest; of each stretch of windows with one anchor the anchor, its first window, how many they are, and a hash of
+# all their words. Rows between them have no document but band keys of units and lines: a range of keys by number
+# (below 0: none) and pairs, the keys and then as many digests, or links (below 0), as many digests and others.
+DOCUMENTS = pa.schema(
+    {
+        "doc_id": pa.binary(),
+        **dict.fromkeys(("words", "ats"), pa.list_(pa.int32())),
+        "alone": pa.list_(pa.bool_()),
+        "uids": pa.list_(pa.int64()),
+        **dict.fromkeys(("line_units", "line_counts"), pa.list_(pa.int32())),
+        **dict.fromkeys(("line_pids", "anchors", "spans"), pa.list_(pa.int64())),
+        **dict.fromkeys(("firsts", "counts"), pa.list_(pa.int32())),
+        "bucket": pa.int32(),
+        "pairs": pa.binary(),
+    }
+)
 
 
 FOUND = pa.schema(
@@ -108,8 +114,14 @@ FOUND = pa.schema(
     ]
 )
 FOUND_DDL = "cluster bigint, pid bigint, copies bigint, shingles binary, hash bigint, span bigint, doc_id binary, pos int, k int"
-LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
-PARTS = "doc_id binary, para int, unit int, start int, length int, words int, kept_doc_id binary, removed boolean"
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+PAIRS = pa.schema([("bucket", pa.int32()), ("pairs", pa.binary())])
+PARTS = pa.schema(
+    [
+        ("doc_id", pa.binary()), *((c, pa.int32()) for c in ("para", "unit", "start", "length", "words")),
+        ("kept_doc_id", pa.binary()), ("removed", pa.bool_()),
+    ]
+)
 
 
 def tune_bands(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -133,10 +145,149 @@ def is_plain(text: str, words: list[str]) -> bool:
     return (text.isascii() or not OF_UNSPACED.search(text)) and max(map(len, words), default=0) <= LONG_TOKEN
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+# The primes of XXH64.
+P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _xxh64(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """XXH64 of the ``size`` bytes (fewer than 32) from each start; seven more follow the last."""
+    eights = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    out = np.full(len(starts), P5 + np.uint64(size), dtype=np.uint64)
+    at = 0
+    while at < size:
+        lane = eights[starts + at]
+        if size - at >= 8:
+            out = _rotated(out ^ (_rotated(lane * P2, 31) * P1), 27) * P1 + P4
+            at += 8
+            continue
+        if size - at >= 4:
+            out = _rotated(out ^ ((lane & np.uint64(0xFFFFFFFF)) * P1), 23) * P2 + P3
+            lane = lane >> np.uint64(32)
+            at += 4
+        while at < size:
+            out = _rotated(out ^ ((lane & np.uint64(0xFF)) * P5), 11) * P1
+            lane = lane >> np.uint64(8)
+            at += 1
+    out = (out ^ (out >> np.uint64(33))) * P2
+    out = (out ^ (out >> np.uint64(29))) * P3
+    return out ^ (out >> np.uint64(32))
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH64 of the bytes from each start to its end; those of one length are hashed together."""
     import xxhash
 
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    out = np.empty(len(starts), dtype=np.uint64)
+    for lo in range(0, len(starts), CHUNK_WORDS):
+        some, sizes = starts[lo : lo + CHUNK_WORDS], (ends - starts)[lo : lo + CHUNK_WORDS]
+        first = int(some[0])
+        part = np.concatenate((data[first : int(ends[lo + len(some) - 1])], np.zeros(7, dtype=np.uint8)))
+        order = np.argsort(np.minimum(sizes, 32).astype(np.uint8), kind="stable")
+        some, sizes = some[order] - first, sizes[order]
+        cuts = np.searchsorted(np.minimum(sizes, 32), np.arange(33))
+        found = np.empty(len(some), dtype=np.uint64)
+        for size in range(1, 32):
+            a, b = cuts[size], cuts[size + 1]
+            if a < b:
+                found[a:b] = _xxh64(part, some[a:b], size)
+        for k in range(int(cuts[32]), len(some)):
+            found[k] = xxhash.xxh64_intdigest(part[some[k] : some[k] + sizes[k]].tobytes())
+        out[lo + order] = found
+    return out
+
+
+def byte_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words between white space start and end in bytes of ``lowered`` texts."""
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    np.logical_not(WHITE_BYTES[data], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def lowered(text: str) -> bytes:
+    """The lower-case text in UTF-8, its white space in ASCII; line ends stay."""
+    low = text.lower()
+    if not low.isascii():
+        for c in WIDE_WHITE:
+            if c in low:
+                low = low.replace(c, " ")
+    return low.encode()
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    data = np.frombuffer("\n".join(words).encode(), dtype=np.uint8)
+    return byte_hashes(data, *byte_spans(data))
+
+
+class Words:
+    """The words between white space of some texts: their hashes, and the texts' numbers of words."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        parts = [lowered(t) if t else b"" for t in texts]
+        self.data = np.frombuffer(b"\n".join(parts), dtype=np.uint8)
+        self.starts, self.ends = byte_spans(self.data)
+        stops = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) + 1)
+        self.until = np.searchsorted(self.starts, stops)
+        self.sizes = np.diff(self.until, prepend=0)
+
+    def long(self) -> np.ndarray:
+        """Which texts have a word of more than LONG_TOKEN code points."""
+        out = np.zeros(len(self.sizes), dtype=bool)
+        for k in np.flatnonzero(self.ends - self.starts > LONG_TOKEN).tolist():
+            word = self.data[self.starts[k] : self.ends[k]]
+            if np.count_nonzero((word & 0xC0) != 0x80) > LONG_TOKEN:
+                out[np.searchsorted(self.until, k, "right")] = True
+        return out
+
+    def hashes(self) -> np.ndarray:
+        return byte_hashes(self.data, self.starts, self.ends)
+
+    def cuts(self) -> tuple[np.ndarray, np.ndarray]:
+        last = self.data[self.ends - 1]
+        return cuts_of(self.starts, np.flatnonzero(self.data == 10), (last == 46) | (last == 33) | (last == 63))
+
+
+def cuts_of(starts: np.ndarray, breaks: np.ndarray, stops: np.ndarray, least: int = MIN_UNIT) -> tuple[np.ndarray, np.ndarray]:
+    """The words that lines and units (as ``units_of``) begin with. Words start at ``starts``, lines end at ``breaks``,
+    sentences after words that are ``stops``."""
+    n = len(starts)
+    of_line = np.zeros(n + 1, dtype=bool)
+    of_line[np.searchsorted(starts, breaks)] = True
+    of_line[0] = True
+    begins = of_line.copy()
+    begins[1:] |= stops
+    begins, of_line = np.flatnonzero(begins[:n]), of_line[:n]
+    chosen, held = [], 0
+    sizes = np.diff(begins, append=n)
+    for at, size, first in zip(begins.tolist(), sizes.tolist(), of_line[begins].tolist(), strict=True):
+        if first or held >= least:
+            chosen.append(at)
+            held = size
+        else:
+            held += size
+    return np.flatnonzero(of_line), np.array(chosen, dtype=np.int64)
+
+
+def _wide(text: str | None) -> bool:
+    """Whether a text has code points of scripts without spaces."""
+    return text is not None and not text.isascii() and OF_UNSPACED.search(text) is not None
+
+
+def plain_and_others(texts: list[str | None]) -> tuple[list[int], Words, list[int]]:
+    """Texts (by place) all of whose words are between white space, these words, and the other texts."""
+    others = {k for k, text in enumerate(texts) if _wide(text)}
+    plain = [k for k in range(len(texts)) if k not in others]
+    words = Words([texts[k] for k in plain])
+    long = words.long()
+    if long.any():
+        others |= {plain[k] for k in np.flatnonzero(long).tolist()}
+        plain = [k for k in plain if k not in others]
+        words = Words([texts[k] for k in plain])
+    return plain, words, sorted(others)
 
 
 def token_spans(text: str) -> list[tuple[int, int]]:
@@ -175,10 +326,18 @@ def cut_words(text: str) -> list[str]:
     return [text[a:b].lower() for a, b in token_spans(text)]
 
 
-def text_hashes(text: str) -> np.ndarray:
-    """Hashes of a text's words."""
-    words = split_words(text)
-    return word_hashes(words if is_plain(text, words) else cut_words(text))
+def text_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the texts' words, one text after the other, and the texts' numbers of words."""
+    plain, words, others = plain_and_others(texts)
+    if not others:
+        return words.hashes(), words.sizes
+    parts = [np.empty(0, dtype=np.uint64)] * len(texts)
+    hashes = words.hashes()
+    for k, end, size in zip(plain, words.until.tolist(), words.sizes.tolist(), strict=True):
+        parts[k] = hashes[end - size : end]
+    for k in others:
+        parts[k] = word_hashes(cut_words(texts[k]))
+    return np.concatenate(parts), np.array([len(x) for x in parts])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -322,53 +481,104 @@ def _lists(of: np.ndarray, count: int, values: np.ndarray, kind: pa.DataType) ->
     return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(values, type=kind))
 
 
+def combined(keys: np.ndarray, pids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once, with one of its pids; and links (two rows) of the other pids of a key to that one."""
+    order = np.argsort(keys)
+    keys, pids = keys[order], pids[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    heads = pids[new]
+    firsts = heads[np.cumsum(new) - 1]
+    other = pids != firsts
+    return keys[new], heads, np.stack((pids[other], firsts[other]))
+
+
+class Pairs:
+    """Rows of PAIRS for keys and pids: as they become many, they are sorted and cut into ``buckets`` ranges of keys."""
+
+    def __init__(self, buckets: int) -> None:
+        self.buckets, self.held, self.size = buckets, [], 0
+
+    def add(self, keys: np.ndarray, pids: np.ndarray) -> None:
+        self.held.append((keys, pids))
+        self.size += len(keys)
+
+    def rows(self) -> pa.RecordBatch:
+        keys, pids, links = combined(*(np.concatenate(x) for x in zip(*self.held, strict=True)))
+        self.held, self.size = [], 0
+        bucket = ((keys >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
+        cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        ends = [*cuts[1:].tolist(), len(keys)]
+        numbers = bucket[cuts].astype(np.int32).tolist()
+        blobs = [keys[a:b].tobytes() + pids[a:b].tobytes() for a, b in zip(cuts.tolist(), ends, strict=True)]
+        for lo in range(0, links.shape[1], CHUNK_WORDS):
+            numbers.append(-1)
+            blobs.append(links[:, lo : lo + CHUNK_WORDS].tobytes())
+        return pa.record_batch([pa.array(numbers, type=pa.int32()), pa.array(blobs, type=pa.binary())], schema=PAIRS)
+
+
 class Documents:
-    """Rows of ``documents_schema`` for (doc_id, text) pairs, hashed together; each worker gives the keys of a digest once or a few times."""
+    """Rows of DOCUMENTS for (doc_id, text) pairs, hashed together; each worker gives the keys of a digest once or a few times."""
 
-    def __init__(self, bands: int, near_bands: int, rows: int = ROWS) -> None:
+    def __init__(self, bands: int, near_bands: int, rows: int = ROWS, buckets: int = BUCKETS) -> None:
         self.bands, self.near_bands, self.rows = bands, near_bands, rows
-        self.schema = documents_schema(bands, near_bands)
         self.given: set[int] = set()
+        self.pairs = Pairs(buckets)
 
     def _fresh(self, pids: np.ndarray) -> np.ndarray:
         if len(self.given) > KNOWN_PIDS:
             self.given.clear()
-        out = np.zeros(len(pids), dtype=bool)
+        given, out = self.given, np.zeros(len(pids), dtype=bool)
         for k, pid in enumerate(pids.tolist()):
-            if pid not in self.given:
-                self.given.add(pid)
+            if pid not in given:
+                given.add(pid)
                 out[k] = True
         return out
 
-    def batch(self, texts: list[tuple[bytes, str | None]]) -> pa.RecordBatch:
-        every = [text for _, text in texts]
-        found = self._units(every, split_words)
-        if max(map(len, found[0]), default=0) > LONG_TOKEN or not all(t is None or t.isascii() or not OF_UNSPACED.search(t) for t in every):
-            found = self._units(every, cut_words)
-        units, lines = (np.array(x, dtype=np.int64).reshape(-1, w) for x, w in zip(found[1:], (5, 4), strict=True))
-        return self._arrow([doc_id for doc_id, _ in texts], word_hashes(found[0]), units, lines)
+    def batch(self, texts: list[tuple[bytes, str | None]]) -> Iterator[pa.RecordBatch]:
+        plain, words, others = plain_and_others([text for _, text in texts])
+        if plain:
+            line_at, unit_at = words.cuts() if len(words.starts) else (np.empty(0, dtype=np.int64),) * 2
+            total = len(words.starts)
+            units = np.stack((np.searchsorted(words.until, unit_at, "right"), np.diff(unit_at, append=total)))
+            first = np.searchsorted(unit_at, line_at)
+            of_line = np.searchsorted(words.until, line_at, "right")
+            before = np.searchsorted(units[0], np.arange(len(plain)))[of_line]
+            lines = np.stack((of_line, first - before, np.diff(first, append=len(unit_at)), np.diff(line_at, append=total)))
+            yield self._arrow([texts[k][0] for k in plain], words.hashes(), units, lines)
+        if others:
+            found, units, lines = self._cut([texts[k][1] for k in others])
+            yield self._arrow([texts[k][0] for k in others], word_hashes(found), units, lines)
+        if self.pairs.size > HELD_PAIRS:
+            yield self.rest()
+
+    def rest(self) -> pa.RecordBatch:
+        """Rows without a document: the pairs that are held."""
+        rows = self.pairs.rows()
+        empty = [pa.nulls(len(rows), f.type) for f in list(DOCUMENTS)[: -len(PAIRS)]]
+        return pa.record_batch([*empty, *rows.columns], schema=DOCUMENTS)
 
     @staticmethod
-    def _units(texts: list[str | None], split: Callable[[str], list[str]]) -> tuple[list[str], list[tuple], list[tuple]]:
-        """All words; (document, line, start, length, words) of units; (document, first unit, units, words) of lines."""
+    def _cut(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """All words; document and words of units; document, first unit, units and words of lines."""
         words, units, lines = [], [], []
         for doc, text in enumerate(texts):
             unit = 0
-            for para, start, line in lines_of(text):
-                some, size = units_of(line, split), 0
-                for a, b, w in some:
-                    units.append((doc, para, start + a, b - a, len(w)))
+            for _, _, line in lines_of(text):
+                some, size = units_of(line), 0
+                for _, _, w in some:
+                    units.append((doc, len(w)))
                     words += w
                     size += len(w)
                 lines.append((doc, unit, len(some), size))
                 unit += len(some)
-        return words, units, lines
+        return words, *(np.array(x, dtype=np.int64).reshape(-1, n).T for x, n in ((units, 2), (lines, 4)))
 
     def _arrow(self, doc_ids: list[bytes], hashes: np.ndarray, units: np.ndarray, lines: np.ndarray) -> pa.RecordBatch:
-        n, sizes, line_sizes = len(doc_ids), units[:, 4], lines[:, 3]
+        n, (of_units, sizes), (of_line, first_units, unit_counts, line_sizes) = len(doc_ids), units, lines
         uids, pids = digests(hashes, sizes), digests(hashes, line_sizes)
         # A line of one unit is compared as this unit.
-        several = lines[:, 2] > 1
+        several = unit_counts > 1
         near = np.flatnonzero(sizes >= NEAR_UNIT)
         near = near[self._fresh(uids[near])]
         long = np.flatnonzero(several & (line_sizes >= SHINGLE))
@@ -376,32 +586,30 @@ class Documents:
         shingles = shingle_hashes(hashes)
         unit_keys = _keys_of(shingles, sizes, near, self.near_bands, NEAR_ROWS, 1 << 20)
         line_keys = _keys_of(shingles, line_sizes, long, self.bands, self.rows, 0)
-        of_near, of_long = units[near, 0], lines[long, 0]
-        doc_sizes = np.bincount(lines[:, 0], line_sizes, n).astype(np.int64)
-        ats = np.cumsum(sizes) - sizes - (np.cumsum(doc_sizes) - doc_sizes)[units[:, 0]]
-        alone = np.repeat(~several, lines[:, 2])
+        self.pairs.add(unit_keys.ravel(), np.repeat(uids[near], self.near_bands))
+        self.pairs.add(line_keys.ravel(), np.repeat(pids[long], self.bands))
+        doc_sizes = np.bincount(of_line, line_sizes, n).astype(np.int64)
+        ats = np.cumsum(sizes) - sizes - (np.cumsum(doc_sizes) - doc_sizes)[of_units]
+        alone = np.repeat(~several, unit_counts)
         anchors, spans, firsts, counts, anchor_docs = self._anchors(hashes, doc_sizes)
-        of_units, of_lines = units[:, 0], lines[several, 0]
+        of_lines = of_line[several]
         i32, i64 = pa.int32(), pa.int64()
         columns = [
             pa.array(doc_ids, type=pa.binary()),
-            *[_lists(of_units, n, units[:, k], i32) for k in (1, 2, 3, 4)],
+            _lists(of_units, n, sizes, i32),
             _lists(of_units, n, ats, i32),
             _lists(of_units, n, alone, pa.bool_()),
             _lists(of_units, n, _signed(uids), i64),
-            _lists(of_lines, n, lines[several, 1], i32),
-            _lists(of_lines, n, lines[several, 2], i32),
+            _lists(of_lines, n, first_units[several], i32),
+            _lists(of_lines, n, unit_counts[several], i32),
             _lists(of_lines, n, _signed(pids[several]), i64),
-            _lists(of_near, n, _signed(uids[near]), i64),
-            _lists(of_long, n, _signed(pids[long]), i64),
             _lists(anchor_docs, n, _signed(anchors), i64),
             _lists(anchor_docs, n, _signed(spans), i64),
             _lists(anchor_docs, n, firsts, i32),
             _lists(anchor_docs, n, counts, i32),
-            *[_lists(of_long, n, _signed(k.copy()), i64) for k in line_keys.T],
-            *[_lists(of_near, n, _signed(k.copy()), i64) for k in unit_keys.T],
+            *[pa.nulls(n, f.type) for f in PAIRS],
         ]
-        return pa.record_batch(columns, schema=self.schema)
+        return pa.record_batch(columns, schema=DOCUMENTS)
 
     @staticmethod
     def _anchors(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -421,6 +629,15 @@ class Documents:
         return grams[at[heads]], spans, first - begins[doc], counts, doc
 
 
+def _structs(column: pa.ListArray) -> tuple[np.ndarray, pa.StructArray]:
+    """The structs in all lists, and the lists' numbers."""
+    return np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy()), column.flatten()
+
+
+def _field(values: pa.StructArray, name: str) -> np.ndarray:
+    return values.field(name).to_numpy(zero_copy_only=False)
+
+
 def _chunks(doc_ids: list[bytes], texts: list[str | None]) -> Iterator[list[tuple[bytes, str | None]]]:
     held, size = [], 0
     for doc_id, text in zip(doc_ids, texts, strict=True):
@@ -434,15 +651,18 @@ def _chunks(doc_ids: list[bytes], texts: list[str | None]) -> Iterator[list[tupl
 
 
 def occurrences(docs: DataFrame, bands: int, near_bands: int, rows: int = ROWS) -> DataFrame:
-    """A row of ``documents_schema`` for each of ``docs`` (doc_id, text)."""
+    """Rows of DOCUMENTS for each of ``docs`` (doc_id, text) and for their band keys."""
+    buckets = BUCKETS * partitions(docs.sparkSession)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Documents(bands, near_bands, rows)
+        made = Documents(bands, near_bands, rows, buckets)
         for batch in batches:
             for chunk in _chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield made.batch(chunk)
+                yield from made.batch(chunk)
+        if made.pairs.size:
+            yield made.rest()
 
-    return docs.select("doc_id", "text").mapInArrow(hashed, from_arrow_schema(documents_schema(bands, near_bands)))
+    return docs.select("doc_id", "text").mapInArrow(hashed, from_arrow_schema(DOCUMENTS))
 
 
 # --- exact similarity -------------------------------------------------------
@@ -502,25 +722,43 @@ def block_links(ids: list[int], sets: list[np.ndarray], first: list[bool], thres
     if not a or len(ids) < 2:
         return []
     near = np.zeros((len(ids), len(ids)), dtype=bool)
-    if b:
+    if len(ids) <= FEW:
+        few = [set(s.tolist()) for s in sets]
+        for x in a:
+            for y in b or a:
+                both = len(few[x] & few[y])
+                near[x, y] = both >= threshold * (len(few[x]) + len(few[y]) - both) - 1e-9
+    elif b:
         near[np.ix_(a, b)] = similar([sets[k] for k in a], [sets[k] for k in b], threshold)
     else:
         near[np.ix_(a, a)] = similar([sets[k] for k in a], [sets[k] for k in a], threshold)
     return spanning_links(ids, near | near.T)
 
 
-def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Whole groups of rows that arrive sorted by ``keys``."""
+def link_rows(links: np.ndarray) -> pa.RecordBatch:
+    """Rows of LINKS for links in two rows."""
+    return pa.record_batch([pa.array(x, type=pa.int64()) for x in links], schema=LINKS)
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, int, int]]:
+    """Whole groups of rows that arrive sorted by ``keys`` (without nulls): a table, and from where to where in it."""
     rest = None
     for batch in batches:
-        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        change = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy()
-        cuts = np.flatnonzero(change).tolist()
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = (table if rest is None else pa.concat_tables([rest, table])).combine_chunks()
+        new = np.ones(table.num_rows, dtype=bool)
+        new[1:] = False
+        for c in keys:
+            values = table.column(c).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        cuts = np.flatnonzero(new).tolist()
         for lo, hi in zip(cuts, cuts[1:], strict=False):
-            yield batch.iloc[lo:hi]
-        rest = batch.iloc[cuts[-1] :] if cuts else None
-    if rest is not None and len(rest):
-        yield rest
+            yield table, lo, hi
+        rest = table.slice(cuts[-1])
+    if rest is not None:
+        yield rest, 0, rest.num_rows
 
 
 def _blocks(rows: int | Column) -> Column:
@@ -582,18 +820,22 @@ def verified_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFram
     )
     keys = ["cluster", "i", "j"]
 
-    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
-        for group in _grouped(batches, keys):
-            sets = [np.frombuffer(x, dtype=np.uint64) for x in group["shingles"]]
-            out += block_links(group["pid"].tolist(), sets, group["first"].tolist(), threshold)
+        seen = pids = shingles = first = None
+        for table, lo, hi in _grouped(batches, keys):
+            if table is not seen:
+                seen, (pids, shingles, first) = table, (table.column(c).to_pylist() for c in ("pid", "shingles", "first"))
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in shingles[lo:hi]]
+            out += block_links(pids[lo:hi], sets, first[lo:hi], threshold)
             if len(out) > 10_000:
-                yield pd.DataFrame(out, columns=["a", "b"])
+                yield link_rows(np.array(out, dtype=np.int64).T)
                 out = []
-        yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        if out:
+            yield link_rows(np.array(out, dtype=np.int64).T)
 
     groups = whole.unionAll(paired).repartition(*keys).sortWithinPartitions(*keys)
-    return groups.mapInPandas(links, "a bigint, b bigint").unionAll(to_lead)
+    return groups.mapInArrow(links, "a bigint, b bigint").unionAll(to_lead)
 
 
 # --- classes ----------------------------------------------------------------
@@ -623,62 +865,67 @@ def _size(words: str) -> Column:
     return F.aggregate(words, F.lit(0), lambda a, b: a + b)
 
 
-def key_links(keyed: DataFrame) -> DataFrame:
-    """``keyed`` (key, pid) -> links a, b that connect the pids of each key.
+def packed_links(packed: DataFrame) -> DataFrame:
+    """Rows of PAIRS -> links a, b that connect the pids of each key.
 
-    Rows are dealt by range of key and pid, so no key is too much for a task, and shuffled
-    once: a task links the pids of a key to the first one it meets, and tells with which keys
-    it begins and ends, as these may go on in another.
+    Ranges of keys are dealt to tasks, and a task holds one at a time; of what it holds, each key
+    is kept once, so neither many keys nor many pids of one are too much.
     """
-    dealt = keyed.repartitionByRange("key", "pid").sortWithinPartitions("key", "pid")
-
-    def edge(pid: int, key: int) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([x], type=pa.int64()) for x in (pid, pid, key)], schema=LINKS)
+    dealt = packed.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, first = None, 0
+        at, held, size = None, [], 0
+
+        def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            together = np.concatenate(held, axis=1)
+            return combined(together[0], together[1])
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, pids = (batch.column(k).to_numpy() for k in (0, 1))
-            new = np.ones(len(keys), dtype=bool)
-            new[1:] = keys[1:] != keys[:-1]
-            new[0] = key is None or keys[0] != key
-            firsts = np.concatenate(([first], pids[new]))[np.cumsum(new)]
-            other = pids != firsts
-            other[1:] &= new[1:] | (pids[1:] != pids[:-1])
-            columns = [pa.array(pids[other]), pa.array(firsts[other]), pa.nulls(int(other.sum()), pa.int64())]
-            yield pa.record_batch(columns, schema=LINKS)
-            if key is None:
-                yield edge(int(pids[0]), int(keys[0]))
-            key, first = int(keys[-1]), int(firsts[-1])
-        if key is not None:
-            yield edge(first, key)
-
-    found = staged(dealt.mapInArrow(linked, "a bigint, b bigint, key bigint"), "key-links")
-    edges = found.where(F.col("key").isNotNull()).select("key", "a")
-    least = edges.groupBy("key").agg(F.min("a").alias("b"))
-    across = edges.join(least, "key").where("a > b").select("a", "b")
-    links = found.where(F.col("key").isNull()).select("a", "b").unionAll(across)
-    links._staged_at = found._staged_at
-    return links
+            for bucket, pairs in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
+                both = np.frombuffer(pairs, dtype=np.int64).reshape(2, -1)
+                if bucket < 0:
+                    yield link_rows(both)
+                    continue
+                if held and bucket != at:
+                    yield link_rows(joined()[2])
+                    held, size = [], 0
+                elif size > 4 * HELD_PAIRS:
+                    keys, pids, links = joined()
+                    yield link_rows(links)
+                    held, size = [np.stack((keys, pids))], 0
+                at = bucket
+                held.append(both)
+                size += both.shape[1]
+        if held:
+            yield link_rows(joined()[2])
+
+    return dealt.unionAll(packed.where("bucket < 0")).mapInArrow(linked, "a bigint, b bigint")
 
 
-def loose_members(lines: DataFrame, places: DataFrame, bands: int, near_bands: int) -> DataFrame:
-    """``lines`` (``occurrences``) -> pid, cluster, place, size, copies of what shares a band key with something else.
+def key_links(keyed: DataFrame) -> DataFrame:
+    """``keyed`` (key, pid) -> links a, b that connect the pids of each key."""
+    buckets = BUCKETS * partitions(keyed.sparkSession)
 
-    A band of units and one of lines at a time, so the shuffles of all bands needn't be kept at once.
-    """
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = Pairs(buckets)
+        for batch in batches:
+            pairs.add(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().view(np.uint64))
+            if pairs.size > HELD_PAIRS:
+                yield pairs.rows()
+        if pairs.size:
+            yield pairs.rows()
+
+    return packed_links(keyed.select("key", "pid").mapInArrow(packed, from_arrow_schema(PAIRS)))
 
-    def keyed(pids: str, keys: str) -> DataFrame:
-        each = lines.select(F.explode(F.arrays_zip(pids, keys)).alias("x"))
-        return each.select(F.col(f"x.{keys}").alias("key"), F.col(f"x.{pids}").alias("pid"))
 
-    links = []
-    for b in range(max(bands, near_bands)):
-        of_lines = [keyed("near_lines", f"line_band_{b}")] if b < bands else []
-        of_units = [keyed("near_units", f"unit_band_{b}")] if b < near_bands else []
-        links.append(key_links(reduce(DataFrame.unionAll, of_lines + of_units)))
+def loose_members(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """``lines`` (``occurrences``) -> pid, cluster, place, size, copies of what shares a band key with something else.
+
+    A share of the ranges of keys at a time, so the shuffles of all needn't be kept at once.
+    """
+    packed = lines.where("bucket IS NOT NULL").select("bucket", "pairs")
+    turns = [packed.where(F.pmod("bucket", F.lit(TURNS)) == k) for k in range(TURNS)]
+    links = [staged(packed_links(turn), "key-links") for turn in turns]
     clusters = staged(connected_components(reduce(DataFrame.unionAll, links)), "clusters")
     discard(*links)
     found = clusters.join(places, clusters["node"] == places["pid"])
@@ -709,44 +956,43 @@ def found_in_texts(docs: DataFrame, members: DataFrame, stretches: DataFrame) ->
     )
     texts = docs.select("doc_id", "text").join(wanted.join(places, "doc_id", "full"), "doc_id")
 
-    def column(rows: list[dict], name: str) -> np.ndarray:
-        return np.array([x[name] for x in rows], dtype=np.int64)
+    def flat(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Of the structs in all lists: the lists' numbers, and each field."""
+        of, values = _structs(column)
+        return of, {f.name: _field(values, f.name) for f in values.type}
 
-    def of_members(hashes: np.ndarray, asked: list[dict]) -> pa.RecordBatch:
-        sets = [np.unique(shingle_hashes(hashes[x["at"] : x["at"] + x["size"]])).tobytes() for x in asked]
-        named = [pa.array(column(asked, c)) for c in ("cluster", "pid", "copies")]
-        empty = [pa.nulls(len(asked), FOUND.field(k).type) for k in range(4, len(FOUND))]
+    def of_members(shingles: np.ndarray, at: np.ndarray, asked: dict[str, np.ndarray]) -> pa.RecordBatch:
+        ends = at + np.maximum(asked["size"] - SHINGLE + 1, 0)
+        sets = [np.unique(shingles[a:b]).tobytes() for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
+        named = [pa.array(asked[c], type=pa.int64()) for c in ("cluster", "pid", "copies")]
+        empty = [pa.nulls(len(sets), FOUND.field(k).type) for k in range(4, len(FOUND))]
         return pa.record_batch([*named, pa.array(sets, type=pa.binary()), *empty], schema=FOUND)
 
-    def of_windows(hashes: np.ndarray, doc_id: bytes, asked: list[dict]) -> Iterator[pa.RecordBatch]:
-        every = window_hashes(hashes, PASSAGE)
-        for lo in range(0, len(asked), CHUNK_WORDS):
-            some = asked[lo : lo + CHUNK_WORDS]
-            n = column(some, "n")
+    def of_windows(every: np.ndarray, doc_ids: pa.Array, docs: np.ndarray, begins: np.ndarray, asked: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(docs), CHUNK_WORDS):
+            doc, first, n, span, copies = (x[lo : lo + CHUNK_WORDS] for x in (docs, *(asked[c] for c in ("first", "n", "span", "copies"))))
             k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = np.repeat(column(some, "first"), n) + k
-            none = pa.nulls(len(at), pa.int64())
-            ids = pa.array([doc_id], type=pa.binary()).take(pa.array(np.zeros(len(at), dtype=np.int32)))
-            copies, span = (pa.array(np.repeat(column(some, c), n)) for c in ("copies", "span"))
-            found = pa.array(_signed(every[at]))
+            at = np.repeat(first, n) + k
+            none, ids = pa.nulls(len(at), pa.int64()), doc_ids.take(pa.array(np.repeat(doc, n)))
+            found = pa.array(_signed(every[at + np.repeat(begins[doc], n)]))
+            named = [pa.array(np.repeat(x, n), type=pa.int64()) for x in (copies, span)]
             places = [pa.array(x, type=pa.int32()) for x in (at, k)]
-            yield pa.record_batch([none, none, copies, pa.nulls(len(at), pa.binary()), found, span, ids, *places], schema=FOUND)
+            yield pa.record_batch([none, none, named[0], pa.nulls(len(at), pa.binary()), found, named[1], ids, *places], schema=FOUND)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, rows = [], 0
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "wanted", "stretches"))
-            for doc_id, text, asked, of_text in zip(*columns, strict=True):
-                hashes = text_hashes(text)
-                if asked:
-                    held.append(of_members(hashes, asked))
-                if of_text:
-                    held += of_windows(hashes, doc_id, of_text)
-                rows += len(hashes)
-                if rows > CHUNK_WORDS:
-                    yield from pa.Table.from_batches(held, FOUND).combine_chunks().to_batches()
-                    held, rows = [], 0
-            yield from pa.Table.from_batches(held, FOUND).combine_chunks().to_batches()
+            lo = 0
+            for chunk in _chunks([b""] * len(batch), batch.column("text").to_pylist()):
+                some = batch.slice(lo, len(chunk))
+                lo += len(chunk)
+                hashes, sizes = text_hashes([text for _, text in chunk])
+                begins = np.cumsum(sizes) - sizes
+                docs, asked = flat(some.column("wanted"))
+                if len(docs):
+                    yield of_members(shingle_hashes(hashes), begins[docs] + asked["at"], asked)
+                docs, asked = flat(some.column("stretches"))
+                if len(docs):
+                    yield from of_windows(window_hashes(hashes, PASSAGE), some.column("doc_id"), docs, begins, asked)
 
     return staged(texts.mapInArrow(found, FOUND_DDL), "found-in-texts")
 
@@ -798,57 +1044,134 @@ def splitter(text: str) -> Callable[[str], list[str]]:
     return split_words if is_plain(text, text.split()) else cut_words
 
 
+def places_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words are; line and number of words of each unit."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    spans = None if _wide(text) else plain_spans(text)
+    if spans is not None and len(spans) and int((spans[:, 1] - spans[:, 0]).max()) <= LONG_TOKEN:
+        last, breaks = codes[spans[:, 1] - 1], np.flatnonzero(codes == 10)
+        _, units = cuts_of(spans[:, 0], breaks, (last == 46) | (last == 33) | (last == 63))
+        return spans, np.searchsorted(breaks, spans[units, 0]), np.diff(units, append=len(spans))
+    places = [(para, len(w)) for para, _, line in lines_of(text) for _, _, w in units_of(line, splitter(text))]
+    paras, sizes = np.array(places, dtype=np.int64).reshape(-1, 2).T
+    return np.array(token_spans(text), dtype=np.int64).reshape(-1, 2), paras, sizes
+
+
+def range_rows(first: np.ndarray, last: np.ndarray, shift: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of ranges of windows start and end, and whether they go; ``own``: the first ones are in the same text."""
+    # The words of the first occurrence stay.
+    first = first + np.where(own & (shift > 0) & (shift < PASSAGE), PASSAGE - shift, 0)
+    return first, last + PASSAGE, ~(own & (shift == 0))
+
+
+def _cover(places: tuple, units: tuple, ranges: tuple, names: list[bytes]) -> list[list]:
+    """Columns of PARTS but doc_id. ``units``: unit, number of the name kept, whether it goes; ``ranges``: of words, and likewise."""
+    spans, paras, sizes = places
+    ends = np.cumsum(sizes)
+    rows = [np.concatenate(x) for x in zip(((ends - sizes)[units[0]], ends[units[0]], *units[1:]), ranges, strict=True)]
+    # 1: first of its kind, 2: to be removed; and the number of the row kept.
+    state, kept = np.zeros(len(spans), dtype=np.int8), np.full(len(spans), len(names))
+    order = np.lexsort((-rows[2], rows[3]))
+    for lo, hi, to, gone in zip(*(x[order].tolist() for x in rows), strict=True):
+        state[lo:hi] = 1 + gone
+        kept[lo:hi] = to
+    unit_of = np.repeat(np.arange(len(sizes)), sizes)
+    # Those that go come last, of them the least number.
+    cuts = np.concatenate(([0], np.flatnonzero((state[1:] != state[:-1]) | (unit_of[1:] != unit_of[:-1])) + 1))
+    last = np.append(cuts[1:], len(spans))
+    marked = state[cuts] > 0
+    least = np.minimum.reduceat(kept, cuts)[marked].tolist()
+    cuts, last = cuts[marked], last[marked]
+    unit, start = unit_of[cuts], spans[cuts, 0]
+    columns = (paras[unit], unit, start, spans[last - 1, 1] - start, last - cuts)
+    return [*(x.tolist() for x in columns), [names[k] for k in least], (state[cuts] == 2).tolist()]
+
+
 def parts_of(doc_id, text: str, units, ranges) -> Iterator[tuple]:
     """Rows of PARTS: what repeated ``units`` and ``ranges`` of windows cover of a text, cut at units."""
-    split = splitter(text)
-    places = [(para, start + a, start + b, len(w)) for para, start, line in lines_of(text) for a, b, w in units_of(line, split)]
-    spans = plain_spans(text) if split is split_words else np.array(token_spans(text), dtype=np.int64).reshape(-1, 2)
-    ends = np.cumsum([p[3] for p in places])
-    # 1: first of its kind, 2: to be removed; and the number of the row kept.
-    state = np.zeros(len(spans), dtype=np.int8)
-    rows = [(ends[u["unit"]] - places[u["unit"]][3], ends[u["unit"]], bytes(u["kept_doc_id"]), u["removed"]) for u in units]
-    for r in ranges:
-        lo, hi, own = r["first"], r["last"] + PASSAGE, bytes(r["kept_doc_id"]) == doc_id
-        if own and 0 < r["shift"] < PASSAGE:  # the words of the first occurrence stay
-            lo += PASSAGE - r["shift"]
-        rows.append((lo, hi, bytes(r["kept_doc_id"]), not (own and r["shift"] == 0)))
-    numbers = {k: n for n, k in enumerate(sorted({r[2] for r in rows}))}
-    names, kept = list(numbers), np.full(len(spans), len(numbers))
-    for removed in (False, True):
-        for lo, hi, to, gone in rows:
-            if gone == removed:
-                if removed:
-                    kept[lo:hi][state[lo:hi] == 1] = len(numbers)
-                state[lo:hi] = 1 + removed
-                kept[lo:hi] = np.minimum(kept[lo:hi], numbers[to])
-    unit_of = np.repeat(np.arange(len(places)), [p[3] for p in places])
-    cuts = np.flatnonzero((state[1:] != state[:-1]) | (unit_of[1:] != unit_of[:-1])) + 1
-    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(spans)], strict=True):
-        if state[lo]:
-            unit = int(unit_of[lo])
-            start, end = int(spans[lo, 0]), int(spans[hi - 1, 1])
-            yield doc_id, places[unit][0], unit, start, end - start, hi - lo, names[kept[lo:hi].min()], bool(state[lo] == 2)
-
-
-def covered(docs: DataFrame, units: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Rows of PARTS for repeated ``units`` (doc_id, unit, kept_doc_id, removed) and ``ranges`` of windows."""
-    units = units.groupBy("doc_id").agg(F.collect_list(F.struct("unit", "kept_doc_id", "removed")).alias("units"))
+    names = sorted({bytes(x["kept_doc_id"]) for x in (*units, *ranges)})
+    number = {name: k for k, name in enumerate(names)}
+
+    def column(rows, value, kind=np.int64) -> np.ndarray:
+        return np.array([value(x) for x in rows], dtype=kind)
+
+    def kept(rows) -> np.ndarray:
+        return column(rows, lambda x: number[bytes(x["kept_doc_id"])])
+
+    own = kept(ranges) == number.get(bytes(doc_id), -1)
+    lo, hi, gone = range_rows(*(column(ranges, lambda x, c=c: x[c]) for c in ("first", "last", "shift")), own)
+    of_units = (column(units, lambda x: x["unit"]), kept(units), column(units, lambda x: x["removed"], bool))
+    columns = _cover(places_of(text), of_units, (lo, hi, kept(ranges), gone), names)
+    yield from zip([doc_id] * len(columns[0]), *columns, strict=True)
+
+
+def chosen_units(docs: np.ndarray, units: np.ndarray, words: np.ndarray, alone: np.ndarray, kept: np.ndarray, removed: np.ndarray, min_run: int) -> tuple:
+    """Document, unit, least name kept and whether it goes, of the marked units that count ``alone`` or are in a run of ``min_run`` words."""
+    if not len(docs):
+        return docs, units, kept, removed
+    order = np.lexsort((kept, units, docs))
+    docs, units, words, alone, kept, removed = (x[order] for x in (docs, units, words, alone, kept, removed))
+    heads = np.flatnonzero(np.concatenate(([True], (docs[1:] != docs[:-1]) | (units[1:] != units[:-1]))))
+    alone, removed = np.logical_or.reduceat(alone, heads), np.logical_or.reduceat(removed, heads)
+    docs, units, words, kept = docs[heads], units[heads], words[heads], kept[heads]
+    new = np.concatenate(([True], (docs[1:] != docs[:-1]) | (units[1:] != units[:-1] + 1)))
+    sums = np.add.reduceat(words, np.flatnonzero(new))
+    counts = alone | (sums[np.cumsum(new) - 1] >= min_run)
+    return docs[counts], units[counts], kept[counts], removed[counts]
+
+
+def part_rows(parts: list[list[list]]) -> pa.RecordBatch:
+    columns = [[x for part in column for x in part] for column in zip(*parts, strict=True)]
+    return pa.record_batch([pa.array(x, type=f.type) for x, f in zip(columns, PARTS, strict=True)], schema=PARTS)
+
+
+def covered(docs: DataFrame, marked: DataFrame, ranges: DataFrame, min_run: int) -> DataFrame:
+    """Rows of PARTS for ``marked`` (doc_id, unit: the first, words: of each unit, alone, kept_doc_id, removed) and ``ranges`` of windows."""
+    marked = marked.groupBy("doc_id").agg(F.collect_list(F.struct("unit", "words", "alone", "kept_doc_id", "removed")).alias("units"))
     ranges = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last", "kept_doc_id", "shift")).alias("ranges"))
-    found = staged(units.join(ranges, "doc_id", "full"), "covered")
+    found = staged(marked.join(ranges, "doc_id", "full"), "covered")
     texts = docs.select("doc_id", "text").join(found, "doc_id")
-    names = [x.split()[0] for x in PARTS.split(", ")]
 
-    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def numbered(columns: list[pa.Array]) -> tuple[list[bytes], list[np.ndarray]]:
+        """All names in order, and the columns as numbers of names."""
+        every = pa.chunked_array([c.cast(pa.binary()) for c in columns]).combine_chunks().dictionary_encode()
+        names = every.dictionary.to_pylist()
+        order = sorted(range(len(names)), key=names.__getitem__)
+        ranks = np.empty(len(names), dtype=np.int64)
+        ranks[order] = np.arange(len(names))
+        cuts = np.cumsum([len(c) for c in columns])[:-1]
+        return [names[k] for k in order], np.split(ranks[every.indices.to_numpy(zero_copy_only=False)], cuts)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc_id, text, of_units, of_windows in zip(*(batch[c] for c in ("doc_id", "text", "units", "ranges")), strict=True):
-                rows += parts_of(doc_id, text, () if of_units is None else of_units, () if of_windows is None else of_windows)
-                if len(rows) > 10_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            yield pd.DataFrame(rows, columns=names)
+            doc, of_units = _structs(batch.column("units"))
+            of_range, windows = _structs(batch.column("ranges"))
+            doc_ids = batch.column("doc_id")
+            names, (keys, kept, kept_range) = numbered([doc_ids, of_units.field("kept_doc_id"), windows.field("kept_doc_id")])
+            own = kept_range == keys[of_range]
+            ranges = (*range_rows(*(_field(windows, c).astype(np.int64) for c in ("first", "last", "shift")), own),)
+            ranges = (*ranges[:2], kept_range, ranges[2])
+            each, words = _structs(of_units.field("words"))
+            sizes = np.bincount(each, minlength=len(doc))
+            number = _field(of_units, "unit").astype(np.int64)[each] + np.arange(len(each)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            doc, *units = chosen_units(
+                doc[each], number, words.to_numpy().astype(np.int64), _field(of_units, "alone")[each], kept[each], _field(of_units, "removed")[each], min_run
+            )
+            ends, range_ends = (np.searchsorted(x, np.arange(len(batch)), "right") for x in (doc, of_range))
+            held, rows, a, c = [], 0, 0, 0
+            for doc_id, text, b, d in zip(doc_ids.to_pylist(), batch.column("text").to_pylist(), ends.tolist(), range_ends.tolist(), strict=True):
+                if a < b or c < d:
+                    columns = _cover(places_of(text), [x[a:b] for x in units], [x[c:d] for x in ranges], names)
+                    held.append([[doc_id] * len(columns[0]), *columns])
+                    rows += len(columns[0])
+                a, c = b, d
+                if rows > 10_000:
+                    yield part_rows(held)
+                    held, rows = [], 0
+            if rows:
+                yield part_rows(held)
 
-    return texts.mapInPandas(parts, PARTS)
+    return texts.mapInArrow(parts, from_arrow_schema(PARTS))
 
 
 def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_run: int = MIN_RUN, min_line: int = MIN_LINE) -> DataFrame:
@@ -875,7 +1198,7 @@ def _repeated(docs: DataFrame, threshold: float, min_run: int, min_line: int) ->
     pieces = staged(pieces_of(lines), "pieces")
     places = pieces.groupBy("pid").agg(F.min(F.struct("place", _size("words").alias("size"))).alias("least"), F.count("*").alias("copies"))
     places = staged(places.select("pid", "least.place", "least.size", "copies"), "places")
-    members = loose_members(lines, places, bands, near_bands)
+    members = loose_members(lines, places)
     stretches = repeated_stretches(lines)
     discard(lines)
     distinct = stretches.groupBy("span").agg(F.min(F.struct("doc_id", "first", "n")).alias("place"), F.count("*").alias("copies"))
@@ -896,27 +1219,17 @@ def _repeated(docs: DataFrame, threshold: float, min_run: int, min_line: int) ->
     )
     # The k-th unit of a line stands for the k-th of the line that stays.
     marked = pieces.join(staged(repeated, "repeated"), "pid").withColumn("alone", F.col("whole") & (_size("words") >= min_line))
-    marked = marked.select("place", "kept", "alone", F.posexplode("words").alias("k", "words")).select(
+    marked = marked.select(
         "place.doc_id",
-        (F.col("place.unit") + F.col("k")).alias("unit"),
+        "place.unit",
         "words",
         "alone",
         F.col("kept.doc_id").alias("kept_doc_id"),
         ((F.col("place.doc_id") != F.col("kept.doc_id")) | (F.col("place.unit") != F.col("kept.unit"))).alias("removed"),
     )
-    units = marked.groupBy("doc_id", "unit").agg(
-        F.min("words").alias("words"),
-        F.bool_or("alone").alias("alone"),
-        F.min("kept_doc_id").alias("kept_doc_id"),
-        F.bool_or("removed").alias("removed"),
-    )
-    in_text = Window.partitionBy("doc_id").orderBy("unit")
-    runs = units.withColumn("run", F.col("unit") - F.row_number().over(in_text))
-    in_run = Window.partitionBy("doc_id", "run")
-    chosen = runs.withColumn("run_words", F.sum("words").over(in_run)).where(F.col("alone") | (F.col("run_words") >= min_run))
-    chosen = staged(chosen.select("doc_id", "unit", "kept_doc_id", "removed"), "chosen")
+    found = covered(docs, marked, ranges, min_run)
     discard(pieces, places, members)
-    return covered(docs, chosen, ranges)
+    return found
 
 
 def _sortable(x: Column) -> Column:

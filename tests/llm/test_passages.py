@@ -280,3 +280,45 @@ def test_planted_near_lines_are_all_found(docs):
     assert len(near_classes([tuple(t.split()) for _, t in rows])) == 120
     found = {r["doc_id"] for r in P.repeated_paragraphs(docs(*rows)).collect() if r["removed"]}
     assert len(found) >= 57
+
+
+def test_hashes_and_units_of_many_texts_are_those_of_each():
+    import xxhash
+
+    signs = "abc.!? \n\t  \x85\x1c ÉİΣß\U0001f600"
+    for t in range(200):
+        texts = ["".join(RANDOM.choice(list(signs), RANDOM.integers(0, 300))) for _ in range(3)]
+        texts += [None, "", "x" * 200 + " " + "É" * (199 + t % 3) + " a"]
+        texts.insert(t % 4, "語a。b c. d" * (t % 2))
+        texts = texts[: t % 4 + 1] if t % 9 == 0 else texts
+        texts = ["語a。b c. d"] if t == 1 else texts
+        hashes, sizes = P.text_hashes(texts)
+        words = [P.cut_words(x or "") for x in texts]
+        assert sizes.tolist() == [len(w) for w in words]
+        assert hashes.tolist() == [xxhash.xxh64_intdigest(w) for some in words for w in some]
+        plain, found, others = P.plain_and_others(texts)
+        units = [[len(u[2]) for _, _, line in P.lines_of(x) for u in P.units_of(line)] for x in texts]
+        assert np.diff(found.cuts()[1], append=len(found.starts)).tolist() == [n for k in plain for n in units[k]]
+        assert sorted(plain + others) == list(range(len(texts)))
+        assert [P.places_of(x)[2].tolist() for x in texts if x and x.strip()] == [u for x, u in zip(texts, units) if x and x.strip()]
+
+
+def test_band_keys_leave_the_hashing_in_few_rows(spark, docs):
+    frame = P._told_apart(docs(*((k, prose(400)) for k in range(60)))).select("doc_id", "text")
+    rows = P.occurrences(frame, 9, 7).where("bucket IS NOT NULL").select("bucket", "pairs").collect()
+    keys = sum(len(r["pairs"]) // 16 for r in rows if r["bucket"] >= 0)
+    assert keys > 60 * 50 * 7  # a key a row before
+    buckets = P.BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(rows) <= buckets * frame.rdd.getNumPartitions()
+    assert len({r["bucket"] for r in rows}) > 0.9 * min(buckets, keys / 10)
+
+
+def test_pids_of_a_common_key_become_links_at_once():
+    pairs = P.Pairs(64)
+    pids = np.arange(5000, dtype=np.uint64)
+    pairs.add(np.full(5000, 7 << 50, dtype=np.uint64), pids)
+    pairs.add(pids << np.uint64(40), pids)
+    rows = pairs.rows().to_pylist()
+    links = [np.frombuffer(r["pairs"], dtype=np.int64).reshape(2, -1) for r in rows if r["bucket"] < 0]
+    assert len({*np.concatenate(links, axis=1).ravel().tolist()}) == 5000
+    assert sum(len(r["pairs"]) // 16 for r in rows if r["bucket"] >= 0) == 5001
